@@ -102,16 +102,16 @@ def carry(
     return df.join(states, s.block_keys, "left")
 
 
-def attach(df: DataFrame, s: Series, params: DataFrame) -> DataFrame:
-    """Inner join one-row-per-key parameters onto ``df`` without shuffling rows on the key.
+def attach(df: DataFrame, s: Series, params: DataFrame, how: str = "inner") -> DataFrame:
+    """Join one-row-per-key parameters onto ``df`` without shuffling rows on the key.
 
     The parameters are first spread over the blocks that exist, so the join key is
     (key, block) and a hot key stays split; Spark still broadcasts the small side when
     its measured size allows.
     """
     df = s.blocked(df)
-    spread = df.select(*s.block_keys).distinct().join(params, s.key)
-    return df.join(spread, s.block_keys)
+    spread = df.select(*s.block_keys).distinct().join(params, s.key, how)
+    return df.join(spread, s.block_keys, how)
 
 
 def halo(
