@@ -170,3 +170,9 @@ def mean_by_position(df: DataFrame, arrays: str, keys: Sequence[str] = ()) -> Da
     """Element-wise mean of an array column, largest first."""
     each = df.select(*keys, F.posexplode(arrays).alias("pos", "value"))
     return each.groupBy(*keys, "pos").agg(F.avg("value").alias("weight")).orderBy(F.desc("weight"), "pos")
+
+
+def mean_by_element(df: DataFrame, matrices: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean of a ``[step][element]`` array per element, over rows and steps, largest first."""
+    steps = df.select(*keys, F.explode(matrices).alias("_step"))
+    return mean_by_position(steps, "_step", keys)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from barloom.operators.clean import refresh_report
 from barloom.operators.series import INTRADAY, Series
 from barloom.plans.medallion import Layout, partition_of
+from barloom.session import stage
 from barloom.sources import writers
 from barloom.sources.ticks import bars_from_ticks
 
@@ -108,20 +109,23 @@ def run_available(query, checkpoint: str, **options: str) -> StreamingQuery:
     return started
 
 
-def publish_stream(bars: DataFrame, layout: Layout, checkpoint: str, s: Series = INTRADAY) -> StreamingQuery:
+def publish_stream(
+    bars: DataFrame, layout: Layout, checkpoint: str, s: Series = INTRADAY, mode: str = "append",
+) -> StreamingQuery:
     """Upsert each micro-batch into the table, then refresh the control table (ST10).
 
-    The upsert is by key, so a batch that is replayed after a crash changes nothing.
+    The upsert is by key, so a batch that is replayed after a crash changes nothing, and
+    ``mode='update'`` publishes bars early and corrects them as late ticks arrive.
     """
 
     def apply(batch: DataFrame, _id: int) -> None:
-        if batch.isEmpty():
+        rows = stage(batch.withColumn("part", partition_of(s)), "batch")
+        if rows.isEmpty():
             return
-        rows = batch.withColumn("part", partition_of(s))
         writers.upsert(rows, layout.bars, [s.key, s.time])
         refresh_counts(batch.sparkSession, layout, s)
 
-    return run_available(bars.writeStream.outputMode("append").foreachBatch(apply), checkpoint)
+    return run_available(bars.writeStream.outputMode(mode).foreachBatch(apply), checkpoint)
 
 
 def refresh_counts(spark: SparkSession, layout: Layout, s: Series = INTRADAY) -> None:
