@@ -91,11 +91,12 @@ def ema_local(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True)
     return b.withColumns(pieces).drop(*helpers)
 
 
-def _block_end(n: str) -> Column:
+def _block_end(n: str, c: str) -> Column:
     """Mean after a block: every earlier block's share, decayed, and the first value's."""
     here = F.col(f"_cl_{n}")
     decayed = F.aggregate(
-        f"_hist_{n}", F.lit(0.0), lambda total, e: total + e["b"] * F.exp(e["l"] - here))
+        f"_hist_{c}", F.lit(0.0),
+        lambda total, e: total + e[f"_bt_{n}"] * F.exp(e[f"_cl_{n}"] - here))
     return decayed + F.col(f"_x0_{n}") * F.exp(-here)
 
 
@@ -114,13 +115,16 @@ def ema_resolve(df: DataFrame, specs: Specs, s: Series = DAILY) -> DataFrame:
         **{f"_bt_{n}": F.col(f"_bs_{n}") * F.exp(-F.col(f"_bl_{n}")) for n in specs},
     })
     outs = {}
-    for n in specs:
-        # Blocks further back weigh exp(-745) or less, which is zero in a double.
-        near = Window.partitionBy(s.key).orderBy(f"_cl_{n}").rangeBetween(-745, 0)
-        outs[f"_hist_{n}"] = F.collect_list(
-            F.struct(F.col(f"_cl_{n}").alias("l"), F.col(f"_bt_{n}").alias("b"))).over(near)
+    for c in sorted({c for c, _ in specs.values()}):
+        mine = {n: span for n, (col, span) in specs.items() if col == c}
+        # Blocks further back weigh exp(-745) or less, which is zero in a double. The frame of
+        # the slowest mean of a column covers those of its faster ones.
+        slowest = max(mine, key=lambda n: mine[n])
+        near = Window.partitionBy(s.key).orderBy(f"_cl_{slowest}").rangeBetween(-745, 0)
+        parts = [F.col(f"_{k}_{n}") for n in mine for k in ("cl", "bt")]
+        outs[f"_hist_{c}"] = F.collect_list(F.struct(*parts)).over(near)
     summary = summary.withColumns(outs)
-    summary = summary.withColumns({f"_end_{n}": _block_end(n) for n in specs})
+    summary = summary.withColumns({f"_end_{n}": _block_end(n, c) for n, (c, _) in specs.items()})
     states = summary.select(
         *s.block_keys,
         *[F.lag(f"_end_{n}").over(s.across).alias(f"_prev_{n}") for n in specs],

@@ -32,19 +32,24 @@ def file_stream(
     return reader.load(path)
 
 
+def _event_time(df: DataFrame, column: str, lateness: str) -> DataFrame:
+    """Watermarks need an instant, so zone-less times are read in the session zone."""
+    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, lateness)
+
+
 def live_bars(
     ticks: DataFrame, code: str, time: str, price: str, lateness: str = "1 hour", every: str = "15 minutes",
 ) -> DataFrame:
     """Bars from a tick stream; a bar is final once the watermark passes it (ST8)."""
     return bars_from_ticks(
-        ticks.withWatermark(time, lateness), code, time, price, F.lit(1).cast("double"), every)
+        _event_time(ticks, time, lateness), code, time, price, F.lit(1).cast("double"), every)
 
 
 def live_dedupe(
     bars: DataFrame, lateness: str = "1 hour", key: tuple[str, ...] = ("code", "timestamp"),
 ) -> DataFrame:
     """Drop repeats of a key that arrive within the lateness (ST7)."""
-    return bars.withWatermark(key[-1], lateness).dropDuplicatesWithinWatermark(list(key))
+    return _event_time(bars, key[-1], lateness).dropDuplicatesWithinWatermark(list(key))
 
 
 FILL_STATE = T.StructType([

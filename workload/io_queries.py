@@ -151,14 +151,14 @@ def _(spark, d):
     return readers.read_table(spark, name).select("code", "date", "close")
 
 
-CTES["day_report"] = DAY_REPORT + " FROM bars_day GROUP BY code"
+CTES["intraday_report"] = INTRADAY_REPORT + " FROM bars_intraday GROUP BY code"
 
 
-@query("control_table_replace", "SELECT * FROM day_report WHERE updated > (SELECT min(updated) FROM day_report)")
+@query("control_table_replace", "SELECT * FROM intraday_report WHERE updated > (SELECT min(updated) FROM intraday_report)")
 def _(spark, d):
-    report = stage(_reports(spark, d)[0], "report")
+    report = stage(_reports(spark, d)[1], "report")
     published = report.filter(F.col("updated") == report.agg(F.min("updated")).scalar())
-    name = f"{_database(spark)}.report_day"
+    name = f"{_database(spark)}.report_intraday"
     writers.save_table(published, name)
     newer = stage(medallion.keep_newer(report, readers.read_table(spark, name)), "newer")
     writers.save_table(newer, name)
@@ -188,9 +188,9 @@ def _(spark, d):
     return medallion.gate(bronze, silver)
 
 
-@query("gold_gate", "SELECT * FROM day_report WHERE updated > (SELECT min(updated) FROM day_report)")
+@query("gold_gate", "SELECT * FROM intraday_report WHERE updated > (SELECT min(updated) FROM intraday_report)")
 def _(spark, d):
-    report = _reports(spark, d)[0]
+    report = _reports(spark, d)[1]
     return medallion.keep_newer(report, medallion.newest(report, "min"))
 
 
