@@ -151,12 +151,22 @@ def _(spark, d):
     return readers.read_table(spark, name).select("code", "date", "close")
 
 
-CTES["intraday_report"] = INTRADAY_REPORT + " FROM bars_intraday GROUP BY code"
+CTES["event_report"] = """
+    SELECT event_type AS code, count(*) AS nb, CAST(min(ts) AS DATE)::VARCHAR AS min_date,
+      CAST(max(ts) AS DATE)::VARCHAR AS max_date, max(ts) AS newest FROM events GROUP BY 1"""
+NEWER = """SELECT code, nb, min_date, max_date, strftime(newest, '%Y-%m-%d %H:%M:%S') AS updated FROM event_report
+    WHERE newest > (SELECT min(newest) FROM event_report)"""
 
 
-@query("control_table_replace", "SELECT * FROM intraday_report WHERE updated > (SELECT min(updated) FROM intraday_report)")
+def _event_report(spark, d):
+    """Control table over the raw events, whose newest times differ by code."""
+    ticks = table(spark, d, "events").select(F.col("event_type").alias("code"), F.col("ts").alias("timestamp"))
+    return clean.refresh_report(ticks, F.col("timestamp"), "timestamp")
+
+
+@query("control_table_replace", NEWER)
 def _(spark, d):
-    report = stage(_reports(spark, d)[1], "report")
+    report = stage(_event_report(spark, d), "report")
     published = report.filter(F.col("updated") == report.agg(F.min("updated")).scalar())
     name = f"{_database(spark)}.report_intraday"
     writers.save_table(published, name)
@@ -188,9 +198,9 @@ def _(spark, d):
     return medallion.gate(bronze, silver)
 
 
-@query("gold_gate", "SELECT * FROM intraday_report WHERE updated > (SELECT min(updated) FROM intraday_report)")
+@query("gold_gate", NEWER)
 def _(spark, d):
-    report = _reports(spark, d)[1]
+    report = _event_report(spark, d)
     return medallion.keep_newer(report, medallion.newest(report, "min"))
 
 

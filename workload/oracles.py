@@ -250,6 +250,16 @@ CTES["ratios"] = "SELECT *, " + ", ".join(
     for k, n in enumerate(("down", "neutral", "up"))) + " FROM tallies"
 
 
+def _on_intraday(name: str) -> str:
+    """The same expression over the intraday bars, under names ending in ``_i``."""
+    return re.sub(r"\b(" + "|".join(["bars_day", *_INDICATOR_CHAIN]) + r")\b", r"\1_i", CTES[name])
+
+
+_INDICATOR_CHAIN = ["stepped", "moves", "rolled", "rolling", "rows_rolling", "means", "directional", "adx", "indicators"]
+CTES["bars_day_i"] = "SELECT code, timestamp AS date, open, high, low, close, volume FROM bars_intraday"
+CTES |= {f"{n}_i": _on_intraday(n) for n in _INDICATOR_CHAIN}
+
+
 def _needs(text: str) -> list[str]:
     words = set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", text))
     return [n for n in CTES if n in words]

@@ -408,7 +408,8 @@ def _(spark, d):
     return add_indicators(staged_day(spark, d)).select("code", "date", *INDICATORS)
 
 
-@query("indicator_set_intraday")
+@query("indicator_set_intraday", "SELECT code, CAST(date AS VARCHAR) AS timestamp, " + ", ".join(
+    rnd(c) for c in INDICATORS) + " FROM indicators_i", 6)
 def _(spark, d):
     return add_indicators(staged_intraday(spark, d), INTRADAY).select("code", "timestamp", *INDICATORS)
 
