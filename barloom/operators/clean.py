@@ -69,10 +69,9 @@ def high_water_mark(df: DataFrame, column: str = "updated", name: str = "max_upd
 
 
 def newer_than(df: DataFrame, mark: DataFrame, column: str = "updated") -> DataFrame:
-    """Rows newer than the one-row ``mark`` (P6); an empty mark lets everything pass."""
-    limit = mark.select(F.col(mark.columns[0]).alias("_mark"))
-    joined = df.crossJoin(F.broadcast(limit))  # the mark is one row by construction
-    return joined.filter(F.col("_mark").isNull() | (F.col(column) > F.col("_mark"))).drop("_mark")
+    """Rows newer than the one-row, one-column ``mark`` (P6); an empty mark lets everything pass."""
+    limit = mark.select(F.max(mark.columns[0])).scalar()
+    return df.filter(limit.isNull() | (F.col(column) > limit))
 
 
 def at_latest(df: DataFrame, column: str = "date") -> DataFrame:

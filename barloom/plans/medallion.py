@@ -80,6 +80,8 @@ def seed_rows(batch: DataFrame, silver: DataFrame, tail: DataFrame, s: Series =
     known = tail.join(starts, s.key)
     fresh = known.filter(F.col(s.time) < F.col("_start")).drop("_start")
     late = known.filter(F.col(s.time) >= F.col("_start")).select(s.key, "_start")
+    if late.isEmpty():  # two small tables; spares the usual refresh a scan of all history
+        return fresh
     history = attach(silver, s, late).filter(F.col(s.time) < F.col("_start"))
     return fresh.unionByName(last_rows(history, s).select(*fresh.columns))
 
@@ -115,10 +117,9 @@ def gate(bronze: DataFrame, silver: DataFrame, mode: str = "max") -> DataFrame:
 
     An empty silver report opens the gate; an empty bronze report keeps it shut.
     """
-    b = newest(bronze, mode).select(F.col("updated").alias("_b"))
-    s = newest(silver, mode).select(F.col("updated").alias("_s"))
-    run = F.col("_b").isNotNull() & (F.col("_s").isNull() | (F.col("_b") > F.col("_s")))
-    return b.crossJoin(s).select(run.alias("run"))
+    known = newest(silver, mode).scalar()
+    run = F.col("updated").isNotNull() & (known.isNull() | (F.col("updated") > known))
+    return newest(bronze, mode).select(run.alias("run"))
 
 
 def is_open(gate_row: DataFrame) -> bool:
@@ -155,6 +156,7 @@ def refresh(
         return False
     silver = spark.read.parquet(layout.bars)
     tail = spark.read.parquet(layout.tail)
+    batch = stage(batch, "arrived")
     rows = stage(clean_batch(batch, silver, codes, s, tail).withColumn("part", partition_of(s)), "batch")
     writers.upsert(rows, layout.bars, [s.key, s.time])
     writers.write_parquet(stage(later_rows(tail, rows, s), "tail"), layout.tail)

@@ -66,6 +66,16 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     return new.unionByName(old.join(new.select(*keys), list(keys), "left_anti"))
 
 
+def touched_partitions(spark: SparkSession, path: str, rows: DataFrame, partition: str = "part") -> DataFrame:
+    """The stored rows of the partitions that ``rows`` fall into.
+
+    Only the distinct partition values (calendar days or years) come to the driver, where they
+    become a literal filter, so the scan lists and reads those directories alone.
+    """
+    values = [r[0] for r in rows.select(partition).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col(partition).isin(values))
+
+
 def upsert(
     new: DataFrame, path: str, keys: Sequence[str] = ("code", "date"), partition: str = "part",
 ) -> None:
@@ -79,8 +89,7 @@ def upsert(
     if not path_exists(spark, path):
         write_parquet(new, path, [partition])
         return
-    touched = new.select(partition).distinct()
-    old = spark.read.schema(new.schema).parquet(path).join(touched, partition, "left_semi")
+    old = touched_partitions(spark, path, new, partition)
     merged = stage(merge_rows(old.select(*new.columns), new, keys), "merged")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from barloom.operators.clean import refresh_report
 from barloom.operators.series import INTRADAY, Series
 from barloom.plans.medallion import Layout, partition_of
 from barloom.session import stage
@@ -128,11 +127,24 @@ def publish_stream(
         if rows.isEmpty():
             return
         writers.upsert(rows, layout.bars, [s.key, s.time])
-        refresh_counts(batch.sparkSession, layout, s)
+        refresh_counts(rows, layout, s)
 
     return run_available(bars.writeStream.outputMode(mode).foreachBatch(apply), checkpoint)
 
 
-def refresh_counts(spark: SparkSession, layout: Layout, s: Series = INTRADAY) -> None:
-    table = spark.read.parquet(layout.bars)
-    writers.write_parquet(refresh_report(table, F.col(s.time), s.time), layout.report)
+def refresh_counts(rows: DataFrame, layout: Layout, s: Series = INTRADAY) -> None:
+    """Bring the control table up to date after an upsert of ``rows``.
+
+    Counts are kept per (code, partition); only partitions the batch touched are counted again,
+    and the control table is the fold of that small table.
+    """
+    spark, parts = rows.sparkSession, f"{layout.report}_parts"
+    touched = writers.touched_partitions(spark, layout.bars, rows)
+    counted = stage(touched.groupBy("code", "part").agg(
+        F.count(F.lit(1)).alias("nb"), F.min(s.time).alias("first"), F.max(s.time).alias("last")), "counts")
+    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("part").parquet(parts))
+    report = spark.read.parquet(parts).groupBy("code").agg(
+        F.sum("nb").cast("int").alias("nb"), F.to_date(F.min("first")).alias("min_date"),
+        F.to_date(F.max("last")).alias("max_date"), F.max("last").alias("updated"))
+    writers.write_parquet(report, layout.report)

@@ -94,7 +94,7 @@ def _(spark, d):
 
 @query("latest_date_rows", f"SELECT {KEYS}, {OHLCV} FROM bars_day WHERE date = (SELECT max(date) FROM bars_day)")
 def _(spark, d):
-    return clean.at_latest(bars_day(spark, d))
+    return clean.at_latest(staged_day(spark, d))
 
 
 @query("drop_optional_columns", "SELECT l_orderkey, l_returnflag FROM lineitem")
@@ -170,7 +170,7 @@ def _(spark, d):
 @query("enrich_with_type", f"""
     SELECT b.code, CAST(b.date AS VARCHAR) AS date, close, type FROM bars_day b LEFT JOIN code_type USING (code)""")
 def _(spark, d):
-    return clean.enrich(bars_day(spark, d), code_list(spark, d)).select("code", "date", "close", "type")
+    return clean.enrich(staged_day(spark, d), code_list(spark, d)).select("code", "date", "close", "type")
 
 
 @query("orders_with_segment", """
@@ -234,12 +234,12 @@ def _(spark, d):
 @query("lag_fill", f"""
     SELECT {KEYS}, {', '.join(f'coalesce({c}, lag({c}) OVER w) AS {c}' for c in PRICES)}, volume FROM null_day {W}""")
 def _(spark, d):
-    return windows.lag_fill(with_nulls(bars_day(spark, d)), PRICES)
+    return windows.lag_fill(with_nulls(staged_day(spark, d)), PRICES)
 
 
 @query("forward_fill", f"SELECT {KEYS}, {OHLCV} FROM filled_day")
 def _(spark, d):
-    return windows.forward_fill(clean.dedupe(dirty_day(spark, d)), PRICES)
+    return windows.forward_fill(stage(clean.dedupe(dirty_day(spark, d)), "clean"), PRICES)
 
 
 ROLL = {"mean5": ("mean", "close", 5), "std7": ("std", "close", 7), "min9": ("min", "low", 9), "max9": ("max", "high", 9)}
@@ -250,44 +250,44 @@ ROLL_FN = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
     SELECT {KEYS}, {', '.join(f'{rnd(full(ROLL_FN[f], c, k), n)}' for n, (f, c, k) in ROLL.items())}
     FROM null_day {W}""", 6)
 def _(spark, d):
-    return windows.rolling(with_nulls(bars_day(spark, d)), ROLL).select("code", "date", *ROLL)
+    return windows.rolling(with_nulls(staged_day(spark, d)), ROLL).select("code", "date", *ROLL)
 
 
 @query("rolling_intraday", f"""
     SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, {rnd(full('avg', 'close', 20), 'sma_20')}
     FROM bars_intraday WINDOW w AS (PARTITION BY code ORDER BY timestamp)""", 6)
 def _(spark, d):
-    return windows.rolling(bars_intraday(spark, d), {"sma_20": ("mean", "close", 20)}, INTRADAY).select(
+    return windows.rolling(staged_intraday(spark, d), {"sma_20": ("mean", "close", 20)}, INTRADAY).select(
         "code", "timestamp", "sma_20")
 
 
 @query("difference", f"SELECT {KEYS}, close - lag(close) OVER w AS step FROM bars_day {W}")
 def _(spark, d):
-    return windows.difference(bars_day(spark, d), {"step": "close"}).select("code", "date", "step")
+    return windows.difference(staged_day(spark, d), {"step": "close"}).select("code", "date", "step")
 
 
 @query("previous_close", f"SELECT {KEYS}, lag(close) OVER w AS previous FROM bars_day {W}")
 def _(spark, d):
-    return windows.lag(bars_day(spark, d), {"previous": "close"}).select("code", "date", "previous")
+    return windows.lag(staged_day(spark, d), {"previous": "close"}).select("code", "date", "previous")
 
 
 @query("next_close", f"SELECT {KEYS}, lead(close) OVER w AS following FROM bars_day {W}")
 def _(spark, d):
-    return windows.lead(bars_day(spark, d), {"following": "close"}).select("code", "date", "following")
+    return windows.lead(staged_day(spark, d), {"following": "close"}).select("code", "date", "following")
 
 
 @query("pct_change", f"""
     SELECT {KEYS}, c / nullif(lag(c) OVER w, 0) - 1 AS change
     FROM (SELECT code, date, last_value(close IGNORE NULLS) OVER w AS c FROM null_day {W}) {W}""")
 def _(spark, d):
-    return windows.pct_change(with_nulls(bars_day(spark, d)), {"change": "close"}).select("code", "date", "change")
+    return windows.pct_change(with_nulls(staged_day(spark, d)), {"change": "close"}).select("code", "date", "change")
 
 
 @query("pct_change_zero_divisor", """
     SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, low / nullif(lag(low) OVER w, 0) - 1 AS change
     FROM bars_intraday WINDOW w AS (PARTITION BY code ORDER BY timestamp)""")
 def _(spark, d):
-    return windows.pct_change(bars_intraday(spark, d), {"change": "low"}, INTRADAY, filled=True).select(
+    return windows.pct_change(staged_intraday(spark, d), {"change": "low"}, INTRADAY, filled=True).select(
         "code", "timestamp", "change")
 
 
@@ -296,13 +296,13 @@ def _(spark, d):
       WHEN row_number() OVER w <= floor(count(*) OVER (PARTITION BY code) * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val'
       ELSE 'test' END AS split FROM bars_day {W}""")
 def _(spark, d):
-    return windows.split_by_position(bars_day(spark, d)).select("code", "date", "split")
+    return windows.split_by_position(staged_day(spark, d)).select("code", "date", "split")
 
 
 @query("row_positions", f"""
     SELECT {KEYS}, row_number() OVER w AS pos, count(*) OVER (PARTITION BY code) AS n_rows FROM bars_day {W}""")
 def _(spark, d):
-    return windows.position(bars_day(spark, d)).select("code", "date", "pos", "n_rows")
+    return windows.position(staged_day(spark, d)).select("code", "date", "pos", "n_rows")
 
 
 @query("sliding_sequences", f"""
@@ -311,7 +311,7 @@ def _(spark, d):
       FROM bars_day WINDOW f AS (PARTITION BY code ORDER BY date ROWS BETWEEN 14 PRECEDING AND CURRENT ROW))
     WHERE n = 15""")
 def _(spark, d):
-    seq = windows.sequences(bars_day(spark, d), ["close", "volume"], 15)
+    seq = windows.sequences(staged_day(spark, d), ["close", "volume"], 15)
     total = F.aggregate("window", F.lit(0.0), lambda a, r: a + r["volume"])
     return seq.select("code", "date", F.col("window")[0]["volume"].alias("volume_first"), total.alias("volume_sum"))
 
@@ -326,7 +326,7 @@ def _(spark, d):
 @query("ordinal", f"""
     SELECT row_number() OVER (ORDER BY code, date) AS "STT", {KEYS}, close FROM bars_day""")
 def _(spark, d):
-    return windows.ordinal(bars_day(spark, d).select("code", "date", "close"), ["code", "date"])
+    return windows.ordinal(staged_day(spark, d).select("code", "date", "close"), ["code", "date"])
 
 
 @query("running_state", f"""
@@ -335,7 +335,7 @@ def _(spark, d):
       last_value(CASE WHEN volume > 100 THEN close END IGNORE NULLS) OVER w AS last_busy
     FROM bars_day WINDOW w AS (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING)""", sigs=("growth",))
 def _(spark, d):
-    rows = bars_day(spark, d).withColumns({
+    rows = staged_day(spark, d).withColumns({
         "_g": 1 + F.col("volume") / 1e6, "_busy": F.when(F.col("volume") > 100, F.col("close"))})
     out = windows.running(rows, {
         "peak": ("max", "close"), "trough": ("min", "close"), "total": ("sum", "volume"),
@@ -367,17 +367,17 @@ def indicator(name: str, columns: list[str]):
 
 @indicator("sma_10", ["SMA_10"])
 def _(spark, d):
-    return windows.rolling(bars_day(spark, d), {"SMA_10": ("mean", "close", 10)}).select("code", "date", "SMA_10")
+    return windows.rolling(staged_day(spark, d), {"SMA_10": ("mean", "close", 10)}).select("code", "date", "SMA_10")
 
 
 @query("ema_10", f"SELECT {KEYS}, {sig('EMA_10')} FROM rolling JOIN means USING (code, rn)", sigs=("*",))
 def _(spark, d):
-    return ema(bars_day(spark, d), {"EMA_10": ("close", 10)}, gaps=False).select("code", "date", "EMA_10")
+    return ema(staged_day(spark, d), {"EMA_10": ("close", 10)}, gaps=False).select("code", "date", "EMA_10")
 
 
 @query("macd", f"SELECT {KEYS}, {rnd('e12 - e26', 'MACD')} FROM rolling JOIN means USING (code, rn)", 6)
 def _(spark, d):
-    out = ema(bars_day(spark, d), {"e12": ("close", 12), "e26": ("close", 26)}, gaps=False)
+    out = ema(staged_day(spark, d), {"e12": ("close", 12), "e26": ("close", 26)}, gaps=False)
     return out.select("code", "date", (F.col("e12") - F.col("e26")).alias("MACD"))
 
 
@@ -385,19 +385,19 @@ def _(spark, d):
     SELECT {KEYS}, {sig('SMA_10')}, {sig('BB_upper')}, {rnd('BB_lower')}, {rnd('RSI_14')}, {rnd('STOCHk_14_3_3')}
     FROM rolling""", 6, sigs=("SMA_10", "BB_upper"))
 def _(spark, d):
-    return rolling_indicators(bars_day(spark, d)).select(
+    return rolling_indicators(staged_day(spark, d)).select(
         "code", "date", "SMA_10", "BB_upper", "BB_lower", "RSI_14", "STOCHk_14_3_3")
 
 
 @query("true_range", f"SELECT {KEYS}, tr AS true_range FROM moves")
 def _(spark, d):
-    return plain(looking_back(bars_day(spark, d), DAILY, 1, ["close"], {"true_range": true_range()})).select(
+    return plain(looking_back(staged_day(spark, d), DAILY, 1, ["close"], {"true_range": true_range()})).select(
         "code", "date", "true_range")
 
 
 @query("atr_14", f"SELECT {KEYS}, {sig('ATR_14')} FROM rolling JOIN means USING (code, rn)", sigs=("*",))
 def _(spark, d):
-    rows = looking_back(bars_day(spark, d), DAILY, 1, ["close"], {"_tr": true_range()})
+    rows = looking_back(staged_day(spark, d), DAILY, 1, ["close"], {"_tr": true_range()})
     return ema(rows, {"ATR_14": ("_tr", 14)}, gaps=False).select("code", "date", "ATR_14")
 
 
@@ -421,7 +421,7 @@ def _(spark, d):
     SELECT {KEYS}, t AS target_pct_change
     FROM (SELECT *, lead(close) OVER w / nullif(close, 0) - 1 AS t FROM bars_day {W}) WHERE t IS NOT NULL""")
 def _(spark, d):
-    return features.next_change(bars_day(spark, d)).select("code", "date", "target_pct_change")
+    return features.next_change(staged_day(spark, d)).select("code", "date", "target_pct_change")
 
 
 @query("quantile_bounds", f"SELECT code, {rnd('lower_bound')}, {rnd('upper_bound')} FROM bounds_simple", 6)

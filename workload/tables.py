@@ -59,7 +59,7 @@ def with_copies(bars: DataFrame) -> DataFrame:
 
 
 def dirty_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_copies(with_nulls(bars_day(spark, sf_dir)))
+    return with_copies(with_nulls(staged_day(spark, sf_dir)))
 
 
 def code_list(spark: SparkSession, sf_dir: str) -> DataFrame:
