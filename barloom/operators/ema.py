@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import DAILY, Series, first_value, plain
+from barloom.operators.series import DAILY, Series, plain
 
 # exp() leaves the double range beyond this exponent.
 EXPONENT_RANGE = 700.0
@@ -60,10 +60,19 @@ def _gaps(df: DataFrame, s: Series, cols: list[str]) -> DataFrame:
 
 def ema_local(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True) -> DataFrame:
     """Add each mean's in-block pieces; needs no other block. ``gaps=False`` asserts that
-    NULLs occur only before the first value (filled data) and saves the gap pass."""
+    NULLs occur only before the first value (filled data) and saves the gap pass.
+
+    The last row of a block carries the block's totals and is flagged ``_end``, so that the
+    scan over blocks is a filter rather than another aggregation.
+    """
     b = s.blocked(df)
     cols = sorted({c for c, _ in specs.values()})
     upto = s.local.rowsBetween(Window.unboundedPreceding, 0)
+    helpers: list[str] = []
+    marks = {
+        "_end": F.lead(F.lit(1)).over(s.local).isNull(),
+        **{f"_first_{c}": F.first(c, ignorenulls=True).over(upto) for c in cols},
+    }
     if gaps:
         b = _gaps(b, s, cols)
         steps = {}
@@ -71,72 +80,88 @@ def ema_local(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True)
             a = _alpha(span)
             grow = F.least(F.col(f"_gap_{c}") * F.lit(-math.log(1 - a)), F.lit(FORGOTTEN))
             steps[f"_step_{name}"] = F.when(F.col(c).isNotNull(), F.log1p(F.lit(a) * F.exp(grow)))
-        b = b.withColumns(steps).withColumns({
+        b = b.withColumns(steps).withColumns(marks | {
             f"_L_{name}": F.coalesce(F.sum(f"_step_{name}").over(upto), F.lit(0.0)) for name in specs})
-    else:
-        b = b.withColumns({f"_c_{c}": F.count(c).over(upto) for c in cols}).withColumns({
-            f"_L_{name}": F.col(f"_c_{c}") * F.lit(-math.log(1 - _alpha(span)))
-            for name, (c, span) in specs.items()})
-    pieces, helpers = {}, []
-    for name, (c, span) in specs.items():
         # B = (1 - A) * x for every gap, since a/(d+a) = 1 - d/(d+a).
-        if gaps:
-            weight = -F.expm1(-F.col(f"_step_{name}"))
-            helpers.append(f"_step_{name}")
-        else:
-            weight = F.lit(_alpha(span))
-        term = weight * F.col(c) * F.exp(_checked(F.col(f"_L_{name}")))
+        weight = {name: -F.expm1(-F.col(f"_step_{name}")) for name in specs}
+        helpers = [*steps, *[f"_gap_{c}" for c in cols]]
+    else:
+        b = b.withColumns(marks | {f"_count_{c}": F.count(c).over(upto) for c in cols})
+        weight = {name: F.lit(_alpha(span)) for name, (_, span) in specs.items()}
+    grown = _exponents(b, specs)
+    pieces = {}
+    for name, (c, _) in specs.items():
+        term = weight[name] * F.col(c) * F.exp(_checked(grown[name]))
         pieces[f"_S_{name}"] = F.coalesce(F.sum(term).over(upto), F.lit(0.0))
-    helpers += [f"_gap_{c}" for c in cols] if gaps else [f"_c_{c}" for c in cols]
     return b.withColumns(pieces).drop(*helpers)
 
 
+def _exponents(df: DataFrame, specs: Specs) -> dict[str, Column]:
+    """Log weight since the block start: stored if gaps were counted, else count * -ln(1 - a)."""
+    return {
+        name: F.col(f"_L_{name}") if f"_L_{name}" in df.columns
+        else F.col(f"_count_{c}") * F.lit(-math.log(1 - _alpha(span)))
+        for name, (c, span) in specs.items()}
+
+
 def _block_end(n: str, c: str) -> Column:
     """Mean after a block: every earlier block's share, decayed, and the first value's."""
     here = F.col(f"_cl_{n}")
     decayed = F.aggregate(
         f"_hist_{c}", F.lit(0.0),
         lambda total, e: total + e[f"_bt_{n}"] * F.exp(e[f"_cl_{n}"] - here))
-    return decayed + F.col(f"_x0_{n}") * F.exp(-here)
+    return decayed + F.col(f"_x0_{c}") * F.exp(-here)
 
 
-def ema_resolve(df: DataFrame, specs: Specs, s: Series = DAILY) -> DataFrame:
-    """Turn the pieces into means: scan the block ends, join the incoming mean back."""
-    ends, heads = {}, {}
-    for name, (c, _) in specs.items():
-        ends[f"_bl_{name}"] = F.max(f"_L_{name}")
-        ends[f"_bs_{name}"] = F.max_by(f"_S_{name}", s.time)
-        heads[f"_f_{name}"] = first_value(c, s.time)
-    summary = df.groupBy(*s.block_keys).agg(*[e.alias(n) for n, e in {**ends, **heads}.items()])
+def ema_resolve(
+    df: DataFrame, specs: Specs, s: Series = DAILY, previous: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Turn the pieces into means: scan the block ends, join the incoming mean back.
+
+    ``previous`` asks for the mean of the row before as well, ``{mean: output}``. It follows
+    from the recurrence, ``(y - a*x) / (1 - a)``, and so needs gap-free pieces.
+    """
+    cols = sorted({c for c, _ in specs.values()})
+    grown = _exponents(df, specs)
+    ends = df.filter("_end").select(
+        *s.block_keys,
+        *[grown[n].alias(f"_bl_{n}") for n in specs],
+        *[(F.col(f"_S_{n}") * F.exp(-grown[n])).alias(f"_bt_{n}") for n in specs],
+        *[f"_first_{c}" for c in cols])
     total = s.across.rowsBetween(Window.unboundedPreceding, 0)
-    summary = summary.withColumns({
+    ends = ends.withColumns({
         **{f"_cl_{n}": F.sum(f"_bl_{n}").over(total) for n in specs},
-        **{f"_x0_{n}": F.first(f"_f_{n}", ignorenulls=True).over(total) for n in specs},
-        **{f"_bt_{n}": F.col(f"_bs_{n}") * F.exp(-F.col(f"_bl_{n}")) for n in specs},
+        **{f"_x0_{c}": F.first(f"_first_{c}", ignorenulls=True).over(total) for c in cols},
     })
-    outs = {}
-    for c in sorted({c for c, _ in specs.values()}):
+    history = {}
+    for c in cols:
         mine = {n: span for n, (col, span) in specs.items() if col == c}
         # Blocks further back weigh exp(-745) or less, which is zero in a double. The frame of
         # the slowest mean of a column covers those of its faster ones.
         slowest = max(mine, key=lambda n: mine[n])
         near = Window.partitionBy(s.key).orderBy(f"_cl_{slowest}").rangeBetween(-745, 0)
         parts = [F.col(f"_{k}_{n}") for n in mine for k in ("cl", "bt")]
-        outs[f"_hist_{c}"] = F.collect_list(F.struct(*parts)).over(near)
-    summary = summary.withColumns(outs)
-    summary = summary.withColumns({f"_end_{n}": _block_end(n, c) for n, (c, _) in specs.items()})
-    states = summary.select(
+        history[f"_hist_{c}"] = F.collect_list(F.struct(*parts)).over(near)
+    ends = ends.withColumns(history)
+    ends = ends.withColumns({f"_after_{n}": _block_end(n, c) for n, (c, _) in specs.items()})
+    states = ends.select(
         *s.block_keys,
-        *[F.lag(f"_end_{n}").over(s.across).alias(f"_prev_{n}") for n in specs],
-        *[F.col(f"_x0_{n}") for n in specs])
+        *[F.lag(f"_after_{n}").over(s.across).alias(f"_in_{n}") for n in specs],
+        *[f"_x0_{c}" for c in cols])
     out = df.join(states, s.block_keys, "left")
     results = {}
     for n, (c, _) in specs.items():
-        started = F.col(f"_prev_{n}").isNotNull() | (F.col(f"_L_{n}") > 0)
-        results[n] = F.when(started, F.exp(-F.col(f"_L_{n}")) * (
-            F.coalesce(f"_prev_{n}", f"_x0_{n}") + F.col(f"_S_{n}")))
-    drop = [f"_{k}_{n}" for n in specs for k in ("prev", "x0", "L", "S")]
-    return out.withColumns(results).drop(*drop)
+        started = F.col(f"_in_{n}").isNotNull() | (grown[n] > 0)
+        results[n] = F.when(started, F.exp(-grown[n]) * (F.coalesce(f"_in_{n}", f"_x0_{c}") + F.col(f"_S_{n}")))
+    out = out.withColumns(results)
+    before = {}
+    for n, name in (previous or {}).items():
+        c, span = specs[n]
+        has = F.col(f"_in_{n}").isNotNull() | (F.col(f"_count_{c}") > 1)
+        before[name] = F.when(has, (F.col(n) - _alpha(span) * F.col(c)) / (1 - _alpha(span)))
+    drop = [f"_{k}_{n}" for n in specs for k in ("in", "L", "S")]
+    drop += [f"_{k}_{c}" for c in cols for k in ("x0", "first", "count")]
+    return (out.withColumns(before) if before else out).drop("_end", *drop)
 
 
 def ema(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True) -> DataFrame:

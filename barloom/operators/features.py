@@ -13,7 +13,7 @@ from barloom.operators.series import BLOCK, DAILY, Series, attach, halo, plain,
 from barloom.operators.windows import change, enough_history, position, sequences
 from barloom.session import stage
 from barloom.settings import (
-    BASELINE_FEATURES, CHANGE_FEATURES, DEFAULT, DOWN, FEATURES, LEVEL_FEATURES, NEUTRAL, UP, Settings,
+    BASELINE_FEATURES, CHANGE_FEATURES, DEFAULT, DOWN, FEATURES, NEUTRAL, UP, Settings,
 )
 
 
@@ -48,18 +48,45 @@ def trend_label(
     df: DataFrame, bounds: DataFrame, s: Series = DAILY, name: str = "target_trend",
 ) -> DataFrame:
     """2 above the upper bound, 0 below the lower, else 1 (L3)."""
-    x = F.col("target_pct_change")
-    label = F.when(x > F.col("upper_bound"), UP).when(x < F.col("lower_bound"), DOWN).otherwise(NEUTRAL)
-    return attach(df, s, bounds).withColumn(name, label).drop("lower_bound", "upper_bound")
+    labelled = attach(df, s, bounds).withColumn(name, _trend(F.col("target_pct_change")))
+    return labelled.drop("lower_bound", "upper_bound")
 
 
-def feature_frame(ind: DataFrame, s: Series = DAILY) -> DataFrame:
-    """The 14 features, target and close of each row (L2, L4), before NULL rows are dropped."""
-    wide = halo(ind, s, CHANGE_FEATURES, before=1, after=1)
-    cols = {f"{c}_pct_change": change(c, F.lag(c).over(s.local)) for c in CHANGE_FEATURES}
-    cols["target_pct_change"] = F.try_divide(F.lead("close").over(s.local), F.col("close")) - 1
-    rows = without_halo(wide.withColumns(cols)).dropna(subset=["target_pct_change"])
-    return rows.select(s.key, BLOCK, s.time, *FEATURES, "target_pct_change", "close")
+def _trend(x: Column) -> Column:
+    return F.when(x > F.col("upper_bound"), UP).when(x < F.col("lower_bound"), DOWN).otherwise(NEUTRAL)
+
+
+def feature_frame(bars: DataFrame, s: Series = DAILY) -> DataFrame:
+    """The 14 features, target and close of every bar (L2, L4).
+
+    Relative changes need no pass of their own: the indicator pass hands over each row's
+    neighbours. ``complete`` marks rows without NULLs; ``_bar``, ``_raw`` and ``_ok`` count bars,
+    rows with a target and complete rows within the block.
+    """
+    ind = add_indicators(s.blocked(bars), s, neighbours=True)
+    rows = ind.withColumns({
+        **{f"{c}_pct_change": change(c, f"prev_{c}") for c in CHANGE_FEATURES},
+        "target_pct_change": F.try_divide("next_close", "close") - 1,
+    }).select(s.key, BLOCK, s.time, *FEATURES, "target_pct_change", "close")
+    whole = F.lit(True)
+    for c in [*FEATURES, "target_pct_change"]:
+        whole = whole & F.col(c).isNotNull()
+    upto = s.local.rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("complete", whole).withColumns({
+        "_bar": F.count(F.lit(1)).over(upto),
+        "_raw": F.count("target_pct_change").over(upto),
+        "_ok": F.count_if("complete").over(upto),
+    })
+
+
+def block_positions(frame: DataFrame, s: Series = DAILY) -> DataFrame:
+    """Per block: rows before it and in its key, for rows with a target and complete rows."""
+    whole = Window.partitionBy(s.key)
+    ends = frame.groupBy(*s.block_keys).agg(*[F.max(c).alias(c) for c in ("_bar", "_raw", "_ok")])
+    return ends.select(
+        *s.block_keys, F.sum("_bar").over(whole).alias("n_bars"),
+        F.coalesce(F.sum("_raw").over(s.before), F.lit(0)).alias("raw_before"), F.sum("_raw").over(whole).alias("n_raw"),
+        F.coalesce(F.sum("_ok").over(s.before), F.lit(0)).alias("ok_before"), F.sum("_ok").over(whole).alias("n_rows"))
 
 
 def standard_scaler(
@@ -117,22 +144,45 @@ def class_weights(train: DataFrame, label: str = "target_trend", key: str = "cod
         F.sum("n").over(per_key) / (F.count(F.lit(1)).over(per_key) * F.col("n")))
 
 
-def labelled_features(
-    bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT, min_rows: int | None = None,
+def prepared_rows(
+    bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT, scaled: bool = True,
 ) -> DataFrame:
-    """Filled bars to complete feature rows with label, position and row count per key (L2-L4).
+    """Filled bars to complete feature rows with label, position, row count and scaler.
 
-    The feature frame is written once; bounds, labels and positions read it back pruned.
+    The feature frame is written once. Everything a row needs from elsewhere (its position, its
+    key's label bounds and scaler) is gathered in one small table with a row per block, so the
+    frame is joined once, on (key, block).
     """
-    gated = enough_history(s.blocked(bars), cfg.min_rows if min_rows is None else min_rows, s)
-    frame = stage(feature_frame(add_indicators(gated, s), s), "features")
-    bounds = trend_bounds(frame.select(s.key, BLOCK, s.time, "target_pct_change"), s, cfg)
-    rows = trend_label(frame, bounds, s).dropna()
-    return position(rows, s, "pos", "n_rows").filter(F.col("n_rows") >= cfg.window)
+    frame = stage(feature_frame(bars, s), "features")
+    blocks = stage(block_positions(frame, s), "positions")
+    placed = frame.join(blocks, s.block_keys).withColumns({
+        "pos_raw": F.col("raw_before") + F.col("_raw"), "pos": F.col("ok_before") + F.col("_ok")})
+    early = placed.filter(
+        F.col("target_pct_change").isNotNull() & first_share("pos_raw", "n_raw", cfg.train_ratio))
+    params = blocks.join(exact_quantiles(
+        early, s.key, "target_pct_change",
+        {"lower_bound": cfg.lower_quantile, "upper_bound": cfg.upper_quantile}), s.key)
+    if scaled:
+        train = placed.filter(F.col("complete") & first_share("pos", "n_rows", cfg.train_ratio))
+        params = params.join(standard_scaler(train, [*FEATURES, "target_pct_change"], s), s.key)
+    params = params.filter((F.col("n_bars") >= cfg.min_rows) & (F.col("n_rows") >= cfg.window))
+    return (
+        frame.filter("complete").join(stage(params, "parameters"), s.block_keys)
+        .withColumns({
+            "pos": F.col("ok_before") + F.col("_ok"),
+            "target_trend": _trend(F.col("target_pct_change")),
+            **({f"z_{c}": standardise(c) for c in [*FEATURES, "target_pct_change"]} if scaled else {}),
+        }).drop("complete", "_bar", "_raw", "_ok", "n_bars", "raw_before", "n_raw", "ok_before",
+                "lower_bound", "upper_bound"))
+
+
+def labelled_features(bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFrame:
+    """Complete feature rows with label, position and row count per key (L2-L4)."""
+    return prepared_rows(bars, s, cfg, scaled=False)
 
 
 def scaled_features(rows: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """Features and target scaled with training statistics (L5); returns (rows, scaler)."""
+    """Features and target of labelled rows scaled with training statistics (L5); returns (rows, scaler)."""
     cols = [*FEATURES, "target_pct_change"]
     scaler = standard_scaler(rows, cols, s, first_share("pos", "n_rows", cfg.train_ratio))
     out = attach(rows, s, scaler).withColumns({f"z_{c}": standardise(c) for c in cols})
@@ -147,7 +197,7 @@ def training_windows(
 
     ``exclude_last`` leaves out each key's final window, as the published results do.
     """
-    rows, _ = scaled_features(stage(labelled_features(bars, s, cfg), "labelled"), s, cfg)
+    rows = prepared_rows(bars, s, cfg)
     slim = rows.select(
         s.key, BLOCK, s.time, "pos", "n_rows", "close", "target_pct_change", "target_trend",
         F.col("z_target_pct_change").alias("target_scaled"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.ema import ema_local, ema_resolve
-from barloom.operators.series import DAILY, Series, halo, plain, without_halo
+from barloom.operators.series import BLOCK, DAILY, Series, halo, plain, without_halo
 from barloom.operators.windows import full_frame
 from barloom.session import stage
 
@@ -63,44 +63,60 @@ def _rolling_level(s: Series) -> list[dict[str, Column]]:
     return [first, second, third]
 
 
-def rolling_indicators(df: DataFrame, s: Series = DAILY, keep_parts: bool = False) -> DataFrame:
-    """SMA, RSI, Bollinger bands and stochastic (I1, I3, I5, I8) with the inputs of ATR and ADX."""
-    first, second, third = _rolling_level(s)
-    wide = looking_back_levels(df, s, [first, second, third])
-    if keep_parts:
-        return wide.drop("_sma20", "_std20", "_gain", "_loss", "_low14", "_high14", "_dh", "_dl",
-                         "_gain14", "_loss14", "_k")
-    return plain(wide).drop(*[c for c in wide.columns if c.startswith("_")])
+PARTS = ["_sma20", "_std20", "_gain", "_loss", "_low14", "_high14", "_dh", "_dl", "_gain14", "_loss14", "_k"]
+# Columns whose previous value the rolling pass can look up itself.
+NEIGHBOURS = ["open", "high", "low", "close", "volume", "SMA_10", "BB_upper", "BB_lower"]
 
 
-def looking_back_levels(df: DataFrame, s: Series, levels: list[dict[str, Column]]) -> DataFrame:
-    wide = halo(df, s, ["open", "high", "low", "close"], before=ROLLING_REACH)
-    for level in levels:
+def _rolled(df: DataFrame, s: Series, neighbours: bool = False) -> DataFrame:
+    """Rolling part of the indicators with the inputs of ATR and ADX, in one shuffle."""
+    prices = ["open", "high", "low", "close"]
+    if neighbours:
+        wide = halo(df, s, [*prices, "volume"], before=ROLLING_REACH + 1, after=1)
+    else:
+        wide = halo(df, s, prices, before=ROLLING_REACH)
+    for level in _rolling_level(s):
         wide = wide.withColumns(level)
-    return without_halo(wide)
+    if neighbours:
+        wide = wide.withColumns({
+            **{f"prev_{c}": F.lag(c).over(s.local) for c in NEIGHBOURS},
+            "next_close": F.lead("close").over(s.local)})
+    return without_halo(wide).drop(*PARTS)
 
 
-def add_indicators(bars: DataFrame, s: Series = DAILY, gaps: bool = False) -> DataFrame:
+def rolling_indicators(df: DataFrame, s: Series = DAILY) -> DataFrame:
+    """SMA, RSI, Bollinger bands and stochastic."""
+    return plain(_rolled(df, s)).drop("_tr", "_pdm", "_mdm")
+
+
+def add_indicators(
+    bars: DataFrame, s: Series = DAILY, gaps: bool = False, neighbours: bool = False,
+) -> DataFrame:
     """All nine indicator columns.
 
-    ``gaps=False`` expects filled bars (see ``clean.forward_fill``); pass ``gaps=True`` for
-    bars with NULL prices inside a series. Rolling parts and the in-block pieces of the five
-    first means are computed in one shuffle on (code, block) and written once; the ADX mean
-    is resolved from that table.
+    ``gaps=False`` expects filled bars (see ``windows.forward_fill``); pass ``gaps=True`` for
+    bars with NULL prices inside a series. Rolling parts and the in-block pieces of the first
+    means are computed in one shuffle on (code, block) and written once; the ADX mean is
+    resolved from that table. ``neighbours=True`` (filled bars only) adds ``prev_*`` of the price
+    and trend columns and ``next_close`` in the same pass.
     """
+    if gaps and neighbours:
+        raise ValueError("neighbours need filled bars")
     means = {
         "EMA_10": ("close", 10), "_e12": ("close", 12), "_e26": ("close", 26),
         "ATR_14": ("_tr", 14), "_ep": ("_pdm", 14), "_em": ("_mdm", 14),
     }
-    rows = rolling_indicators(s.blocked(bars), s, keep_parts=True)
-    pieces = stage(ema_local(rows, means, s, gaps), "indicators")
-    known = ema_resolve(pieces, means, s)
+    before = {"EMA_10": "prev_EMA_10", "_e12": "_pe12", "_e26": "_pe26", "ATR_14": "prev_ATR_14"}
+    pieces = stage(ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps), "indicators")
+    known = ema_resolve(pieces, means, s, before if neighbours else None)
     plus = 100 * (F.col("_ep") / (F.col("ATR_14") + GUARD))
     minus = 100 * (F.abs("_em") / (F.col("ATR_14") + GUARD))
     known = known.withColumns({
         "MACD": F.col("_e12") - F.col("_e26"),
         "_dx": 100 * (F.abs(plus - minus) / (plus + minus + GUARD)),
+        **({"prev_MACD": F.col("_pe12") - F.col("_pe26")} if neighbours else {}),
     })
     adx = {"ADX_14": ("_dx", 14)}
     out = ema_resolve(ema_local(known, adx, s, gaps), adx, s)
-    return out.select(*bars.columns, *INDICATORS)
+    extra = [f"prev_{c}" for c in [*NEIGHBOURS, "EMA_10", "MACD", "ATR_14"]] + ["next_close", BLOCK]
+    return out.select(*bars.columns, *INDICATORS, *([c for c in extra if c not in bars.columns] if neighbours else []))
