@@ -75,12 +75,12 @@ def _rolled(df: DataFrame, s: Series, neighbours: bool = False) -> DataFrame:
         wide = halo(df, s, [*prices, "volume"], before=ROLLING_REACH + 1, after=1)
     else:
         wide = halo(df, s, prices, before=ROLLING_REACH)
-    for level in _rolling_level(s):
-        wide = wide.withColumns(level)
+    levels = _rolling_level(s)
     if neighbours:
-        wide = wide.withColumns({
-            **{f"prev_{c}": F.lag(c).over(s.local) for c in NEIGHBOURS},
-            "next_close": F.lead("close").over(s.local)})
+        levels[-1] |= {f"prev_{c}": F.lag(c).over(s.local) for c in NEIGHBOURS}
+        levels[-1]["next_close"] = F.lead("close").over(s.local)
+    for level in levels:
+        wide = wide.withColumns(level)
     return without_halo(wide).drop(*PARTS)
 
 

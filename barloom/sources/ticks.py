@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def bars_from_ticks(
     ticks: DataFrame, code: str, time: str, price: Column | str, volume: Column,
-    every: str = "15 minutes", order: Sequence[str] = (),
+    every: str = "15 minutes", rank: Column | None = None,
 ) -> DataFrame:
     """Open/high/low/close/volume bars.
 
-    ``order`` are the columns that order ticks within a bucket (default: ``time``); they must
-    order them totally for open and close to be deterministic. ``every='1 day'`` yields a
-    ``date`` column, anything else a ``timestamp`` column. Works on streams as well.
+    ``rank`` orders ticks within a bucket (default: ``time``) and must decide the price for open
+    and close to be deterministic. A numeric or time rank keeps the aggregation hashed; a struct
+    works too but makes Spark sort every input partition. ``every='1 day'`` yields a ``date``
+    column, anything else a ``timestamp`` column. Works on streams as well.
     """
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0] if order else time)
+    rank = F.col(time) if rank is None else rank
     daily = every == "1 day"
     bucket = F.to_date(time).alias("date") if daily else F.window(time, every).alias("_w")
     price = F.col(price) if isinstance(price, str) else price

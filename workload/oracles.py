@@ -63,9 +63,9 @@ SCALED = FEATURES + ["target_pct_change"]
 CTES = {
     "bars_day": """
         SELECT l_returnflag AS code, CAST(l_shipdate AS DATE) AS date,
-          first(p ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS open,
+          first(p ORDER BY l_orderkey, l_linenumber, p) AS open,
           max(p) AS high, min(p) AS low,
-          last(p ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS close,
+          last(p ORDER BY l_orderkey, l_linenumber, p) AS close,
           sum(l_quantity) AS volume
         FROM (SELECT *, l_extendedprice / l_quantity AS p FROM lineitem) GROUP BY 1, 2""",
     "bars_intraday": """

@@ -12,8 +12,20 @@ from barloom.session import stage
 from barloom.sources.ticks import bars_from_ticks
 
 PRICES = ["open", "high", "low", "close"]
-# Orders line items totally within a ship date.
-TICK_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+def unit_price() -> Column:
+    return F.col("l_extendedprice") / F.col("l_quantity")
+
+
+def line_rank() -> Column:
+    """Order of line items within a ship date: order key, line number, then unit price.
+
+    One DECIMAL, so that bars are built by hash aggregation. The line key takes the leading
+    digits and the price, in millionths, the last 13: prices are cents over a whole quantity of
+    at most 50, so two different ones are at least four millionths apart.
+    """
+    line = (F.col("l_orderkey") * 16 + F.col("l_linenumber")).cast("decimal(20,0)")
+    millionths = F.floor(unit_price() * 1e6).cast("decimal(13,0)")
+    return line * F.lit(10**13).cast("decimal(15,0)") + millionths
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bars_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of unit prices per return flag."""
     return bars_from_ticks(
-        table(spark, sf_dir, "lineitem"), "l_returnflag", "l_shipdate",
-        F.col("l_extendedprice") / F.col("l_quantity"), F.col("l_quantity"), "1 day", TICK_ORDER)
+        table(spark, sf_dir, "lineitem"), "l_returnflag", "l_shipdate", unit_price(), F.col("l_quantity"),
+        "1 day", line_rank())
 
 
 def bars_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
