@@ -164,7 +164,13 @@ def ema_resolve(
     return (out.withColumns(before) if before else out).drop("_end", *drop)
 
 
+def _fitting(s: Series, specs: Specs) -> Series:
+    """The series with blocks short enough for the fastest mean to stay in the double range."""
+    fastest = max(-math.log(1 - _alpha(span)) for _, span in specs.values())
+    return s.with_block_rows(min(s.block_rows, int((EXPONENT_RANGE - FORGOTTEN) / fastest)))
+
+
 def ema(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True) -> DataFrame:
     """Exponential means ``{name: (column, span)}`` of any history length."""
-    return plain(ema_resolve(ema_local(df, specs, s, gaps), specs, s))
-
+    s = _fitting(s, specs)
+    return plain(ema_resolve(ema_local(plain(df), specs, s, gaps), specs, s))

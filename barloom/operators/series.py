@@ -29,12 +29,14 @@ HALO = "_halo"
 
 @dataclass(frozen=True)
 class Series:
-    """How a bar table is keyed. ``time`` is unique per ``key`` and lies on a grid of ``step`` seconds."""
+    """How a bar table is keyed. ``time`` is unique per ``key`` and lies on a grid of ``step`` seconds,
+    so a block holds at most ``block_rows`` bars and a key at most (its time span / step / block_rows)
+    blocks. Only block summaries of one key ever meet in one task."""
 
     key: str = "code"
     time: str = "date"
     step: int = 86_400
-    block_rows: int = 512
+    block_rows: int = 2048
 
     def with_block_rows(self, rows: int) -> Series:
         return replace(self, block_rows=rows)

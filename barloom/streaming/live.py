@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from barloom.operators.series import INTRADAY, Series
+from barloom.operators.clean import dedupe
+from barloom.operators.ema import ema
+from barloom.operators.series import INTRADAY, Series, attach, plain
+from barloom.operators.windows import forward_fill, latest
 from barloom.plans.medallion import Layout, partition_of
 from barloom.session import stage
 from barloom.sources import writers
@@ -96,7 +99,8 @@ def mean_of_filled(span: float):
 def live_fill_and_mean(bars: DataFrame, span: float = 10) -> DataFrame:
     """Forward fill and exponential mean across micro-batches (ST9). Needs the RocksDB state store.
 
-    A micro-batch holds a few bars per code; size it with the trigger and ``maxFilesPerTrigger``.
+    For short triggers: a code's rows of one micro-batch are handled together in one task. For
+    backfills, or where one code dominates, use :func:`publish_filled`, which splits codes.
     """
     slim = bars.select("code", F.col("timestamp").cast("timestamp").alias("timestamp"), "close")
     return slim.groupBy("code").transformWithStateInPandas(
@@ -104,6 +108,56 @@ def live_fill_and_mean(bars: DataFrame, span: float = 10) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+def fill_and_mean_batch(
+    batch: DataFrame, last: DataFrame | None, span: float, s: Series = INTRADAY,
+) -> DataFrame:
+    """One micro-batch filled and averaged by the block operators, continued from ``last``.
+
+    ``last`` holds each code's newest time, close and mean. Its close seeds the fill and its mean
+    seeds the average, as one extra row per code that is dropped again. Rows not newer than
+    ``last`` are late and left out.
+    """
+    rows = batch.select(s.key, s.time, "close").withColumn("seed", F.lit(False))
+    if last is not None:
+        known = last.select(s.key, F.col(s.time).alias("_known"))
+        rows = attach(rows, s, known, "left").filter(
+            F.col("_known").isNull() | (F.col(s.time) > F.col("_known"))).drop("_known")
+        rows = plain(rows).select(s.key, s.time, "close", "seed").unionByName(
+            last.select(s.key, s.time, "close", F.lit(True).alias("seed")))
+    rows = stage(forward_fill(rows, ["close"], s), "filled")
+    if last is None:
+        start = rows.withColumn("_x", F.col("close"))
+    else:
+        means = last.select(s.key, F.col("mean").alias("_mean"))
+        start = plain(attach(rows, s, means, "left")).withColumn(
+            "_x", F.when(F.col("seed"), F.col("_mean")).otherwise(F.col("close"))).drop("_mean")
+    out = ema(start, {"ema": ("_x", span)}, s, gaps=False)
+    return out.filter(~F.col("seed")).select(s.key, s.time, "close", "ema")
+
+
+def publish_filled(
+    bars: DataFrame, path: str, checkpoint: str, span: float = 10, s: Series = INTRADAY,
+) -> StreamingQuery:
+    """Forward fill and exponential mean of a bar stream, written as an upserted table (ST9).
+
+    The state is a small table of each code's last row. It is versioned by micro-batch number, so
+    a replayed batch starts from the state it first saw and writes the same rows.
+    """
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = dedupe(stage(batch, "arrived"), [s.key, s.time])
+        before = f"{path}_state/{number - 1}"
+        last = spark.read.parquet(before) if number and writers.path_exists(spark, before) else None
+        rows = stage(fill_and_mean_batch(fresh, last, span, s).withColumn("part", partition_of(s)), "filled")
+        writers.upsert(rows, f"{path}/bars", [s.key, s.time])
+        ends = latest(rows.withColumnRenamed("ema", "mean"), ["close", "mean"], s)
+        if last is not None:
+            ends = latest(ends.unionByName(last.select(ends.columns)), ["close", "mean"], s)
+        writers.write_parquet(ends, f"{path}_state/{number}")
+
+    return run_available(bars.writeStream.outputMode("append").foreachBatch(apply), checkpoint)
+
+
 def run_available(query, checkpoint: str, **options: str) -> StreamingQuery:
     """Start a writer over everything available now and wait for it (ST6)."""
     for name, value in options.items():

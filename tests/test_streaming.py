@@ -75,3 +75,22 @@ def test_fill_and_mean_carry_state_over_batches(spark, tmp_path):
         pd.testing.assert_series_equal(mine.close.astype(float), want, check_names=False)
         pd.testing.assert_series_equal(
             mine.ema.astype(float), want.ewm(span=4, adjust=False).mean(), check_names=False)
+
+
+def test_block_form_of_fill_and_mean_equals_the_stateful_form(spark, tmp_path):
+    source, out = f"{tmp_path}/bars", f"{tmp_path}/out"
+    schema = "code string, timestamp timestamp, close double"
+    closes = {"A": [None, 4.0, None, 6.0, 8.0, None, 5.0], "B": [1.0, 2.0, 3.0, None, 5.0, 6.0, 7.0], "C": [None] * 3}
+    rows = [(c, at(15 * i), x) for c, xs in closes.items() for i, x in enumerate(xs)]
+    for lo, hi in ((0, 2), (2, 5), (5, 7)):
+        write(spark, source, [r for r in rows if at(15 * lo) <= r[1] < at(15 * hi)][::-1], schema)
+    write(spark, source, [("A", at(15), 1000.0)], schema)  # too late: changes nothing
+    stream = live.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+    live.publish_filled(stream, out, f"{tmp_path}/cp", span=4)
+    got = spark.read.parquet(f"{out}/bars").orderBy("code", "timestamp").toPandas()
+    for code, xs in closes.items():
+        want = pd.Series(xs, dtype=float).ffill()
+        mine = got[got.code == code].reset_index(drop=True)
+        pd.testing.assert_series_equal(mine.close.astype(float), want, check_names=False)
+        pd.testing.assert_series_equal(
+            mine.ema.astype(float), want.ewm(span=4, adjust=False).mean(), check_names=False)

@@ -6,11 +6,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barloom.operators import windows
-from barloom.operators.ema import ema
+from barloom.operators.ema import ema, ema_local
 from barloom.operators.series import DAILY, attach, halo
 from tests.series_data import bars, collected, frame, ordered, per_code, same
 
-BLOCKS = [3, 64, 512]
+BLOCKS = [3, 64, 2048]
 
 
 @pytest.mark.parametrize("rows", BLOCKS)
@@ -116,7 +116,9 @@ def test_mean_without_gaps_equals_pandas(spark):
 def test_mean_refuses_blocks_beyond_the_double_range(spark):
     pdf = bars(holes=False, sizes=(("LONG", 900),))
     with pytest.raises(Exception, match="block too long"):
-        ema(frame(spark, pdf), {"y": ("close", 2)}, DAILY.with_block_rows(5000), gaps=False).collect()
+        ema_local(frame(spark, pdf), {"y": ("close", 2)}, DAILY.with_block_rows(5000), gaps=False).collect()
+    out = collected(ema(frame(spark, pdf), {"y": ("close", 2)}, DAILY.with_block_rows(5000), gaps=False))
+    same(out.y, per_code(pdf, lambda g: g.close.ewm(span=2, adjust=False).mean()))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
