@@ -26,9 +26,12 @@ def exact_quantiles(df: DataFrame, key: str, value: str, probs: Mapping[str, flo
     those bins are ranked. NULLs are ignored.
     """
     x = F.col(value) + F.lit(0.0)  # folds -0.0 into 0.0
+    # The key filters are those the join below adds to one side; with them on both sides the
+    # shuffled counts are the same exchange and Spark runs it once.
     counts = (
-        df.filter(F.col(value).isNotNull()).select(key, x.alias("_x"))
-        .groupBy(key, _bin(F.col("_x")).alias("_bin"), "_x").agg(F.count(F.lit(1)).alias("_n")))
+        df.filter(F.col(value).isNotNull() & F.col(key).isNotNull()).select(key, x.alias("_x"))
+        .withColumn("_bin", _bin(F.col("_x"))).filter(F.col("_bin").isNotNull())
+        .groupBy(key, "_bin", "_x").agg(F.count(F.lit(1)).alias("_n")))
     along = Window.partitionBy(key).orderBy("_bin")
     bins = (
         counts.groupBy(key, "_bin").agg(F.sum("_n").alias("_m"))

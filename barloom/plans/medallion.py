@@ -57,7 +57,7 @@ def clean_bars(
     """
     cols = [c for c in price_columns(s) if c in bars.columns]
     bars = bars.dropna(subset=[s.key, s.time])
-    once = clean.dedupe(bars, [s.key, s.time])
+    once = stage(clean.dedupe(bars, [s.key, s.time]), "deduped")  # the fill reads it twice
     filled = lag_fill(once, cols, s) if fill == "lag" else forward_fill(once, cols, s)
     filled = filled.select(*bars.columns)
     return clean.enrich(filled, codes, s) if codes is not None else filled
@@ -92,7 +92,7 @@ def clean_batch(
 ) -> DataFrame:
     """Clean one batch with the fill seeded by the last known silver row of each code (ST5)."""
     cols = [c for c in price_columns(s) if c in batch.columns]
-    batch = clean.dedupe(batch.dropna(subset=[s.key, s.time]), [s.key, s.time])
+    batch = stage(clean.dedupe(batch.dropna(subset=[s.key, s.time]), [s.key, s.time]), "deduped")
     seed = seed_rows(batch, silver, last_rows(silver, s) if tail is None else tail, s)
     rows = batch.withColumn("_seed", F.lit(False)).unionByName(
         seed.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
@@ -156,7 +156,6 @@ def refresh(
         return False
     silver = spark.read.parquet(layout.bars)
     tail = spark.read.parquet(layout.tail)
-    batch = stage(batch, "arrived")
     rows = stage(clean_batch(batch, silver, codes, s, tail).withColumn("part", partition_of(s)), "batch")
     writers.upsert(rows, layout.bars, [s.key, s.time])
     writers.write_parquet(stage(later_rows(tail, rows, s), "tail"), layout.tail)

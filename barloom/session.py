@@ -42,13 +42,30 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def stage_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/barloom-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path for intermediate files, never used twice."""
+    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back as Parquet.
 
     Used where two branches of a plan need the same costly input. The lineage
     ends at files that outlive any executor, and later readers prune columns.
+    Staged tables stay until :func:`clear_stages`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete what this application staged, once its results are written elsewhere."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

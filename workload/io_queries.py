@@ -11,8 +11,8 @@ from barloom import schemas
 from barloom.functions.scalar import iso_date, safe_key
 from barloom.operators import clean, features, forecast
 from barloom.operators.series import INTRADAY
-from barloom.plans import inference, medallion, training
-from barloom.session import stage
+from barloom.plans import inference, medallion, reports, training
+from barloom.session import scratch_path, stage
 from barloom.sources import readers, writers
 from barloom.streaming import live
 from workload.oracles import CTES, KEYS, P4, rnd, sig
@@ -34,7 +34,7 @@ def _day_file(spark: SparkSession, d: str) -> DataFrame:
 @query("csv_declared_schema", f"""
     SELECT {KEYS}, {P4}, CASE WHEN day % 13 <> 0 THEN volume END AS volume FROM numbered_day""")
 def _(spark, d):
-    path = writers.scratch_path(spark, "csv")
+    path = scratch_path(spark, "csv")
     broken = F.when(F.unix_date("date") % 13 == 0, "n/a").otherwise(F.col("volume").cast("string"))
     writers.write_csv(_day_file(spark, d).withColumn("volume", broken), path)
     return readers.read_csv(spark, path, schemas.BARS_DAY).drop("adj_close")
@@ -42,14 +42,14 @@ def _(spark, d):
 
 @query("csv_all_text", "SELECT code, type FROM code_list")
 def _(spark, d):
-    path = writers.scratch_path(spark, "codes")
+    path = scratch_path(spark, "codes")
     writers.write_csv(code_list(spark, d), path)
     return readers.read_csv_text(spark, path)
 
 
 @query("csv_inferred_schema", f"SELECT {KEYS}, {OHLCV} FROM bars_day")
 def _(spark, d):
-    path = writers.scratch_path(spark, "csv")
+    path = scratch_path(spark, "csv")
     writers.write_csv(bars_day(spark, d), path)
     return readers.read_csv_inferred(spark, path)
 
@@ -67,7 +67,7 @@ INTRADAY_REPORT = REPORT_SQL.format(t="timestamp", u="CAST(max(timestamp) AS VAR
 @query("reports_from_files", DAY_REPORT + ", 'day' AS kind FROM bars_day GROUP BY code UNION ALL "
        + INTRADAY_REPORT + ", 'intraday' AS kind FROM bars_intraday GROUP BY code")
 def _(spark, d):
-    paths = [writers.scratch_path(spark, "report") for _ in range(2)]
+    paths = [scratch_path(spark, "report") for _ in range(2)]
     for report, path in zip(_reports(spark, d), paths):
         writers.write_csv(report, path)
     return readers.read_reports(spark, *paths)
@@ -75,21 +75,21 @@ def _(spark, d):
 
 @query("csv_directory", f"SELECT {KEYS}, {OHLCV} FROM bars_day")
 def _(spark, d):
-    path = writers.scratch_path(spark, "parts")
+    path = scratch_path(spark, "parts")
     writers.write_csv(_day_file(spark, d).repartition(5, "code", "date"), path)
     return readers.read_csv(spark, path, schemas.BARS_DAY).drop("adj_close")
 
 
 @query("table_by_path", f"SELECT {KEYS}, {OHLCV} FROM bars_day")
 def _(spark, d):
-    path = writers.scratch_path(spark, "table")
+    path = scratch_path(spark, "table")
     writers.write_parquet(bars_day(spark, d), path)
     return readers.read_table(spark, path)
 
 
 @query("symbols_file", f"SELECT {KEYS}, {OHLCV} FROM numbered_day WHERE day % 19 <> 0")
 def _(spark, d):
-    path = writers.scratch_path(spark, "symbols")
+    path = scratch_path(spark, "symbols")
     stamp = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" 00:00:00+00:00"))
     raw = bars_day(spark, d).select(
         F.when(F.unix_date("date") % 19 == 0, "bad date").otherwise(stamp).alias("Date"),
@@ -101,7 +101,7 @@ def _(spark, d):
 
 @query("rows_per_input_file", "SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS n_rows FROM (SELECT code, count(*) AS n FROM bars_day GROUP BY code)")
 def _(spark, d):
-    path = writers.scratch_path(spark, "byfile")
+    path = scratch_path(spark, "byfile")
     writers.write_parquet(bars_day(spark, d).repartition(1, "code"), path, ["code"])
     return readers.rows_per_file(spark.read.parquet(path)).agg(
         F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("n_rows"))
@@ -112,7 +112,7 @@ def _(spark, d):
 
 @query("csv_single_file", "SELECT code, type, CAST(1 AS BIGINT) AS files FROM code_list")
 def _(spark, d):
-    path = writers.scratch_path(spark, "export")
+    path = scratch_path(spark, "export")
     writers.write_csv(code_list(spark, d), path, single_file=True)
     out = readers.read_csv(spark, path, schemas.CODE_LIST)
     return out.withColumn("files", F.lit(len(readers.input_listing(out))))
@@ -120,7 +120,7 @@ def _(spark, d):
 
 @query("csv_overwrite", f"SELECT {KEYS}, {OHLCV} FROM bars_day")
 def _(spark, d):
-    path = writers.scratch_path(spark, "twice")
+    path = scratch_path(spark, "twice")
     writers.write_csv(_day_file(spark, d).limit(10), path)
     writers.write_csv(_day_file(spark, d), path)
     return readers.read_csv(spark, path, schemas.BARS_DAY).drop("adj_close")
@@ -129,7 +129,7 @@ def _(spark, d):
 def _database(spark: SparkSession) -> str:
     """A fresh database in the scratch folder, so runs never meet each other's tables."""
     name = f"gold_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{writers.scratch_path(spark, name)}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{scratch_path(spark, name)}'")
     writers.create_database(spark, name)
     return name
 
@@ -137,9 +137,9 @@ def _database(spark: SparkSession) -> str:
 @query("table_overwrite", f"SELECT {KEYS}, {OHLCV} FROM bars_day")
 def _(spark, d):
     name = f"{_database(spark)}.day"
-    writers.save_table(dirty_day(spark, d), name, writers.scratch_path(spark, "day"))
+    writers.save_table(dirty_day(spark, d), name, scratch_path(spark, "day"))
     writers.drop_table(spark, name, delete_data=True)
-    writers.save_table(bars_day(spark, d), name, writers.scratch_path(spark, "day"))
+    writers.save_table(bars_day(spark, d), name, scratch_path(spark, "day"))
     return readers.read_table(spark, name)
 
 
@@ -181,7 +181,7 @@ def _(spark, d):
     rows = outcomes(staged_day(spark, d)).select(
         "code", iso_date("date").alias("date"), safe_key("code").alias("safe"),
         (F.col("next_price") * (1.0 + 1e-11)).alias("actual"), (F.col("price") * (1.0 + 1e-11)).alias("predicted"))
-    path = writers.scratch_path(spark, "results")
+    path = scratch_path(spark, "results")
     writers.write_report(rows, path)
     schema = "code string, date string, safe string, actual double, predicted double"
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -216,7 +216,7 @@ def _halves(spark, d):
 @query("keyed_upsert", f"SELECT {KEYS}, {OHLCV} FROM clean_day")
 def _(spark, d):
     old, new = _halves(spark, d)
-    path = writers.scratch_path(spark, "upsert")
+    path = scratch_path(spark, "upsert")
     for batch in (old, new, new):
         writers.upsert(stage(batch.withColumn("part", F.year("date")), "batch"), path)
     return spark.read.parquet(path).drop("part")
@@ -232,7 +232,7 @@ def _(spark, d):
     SELECT f.code, CAST(f.date AS VARCHAR) AS date, {OHLCV}, type, CAST(year(f.date) AS BIGINT) AS part
     FROM filled_day f LEFT JOIN code_type USING (code)""")
 def _(spark, d):
-    layout = medallion.Layout(writers.scratch_path(spark, "silver"), "day")
+    layout = medallion.Layout(scratch_path(spark, "silver"), "day")
     bars = stage(dirty_day(spark, d), "bronze")
     medallion.initial_load(
         bars, code_list(spark, d), clean.refresh_report(bars, F.col("date").cast("timestamp")), layout)
@@ -244,7 +244,7 @@ def _(spark, d):
 def _(spark, d):
     old, new = _halves(spark, d)
     codes = stage(code_list(spark, d), "codes")
-    layout = medallion.Layout(writers.scratch_path(spark, "silver"), "day")
+    layout = medallion.Layout(scratch_path(spark, "silver"), "day")
 
     def report(bars):
         return clean.refresh_report(bars, F.col("date").cast("timestamp"))
@@ -262,7 +262,7 @@ def _(spark, d):
 
 @query("streaming_bars", f"SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, {OHLCV} FROM bars_intraday")
 def _(spark, d):
-    source, root = writers.scratch_path(spark, "ticks"), writers.scratch_path(spark, "live")
+    source, root = scratch_path(spark, "ticks"), scratch_path(spark, "live")
     ticks = table(spark, d, "events")
     ticks.repartitionByRange(3, "ts").write.parquet(source)
     stream = live.file_stream(spark, source, ticks.schema, files_per_batch=1)
@@ -274,7 +274,7 @@ def _(spark, d):
 
 @query("streaming_dedupe", f"SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, {OHLCV} FROM bars_intraday")
 def _(spark, d):
-    source, out = writers.scratch_path(spark, "bars"), writers.scratch_path(spark, "once")
+    source, out = scratch_path(spark, "bars"), scratch_path(spark, "once")
     bars = staged_intraday(spark, d)
     for _ in range(2):
         bars.write.mode("append").parquet(source)
@@ -299,7 +299,7 @@ CTES["live_mean"] = """
     SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}, false AS late
     FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
 def _(spark, d):
-    source, out = writers.scratch_path(spark, "bars"), writers.scratch_path(spark, "filled")
+    source, out = scratch_path(spark, "bars"), scratch_path(spark, "filled")
     bars = staged_intraday(spark, d).withColumn("close", F.when(F.minute("timestamp") != 30, F.col("close")))
     edges = ["2024-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
     for lo, hi in zip(edges, edges[1:]):  # three arrivals, in time order
@@ -316,6 +316,19 @@ def _(spark, d):
     return spark.read.parquet(out)
 
 
+@query("streaming_fill_and_mean_blocks", f"""
+    SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}
+    FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
+def _(spark, d):
+    source, out = scratch_path(spark, "bars"), scratch_path(spark, "filled")
+    bars = staged_intraday(spark, d).withColumn("close", F.when(F.minute("timestamp") != 30, F.col("close")))
+    edge = F.to_date("timestamp") < "2024-01-16"
+    for part in (bars.filter(edge), bars.filter(~edge)):  # two arrivals, in time order
+        part.coalesce(1).write.mode("append").parquet(source)
+    live.publish_filled(live.file_stream(spark, source, bars.schema, files_per_batch=1), out, f"{out}-checkpoint")
+    return spark.read.parquet(f"{out}/bars").drop("part")
+
+
 # --- models -----------------------------------------------------------------------------------
 
 
@@ -326,7 +339,11 @@ def _run(spark, d):
 @query("model_training")
 def _(spark, d):
     run = _run(spark, d)
-    return run.regression.join(run.classification, "code").join(run.strategy, "code")
+    path = scratch_path(spark, "results")
+    reports.write_results(run, path)
+    names = ["all_regression_metrics", "all_classification_metrics", "all_strategy_performance"]
+    tables = [readers.read_csv_inferred(spark, f"{path}/{n}") for n in names]
+    return tables[0].join(tables[1].drop("STT"), "code").join(tables[2].drop("STT"), "code")
 
 
 @query("boosted_regressor")
@@ -356,7 +373,7 @@ def _(spark, d):
     bars = staged_day(spark, d)
     _rows, scaler = features.scaled_features(stage(features.labelled_features(bars), "labelled"))
     run = training.train(bars)
-    path = writers.scratch_path(spark, "models")
+    path = scratch_path(spark, "models")
     forecast.save_models(path, run.regressor, run.classifier, scaler)
     regressor, classifier, scaler = forecast.load_models(spark, path)
     return inference.predict_next(inference.last_windows(bars, scaler), regressor, classifier)
