@@ -15,13 +15,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     (df.coalesce(1) if single_file else df).write.mode(mode).option("header", True).csv(path)
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition value before a partitioned write, so that the number of
+    files does not grow with tasks times partitions. Adaptive execution splits large partitions
+    over several tasks and merges small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
 ) -> None:
-    writer = df.write.mode(mode)
+    writer = gathered(df, partition_by).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition: str = "part") -> None:
+    """Replace only the partitions that occur in ``df``."""
+    (gathered(df, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(path))
+
+
 def create_database(spark: SparkSession, name: str) -> None:
     """S14."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -32,7 +45,7 @@ def save_table(
     partition_by: Sequence[str] = (), fmt: str = "parquet",
 ) -> None:
     """Catalog table, at an external path if given."""
-    writer = df.write.format(fmt).mode(mode)
+    writer = gathered(df, partition_by).write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -89,9 +102,7 @@ def upsert(
         write_parquet(new, path, [partition])
         return
     old = touched_partitions(spark, path, new, partition)
-    merged = stage(merge_rows(old.select(*new.columns), new, keys), "merged")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+    overwrite_partitions(stage(merge_rows(old.select(*new.columns), new, keys), "merged"), path, partition)
 
 
 def write_report(df: DataFrame, path: str, digits: int = 4) -> None:

@@ -196,8 +196,7 @@ def refresh_counts(rows: DataFrame, layout: Layout, s: Series = INTRADAY) -> Non
     touched = writers.touched_partitions(spark, layout.bars, rows)
     counted = stage(touched.groupBy("code", "part").agg(
         F.count(F.lit(1)).alias("nb"), F.min(s.time).alias("first"), F.max(s.time).alias("last")), "counts")
-    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("part").parquet(parts))
+    writers.overwrite_partitions(counted, parts)
     report = spark.read.parquet(parts).groupBy("code").agg(
         F.sum("nb").cast("int").alias("nb"), F.to_date(F.min("first")).alias("min_date"),
         F.to_date(F.max("last")).alias("max_date"), F.max("last").alias("updated"))
