@@ -16,6 +16,7 @@ spreads over as many tasks as it has blocks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -41,6 +42,15 @@ class Series:
     def with_block_rows(self, rows: int) -> Series:
         return replace(self, block_rows=rows)
 
+    def fitted(self, df: DataFrame) -> Series:
+        """Block size for very long series: the square root of the longest key's grid length, so
+        that blocks and block summaries of that key are about equally many rows. One small
+        aggregate; only a number comes back."""
+        index = self.with_block_rows(1).block_id(df)
+        spans = df.groupBy(self.key).agg((F.max(index) - F.min(index)).alias("_span"))
+        longest = spans.agg(F.max("_span")).first()[0] or 0
+        return self.with_block_rows(max(self.block_rows, math.isqrt(longest) + 1))
+
     def block_id(self, df: DataFrame) -> Column:
         t = F.col(self.time)
         kind = df.schema[self.time].dataType

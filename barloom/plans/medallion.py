@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators import clean
 from barloom.operators.series import DAILY, Series, attach, last_value
 from barloom.operators.windows import forward_fill, lag_fill
-from barloom.schemas import FILLED_DAY, FILLED_INTRADAY
+from barloom.schemas import FILLED_DAY, FILLED_INTRADAY, REPORT
 from barloom.session import stage
 from barloom.sources import writers
 
@@ -142,6 +143,13 @@ def initial_load(
     writers.write_parquet(report, layout.report)
 
 
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A small side table, empty if a crash left none behind; both can be rebuilt from the bars."""
+    if writers.path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def refresh(
     batch: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY,
 ) -> bool:
@@ -151,11 +159,13 @@ def refresh(
     makes the repeat harmless. Returns whether anything was written.
     """
     spark = batch.sparkSession
-    published = spark.read.parquet(layout.report)
+    published = stored(spark, layout.report, REPORT)
     if not is_open(gate(report, published)):
         return False
     silver = spark.read.parquet(layout.bars)
-    tail = spark.read.parquet(layout.tail)
+    known = last_rows(silver, s)
+    tail = stored(spark, layout.tail, known.schema)
+    tail = known if tail.isEmpty() else tail
     rows = stage(clean_batch(batch, silver, codes, s, tail).withColumn("part", partition_of(s)), "batch")
     writers.upsert(rows, layout.bars, [s.key, s.time])
     writers.write_parquet(stage(later_rows(tail, rows, s), "tail"), layout.tail)

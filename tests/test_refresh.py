@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,20 @@ def test_refresh_equals_full_load_and_replay_changes_nothing(spark, tmp_path, cu
     assert rows_of(spark, parts) == once
 
 
+def test_refresh_survives_lost_side_tables(spark, tmp_path):
+    df = stage(frame(spark, bars()), "test")
+    codes = spark.createDataFrame([("HOT", "h")], "code string, type string")
+    whole, parts = Layout(f"{tmp_path}/whole", "day"), Layout(f"{tmp_path}/parts", "day")
+    medallion.initial_load(df, codes, report(spark, T0), whole)
+    edge = F.lit("2016-01-01").cast("date")
+    medallion.initial_load(df.filter(F.col("date") < edge), codes, report(spark, T0), parts)
+    shutil.rmtree(parts.report)
+    for f in os.listdir(parts.tail):
+        os.remove(f"{parts.tail}/{f}")
+    assert medallion.refresh(df.filter(F.col("date") >= edge), codes, report(spark, T0), parts)
+    assert rows_of(spark, parts) == rows_of(spark, whole)
+
+
 def test_late_batch_is_seeded_from_before_it(spark):
     day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
     make = lambda rows: spark.createDataFrame([("A", day(n), c, c, c, c, 1.0) for n, c in rows], SCHEMA)

@@ -141,3 +141,10 @@ def test_hot_key_is_split(spark):
     params = spark.createDataFrame([("HOT", 1.0)], "code string, p double")
     joined = attach(frame(spark, pdf), DAILY, params)
     assert joined.count() == 3000
+
+
+def test_fitted_blocks(spark):
+    df = frame(spark, bars(sizes=(("LONG", 2000), ("ONE", 1))))
+    days = df.filter("code = 'LONG'").agg(F.date_diff(F.max("date"), F.min("date"))).first()[0]
+    assert DAILY.with_block_rows(8).fitted(df).block_rows == int(days ** 0.5) + 1
+    assert DAILY.fitted(df).block_rows == DAILY.block_rows
