@@ -15,12 +15,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import DAILY, Series, plain
+from barloom.operators.series import BLOCK, DAILY, Series, plain
 
 # exp() leaves the double range beyond this exponent.
 EXPONENT_RANGE = 700.0
 # A gap this long (in log weight) leaves 4e-44 of the old mean; longer ones count as this.
 FORGOTTEN = 100.0
+# Blocks per span in the two-level scan over block ends.
+SPAN_BLOCKS = 1024
 
 Specs = Mapping[str, tuple[str, float]]
 
@@ -104,19 +106,39 @@ def _exponents(df: DataFrame, specs: Specs) -> dict[str, Column]:
         for name, (c, span) in specs.items()}
 
 
-def _block_end(n: str, c: str) -> Column:
-    """Mean after a block: every earlier block's share, decayed, and the first value's."""
+def _scan(rows: DataFrame, specs: Specs, part: list[str], order: str) -> DataFrame:
+    """Within each partition: log weight so far (``_cl_``), first value (``_x0_``) and what the rows
+    up to here contribute to the mean (``_share_``), older rows decayed."""
+    upto = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cols = sorted({c for c, _ in specs.values()})
+    rows = rows.withColumns({
+        **{f"_cl_{n}": F.sum(f"_bl_{n}").over(upto) for n in specs},
+        **{f"_x0_{c}": F.first(f"_first_{c}", ignorenulls=True).over(upto) for c in cols},
+    })
+    history = {}
+    for c in cols:
+        mine = {n: span for n, (col, span) in specs.items() if col == c}
+        # Rows further back weigh exp(-745) or less, which is zero in a double. The frame of the
+        # slowest mean of a column covers those of its faster ones.
+        slowest = max(mine, key=lambda n: mine[n])
+        near = Window.partitionBy(*part).orderBy(f"_cl_{slowest}").rangeBetween(-745, 0)
+        history[f"_hist_{c}"] = F.collect_list(
+            F.struct(*[F.col(f"_{k}_{n}") for n in mine for k in ("cl", "bt")])).over(near)
+    shares = {f"_share_{n}": _share(n, c) for n, (c, _) in specs.items()}
+    return rows.withColumns(history).withColumns(shares).drop(*history)
+
+
+def _share(n: str, c: str) -> Column:
     here = F.col(f"_cl_{n}")
-    decayed = F.aggregate(
+    return F.aggregate(
         f"_hist_{c}", F.lit(0.0),
         lambda total, e: total + e[f"_bt_{n}"] * F.exp(e[f"_cl_{n}"] - here))
-    return decayed + F.col(f"_x0_{c}") * F.exp(-here)
 
 
 def ema_resolve(
     df: DataFrame, specs: Specs, s: Series = DAILY, previous: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Turn the pieces into means: scan the block ends, join the incoming mean back.
+    """Turn the pieces into means: scan the block ends in two levels, join the incoming mean back.
 
     ``previous`` asks for the mean of the row before as well, ``{mean: output}``. It follows
     from the recurrence, ``(y - a*x) / (1 - a)``, and so needs gap-free pieces.
@@ -128,25 +150,26 @@ def ema_resolve(
         *[grown[n].alias(f"_bl_{n}") for n in specs],
         *[(F.col(f"_S_{n}") * F.exp(-grown[n])).alias(f"_bt_{n}") for n in specs],
         *[f"_first_{c}" for c in cols])
-    total = s.across.rowsBetween(Window.unboundedPreceding, 0)
-    ends = ends.withColumns({
-        **{f"_cl_{n}": F.sum(f"_bl_{n}").over(total) for n in specs},
-        **{f"_x0_{c}": F.first(f"_first_{c}", ignorenulls=True).over(total) for c in cols},
-    })
-    history = {}
-    for c in cols:
-        mine = {n: span for n, (col, span) in specs.items() if col == c}
-        # Blocks further back weigh exp(-745) or less, which is zero in a double. The frame of
-        # the slowest mean of a column covers those of its faster ones.
-        slowest = max(mine, key=lambda n: mine[n])
-        near = Window.partitionBy(s.key).orderBy(f"_cl_{slowest}").rangeBetween(-745, 0)
-        parts = [F.col(f"_{k}_{n}") for n in mine for k in ("cl", "bt")]
-        history[f"_hist_{c}"] = F.collect_list(F.struct(*parts)).over(near)
-    ends = ends.withColumns(history)
-    ends = ends.withColumns({f"_after_{n}": _block_end(n, c) for n, (c, _) in specs.items()})
-    states = ends.select(
+    # Two levels: blocks within a span of blocks, then spans, so one key's blocks never all meet.
+    ends = ends.withColumn("_span", F.floor(F.col(BLOCK) / SPAN_BLOCKS))
+    inner = _scan(ends, specs, [s.key, "_span"], BLOCK)
+    spans = inner.groupBy(s.key, "_span").agg(
+        *[F.max(f"_cl_{n}").alias(f"_bl_{n}") for n in specs],
+        *[F.max_by(f"_share_{n}", BLOCK).alias(f"_bt_{n}") for n in specs],
+        *[F.max_by(f"_x0_{c}", BLOCK).alias(f"_first_{c}") for c in cols])
+    in_order = Window.partitionBy(s.key).orderBy("_span")
+    starts = _scan(spans, specs, [s.key], "_span").select(
+        s.key, "_span",
+        *[F.lag(F.col(f"_share_{n}") + F.col(f"_x0_{c}") * F.exp(-F.col(f"_cl_{n}"))).over(in_order)
+          .alias(f"_start_{n}") for n, (c, _) in specs.items()])
+    placed = inner.join(starts, [s.key, "_span"], "left").withColumns({
+        f"_after_{n}": F.col(f"_share_{n}")
+        + F.exp(-F.col(f"_cl_{n}")) * F.coalesce(f"_start_{n}", f"_x0_{c}")
+        for n, (c, _) in specs.items()})
+    in_span = Window.partitionBy(s.key, "_span").orderBy(BLOCK)
+    states = placed.select(
         *s.block_keys,
-        *[F.lag(f"_after_{n}").over(s.across).alias(f"_in_{n}") for n in specs],
+        *[F.coalesce(F.lag(f"_after_{n}").over(in_span), F.col(f"_start_{n}")).alias(f"_in_{n}") for n in specs],
         *[f"_x0_{c}" for c in cols])
     out = df.join(states, s.block_keys, "left")
     results = {}
@@ -164,7 +187,7 @@ def ema_resolve(
     return (out.withColumns(before) if before else out).drop("_end", *drop)
 
 
-def _fitting(s: Series, specs: Specs) -> Series:
+def fitting(s: Series, specs: Specs) -> Series:
     """The series with blocks short enough for the fastest mean to stay in the double range."""
     fastest = max(-math.log(1 - _alpha(span)) for _, span in specs.values())
     return s.with_block_rows(min(s.block_rows, int((EXPONENT_RANGE - FORGOTTEN) / fastest)))
@@ -172,5 +195,5 @@ def _fitting(s: Series, specs: Specs) -> Series:
 
 def ema(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True) -> DataFrame:
     """Exponential means ``{name: (column, span)}`` of any history length."""
-    s = _fitting(s, specs)
+    s = fitting(s, specs)
     return plain(ema_resolve(ema_local(plain(df), specs, s, gaps), specs, s))

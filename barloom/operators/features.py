@@ -63,7 +63,7 @@ def feature_frame(bars: DataFrame, s: Series = DAILY) -> DataFrame:
     neighbours. ``complete`` marks rows without NULLs; ``_bar``, ``_raw`` and ``_ok`` count bars,
     rows with a target and complete rows within the block.
     """
-    ind = add_indicators(s.blocked(bars), s, neighbours=True)
+    ind = add_indicators(bars, s, neighbours=True)
     rows = ind.withColumns({
         **{f"{c}_pct_change": change(c, f"prev_{c}") for c in CHANGE_FEATURES},
         "target_pct_change": F.try_divide("next_close", "close") - 1,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.ema import ema_local, ema_resolve
+from barloom.operators.ema import ema_local, ema_resolve, fitting
 from barloom.operators.series import BLOCK, DAILY, Series, halo, plain, without_halo
 from barloom.operators.windows import full_frame
 from barloom.session import stage
@@ -106,6 +106,7 @@ def add_indicators(
         "EMA_10": ("close", 10), "_e12": ("close", 12), "_e26": ("close", 26),
         "ATR_14": ("_tr", 14), "_ep": ("_pdm", 14), "_em": ("_mdm", 14),
     }
+    s, bars = fitting(s, means), plain(bars)
     before = {"EMA_10": "prev_EMA_10", "_e12": "_pe12", "_e26": "_pe26", "ATR_14": "prev_ATR_14"}
     pieces = stage(ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps), "indicators")
     known = ema_resolve(pieces, means, s, before if neighbours else None)

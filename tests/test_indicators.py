@@ -26,7 +26,7 @@ def expected(g):
         "STOCHk_14_3_3": k.rolling(3).mean()})
 
 
-@pytest.mark.parametrize("rows", [7, 512])
+@pytest.mark.parametrize("rows", [7, 100_000])
 @pytest.mark.parametrize("holes", [False, True])
 def test_indicators_equal_formulas(spark, rows, holes):
     pdf = bars(3, holes=holes)

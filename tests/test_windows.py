@@ -106,6 +106,16 @@ def test_mean_with_gaps_equals_pandas(spark, rows, span):
     same(out.y, per_code(pdf, lambda g: g.close.ewm(span=span, adjust=False).mean()))
 
 
+@pytest.mark.parametrize("span_blocks", [1, 3, 50])
+def test_mean_over_many_spans_of_blocks(spark, monkeypatch, span_blocks):
+    monkeypatch.setattr("barloom.operators.ema.SPAN_BLOCKS", span_blocks)
+    pdf = bars()
+    out = collected(ema(
+        frame(spark, pdf), {"y": ("close", 10), "z": ("close", 26), "h": ("high", 12)}, DAILY.with_block_rows(4)))
+    for name, c, k in (("y", "close", 10), ("z", "close", 26), ("h", "high", 12)):
+        same(out[name], per_code(pdf, lambda g: g[c].ewm(span=k, adjust=False).mean()))
+
+
 def test_mean_without_gaps_equals_pandas(spark):
     pdf = bars(holes=False)
     for rows in BLOCKS:
