@@ -34,6 +34,8 @@ def dedupe(df: DataFrame, key: Sequence[str] = ("code", "date")) -> DataFrame:
     """One row per key (A6). The survivor is the largest by the other columns in order,
     NULLs lowest, so reruns agree. A group of copies shrinks to one row per input task."""
     rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.dropDuplicates()
     kept = df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row"))
     return kept.select(*key, "_row.*").select(*df.columns)
 

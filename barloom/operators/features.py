@@ -222,7 +222,7 @@ def baseline_windows(bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT
 
     The target row decides the split, so the test pool reaches 30 rows back into training.
     """
-    gated = enough_history(bars, cfg.baseline_min_rows, s).withColumn(
+    gated = s.blocked(enough_history(bars, cfg.baseline_min_rows, s)).withColumn(
         "volume", F.when(F.col("volume") == 0, F.lit(1.0)).otherwise(F.col("volume")))
     rows = stage(position(
         gated.select(s.key, BLOCK, s.time, *BASELINE_FEATURES), s, "pos", "n_rows"), "baseline")

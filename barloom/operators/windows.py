@@ -106,7 +106,8 @@ def position(df: DataFrame, s: Series = DAILY, pos: str = "pos", total: str = "n
 def split_by_position(
     df: DataFrame, s: Series = DAILY, train: float = 0.7, val: float = 0.15, name: str = "split",
 ) -> DataFrame:
-    """Label rows train / val / test by position per key; bounds truncate as ``int(n * ratio)``."""
+    """Label rows train / val / test by position per key (W11); bounds truncate as ``int(n * ratio)``.
+    Keeps the block column."""
     p = position(df, s, "_pos", "_tot")
     n = F.col("_tot")
     # Ratios stay doubles: a DECIMAL 0.7 would move the bound for some n.
@@ -153,7 +154,7 @@ def sequences(
     df: DataFrame, cols: Sequence[str], length: int, s: Series = DAILY, name: str = "window",
     only_full: bool = True,
 ) -> DataFrame:
-    """Array of the last ``length`` rows as structs, oldest first."""
+    """Array of the last ``length`` rows as structs, oldest first (W12); keeps the block column."""
     back = length - 1
     item = F.collect_list(F.struct(*cols)).over(s.local.rowsBetween(-back, 0))
     out = looking_back(df, s, back, cols, {name: item})
@@ -194,5 +195,5 @@ def ordinal(df: DataFrame, order: Sequence[str], name: str = "STT") -> DataFrame
 def enough_history(df: DataFrame, n: int, s: Series = DAILY) -> DataFrame:
     """Rows of keys that have at least ``n`` rows."""
     counts = df.groupBy(s.key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= n)
-    return attach(df, s, counts).drop("_rows").select(*s.blocked(df).columns)
+    return attach(df, s, counts).select(*df.columns)
 
