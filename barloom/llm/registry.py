@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate
+from barloom.llm import decontaminate, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("n_words").cast("long").alias("n_words"), F.size("hits").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), sha256_hex(F.array_join("items", ",")).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"))
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of fingerprints that differ in at most four bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
