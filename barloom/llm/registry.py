@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, simhash
+from barloom.llm import decontaminate, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of fingerprints that differ in at most four bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1,024 tokens."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), packing.public_vocabulary(), capacity=1024, end_id=2)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
