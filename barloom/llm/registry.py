@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, simhash
+from barloom.llm import decontaminate, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1,024 tokens."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), packing.public_vocabulary(), capacity=1024, end_id=2)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labelled ones that are not held out."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
