@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, simhash
+from barloom.llm import decontaminate, packing, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from the labelled ones that are not held out."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@query("op5_substrings")
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without windows of fifty words that an earlier document has."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=50, period=31)
