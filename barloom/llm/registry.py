@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, simhash, substrings
+from barloom.llm import decontaminate, packing, quality, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without windows of fifty words that an earlier document has."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=50, period=31)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
