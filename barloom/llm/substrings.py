@@ -33,9 +33,11 @@ from barloom.session import stage
 LAST = 2**63 - 1
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that their powers can be undone
 BATCH_WORDS = 2_000_000
-FOUND = pa.schema([("hash", pa.int64()), ("check", pa.int32()), ("ord", pa.int64()), ("text_key", pa.int64()),
-                   ("pos", pa.int32()), ("known", pa.bool_()), ("spans", pa.list_(pa.int32()))])
-FOUND_DDL = "hash long, check int, ord long, text_key long, pos int, known boolean, spans array<int>"
+# upto is 0 for an occurrence still to be judged, KNOWN for one that only shows its task judged the rest, else
+# the end of a span of words that is judged already
+FOUND = "hash long, check int, ord long, text_key long, pos int, upto int"
+SPAN = "ord long, text_key long, pos int, upto int"
+KNOWN = -1
 
 
 def difference_cover(period: int) -> list[int]:
@@ -90,20 +92,18 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _found_batch(hash_, check, ord_, key, pos, known, spans=None) -> pa.RecordBatch:
-    n = len(ord_)
-    spans = pa.nulls(n, pa.list_(pa.int32())) if spans is None else pa.array(spans, pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(hash_, np.uint64).view(np.int64)), pa.array(np.asarray(check, np.int32)), pa.array(np.asarray(ord_, np.int64)),
-         pa.array(np.asarray(key, np.int64)), pa.array(np.asarray(pos, np.int32)), pa.array(np.asarray(known, bool)), spans],
-        schema=FOUND)
+def _found_batch(hash_, check, ord_, key, pos, upto) -> pa.RecordBatch:
+    columns = [(np.asarray(hash_, np.uint64).view(np.int64), pa.int64()), (check, pa.int32()), (ord_, pa.int64()), (key, pa.int64()),
+               (pos, pa.int32()), (upto, pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], ["hash", "check", "ord", "text_key", "pos", "upto"])
 
 
-def _spans(pos: np.ndarray, length: int) -> list[int]:
-    """Flat [from, to, from, to, ...] of the words that runs of ``length`` at sorted positions cover."""
-    first = np.flatnonzero(np.concatenate(([True], pos[1:] > pos[:-1] + length)))
-    last = np.concatenate((first[1:], [len(pos)])) - 1
-    return np.stack([pos[first], pos[last] + length], axis=1).ravel().tolist()
+def _spans(ord_: np.ndarray, key: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of ``length`` at sorted places join into spans: index of each span's first place, and its end."""
+    gap = np.ones(len(pos), bool)
+    gap[1:] = (ord_[1:] != ord_[:-1]) | (key[1:] != key[:-1]) | (pos[1:] > pos[:-1] + length)
+    first = np.flatnonzero(gap)
+    return first, pos[np.append(first[1:], len(pos)) - 1] + length
 
 
 def _fold(ord_, key, pos, hash_, check, length: int, any_other: bool) -> Iterator[pa.RecordBatch]:
@@ -112,54 +112,58 @@ def _fold(ord_, key, pos, hash_, check, length: int, any_other: bool) -> Iterato
     With ``any_other`` an occurrence counts if any other id has the sequence, else only if a smaller one has.
     """
     order = np.lexsort((pos, key, ord_, check, hash_))
-    ord_, key, pos, hash_, check = (c[order] for c in (ord_, key, pos, hash_, check))
-    starts = _runs(hash_, check)
-    sizes = np.diff(np.append(starts, len(ord_)))
-    least, most = ord_[starts], ord_[starts + sizes - 1]
-    smaller = ord_ > np.repeat(least, sizes)
+    starts = _runs(hash_[order], check[order])
+    sizes = np.diff(np.append(starts, len(order)))
+    sorted_ord = ord_[order]
+    least, most = sorted_ord[starts], sorted_ord[starts + sizes - 1]
+    smaller = sorted_ord > np.repeat(least, sizes)
     judged = np.repeat(least != most, sizes) if any_other else smaller
-    # rows of the smallest id speak for the task; where they are judged already, the first is enough
-    first = np.zeros(len(ord_), bool)
+    # rows of the smallest id speak for the task; where all are judged already, one is enough
+    first = np.zeros(len(order), bool)
     first[starts] = True
     send = ~judged | first if any_other else ~smaller
-    yield _found_batch(hash_[send], check[send], ord_[send], key[send], pos[send], judged[send])
-    at = np.flatnonzero(judged)
+    at = np.sort(order[send])  # in document order, which compresses best
+    known = np.zeros(len(order), bool)
+    known[order] = judged
+    yield _found_batch(hash_[at], check[at], ord_[at], key[at], pos[at], np.where(known[at], KNOWN, 0))
+    at = order[judged]
     at = at[np.lexsort((pos[at], key[at], ord_[at]))]
     if len(at):
-        begin = _runs(ord_[at], key[at])
-        parts = np.split(pos[at], begin[1:])
-        own_ord, own_key = ord_[at][begin], key[at][begin]
-        yield _found_batch(own_ord.astype(np.uint64), np.zeros(len(begin)), own_ord, own_key, np.full(len(begin), -1),
-                           np.ones(len(begin)), [_spans(p, length) for p in parts])
+        begin, end = _spans(ord_[at], key[at], pos[at], length)
+        own = at[begin]
+        yield _found_batch(ord_[own].astype(np.uint64), np.zeros(len(own)), ord_[own], key[own], pos[own], end)
 
 
 def _judge(found: DataFrame, length: int, any_other: bool) -> DataFrame:
-    """``ord, text_key, spans`` (several rows a document): what counts among all tasks' occurrences."""
+    """``ord, text_key, pos, upto`` (several rows a document): the spans that count among all tasks' occurrences."""
 
     def settle(rows: pa.Table) -> pa.RecordBatch:
-        ord_, hash_, check, key, pos = (rows.column(c).to_numpy() for c in ("ord", "hash", "check", "text_key", "pos"))
-        known = rows.column("known").to_numpy(zero_copy_only=False)
+        hash_, check, ord_, key, pos, upto = (rows.column(c).to_numpy() for c in range(6))
         starts = _runs(hash_, check)
         sizes = np.diff(np.append(starts, len(ord_)))
-        if any_other:  # a row judged before shows that others have the sequence
-            yes = np.minimum.reduceat(ord_, starts) != np.maximum.reduceat(ord_, starts)
-            yes = np.repeat(yes | np.logical_or.reduceat(known, starts), sizes) & ~known
+        least = np.minimum.reduceat(ord_, starts)
+        if any_other:
+            other = (least != np.maximum.reduceat(ord_, starts)) | (np.minimum.reduceat(upto, starts) == KNOWN)
+            yes = np.repeat(other, sizes) & (upto == 0)
         else:
-            yes = ord_ > np.repeat(np.minimum.reduceat(ord_, starts), sizes)
-        spans = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * yes.sum() + 1, 2, dtype=np.int32)),
-                                         pa.array(np.stack([pos[yes], pos[yes] + length], axis=1).ravel().astype(np.int32)))
-        return pa.RecordBatch.from_arrays([pa.array(ord_[yes]), pa.array(key[yes]), spans], ["ord", "text_key", "spans"])
+            yes = ord_ > np.repeat(least, sizes)
+        at = np.flatnonzero(yes)
+        at = at[np.lexsort((pos[at], key[at], ord_[at]))]
+        begin, end = _spans(ord_[at], key[at], pos[at], length) if len(at) else (at, at)
+        own = at[begin]
+        return pa.RecordBatch.from_arrays([pa.array(ord_[own]), pa.array(key[own]), pa.array(pos[own]), pa.array(end, pa.int32())],
+                                          ["ord", "text_key", "pos", "upto"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            ready = batch.filter(pc.is_valid(batch.column("spans")))
-            if ready.num_rows:
-                yield ready.select(["ord", "text_key", "spans"])
-            batch = batch.filter(pc.is_null(batch.column("spans")))
+            ready = pc.greater(batch.column(5), 0)
+            if passed := batch.filter(ready):
+                yield passed.select([2, 3, 4, 5])
+            batch = batch.filter(pc.invert(ready))
             if not batch.num_rows:
                 continue
-            hash_ = batch.column("hash").to_numpy()
+            hash_ = batch.column(0).to_numpy()
             cut = int(np.searchsorted(hash_, hash_[-1]))  # the last hash may go on in the next batch
             if cut:
                 yield settle(pa.Table.from_batches([*held, batch.slice(0, cut)]))
@@ -168,8 +172,13 @@ def _judge(found: DataFrame, length: int, any_other: bool) -> DataFrame:
         if held:
             yield settle(pa.Table.from_batches(held))
 
-    dealt = found.repartition("hash").sortWithinPartitions("hash", "check")
-    return dealt.mapInArrow(run, "ord long, text_key long, spans array<int>")
+    return found.repartition("hash").sortWithinPartitions("hash", "check").mapInArrow(run, SPAN)
+
+
+def _pairs(spans) -> np.ndarray:
+    """An Arrow list of spans as rows of from, to."""
+    parts = spans.values
+    return np.stack([parts.field(0).to_numpy(), parts.field(1).to_numpy()], axis=1).astype(np.int64)
 
 
 def _scan(given: DataFrame, occurrences: Callable, length: int, any_other: bool) -> DataFrame:
@@ -179,7 +188,7 @@ def _scan(given: DataFrame, occurrences: Callable, length: int, any_other: bool)
         for batch in batches:
             for ord_, key, text, *rest in zip(*batch.columns):
                 words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-                yield ord_.as_py(), key.as_py(), words, rest[0].values.to_numpy() if rest else None
+                yield ord_.as_py(), key.as_py(), words, _pairs(rest[0]) if rest else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _batches(rows(batches)):
@@ -191,7 +200,7 @@ def _scan(given: DataFrame, occurrences: Callable, length: int, any_other: bool)
                 pos, hash_, check = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
                 yield from _fold(ord_, key, pos, hash_, check, length, any_other)
 
-    return given.mapInArrow(run, FOUND_DDL)
+    return given.mapInArrow(run, FOUND)
 
 
 def anchor_positions(count: int, cover: list[int], period: int) -> np.ndarray:
@@ -201,7 +210,7 @@ def anchor_positions(count: int, cover: list[int], period: int) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame, window: int = 50, period: int = 31, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``ord, text_key, text, spans`` for texts that share an anchor; spans (null if none) cover the words to remove."""
+    """``ord, text_key, text, spans`` for texts with words to remove; the spans cover them."""
     anchor = window - period + 1
     if anchor < 1:
         raise ValueError("the period must not exceed the window")
@@ -219,30 +228,31 @@ def repeated_spans(docs: DataFrame, window: int = 50, period: int = 31, id_col:
     def windows(words, spans):
         hashes, count = word_hashes(words), len(words) - window + 1
         marks = np.zeros(len(words) + 1, np.int64)  # windows that hold a whole shared anchor; a span may join several
-        for a, b in spans.reshape(-1, 2):
-            marks[max(0, a - window + anchor)] += 1
-            marks[min(b - anchor, count - 1) + 1] -= 1
-        pos = np.flatnonzero(np.cumsum(marks)[:count] > 0)
+        for a, b in spans:
+            begin, end = max(0, a - window + anchor), min(b - anchor + 1, count)
+            if begin < end:
+                marks[begin] += 1
+                marks[end] -= 1
+        pos = np.flatnonzero(np.cumsum(marks)[:max(count, 0)] > 0)
         return pos, rolling(hashes, window, BASES[0])[pos], (rolling(hashes, window, BASES[1])[pos] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
-    def by_document(found: DataFrame) -> DataFrame:
-        return found.groupBy("ord", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-    shared = by_document(_judge(_scan(given, anchors, anchor, True), anchor, True))
-    candidates = stage(given.join(shared, ["ord", "text_key"]), "candidates")
-    removed = by_document(_judge(_scan(candidates.select("ord", "text_key", "text", "spans"), windows, window, False), window, False))
-    return candidates.select("ord", "text_key", "text").join(removed, ["ord", "text_key"], "left")
+    spans = F.collect_list(F.struct("pos", "upto")).alias("spans")
+    # the texts of one id share its anchors, which can only add windows to hash
+    slim = given.select("ord", F.lit(0).cast("long").alias("text_key"), "text")
+    shared = _judge(_scan(slim, anchors, anchor, True), anchor, True).groupBy("ord").agg(spans)
+    candidates = stage(given.join(shared, "ord"), "candidates")
+    removed = _judge(_scan(candidates.select("ord", "text_key", "text", "spans"), windows, window, False), window, False)
+    return candidates.select("ord", "text_key", "text").join(removed.groupBy("ord", "text_key").agg(spans), ["ord", "text_key"])
 
 
 def kept_words(text: str | None, spans) -> tuple[list[bytes], int]:
     """The words outside the spans, and how many there were."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
-    if spans is None or not len(spans):
+    if spans is None:
         return words, len(words)
-    ends = np.asarray(spans, np.int64).reshape(-1, 2)
     marks = np.zeros(len(words) + 1, np.int64)
-    np.add.at(marks, ends[:, 0], 1)
-    np.add.at(marks, ends[:, 1], -1)
+    np.add.at(marks, spans[:, 0], 1)
+    np.add.at(marks, spans[:, 1], -1)
     gone = np.cumsum(marks[:-1]) > 0
     return [w for w, g in zip(words, gone.tolist()) if not g], len(words)
 
@@ -259,7 +269,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, period: int = 31, id_col:
             spans = batch.column("spans") if "spans" in names else None
             out: list[list] = [[], [], [], []]
             for i, text in enumerate(batch.column("text")):
-                words, total = kept_words(text.as_py(), spans[i].as_py() if spans is not None else None)
+                words, total = kept_words(text.as_py(), _pairs(spans[i]) if spans is not None else None)
                 joined = b" ".join(words)
                 for column, value in zip(out, (joined.decode("utf-8", "surrogatepass") if with_text and spans is not None else None, total, total - len(words),
                                                hashlib.sha256(joined).hexdigest())):
@@ -269,7 +279,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, period: int = 31, id_col:
                 [*ids, pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())],
                 [c for c in names if c not in ("text", "spans")] + ["kept", "n_words", "n_removed", "kept_sha256"])
 
-    changed = repeated_spans(docs, window, period, id_col, text_col).where(F.col("spans").isNotNull()).mapInArrow(
+    changed = repeated_spans(docs, window, period, id_col, text_col).mapInArrow(
         digests, "ord long, text_key long, kept string, n_words long, n_removed long, kept_sha256 string")
     changed = changed.dropDuplicates(["ord", "text_key"]).select(
         "ord", "text_key", F.col("kept").alias("text"), F.col("n_removed").alias("__removed"), F.col("kept_sha256").alias("__kept"))
