@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, simhash, substrings, toxicity
+from barloom.llm import decontaminate, packing, quality, simhash, substrings, toxicity, warc
+from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +92,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of all documents, learned from the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_warc", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS m FROM p)
+    SELECT page_id, n AS payload_bytes, d AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id < m THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id < m THEN m END AS refers_to
+    FROM q""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as an archive and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archive(spark, path, with_payload=False).where(F.col("kind") == "record")
+    return found.select(warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        warc.page_id(F.col("refers_to")).alias("refers_to"))
