@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, simhash, substrings, toxicity, warc
+from barloom.llm import decontaminate, neighbours, packing, quality, simhash, substrings, toxicity, warc
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.read_archive(spark, path, with_payload=False).where(F.col("kind") == "record")
     return found.select(warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         warc.page_id(F.col("refers_to")).alias("refers_to"))
+
+
+@query("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
