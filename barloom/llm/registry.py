@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, neighbours, packing, quality, simhash, substrings, toxicity, warc
+from barloom.llm import decontaminate, html_text, neighbours, packing, quality, simhash, substrings, toxicity, warc
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all others."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
+@query("op8_html")
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
