@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, html_text, neighbours, packing, quality, simhash, substrings, toxicity, warc
+from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, simhash, substrings, toxicity, warc
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,13 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+KEY = "surrogates of this run"
+
+
+@query("op7_surrogates")
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY, count_col="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
