@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators import clean
-from barloom.operators.series import DAILY, Series, attach, last_value
+from barloom.operators.series import DAILY, Series, attach, last_value, plain
 from barloom.operators.windows import forward_fill, lag_fill
 from barloom.schemas import FILLED_DAY, FILLED_INTRADAY, REPORT
 from barloom.session import stage
@@ -39,6 +39,14 @@ class Layout:
     def tail(self) -> str:
         return f"{self.root}/last_{self.kind}"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/rejected_{self.kind}"
+
+    @property
+    def changes(self) -> str:
+        return f"{self.root}/changes_{self.kind}"
+
 
 def partition_of(s: Series) -> Column:
     """Partition value of a row: the year of a daily bar, the date of an intraday bar."""
@@ -49,19 +57,46 @@ def price_columns(s: Series) -> list[str]:
     return FILLED_DAY if s.step >= 86_400 else FILLED_INTRADAY
 
 
+FILLED = "filled"
+
+
+def rejected_rows(bars: DataFrame, s: Series = DAILY) -> DataFrame:
+    """Rows that have no place in a series: without code or time."""
+    return bars.filter(F.col(s.key).isNull() | F.col(s.time).isNull())
+
+
+def observed(bars: DataFrame, s: Series = DAILY) -> DataFrame:
+    """Bars as they were observed: filled prices, as marked in ``FILLED``, are NULL again."""
+    if FILLED not in bars.columns:
+        return bars
+    names = [c for c in price_columns(s) if c in bars.columns]
+    raw = {c: F.when(F.col(FILLED).bitwiseAND(F.lit(1 << i)) == 0, F.col(c)) for i, c in enumerate(names)}
+    return bars.withColumns(raw).drop(FILLED)
+
+
+def filled_bars(bars: DataFrame, s: Series = DAILY, fill: str = "forward") -> DataFrame:
+    """Prices filled, and a number whose bits say which of them were (``FILLED``)."""
+    cols = [c for c in price_columns(s) if c in bars.columns]
+    kept = bars.withColumns({f"_raw_{c}": F.col(c) for c in cols})
+    out = lag_fill(kept, cols, s) if fill == "lag" else forward_fill(kept, cols, s)
+    bits = sum((F.when(F.col(f"_raw_{c}").isNull() & F.col(c).isNotNull(), F.lit(1 << i)).otherwise(0)
+                for i, c in enumerate(cols)), F.lit(0))
+    return out.select(*bars.columns, bits.alias(FILLED))
+
+
 def clean_bars(
-    bars: DataFrame, codes: DataFrame | None = None, s: Series = DAILY, fill: str = "forward",
+    bars: DataFrame, codes: DataFrame | None = None, s: Series = DAILY, fill: str = "forward", mark: bool = False,
 ) -> DataFrame:
     """Dedupe on key, fill prices, add the type (the silver transform).
 
-    ``fill='lag'`` bridges single gaps only, ``'forward'`` all of them.
+    ``fill='lag'`` bridges single gaps only, ``'forward'`` all of them. ``mark`` adds ``FILLED``.
+    Rows without code or time are left out; :func:`rejected_rows` are those.
     """
-    cols = [c for c in price_columns(s) if c in bars.columns]
     bars = bars.dropna(subset=[s.key, s.time])
     once = stage(clean.dedupe(bars, [s.key, s.time]), "deduped")  # the fill reads it twice
-    filled = lag_fill(once, cols, s) if fill == "lag" else forward_fill(once, cols, s)
-    filled = filled.select(*bars.columns)
-    return clean.enrich(filled, codes, s) if codes is not None else filled
+    out = filled_bars(once, s, fill)
+    out = clean.enrich(out, codes, s) if codes is not None else out
+    return out if mark else out.drop(FILLED)
 
 
 def last_rows(bars: DataFrame, s: Series = DAILY) -> DataFrame:
@@ -71,40 +106,58 @@ def last_rows(bars: DataFrame, s: Series = DAILY) -> DataFrame:
         F.max(s.time).alias(s.time), *[last_value(c, s.time).alias(c) for c in cols])
 
 
-def seed_rows(batch: DataFrame, silver: DataFrame, tail: DataFrame, s: Series = DAILY) -> DataFrame:
-    """Last known row of each code before its batch starts.
-
-    Normally that is the code's row in ``tail`` (the small table of last rows). Only codes whose
-    batch reaches back before their tail are looked up in ``silver``, joined per block.
-    """
-    starts = batch.groupBy(s.key).agg(F.min(s.time).alias("_start"))
-    known = tail.join(starts, s.key)
-    fresh = known.filter(F.col(s.time) < F.col("_start")).drop("_start")
-    late = known.filter(F.col(s.time) >= F.col("_start")).select(s.key, "_start")
-    if late.isEmpty():  # two small tables; spares the usual refresh a scan of all history
-        return fresh
-    history = attach(silver, s, late).filter(F.col(s.time) < F.col("_start"))
-    return fresh.unionByName(last_rows(history, s).select(*fresh.columns))
-
-
 def clean_batch(
     batch: DataFrame, silver: DataFrame, codes: DataFrame | None = None, s: Series = DAILY,
-    tail: DataFrame | None = None,
+    tail: DataFrame | None = None, mark: bool = False,
 ) -> DataFrame:
-    """Clean one batch with the fill seeded by the last known silver row of each code (ST5)."""
-    cols = [c for c in price_columns(s) if c in batch.columns]
+    """Clean one batch so that silver plus the result equals a full load (ST5).
+
+    A code whose batch starts after its last row is filled from that row, which ``tail`` (the small
+    table of last rows) holds. Of a code whose batch reaches back, later silver rows may have been
+    filled from prices that the batch corrects: they are taken back to what was observed and filled
+    again with the batch, and those that come out different are part of the result. Only such codes
+    are looked up in ``silver``, joined per block.
+    """
     batch = stage(clean.dedupe(batch.dropna(subset=[s.key, s.time]), [s.key, s.time]), "deduped")
-    seed = seed_rows(batch, silver, last_rows(silver, s) if tail is None else tail, s)
-    rows = batch.withColumn("_seed", F.lit(False)).unionByName(
-        seed.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-    filled = forward_fill(rows, cols, s).filter(~F.col("_seed")).select(*batch.columns)
-    return clean.enrich(filled, codes, s) if codes is not None else filled
+    tail = last_rows(silver, s) if tail is None else tail
+    starts = batch.groupBy(s.key).agg(F.min(s.time).alias("_start"))
+    known = tail.join(starts, s.key)
+    seed = known.filter(F.col(s.time) < F.col("_start")).drop("_start")
+    late = stage(known.filter(F.col(s.time) >= F.col("_start")).select(s.key, "_start"), "late-codes")
+    rows, again = batch.withColumns({"_seed": F.lit(False), "_new": F.lit(True)}), None
+    if not late.isEmpty():  # spares the usual refresh a scan of history
+        history = plain(attach(silver, s, late))
+        before = last_rows(history.filter(F.col(s.time) < F.col("_start")), s)
+        seed = seed.unionByName(before.select(*seed.columns))
+        again = stage(history.filter(F.col(s.time) >= F.col("_start")).drop("_start"), "reopened")
+        older = observed(again, s).select(*batch.columns).join(batch.select(s.key, s.time), [s.key, s.time], "left_anti")
+        rows = rows.unionByName(older.withColumns({"_seed": F.lit(False), "_new": F.lit(False)}))
+    rows = rows.unionByName(seed.withColumns({"_seed": F.lit(True), "_new": F.lit(False)}), allowMissingColumns=True)
+    out = filled_bars(rows, s).filter(~F.col("_seed")).drop("_seed")
+    if again is not None:  # rows that were only reopened and came out as they were stay where they are
+        marks = again if FILLED in again.columns else again.withColumn(FILLED, F.lit(0))
+        same = [c for c in [*price_columns(s), FILLED] if c in marks.columns]
+        stored = marks.select(s.key, s.time, *[F.col(c).alias(f"_was_{c}") for c in same], F.lit(True).alias("_stored"))
+        out = out.join(stored, [s.key, s.time], "left")
+        changed = ~F.coalesce("_stored", F.lit(False))
+        for c in same:
+            changed = changed | ~F.col(c).eqNullSafe(F.col(f"_was_{c}"))
+        out = out.filter(F.col("_new") | changed)
+    out = out.select(*batch.columns, FILLED)
+    out = clean.enrich(out, codes, s) if codes is not None else out
+    return out if mark else out.drop(FILLED)
 
 
 def later_rows(tail: DataFrame, rows: DataFrame, s: Series = DAILY) -> DataFrame:
-    """Tail table after a batch: the newer row of each code, prices carried where NULL."""
-    both = tail.select(*tail.columns).unionByName(last_rows(rows, s).select(*tail.columns))
-    return last_rows(both, s)
+    """Tail table after a batch: the newest row of each code, prices carried where NULL; a row of the
+    batch goes before an older one of the same time."""
+    cols = [c for c in price_columns(s) if c in tail.columns]
+    both = tail.select(*tail.columns, F.lit(0).alias("_new")).unionByName(
+        last_rows(rows, s).select(*tail.columns, F.lit(1).alias("_new")))
+    order = F.struct(s.time, "_new")
+    return both.groupBy(s.key).agg(
+        F.max(s.time).alias(s.time),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols]).select(*tail.columns)
 
 
 def newest(report: DataFrame, mode: str = "max") -> DataFrame:
@@ -132,14 +185,31 @@ def keep_newer(report: DataFrame, published: DataFrame) -> DataFrame:
     return clean.newer_than(report, clean.high_water_mark(published))
 
 
+def _set_aside(bars: DataFrame, report: DataFrame, layout: Layout, s: Series) -> None:
+    """Keep rows that cannot be placed, by the refresh time of their batch; a repeat replaces them."""
+    when = report.agg(F.coalesce(F.max("updated").cast("string"), F.lit("none"))).scalar()
+    writers.overwrite_partitions(rejected_rows(bars, s).withColumn("batch", when), layout.rejected, "batch")
+
+
+def _note_changes(rows: DataFrame, report: DataFrame, layout: Layout) -> None:
+    """Which partitions a batch touched, for the gold tables: a row for each calendar partition."""
+    when = report.agg(F.max("updated")).scalar()
+    touched = stage(rows.select("part").distinct().withColumn("updated", when), "touched")
+    writers.write_parquet(touched.withColumn("batch", F.coalesce(F.col("updated").cast("string"), F.lit("none"))),
+                          layout.changes, ["batch"], mode="append")
+
+
 def initial_load(
     bars: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY,
 ) -> None:
     """Clean everything and overwrite the tables, control table last (ST1)."""
-    silver = clean_bars(bars, codes, s).withColumn("part", partition_of(s))
+    silver = clean_bars(bars, codes, s, mark=True).withColumn("part", partition_of(s))
     writers.write_parquet(silver, layout.bars, ["part"])
     spark = bars.sparkSession
-    writers.write_parquet(last_rows(spark.read.parquet(layout.bars), s), layout.tail)
+    stored_bars = spark.read.parquet(layout.bars)
+    _set_aside(bars, report, layout, s)
+    writers.write_parquet(last_rows(stored_bars, s), layout.tail)
+    _note_changes(stored_bars, report, layout)
     writers.write_parquet(report, layout.report)
 
 
@@ -166,18 +236,40 @@ def refresh(
     known = last_rows(silver, s)
     tail = stored(spark, layout.tail, known.schema)
     tail = known if tail.isEmpty() else tail
-    rows = stage(clean_batch(batch, silver, codes, s, tail).withColumn("part", partition_of(s)), "batch")
+    rows = stage(clean_batch(batch, silver, codes, s, tail, mark=True).withColumn("part", partition_of(s)), "batch")
     writers.upsert(rows, layout.bars, [s.key, s.time])
+    _set_aside(batch, report, layout, s)
     writers.write_parquet(stage(later_rows(tail, rows, s), "tail"), layout.tail)
+    _note_changes(rows, report, layout)
     writers.write_parquet(stage(report, "report"), layout.report)
     return True
 
 
-def publish(spark: SparkSession, layout: Layout, database: str, path: str | None = None) -> None:
-    """Silver tables into the catalog (S10, S14), from files with a declared schema."""
+def publish(spark: SparkSession, layout: Layout, database: str, path: str, codes: DataFrame | None = None) -> bool:
+    """Bring the gold tables of one stream up to date (S10-S12, S14, ST3); whether anything was written.
+
+    The first call writes everything. Later ones are gated by the newest refresh time in the gold
+    control table and write only the partitions that batches since then touched, taken from the
+    small table of changes; other files stay as they are. Bars go first and the control table last,
+    so a crash in between repeats harmless work.
+    """
     writers.create_database(spark, database)
-    for name, source in ((layout.kind, layout.bars), (f"report_{layout.kind}", layout.report)):
-        writers.save_table(
-            spark.read.parquet(source), f"{database}.{name}",
-            f"{path}/{name}" if path else None,
-            partition_by=["part"] if source == layout.bars else ())
+    bars, report, listed = f"{database}.{layout.kind}", f"{database}.report_{layout.kind}", f"{database}.codes"
+    silver = spark.read.parquet(layout.bars).drop(FILLED)
+    control = spark.read.schema(REPORT).parquet(layout.report)
+    if codes is not None and not spark.catalog.tableExists(listed):
+        writers.save_table(codes, listed, f"{path}/codes")
+    if not (spark.catalog.tableExists(bars) and spark.catalog.tableExists(report)):
+        writers.save_table(silver, bars, f"{path}/{layout.kind}", partition_by=["part"])
+        writers.save_table(control, report, f"{path}/report_{layout.kind}")
+        return True
+    published = spark.read.table(report)
+    if keep_newer(control, published).isEmpty():
+        return False
+    newer = keep_newer(spark.read.parquet(layout.changes).drop("batch"), published)
+    touched = [r[0] for r in newer.select("part").distinct().collect()]  # calendar years or days
+    writers.overwrite_partitions(silver.filter(F.col("part").isin(touched)), f"{path}/{layout.kind}")
+    spark.catalog.recoverPartitions(bars)
+    spark.catalog.refreshTable(bars)
+    writers.save_table(stage(control, "control"), report, f"{path}/report_{layout.kind}")
+    return True

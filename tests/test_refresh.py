@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import shutil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,75 @@ def test_late_batch_is_seeded_from_before_it(spark):
     assert [r.close for r in out.orderBy("date").collect()] == [99.0, 99.0]
 
 
+def test_correction_is_filled_forward(spark, tmp_path):
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    make = lambda rows: spark.createDataFrame([("A", day(n), c, c, c, c, 1.0) for n, c in rows], SCHEMA)
+    layout = Layout(f"{tmp_path}/t", "day")
+    medallion.initial_load(make([(1, 1.0), (2, None), (3, None), (4, 4.0)]), None, report(spark, T0), layout)
+    assert medallion.refresh(make([(2, 9.0)]), None, report(spark, T1), layout)
+    stored = spark.read.parquet(layout.bars).orderBy("date").collect()
+    assert [r.close for r in stored] == [1.0, 9.0, 9.0, 4.0]
+    assert [r.filled for r in stored] == [0, 0, 15, 0]
+    assert medallion.refresh(make([(4, None)]), None, report(spark, T1 + dt.timedelta(days=1)), layout)
+    assert [r.close for r in spark.read.parquet(layout.bars).orderBy("date").collect()] == [1.0, 9.0, 9.0, 9.0]
+    assert spark.read.parquet(layout.tail).first().close == 9.0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_order_of_batches_gives_the_full_load(spark, tmp_path, seed):
+    rng = np.random.default_rng(seed)
+    pdf = bars(seed, sizes=(("HOT", 60), ("MID", 25), ("ONE", 1)))
+    pdf.loc[rng.random(len(pdf)) < 0.3, ["open", "high", "low", "close"]] = np.nan
+    whole, parts = Layout(f"{tmp_path}/whole", "day"), Layout(f"{tmp_path}/parts", "day")
+    codes = spark.createDataFrame([("HOT", "h")], "code string, type string")
+    medallion.initial_load(frame(spark, pdf), codes, report(spark, T0), whole)
+    groups = rng.integers(0, 3, len(pdf))
+    for n in range(3):
+        part = frame(spark, pdf[groups == n])
+        when = report(spark, T0 + dt.timedelta(days=n))
+        if n:
+            assert medallion.refresh(part, codes, when, parts)
+        else:
+            medallion.initial_load(part, codes, when, parts)
+    assert rows_of(spark, parts) == rows_of(spark, whole)
+    assert sorted(map(tuple, spark.read.parquet(parts.tail).collect()), key=str) == sorted(
+        map(tuple, spark.read.parquet(whole.tail).select(*spark.read.parquet(parts.tail).columns).collect()), key=str)
+
+
+def test_rows_without_a_key_are_set_aside(spark, tmp_path):
+    layout = Layout(f"{tmp_path}/t", "day")
+    rows = [("A", dt.date(2020, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0), (None, dt.date(2020, 1, 1), 2.0, 2.0, 2.0, 2.0, 2.0), ("A", None, 3.0, 3.0, 3.0, 3.0, 3.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    medallion.initial_load(df, None, report(spark, T0), layout)
+    for _ in range(2):
+        medallion.refresh(df, None, report(spark, T1), layout)
+    kept = spark.read.parquet(layout.rejected)
+    assert kept.groupBy("batch").count().count() == 2 and kept.count() == 4
+    assert spark.read.parquet(layout.bars).count() == 1
+
+
+def test_publish_writes_only_touched_partitions(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame([("A", dt.date(y, 1, n), c, c, c, c, 1.0) for y, n, c in rows], SCHEMA)
+    layout, gold = Layout(f"{tmp_path}/silver", "day"), f"{tmp_path}/gold"
+    database = f"gold_test_{os.getpid()}"
+    codes = spark.createDataFrame([("A", "a")], "code string, type string")
+    files = lambda: {f for d, _, names in os.walk(f"{gold}/day") for f in (f"{d}/{n}" for n in names) if "part=2019" in f}
+    try:
+        medallion.initial_load(make([(2019, 1, 1.0), (2020, 1, 2.0)]), codes, report(spark, T0), layout)
+        assert medallion.publish(spark, layout, database, gold, codes)
+        before = files()
+        assert not medallion.publish(spark, layout, database, gold, codes)
+        medallion.refresh(make([(2020, 2, 5.0), (2021, 1, 6.0)]), codes, report(spark, T1), layout)
+        assert medallion.publish(spark, layout, database, gold, codes)
+        assert files() == before and before
+        got = sorted((r.date.year, r.close) for r in spark.read.table(f"{database}.day").collect())
+        assert got == [(2019, 1.0), (2020, 2.0), (2020, 5.0), (2021, 6.0)]
+        assert spark.read.table(f"{database}.report_day").first().updated == T1
+        assert spark.read.table(f"{database}.codes").count() == 1
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def test_upsert_touches_only_its_partitions(spark, tmp_path):
     path = f"{tmp_path}/t"
     make = lambda rows: spark.createDataFrame(rows, "code string, date date, close double, part int")

@@ -236,27 +236,99 @@ def _(spark, d):
     bars = stage(dirty_day(spark, d), "bronze")
     medallion.initial_load(
         bars, code_list(spark, d), clean.refresh_report(bars, F.col("date").cast("timestamp")), layout)
-    return spark.read.parquet(layout.bars)
+    return spark.read.parquet(layout.bars).drop(medallion.FILLED)
 
 
-@query("incremental_refresh", f"""
-    SELECT f.code, CAST(f.date AS VARCHAR) AS date, {OHLCV}, type FROM filled_day f LEFT JOIN code_type USING (code)""")
+SILVER_DAY = f"SELECT f.code, CAST(f.date AS VARCHAR) AS date, {OHLCV}, type FROM filled_day f LEFT JOIN code_type USING (code)"
+
+
+def _report(bars: DataFrame, later: int = 0) -> DataFrame:
+    """Control table of a daily batch that was refreshed ``later`` days after its newest bar."""
+    return clean.refresh_report(bars, F.date_add("date", later).cast("timestamp"))
+
+
+@query("incremental_refresh", SILVER_DAY)
 def _(spark, d):
     old, new = _halves(spark, d)
     codes = stage(code_list(spark, d), "codes")
     layout = medallion.Layout(scratch_path(spark, "silver"), "day")
-
-    def report(bars):
-        return clean.refresh_report(bars, F.col("date").cast("timestamp"))
-
-    medallion.initial_load(old, codes, report(old), layout)
+    medallion.initial_load(old, codes, _report(old), layout)
     for _ in range(2):  # the second call finds the gate shut
-        medallion.refresh(new, codes, report(new), layout)
+        medallion.refresh(new, codes, _report(new), layout)
     database = _database(spark)
-    medallion.publish(spark, layout, database)
+    medallion.publish(spark, layout, database, scratch_path(spark, "gold"))
     return readers.read_table(spark, f"{database}.day").drop("part")
 
 
+@query("refresh_with_correction", SILVER_DAY)
+def _(spark, d):
+    """Old days arrive without prices first; the batch that corrects them reaches back before filled runs."""
+    rows = stage(clean.dedupe(dirty_day(spark, d)), "clean")
+    codes = stage(code_list(spark, d), "codes")
+    missing = F.unix_date("date") % 5 == 0
+    first = rows.withColumns({c: F.when(~missing, F.col(c)) for c in PRICES})
+    layout = medallion.Layout(scratch_path(spark, "silver"), "day")
+    medallion.initial_load(first, codes, _report(first), layout)
+    medallion.refresh(rows.filter(missing), codes, _report(rows, 1), layout)
+    return spark.read.parquet(layout.bars).drop("part", medallion.FILLED)
+
+
+@query("gold_incremental", SILVER_DAY)
+def _(spark, d):
+    """Three publishes: all, only what a batch touched, and one that finds the gate shut."""
+    old, new = _halves(spark, d)
+    codes = stage(code_list(spark, d), "codes")
+    layout, database, path = medallion.Layout(scratch_path(spark, "silver"), "day"), _database(spark), scratch_path(spark, "gold")
+    medallion.initial_load(old, codes, _report(old), layout)
+    medallion.publish(spark, layout, database, path, codes)
+    medallion.refresh(new, codes, _report(new), layout)
+    for _ in range(2):
+        medallion.publish(spark, layout, database, path, codes)
+    return readers.read_table(spark, f"{database}.day").drop("part")
+
+
+CTES["dirty_intraday"] = """
+    SELECT code, timestamp, CASE WHEN minute(timestamp) <> 30 THEN open END AS open,
+      CASE WHEN minute(timestamp) <> 30 THEN high END AS high, CASE WHEN minute(timestamp) <> 30 THEN low END AS low,
+      CASE WHEN minute(timestamp) NOT IN (15, 30) THEN close END AS close, volume FROM bars_intraday"""
+CTES["filled_intraday"] = f"""
+    SELECT code, timestamp, {', '.join(f'last_value({c} IGNORE NULLS) OVER w AS {c}' for c in PRICES)}, volume
+    FROM dirty_intraday WINDOW w AS (PARTITION BY code ORDER BY timestamp)"""
+SILVER_INTRADAY = f"SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, {OHLCV} FROM filled_intraday"
+
+
+def _dirty_intraday(spark: SparkSession, d: str) -> DataFrame:
+    minute = F.minute("timestamp")
+    bars = staged_intraday(spark, d).withColumns({c: F.when(minute != 30, F.col(c)) for c in PRICES})
+    return stage(bars.withColumn("close", F.when(minute != 15, F.col("close"))), "dirty-intraday")
+
+
+def _intraday_report(bars: DataFrame, later: int = 0) -> DataFrame:
+    return clean.refresh_report(bars, F.col("timestamp") + F.make_dt_interval(F.lit(later)), "timestamp")
+
+
+@query("initial_load_intraday", SILVER_INTRADAY)
+def _(spark, d):
+    bars = _dirty_intraday(spark, d)
+    codes = bars.select("code").distinct().withColumn("type", F.lit("event"))
+    layout = medallion.Layout(scratch_path(spark, "silver"), "intraday")
+    medallion.initial_load(bars, codes, _intraday_report(bars), layout, INTRADAY)
+    return spark.read.parquet(layout.bars).drop("part", "type", medallion.FILLED)
+
+
+@query("incremental_refresh_intraday", SILVER_INTRADAY)
+def _(spark, d):
+    """Every third day arrives late, in two batches, the older days last."""
+    bars = _dirty_intraday(spark, d)
+    codes = stage(bars.select("code").distinct().withColumn("type", F.lit("event")), "codes")
+    late, half = F.dayofmonth("timestamp") % 3 == 0, F.dayofmonth("timestamp") > 15
+    layout = medallion.Layout(scratch_path(spark, "silver"), "intraday")
+    medallion.initial_load(bars.filter(~late), codes, _intraday_report(bars), layout, INTRADAY)
+    for n, part in enumerate((late & half, late & ~half)):
+        medallion.refresh(bars.filter(part), codes, _intraday_report(bars, n + 1), layout, INTRADAY)
+    return spark.read.parquet(layout.bars).drop("part", "type", medallion.FILLED)
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
