@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_open = threading.local()
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -57,15 +61,35 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Used where two branches of a plan need the same costly input. The lineage
     ends at files that outlive any executor, and later readers prune columns.
-    Staged tables stay until :func:`clear_stages`.
+    Staged tables stay until :func:`clear_stages`, or the end of the :func:`discarding_stages`
+    they were made in.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def discarding_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what this thread stages inside, for work whose results are written by its end, such as
+    a micro-batch of a stream that never stops."""
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _open.paths:
+            delete_path(spark, path)
+        _open.paths = outer
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete what this application staged, once its results are written elsewhere."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    delete_path(spark, stage_root(spark))

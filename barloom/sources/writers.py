@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.session import stage
+from barloom.session import delete_path, stage
+
+
+# Partition values that a batch may bring to the driver: 270 years of days.
+MAX_PARTITIONS = 100_000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
@@ -62,9 +66,7 @@ def drop_table(spark: SparkSession, name: str, delete_data: bool = False) -> Non
         location = found["data_type"] if found else None
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if location:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(location)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(spark, location)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -84,7 +86,9 @@ def touched_partitions(spark: SparkSession, path: str, rows: DataFrame, partitio
     Only the distinct partition values (calendar days or years) come to the driver, where they
     become a literal filter, so the scan lists and reads those directories alone.
     """
-    values = [r[0] for r in rows.select(partition).distinct().collect()]
+    values = [r[0] for r in rows.select(partition).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    if len(values) > MAX_PARTITIONS:
+        raise ValueError(f"a batch may touch {MAX_PARTITIONS} partitions; choose a coarser {partition!r}")
     return spark.read.parquet(path).filter(F.col(partition).isin(values))
 
 

@@ -17,7 +17,7 @@ from barloom.operators.ema import ema
 from barloom.operators.series import INTRADAY, Series, attach, plain
 from barloom.operators.windows import forward_fill, latest
 from barloom.plans.medallion import Layout, partition_of
-from barloom.session import stage
+from barloom.session import delete_path, discarding_stages, stage
 from barloom.sources import writers
 from barloom.sources.ticks import bars_from_ticks
 
@@ -42,7 +42,8 @@ def _event_time(df: DataFrame, column: str, lateness: str) -> DataFrame:
 def live_bars(
     ticks: DataFrame, code: str, time: str, price: str, lateness: str = "1 hour", every: str = "15 minutes",
 ) -> DataFrame:
-    """Bars from a tick stream; a bar is final once the watermark passes it (ST8)."""
+    """Bars from a tick stream; a bar is final once the watermark passes it (ST8). Ticks that come later
+    than that are left out; :func:`dropped_as_late` counts them."""
     return bars_from_ticks(
         _event_time(ticks, time, lateness), code, time, price, F.lit(1).cast("double"), every)
 
@@ -108,22 +109,25 @@ def live_fill_and_mean(bars: DataFrame, span: float = 10) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+def split_late(batch: DataFrame, last: DataFrame, s: Series = INTRADAY) -> tuple[DataFrame, DataFrame]:
+    """Rows newer than the code's row in ``last`` (or of a code without one), and the others."""
+    known = last.select(s.key, F.col(s.time).alias("_known"))
+    rows = plain(attach(batch, s, known, "left"))
+    on_time = F.col("_known").isNull() | (F.col(s.time) > F.col("_known"))
+    return rows.filter(on_time).drop("_known"), rows.filter(~on_time).drop("_known")
+
+
 def fill_and_mean_batch(
-    batch: DataFrame, last: DataFrame | None, span: float, s: Series = INTRADAY,
+    rows: DataFrame, last: DataFrame | None, span: float, s: Series = INTRADAY,
 ) -> DataFrame:
-    """One micro-batch filled and averaged by the block operators, continued from ``last``.
+    """Rows of one micro-batch, none of them late, filled and averaged by the block operators.
 
     ``last`` holds each code's newest time, close and mean. Its close seeds the fill and its mean
-    seeds the average, as one extra row per code that is dropped again. Rows not newer than
-    ``last`` are late and left out.
+    seeds the average, as one extra row per code that is dropped again.
     """
-    rows = batch.select(s.key, s.time, "close").withColumn("seed", F.lit(False))
+    rows = rows.select(s.key, s.time, "close").withColumn("seed", F.lit(False))
     if last is not None:
-        known = last.select(s.key, F.col(s.time).alias("_known"))
-        rows = attach(rows, s, known, "left").filter(
-            F.col("_known").isNull() | (F.col(s.time) > F.col("_known"))).drop("_known")
-        rows = plain(rows).select(s.key, s.time, "close", "seed").unionByName(
-            last.select(s.key, s.time, "close", F.lit(True).alias("seed")))
+        rows = rows.unionByName(last.select(s.key, s.time, "close", F.lit(True).alias("seed")))
     rows = stage(forward_fill(rows, ["close"], s), "filled")
     if last is None:
         start = rows.withColumn("_x", F.col("close"))
@@ -141,23 +145,46 @@ def publish_filled(
     """Forward fill and exponential mean of a bar stream, written as an upserted table (ST9).
 
     The state is a small table of each code's last row. It is versioned by micro-batch number, so
-    a replayed batch starts from the state it first saw and writes the same rows.
+    a replayed batch starts from the state it first saw and writes the same rows; a batch whose
+    state is missing fails. Only the last two states are kept. Rows at or before their code's state
+    are late, as in :func:`mean_of_filled`: they change nothing and are kept by batch, see
+    :func:`late_rows`. Copies of a key inside a batch count once.
     """
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = dedupe(stage(batch, "arrived"), [s.key, s.time])
         before = f"{path}_state/{number - 1}"
-        last = spark.read.parquet(before) if number and writers.path_exists(spark, before) else None
-        rows = stage(fill_and_mean_batch(fresh, last, span, s).withColumn("part", partition_of(s)), "filled")
-        writers.upsert(rows, f"{path}/bars", [s.key, s.time])
-        ends = latest(rows.withColumnRenamed("ema", "mean"), ["close", "mean"], s)
-        if last is not None:
-            ends = latest(ends.unionByName(last.select(ends.columns)), ["close", "mean"], s)
-        writers.write_parquet(ends, f"{path}_state/{number}")
+        if number and not writers.path_exists(spark, before):
+            raise FileNotFoundError(f"batch {number} needs the state in {before}")
+        with discarding_stages(spark):
+            fresh = stage(dedupe(stage(batch, "arrived"), [s.key, s.time]), "fresh")
+            last = spark.read.parquet(before) if number else None
+            if last is not None:
+                fresh, late = split_late(fresh, last, s)
+                writers.write_parquet(late.select(s.key, s.time, "close"), f"{path}_late/{number}")
+            rows = stage(fill_and_mean_batch(fresh, last, span, s).withColumn("part", partition_of(s)), "filled")
+            writers.upsert(rows, f"{path}/bars", [s.key, s.time])
+            ends = latest(rows.withColumnRenamed("ema", "mean"), ["close", "mean"], s)
+            if last is not None:
+                ends = latest(ends.unionByName(last.select(ends.columns)), ["close", "mean"], s)
+            writers.write_parquet(ends, f"{path}_state/{number}")
+        delete_path(spark, f"{path}_state/{number - 2}")  # batch number - 1 is committed and never runs again
 
     return run_available(bars.writeStream.outputMode("append").foreachBatch(apply), checkpoint)
 
 
+def late_rows(spark: SparkSession, path: str, s: Series = INTRADAY) -> DataFrame:
+    """Rows that came too late for :func:`publish_filled`, with the number of their batch."""
+    if not writers.path_exists(spark, f"{path}_late"):
+        return spark.createDataFrame([], FILL_OUTPUT).select(s.key, s.time, "close", F.lit("").alias("batch"))
+    rows = spark.read.option("recursiveFileLookup", True).parquet(f"{path}_late")
+    return rows.withColumn("batch", F.regexp_extract(F.input_file_name(), r"_late/(\d+)/", 1))
+
+
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because they were behind the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def run_available(query, checkpoint: str, **options: str) -> StreamingQuery:
     """Start a writer over everything available now and wait for it (ST6)."""
     for name, value in options.items():
@@ -177,11 +204,12 @@ def publish_stream(
     """
 
     def apply(batch: DataFrame, _id: int) -> None:
-        rows = stage(batch.withColumn("part", partition_of(s)), "batch")
-        if rows.isEmpty():
-            return
-        writers.upsert(rows, layout.bars, [s.key, s.time])
-        refresh_counts(rows, layout, s)
+        with discarding_stages(batch.sparkSession):
+            rows = stage(batch.withColumn("part", partition_of(s)), "batch")
+            if rows.isEmpty():
+                return
+            writers.upsert(rows, layout.bars, [s.key, s.time])
+            refresh_counts(rows, layout, s)
 
     return run_available(bars.writeStream.outputMode(mode).foreachBatch(apply), checkpoint)
 

@@ -1,9 +1,14 @@
 import datetime as dt
+import os
+import shutil
 
 import pandas as pd
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from barloom.plans.medallion import Layout
+from barloom.session import stage_root
 from barloom.sources.ticks import bars_from_ticks
 from barloom.streaming import live
 
@@ -84,9 +89,18 @@ def test_block_form_of_fill_and_mean_equals_the_stateful_form(spark, tmp_path):
     rows = [(c, at(15 * i), x) for c, xs in closes.items() for i, x in enumerate(xs)]
     for lo, hi in ((0, 2), (2, 5), (5, 7)):
         write(spark, source, [r for r in rows if at(15 * lo) <= r[1] < at(15 * hi)][::-1], schema)
-    write(spark, source, [("A", at(15), 1000.0)], schema)  # too late: changes nothing
+    write(spark, source, [("A", at(15), 1000.0), ("A", at(20), 7.0), ("B", at(90), 7.0)], schema)  # late or replayed: set aside
     stream = live.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
     live.publish_filled(stream, out, f"{tmp_path}/cp", span=4)
+    late = live.late_rows(spark, out)
+    assert sorted((r.code, r.timestamp, r.close, r.batch) for r in late.collect()) == [
+        ("A", at(15), 1000.0, "3"), ("A", at(20), 7.0, "3"), ("B", at(90), 7.0, "3")]
+    state = f"{tmp_path}/state"
+    live.run_available(live.live_fill_and_mean(stream, 4).writeStream.format("parquet"), f"{tmp_path}/cp2", path=state)
+    both = [sorted((r.code, r.timestamp, r.close) for r in rows.collect()) for rows in (
+        late, spark.read.parquet(state).filter("late"))]
+    assert both[0] == both[1]
+    assert sorted(os.listdir(f"{out}_state")) == ["2", "3"]
     got = spark.read.parquet(f"{out}/bars").orderBy("code", "timestamp").toPandas()
     for code, xs in closes.items():
         want = pd.Series(xs, dtype=float).ffill()
@@ -94,3 +108,35 @@ def test_block_form_of_fill_and_mean_equals_the_stateful_form(spark, tmp_path):
         pd.testing.assert_series_equal(mine.close.astype(float), want, check_names=False)
         pd.testing.assert_series_equal(
             mine.ema.astype(float), want.ewm(span=4, adjust=False).mean(), check_names=False)
+
+
+def test_a_missing_state_fails_instead_of_starting_anew(spark, tmp_path):
+    source, out = f"{tmp_path}/bars", f"{tmp_path}/out"
+    schema = "code string, timestamp timestamp, close double"
+    write(spark, source, [("A", at(0), 1.0)], schema)
+    kind = spark.read.parquet(source).schema
+    live.publish_filled(live.file_stream(spark, source, kind), out, f"{tmp_path}/cp", span=4)
+    shutil.rmtree(f"{out}_state/0")
+    write(spark, source, [("A", at(15), None)], schema)
+    with pytest.raises(StreamingQueryException, match="needs the state"):
+        live.publish_filled(live.file_stream(spark, source, kind), out, f"{tmp_path}/cp", span=4)
+    assert spark.read.parquet(f"{out}/bars").count() == 1
+
+
+def test_finished_batches_leave_no_stages(spark, tmp_path):
+    source, layout = f"{tmp_path}/ticks", Layout(f"{tmp_path}/live", "intraday")
+    write(spark, source, [("A", at(1), 5.0)])
+    before = set(os.listdir(stage_root(spark))) if os.path.isdir(stage_root(spark)) else set()
+    stream = live.live_bars(live.file_stream(spark, source, spark.read.parquet(source).schema), "code", "ts", "price")
+    live.publish_stream(stream, layout, f"{tmp_path}/cp", mode="update")
+    assert set(os.listdir(stage_root(spark)) if os.path.isdir(stage_root(spark)) else ()) == before
+
+
+def test_ticks_behind_the_watermark_are_counted(spark, tmp_path):
+    source, layout = f"{tmp_path}/ticks", Layout(f"{tmp_path}/live", "intraday")
+    for rows in ([("A", at(600), 5.0)], [("A", at(601), 5.0)], [("A", at(1), 5.0), ("A", at(2), 6.0)]):
+        write(spark, source, rows)
+    stream = live.live_bars(
+        live.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1), "code", "ts", "price", "1 hour")
+    query = live.publish_stream(stream, layout, f"{tmp_path}/cp", mode="update")
+    assert live.dropped_as_late(query) >= 1  # counted after partial aggregation

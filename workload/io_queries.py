@@ -102,7 +102,7 @@ def _(spark, d):
 @query("rows_per_input_file", "SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS n_rows FROM (SELECT code, count(*) AS n FROM bars_day GROUP BY code)")
 def _(spark, d):
     path = scratch_path(spark, "byfile")
-    writers.write_parquet(bars_day(spark, d).repartition(1, "code"), path, ["code"])
+    writers.write_parquet(bars_day(spark, d).repartition("code"), path, ["code"])
     return readers.rows_per_file(spark.read.parquet(path)).agg(
         F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("n_rows"))
 
@@ -367,24 +367,47 @@ CTES["live_mean"] = """
       FROM e JOIN closed_bars r ON r.code = e.code AND r.rn = e.rn + 1) SELECT * FROM e"""
 
 
-@query("streaming_fill_and_mean", f"""
-    SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}, false AS late
-    FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
-def _(spark, d):
-    source, out = scratch_path(spark, "bars"), scratch_path(spark, "filled")
-    bars = staged_intraday(spark, d).withColumn("close", F.when(F.minute("timestamp") != 30, F.col("close")))
-    edges = ["2024-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
-    for lo, hi in zip(edges, edges[1:]):  # three arrivals, in time order
-        t = F.to_date("timestamp")
-        bars.filter((t >= lo) & (t < hi)).write.mode("append").parquet(source)
-    stream = live.live_fill_and_mean(live.file_stream(spark, source, bars.schema), 10)
+def _with_rocksdb(spark: SparkSession, run) -> None:
+    """Run a stream whose operator needs the RocksDB state store."""
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        live.run_available(stream.writeStream.format("parquet"), f"{out}-checkpoint", path=out)
+        run()
     finally:
         spark.conf.set(provider, before) if before else spark.conf.unset(provider)
+
+
+def _stateful(spark: SparkSession, source: str, schema, out: str) -> None:
+    stream = live.live_fill_and_mean(live.file_stream(spark, source, schema), 10)
+    _with_rocksdb(spark, lambda: live.run_available(stream.writeStream.format("parquet"), f"{out}-checkpoint", path=out))
+
+
+def _blockwise(spark: SparkSession, source: str, schema, out: str) -> None:
+    live.publish_filled(live.file_stream(spark, source, schema), out, f"{out}-checkpoint")
+
+
+def _arrive(parts, source: str, *steps) -> None:
+    """Write the parts one after the other, each followed by a run of every stream."""
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        for step in steps:
+            step()
+
+
+def _holed(spark: SparkSession, d: str) -> DataFrame:
+    return staged_intraday(spark, d).withColumn("close", F.when(F.minute("timestamp") != 30, F.col("close")))
+
+
+@query("streaming_fill_and_mean", f"""
+    SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}, false AS late
+    FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
+def _(spark, d):
+    source, out, bars = scratch_path(spark, "bars"), scratch_path(spark, "filled"), _holed(spark, d)
+    day = F.dayofmonth("timestamp")
+    first, second = day < 11, (day >= 11) & (day < 21)  # three arrivals, in time order within the month of the events
+    _arrive((bars.filter(first), bars.filter(second), bars.filter(~first & ~second)), source,
+            lambda: _stateful(spark, source, bars.schema, out))
     return spark.read.parquet(out)
 
 
@@ -392,15 +415,43 @@ def _(spark, d):
     SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}
     FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
 def _(spark, d):
-    source, out = scratch_path(spark, "bars"), scratch_path(spark, "filled")
-    bars = staged_intraday(spark, d).withColumn("close", F.when(F.minute("timestamp") != 30, F.col("close")))
-    edge = F.to_date("timestamp") < "2024-01-16"
-    for part in (bars.filter(edge), bars.filter(~edge)):  # two arrivals, in time order
-        part.coalesce(1).write.mode("append").parquet(source)
-    live.publish_filled(live.file_stream(spark, source, bars.schema, files_per_batch=1), out, f"{out}-checkpoint")
+    source, out, bars = scratch_path(spark, "bars"), scratch_path(spark, "filled"), _holed(spark, d)
+    first = F.dayofmonth("timestamp") < 16
+    _arrive((bars.filter(first), bars.filter(~first)), source, lambda: _blockwise(spark, source, bars.schema, out))
     return spark.read.parquet(f"{out}/bars").drop("part")
 
 
+CTES["timely_bars"] = """
+    SELECT code, timestamp, raw, row_number() OVER (PARTITION BY code ORDER BY timestamp) AS rn FROM holed_bars
+    WHERE NOT (day(timestamp) < 16 AND minute(timestamp) = 45)"""
+CTES["timely_closed"] = """
+    SELECT *, last_value(raw IGNORE NULLS) OVER (PARTITION BY code ORDER BY timestamp) AS close FROM timely_bars"""
+CTES["timely_mean"] = """
+    WITH RECURSIVE e AS (SELECT code, rn, close AS y FROM timely_closed WHERE rn = 1 UNION ALL
+      SELECT r.code, r.rn, CASE WHEN e.y IS NULL THEN r.close
+        ELSE r.close * (2.0::DOUBLE / 11) + e.y * (1.0::DOUBLE - 2.0::DOUBLE / 11) END
+      FROM e JOIN timely_closed r ON r.code = e.code AND r.rn = e.rn + 1) SELECT * FROM e"""
+
+
+@query("streaming_late_rows", f"""
+    SELECT form, code, CAST(timestamp AS VARCHAR) AS timestamp, close, ema, late FROM (
+      SELECT code, timestamp, close, {sig('y', 'ema')}, false AS late FROM timely_closed JOIN timely_mean USING (code, rn)
+      UNION ALL SELECT code, timestamp, raw, NULL, true FROM holed_bars
+        WHERE day(timestamp) < 16 AND minute(timestamp) IN (0, 45)), (SELECT unnest(['blocks', 'state']) AS form)""", sigs=("ema",))
+def _(spark, d):
+    """The last arrival holds bars that belong before the second and a replay of bars of the first."""
+    source, bars = scratch_path(spark, "bars"), _holed(spark, d)
+    state, blocks = scratch_path(spark, "state"), scratch_path(spark, "blocks")
+    first, minute = F.dayofmonth("timestamp") < 16, F.minute("timestamp")
+    _arrive((bars.filter(first & (minute != 45)), bars.filter(~first), bars.filter(first & minute.isin(0, 45))), source,
+            lambda: _stateful(spark, source, bars.schema, state), lambda: _blockwise(spark, source, bars.schema, blocks))
+    columns = ["code", "timestamp", "close", "ema", "late"]
+    on_time = spark.read.parquet(f"{blocks}/bars").withColumn("late", F.lit(False)).select(columns)
+    late = live.late_rows(spark, blocks).withColumns({"ema": F.lit(None).cast("double"), "late": F.lit(True)}).select(columns)
+    by_state = spark.read.parquet(state).withColumn("timestamp", F.col("timestamp").cast(bars.schema["timestamp"].dataType)).select(columns)
+    return on_time.unionByName(late).withColumn("form", F.lit("blocks")).unionByName(by_state.withColumn("form", F.lit("state")))
+
+
 # --- models -----------------------------------------------------------------------------------
 
 
@@ -457,7 +508,8 @@ def _(spark, d):
     GROUP BY element""", 6)
 def _(spark, d):
     rows = table(spark, d, "embeddings").select(F.col("embedding").cast("array<double>").alias("e"))
-    matrix = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("e", i * 16 + 1, 16))
-    return forecast.mean_by_element(rows.select(matrix.alias("m")), "m")
+    steps = F.sequence(F.lit(0), F.floor((F.size("e") - 1) / 16))
+    matrix = F.transform(steps, lambda i: F.slice("e", (i * 16 + 1).cast("int"), 16))
+    return forecast.mean_by_element(rows.where(F.size("e") > 0).select(matrix.alias("m")), "m")
 
 
