@@ -146,8 +146,9 @@ def class_weights(train: DataFrame, label: str = "target_trend", key: str = "cod
 
 def prepared_rows(
     bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT, scaled: bool = True,
-) -> DataFrame:
-    """Filled bars to complete feature rows with label, position, row count and scaler.
+) -> tuple[DataFrame, DataFrame]:
+    """Filled bars to complete feature rows with label, position, row count and scaler (L2-L5);
+    returns (rows, stored parameters with a row per block).
 
     The feature frame is written once. Everything a row needs from elsewhere (its position, its
     key's label bounds and scaler) is gathered in one small table with a row per block, so the
@@ -165,20 +166,21 @@ def prepared_rows(
     if scaled:
         train = placed.filter(F.col("complete") & first_share("pos", "n_rows", cfg.train_ratio))
         params = params.join(standard_scaler(train, [*FEATURES, "target_pct_change"], s), s.key)
-    params = params.filter((F.col("n_bars") >= cfg.min_rows) & (F.col("n_rows") >= cfg.window))
-    return (
-        frame.filter("complete").join(stage(params, "parameters"), s.block_keys)
+    params = stage(params.filter((F.col("n_bars") >= cfg.min_rows) & (F.col("n_rows") >= cfg.window)), "parameters")
+    rows = (
+        frame.filter("complete").join(params, s.block_keys)
         .withColumns({
             "pos": F.col("ok_before") + F.col("_ok"),
             "target_trend": _trend(F.col("target_pct_change")),
             **({f"z_{c}": standardise(c) for c in [*FEATURES, "target_pct_change"]} if scaled else {}),
         }).drop("complete", "_bar", "_raw", "_ok", "n_bars", "raw_before", "n_raw", "ok_before",
                 "lower_bound", "upper_bound"))
+    return rows, params
 
 
 def labelled_features(bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFrame:
     """Complete feature rows with label, position and row count per key (L2-L4)."""
-    return prepared_rows(bars, s, cfg, scaled=False)
+    return prepared_rows(bars, s, cfg, scaled=False)[0]
 
 
 def scaled_features(rows: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +199,15 @@ def training_windows(
 
     ``exclude_last`` leaves out each key's final window, as the published results do.
     """
-    rows = prepared_rows(bars, s, cfg)
+    return windows_and_scaler(bars, s, cfg, exclude_last)[0]
+
+
+def windows_and_scaler(
+    bars: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT, exclude_last: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`training_windows` and the scaler they were made with, a row per key."""
+    rows, params = prepared_rows(bars, s, cfg)
+    scaler = params.select(s.key, *[f"{k}_{c}" for c in [*FEATURES, "target_pct_change"] for k in ("mean", "std")]).distinct()
     slim = rows.select(
         s.key, BLOCK, s.time, "pos", "n_rows", "close", "target_pct_change", "target_trend",
         F.col("z_target_pct_change").alias("target_scaled"),
@@ -205,7 +215,7 @@ def training_windows(
         F.col("std_target_pct_change").alias("target_std"),
         *[F.col(f"z_{c}").alias(c) for c in FEATURES])
     seq = sequences(slim, FEATURES, cfg.window, s).drop(*FEATURES)
-    return number_windows(seq, cfg, exclude_last)
+    return number_windows(seq, cfg, exclude_last), scaler
 
 
 def number_windows(seq: DataFrame, cfg: Settings = DEFAULT, exclude_last: bool = True) -> DataFrame:

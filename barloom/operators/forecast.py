@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -15,12 +14,9 @@ from pyspark.sql import functions as F
 
 from barloom.operators.features import class_weights
 from barloom.operators.metrics import total_loss
-from barloom.operators.series import DAILY, Series, attach
+from barloom.operators.series import DAILY, Series, attach, measured
 from barloom.settings import DEFAULT, FEATURES, TREND_NAMES, Settings
 
-# Width of the hashed one-hot encoding of the code: bounded however many codes there are.
-CODE_BUCKETS = 256
-
 
 def ar1_parameters(
     df: DataFrame, x: str = "close_pct_change", y: str = "target_pct_change", key: str = "code",
@@ -78,74 +74,72 @@ def trend_name(label: Column) -> Column:
     return F.element_at(F.create_map(*pairs), label.cast("int"))
 
 
-def model_rows(windows: DataFrame, key: str = "code") -> DataFrame:
-    """Flattened window as a vector next to a hashed one-hot code."""
+def model_rows(windows: DataFrame) -> DataFrame:
+    """Flattened window as a vector. Targets are scaled per code, so the code itself is no feature."""
     flat = F.flatten(F.transform("window", lambda r: F.array(*[r[c] for c in FEATURES])))
     return windows.withColumn("flat", array_to_vector(flat)).drop("window")
 
 
 @dataclass(frozen=True)
 class Candidate:
-    """One point of the tuning grid."""
+    """One point of the tuning grid, with the solvers' limits."""
 
     regularisation: float = 0.01
     trees: int = 0  # 0: linear regression, else gradient-boosted trees
+    depth: int = 4
+    regressor_steps: int = 50
+    classifier_steps: int = 30
 
 
-def _code_stages(key: str) -> list:
-    return [
-        FeatureHasher(inputCols=[key], outputCol="code_vec", numFeatures=CODE_BUCKETS, categoricalCols=[key]),
-        VectorAssembler(inputCols=["flat", "code_vec"], outputCol="features"),
-    ]
-
-
-def fit_regressor(rows: DataFrame, candidate: Candidate = Candidate(), key: str = "code") -> PipelineModel:
+def fit_regressor(rows: DataFrame, candidate: Candidate = Candidate()) -> PipelineModel:
     """One distributed fit over all keys of the scaled next change (F1)."""
     if candidate.trees:
         model = GBTRegressor(
-            featuresCol="features", labelCol="target_scaled", maxIter=candidate.trees, maxDepth=4, seed=42)
+            featuresCol="flat", labelCol="target_scaled", maxIter=candidate.trees, maxDepth=candidate.depth, seed=42)
     else:
         model = LinearRegression(
-            featuresCol="features", labelCol="target_scaled", regParam=candidate.regularisation,
-            elasticNetParam=0.0, solver="l-bfgs", maxIter=50)
-    return Pipeline(stages=[*_code_stages(key), model]).fit(rows)
+            featuresCol="flat", labelCol="target_scaled", regParam=candidate.regularisation,
+            elasticNetParam=0.0, solver="l-bfgs", maxIter=candidate.regressor_steps)
+    return Pipeline(stages=[model]).fit(rows)
 
 
-def fit_classifier(rows: DataFrame, candidate: Candidate = Candidate(), key: str = "code") -> PipelineModel:
+def fit_classifier(rows: DataFrame, candidate: Candidate = Candidate()) -> PipelineModel:
     """Three-class trend model, rows weighted by balanced class weight (F2)."""
     model = LogisticRegression(
-        featuresCol="features", labelCol="target_trend", weightCol="class_weight",
-        regParam=candidate.regularisation, maxIter=30, family="multinomial",
+        featuresCol="flat", labelCol="target_trend", weightCol="class_weight",
+        regParam=candidate.regularisation, maxIter=candidate.classifier_steps, family="multinomial",
         predictionCol="predicted_trend", probabilityCol="class_probability", rawPredictionCol="class_score")
-    return Pipeline(stages=[*_code_stages(key), model]).fit(rows)
+    return Pipeline(stages=[model]).fit(rows)
 
 
 def weighted_rows(rows: DataFrame, s: Series = DAILY) -> DataFrame:
     """Add each row's balanced class weight; weights come from the training windows only.
 
-    The lookup joins on (key, block, label): three rows per block, never a hot key.
+    Three rows a key: broadcast where their measured size allows, else joined on (key, block,
+    label), so that no hot key meets in one task. Only key, split and label are read for them.
     """
-    weights = class_weights(rows.filter(F.col("split") == "train"), key=s.key)
-    spread = rows.select(*s.block_keys).distinct().join(
-        weights.select(s.key, "target_trend", "class_weight"), s.key)
+    weights = class_weights(rows.filter(F.col("split") == "train").select(s.key, "target_trend"), key=s.key)
+    weights, small = measured(weights.select(s.key, "target_trend", "class_weight"))
+    if small:
+        return rows.join(F.broadcast(weights), [s.key, "target_trend"], "left").fillna(1.0, ["class_weight"])
+    spread = rows.select(*s.block_keys).distinct().join(weights, s.key)
     return rows.join(spread, [*s.block_keys, "target_trend"], "left").fillna(1.0, ["class_weight"])
 
 
 def score(rows: DataFrame, regressor: PipelineModel, classifier: PipelineModel) -> DataFrame:
-    drop = ("features", "code_vec")
-    out = classifier.transform(regressor.transform(rows).drop(*drop)).drop(*drop)
+    out = classifier.transform(regressor.transform(rows))
     return out.withColumn("probability", vector_to_array("class_probability")).withColumn(
         "predicted_trend", argmax_label(F.col("probability"))).drop("class_probability", "class_score")
 
 
 def tune(
-    rows: DataFrame, grid: Iterable[Candidate], key: str = "code", cfg: Settings = DEFAULT,
+    rows: DataFrame, grid: Iterable[Candidate], cfg: Settings = DEFAULT,
 ) -> tuple[Candidate, PipelineModel, PipelineModel, list[float]]:
     """Fit each candidate on train rows and keep the lowest total loss on validation rows."""
     train, val = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "val")
     best, losses = None, []
     for candidate in grid:
-        models = fit_regressor(train, candidate, key), fit_classifier(train, candidate, key)
+        models = fit_regressor(train, candidate), fit_classifier(train, candidate)
         loss = total_loss(score(val, *models), cfg=cfg).first()["total_loss"]
         losses.append(loss)
         if best is None or loss < best[0]:

@@ -69,8 +69,12 @@ def total_loss(
     weight: str = "class_weight", actual: str = "target_scaled", predicted: str = "prediction",
     cfg: Settings = DEFAULT,
 ) -> DataFrame:
-    """1 * MSE + 5 * class-weighted cross entropy as a one-row table (M6)."""
-    p = F.element_at(F.col(probabilities), (F.col(label) + 1).cast("int"))
+    """1 * MSE + 5 * class-weighted cross entropy as a one-row table (M6).
+
+    A class that the model never saw has probability 0, which counts as the floor 1e-300 (a loss of
+    691 for the row), so the loss stays a number.
+    """
+    p = F.coalesce(F.try_element_at(F.col(probabilities), (F.col(label) + 1).cast("int")), F.lit(0.0))
     ce = -F.log(F.greatest(p, F.lit(1e-300)))
     sq = (F.col(actual) - F.col(predicted)) * (F.col(actual) - F.col(predicted))
     return df.agg(

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import stage_measured
+
 BLOCK = "_block"
 HALO = "_halo"
 
@@ -114,14 +116,27 @@ def carry(
     return df.join(states, s.block_keys, "left")
 
 
+# Stored parameters are taken to grow at most this much in memory.
+UNPACKED = 10
+
+
+def measured(params: DataFrame) -> tuple[DataFrame, bool]:
+    """``params`` stored, and whether their measured size allows a broadcast in this session."""
+    table, size = stage_measured(params, "parameters")
+    return table, size * UNPACKED <= params.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def attach(df: DataFrame, s: Series, params: DataFrame, how: str = "inner") -> DataFrame:
     """Join one-row-per-key parameters onto ``df`` without shuffling rows on the key.
 
-    The parameters are first spread over the blocks that exist, so the join key is
-    (key, block) and a hot key stays split; Spark still broadcasts the small side when
-    its measured size allows.
+    The parameters are stored and measured. Below the session's broadcast threshold they are
+    broadcast and ``df`` is read once and not moved. Above it they are spread over the blocks that
+    exist, so the join key is (key, block) and a hot key stays split.
     """
     df = s.blocked(df)
+    params, small = measured(params)
+    if small:
+        return df.join(F.broadcast(params), s.key, how)
     spread = df.select(*s.block_keys).distinct().join(params, s.key, how)
     return df.join(spread, s.block_keys, how)
 

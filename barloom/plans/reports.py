@@ -22,12 +22,13 @@ def prediction_rows(predictions: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def write_results(run: Run, path: str) -> None:
-    """Predictions in one folder per code and the three numbered summaries."""
+    """Predictions in one folder per code and the numbered summaries."""
     rows = prediction_rows(run.predictions)
     rows.write.mode("overwrite").option("header", True).partitionBy("safe_code").csv(f"{path}/by_ticker")
     for name, table in (
         ("all_regression_metrics", run.regression), ("all_classification_metrics", run.classification),
-        ("all_strategy_performance", run.strategy),
+        ("all_strategy_performance", run.strategy), ("all_baseline_metrics", run.baseline),
+        ("all_model_comparison", run.comparison),
     ):
         write_csv(summary_table(table), f"{path}/{name}")
 

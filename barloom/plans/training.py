@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators import forecast, metrics
-from barloom.operators.features import training_windows
+from barloom.operators.features import windows_and_scaler
 from barloom.operators.series import DAILY, Series
 from barloom.operators.strategy import strategy_summary
 from barloom.session import stage
@@ -26,19 +26,25 @@ class Run:
     regression: DataFrame
     classification: DataFrame
     strategy: DataFrame
+    baseline: DataFrame
+    comparison: DataFrame
+    scaler: DataFrame
 
 
 def evaluate(scored: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> dict[str, DataFrame]:
-    """Bands from validation residuals, then the three per-code result tables on the test rows."""
+    """Bands from validation residuals, then the per-code result tables on the test rows: the model's,
+    those of the baseline that predicts the last close, and the comparison of both."""
     spread = forecast.residual_spread(
         scored.filter(F.col("split") == "val"), "target_scaled", "prediction", s.key)
     test = forecast.price_band(scored.filter(F.col("split") == "test"), spread, s, cfg=cfg)
     signals = test.select(
         s.key, s.time, F.col("close").alias("price"), F.col("actual_price").alias("next_price"),
         F.col("predicted_trend").alias("signal"))
+    regression = metrics.regression_metrics(test, "actual_price", "predicted_price", s.key)
+    baseline = metrics.regression_metrics(test, "actual_price", "close", s.key)
     return {
-        "predictions": test,
-        "regression": metrics.regression_metrics(test, "actual_price", "predicted_price", s.key),
+        "predictions": test, "regression": regression, "baseline": baseline,
+        "comparison": metrics.compare_models(regression, baseline, s.key),
         "classification": metrics.classification_metrics(test, "target_trend", "predicted_trend", s.key),
         "strategy": strategy_summary(signals, s, cfg),
     }
@@ -49,9 +55,8 @@ def train(
     cfg: Settings = DEFAULT,
 ) -> Run:
     """Fit, tune and evaluate over every code at once; nothing is collected but the losses."""
-    rows = stage(forecast.model_rows(
-        forecast.weighted_rows(stage(training_windows(bars, s, cfg), "windows"), s)), "model-rows")
-    _, regressor, classifier, losses = forecast.tune(rows, grid, s.key, cfg)
+    windows, scaler = windows_and_scaler(bars, s, cfg)
+    rows = forecast.weighted_rows(stage(forecast.model_rows(windows), "model-rows"), s)
+    _, regressor, classifier, losses = forecast.tune(rows, grid, cfg)
     scored = stage(forecast.score(rows, regressor, classifier).drop("flat"), "scored")
-    tables = evaluate(scored, s, cfg)
-    return Run(regressor, classifier, losses, **tables)
+    return Run(regressor, classifier, losses, **evaluate(scored, s, cfg), scaler=scaler)

@@ -64,12 +64,24 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     Staged tables stay until :func:`clear_stages`, or the end of the :func:`discarding_stages`
     they were made in.
     """
+    return _staged(df, label)[0]
+
+
+def stage_measured(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """:func:`stage`, and the bytes that the stored table takes."""
+    table, path = _staged(df, label)
+    target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    return table, files.getContentSummary(target).getLength()
+
+
+def _staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if getattr(_open, "paths", None) is not None:
         _open.paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

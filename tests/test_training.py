@@ -54,8 +54,7 @@ def test_result_files(spark, run, tmp_path):
 
 
 def test_saved_models_predict_the_same(spark, run, day_bars, tmp_path):
-    labelled = stage(features.labelled_features(day_bars), "labelled")
-    _, scaler = features.scaled_features(labelled)
+    scaler = run.scaler
     forecast.save_models(str(tmp_path), run.regressor, run.classifier, scaler)
     loaded = forecast.load_models(spark, str(tmp_path))
     now = inference.predict_next(inference.last_windows(day_bars, scaler), run.regressor, run.classifier)
@@ -106,3 +105,47 @@ def test_ar1_parameters_and_model_comparison(spark):
         spark.createDataFrame([("A", 1.0)], "code string, rmse double"),
         spark.createDataFrame([("A", 4.0)], "code string, rmse double")).first()
     assert same.reduction == pytest.approx(0.75)
+
+
+def test_the_chosen_candidate_has_the_lowest_validation_loss(spark, day_bars):
+    rows = forecast.weighted_rows(stage(forecast.model_rows(features.training_windows(day_bars)), "rows"))
+    grid = [forecast.Candidate(0.1), forecast.Candidate(1000.0), forecast.Candidate(0.01, classifier_steps=1)]
+    best, _, _, losses = forecast.tune(rows, grid)
+    assert best == grid[int(np.argmin(losses))] and len(losses) == 3
+
+
+def test_run_has_the_scaler_and_a_baseline_on_the_same_rows(run, day_bars):
+    _, scaler = features.scaled_features(stage(features.labelled_features(day_bars), "labelled"))
+    want = {r.code: r.asDict() for r in scaler.collect()}
+    got = {r.code: r.asDict() for r in run.scaler.collect()}
+    assert set(got) == set(want)
+    assert all(got[c][k] == pytest.approx(want[c][k]) for c in got for k in want[c] if k != "code")
+    test = run.predictions.toPandas()
+    both = {r.code: r for r in run.comparison.collect()}
+    for code, g in test.groupby("code"):
+        assert both[code].rmse_base == pytest.approx(np.sqrt(((g.actual_price - g.close) ** 2).mean()))
+
+
+def test_loss_of_a_class_the_model_never_saw(spark):
+    rows = spark.createDataFrame([(2, 1.0, 0.0, 0.0, [0.5, 0.5]), (0, 1.0, 0.0, 0.0, [0.5, 0.5])],
+                                 "target_trend int, class_weight double, target_scaled double, prediction double, probability array<double>")
+    loss = metrics.total_loss(rows).first()
+    assert loss.cross_entropy == pytest.approx((-np.log(1e-300) - np.log(0.5)) / 2) and np.isfinite(loss.total_loss)
+
+
+def test_parameters_join_alike_on_both_sides_of_the_threshold(spark, day_bars):
+    from barloom.operators import clean
+    from barloom.operators.series import DAILY, attach
+
+    codes = spark.createDataFrame([("AAA.VN", "a"), ("ZZZ", "z")], "code string, type string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        got = {}
+        for value in (limit, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            got[value] = sorted(map(tuple, clean.enrich(day_bars, codes).collect()), key=str)
+        assert got[limit] == got["-1"] and len(got[limit]) == day_bars.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plan = attach(day_bars, DAILY, codes, "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "hashpartitioning" not in plan  # the bars once, the codes once

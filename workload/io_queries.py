@@ -459,21 +459,38 @@ def _run(spark, d):
     return training.train(staged_day(spark, d), (forecast.Candidate(0.01), forecast.Candidate(1.0)))
 
 
-@query("model_training")
+@query("model_training", f"""
+    SELECT code, count(*) AS n_test, {sig('avg(close * (1 + target_pct_change))', 'mean_actual')}, {sig('sqrt(avg(power(close * target_pct_change, 2)))', 'rmse_base')},
+      true AS in_band, true AS scores_valid
+    FROM windows WHERE split = 'test' GROUP BY code""", sigs=("mean_actual", "rmse_base"))
 def _(spark, d):
+    """What of the result files does not depend on the solver: rows, truth, baseline, and that scores are sound."""
     run = _run(spark, d)
     path = scratch_path(spark, "results")
     reports.write_results(run, path)
-    names = ["all_regression_metrics", "all_classification_metrics", "all_strategy_performance"]
-    tables = [readers.read_csv_inferred(spark, f"{path}/{n}") for n in names]
-    return tables[0].join(tables[1].drop("STT"), "code").join(tables[2].drop("STT"), "code")
-
-
-@query("boosted_regressor")
+    names = ["all_regression_metrics", "all_classification_metrics", "all_strategy_performance", "all_model_comparison"]
+    scores = None
+    for n in names:
+        table_ = readers.read_csv_inferred(spark, f"{path}/{n}").drop("STT")
+        table_ = table_.drop("rmse") if n == "all_model_comparison" else table_
+        scores = table_ if scores is None else scores.join(table_, "code")
+    rows = run.predictions.groupBy("code").agg(
+        F.count(F.lit(1)).alias("n_test"), F.avg("actual_price").alias("mean_actual"),
+        F.sqrt(F.avg(F.pow(F.col("actual_price") - F.col("close"), 2))).alias("rmse_base"),
+        F.bool_and(F.col("predicted_price").between(F.col("lower_price"), F.col("upper_price"))).alias("in_band"))
+    sound = ((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & F.col("accuracy").between(0, 1) & F.col("mcc").between(-1, 1)
+             & (F.col("model_num_trades") >= 0) & (F.abs(F.col("s.rmse_base") - F.col("r.rmse_base")) < 0.01))
+    return rows.alias("r").join(scores.alias("s"), "code").select(
+        "code", "n_test", "mean_actual", F.col("r.rmse_base").alias("rmse_base"), "in_band", sound.alias("scores_valid"))
+
+
+@query("boosted_regressor", f"""
+    SELECT {KEYS}, {rnd('z_target_pct_change', 'target_scaled')}, true AS predicted FROM windows WHERE split = 'test'""", 6)
 def _(spark, d):
     rows = stage(forecast.model_rows(features.training_windows(staged_day(spark, d))), "rows")
     model = forecast.fit_regressor(rows.filter(F.col("split") == "train"), forecast.Candidate(trees=5))
-    return model.transform(rows.filter(F.col("split") == "test")).select("code", "date", "target_scaled", "prediction")
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e6)
+    return model.transform(rows.filter(F.col("split") == "test")).select("code", "date", "target_scaled", finite.alias("predicted"))
 
 
 CTES["last_rows"] = """
@@ -491,15 +508,21 @@ def _(spark, d):
     return rows.select("code", "last_date", "prediction_date", "last_close_price", F.size("window").alias("steps"))
 
 
-@query("next_day_prediction")
+@query("next_day_prediction", """
+    SELECT code, CAST(last_date AS VARCHAR) AS last_date, CAST(last_date + 1 AS VARCHAR) AS prediction_date, last_close_price,
+      true AS named, true AS priced, true AS same_after_loading FROM last_rows""")
 def _(spark, d):
     bars = staged_day(spark, d)
-    _rows, scaler = features.scaled_features(stage(features.labelled_features(bars), "labelled"))
     run = training.train(bars)
     path = scratch_path(spark, "models")
-    forecast.save_models(path, run.regressor, run.classifier, scaler)
+    forecast.save_models(path, run.regressor, run.classifier, run.scaler)
     regressor, classifier, scaler = forecast.load_models(spark, path)
-    return inference.predict_next(inference.last_windows(bars, scaler), regressor, classifier)
+    now = inference.predict_next(inference.last_windows(bars, run.scaler), run.regressor, run.classifier)
+    later = inference.predict_next(inference.last_windows(bars, scaler), regressor, classifier)
+    same = F.col("predicted_price").eqNullSafe(F.col("price_now")) & F.col("predicted_trend").eqNullSafe(F.col("trend_now"))
+    return later.join(now.select("code", F.col("predicted_price").alias("price_now"), F.col("predicted_trend").alias("trend_now")), "code").select(
+        "code", "last_date", "prediction_date", "last_close_price", F.col("predicted_trend").isin("Down", "Neutral", "Up").alias("named"),
+        (F.col("predicted_price").isNotNull() & ~F.isnan("predicted_price")).alias("priced"), same.alias("same_after_loading"))
 
 
 @query("feature_weights", f"""

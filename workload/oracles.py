@@ -154,7 +154,7 @@ CTES = {
           CASE WHEN pos - 14 <= floor((n_rows - 15) * 0.7::DOUBLE) THEN 'train'
             WHEN pos - 14 <= floor((n_rows - 15) * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split
         FROM (SELECT *, count(*) OVER (w ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS in_window,
-            {', '.join(f'first_value(z_{c}) OVER (w ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS first_{c}, sum(z_{c}) OVER (w ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS sum_{c}' for c in ('close_pct_change', 'RSI_14'))}
+            {', '.join(f'first_value(z_{c}) OVER (w ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS first_{c}, sum(z_{c}) OVER (w ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS sum_{c}' for c in FEATURES)}
           FROM scaled {W})
         WHERE in_window = 15 AND pos - 14 <= n_rows - 15""",
     "outcomes": f"""

@@ -18,8 +18,8 @@ from barloom.settings import FEATURES
 from barloom.sources.readers import normalise_dates, union_reports
 from workload.oracles import KEYS, SCALE, W, full, rnd, sig, sql
 from workload.tables import (
-    PRICES, bars_day, bars_intraday, code_list, dirty_day, outcomes, shaped, staged_day, staged_intraday,
-    table, with_nulls,
+    PRICES, bars_by_supplier, bars_day, bars_intraday, code_list, dirty_day, outcomes, shaped, staged_day, staged_intraday,
+    table, with_copies, with_nulls,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,6 +414,38 @@ def _(spark, d):
     return add_indicators(staged_intraday(spark, d), INTRADAY).select("code", "timestamp", *INDICATORS)
 
 
+# --- many codes -------------------------------------------------------------------------------
+
+
+def by_supplier(name: str, oracle: str, digits: int | None = None, sigs: tuple[str, ...] = ()):
+    """A query over supplier bars; its oracle is that for flags with another code."""
+    def register(fn: Query) -> Query:
+        query(name, oracle, digits, sigs)(fn)
+        ORACLES[name] = ORACLES[name].replace("l_returnflag", "CAST(l_suppkey AS VARCHAR)")
+        return fn
+
+    return register
+
+
+@by_supplier("forward_fill_by_supplier", f"SELECT {KEYS}, {OHLCV} FROM filled_day")
+def _(spark, d):
+    bars = with_copies(with_nulls(bars_by_supplier(spark, d)))
+    return windows.forward_fill(stage(clean.dedupe(bars), "clean"), PRICES)
+
+
+@by_supplier("rolling_statistics_by_supplier", f"""
+    SELECT {KEYS}, {', '.join(f'{rnd(full(ROLL_FN[f], c, k), n)}' for n, (f, c, k) in ROLL.items())}
+    FROM null_day {W}""", 6)
+def _(spark, d):
+    return windows.rolling(with_nulls(bars_by_supplier(spark, d)), ROLL).select("code", "date", *ROLL)
+
+
+@by_supplier("indicator_set_by_supplier", "SELECT " + KEYS + ", " + ", ".join(
+    rnd(c, digits=4) if c in ("MACD", "BB_lower") else sig(c) for c in INDICATORS) + " FROM indicators", 4, tuple(c for c in INDICATORS if c not in ("MACD", "BB_lower")))
+def _(spark, d):
+    return add_indicators(bars_by_supplier(spark, d)).select("code", "date", *INDICATORS)
+
+
 # --- training sets ----------------------------------------------------------------------------
 
 
@@ -512,15 +544,14 @@ def _(spark, d):
 
 
 @query("training_windows", f"""
-    SELECT {KEYS}, window_no, n_windows, split, target_trend, {rnd('close')},
-      {rnd('z_target_pct_change', 'target_scaled')}, {rnd('first_close_pct_change', 'first_change')},
-      {rnd('sum_RSI_14', 'sum_rsi')} FROM windows""", 6)
+    SELECT {KEYS}, window_no, n_windows, split, target_trend, {rnd('close')}, {rnd('z_target_pct_change', 'target_scaled')},
+      {', '.join(f"{rnd(f'first_{c}')}, {rnd(f'sum_{c}')}" for c in STEADY)} FROM windows""", 6)
 def _(spark, d):
     rows = features.training_windows(staged_day(spark, d))
-    total = F.aggregate("window", F.lit(0.0), lambda a, r: a + r["RSI_14"])
+    first = [F.col("window")[0][c].alias(f"first_{c}") for c in STEADY]
+    totals = [F.aggregate("window", F.lit(0.0), lambda a, r: a + r[c]).alias(f"sum_{c}") for c in STEADY]
     return rows.select(
-        "code", "date", "window_no", "n_windows", "split", "target_trend", "close", "target_scaled",
-        F.col("window")[0]["close_pct_change"].alias("first_change"), total.alias("sum_rsi"))
+        "code", "date", "window_no", "n_windows", "split", "target_trend", "close", "target_scaled", *first, *totals)
 
 
 @query("split_sizes", "SELECT code, split, count(*) AS n FROM windows GROUP BY code, split")

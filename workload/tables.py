@@ -39,6 +39,12 @@ def bars_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         "1 day", line_rank())
 
 
+def bars_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of unit prices per supplier: many codes with short, gappy histories. Stored."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("supplier", F.col("l_suppkey").cast("string"))
+    return stage(bars_from_ticks(lines, "supplier", "l_shipdate", unit_price(), F.col("l_quantity"), "1 day", line_rank()), "suppliers")
+
+
 def bars_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute bars of event values per event type."""
     return bars_from_ticks(
