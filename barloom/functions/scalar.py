@@ -12,12 +12,6 @@ def safe_key(code: str | Column) -> Column:
                      F.lit("^"), F.lit(""))
 
 
-def finite(x: Column) -> Column:
-    """NaN and infinities to NULL."""
-    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
-
-
-
 def next_day(date: str | Column) -> Column:
     return F.date_add(date, 1)
 

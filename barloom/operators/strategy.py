@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.series import DAILY, Series, carry, last_value, plain
-from barloom.operators.windows import running
 from barloom.settings import DEFAULT, DOWN, UP, Settings
 
 
@@ -59,16 +58,22 @@ def growth(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFra
 
 
 def equity_curves(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFrame:
-    """Row-level equity of both strategies and their running peaks."""
-    curve = running(
-        growth(df, s, cfg),
-        {"_m": ("product", "model_growth"), "_h": ("product", "hold_growth")}, s,
-    ).withColumns({"model_equity": cfg.capital * F.col("_m"), "hold_equity": cfg.capital * F.col("_h")})
-    peaks = running(curve, {"_pm": ("max", "model_equity"), "_ph": ("max", "hold_equity")}, s)
-    return plain(peaks.withColumns({
-        "model_peak": F.greatest(F.col("_pm"), F.lit(cfg.capital)),
-        "hold_peak": F.greatest(F.col("_ph"), F.lit(cfg.capital)),
-    }).drop("_m", "_h", "_pm", "_ph"))
+    """Row-level equity of both strategies and their running peaks.
+
+    Product and peak of a block travel in one summary and come back in one join.
+    """
+    upto, sides = s.local.rowsBetween(Window.unboundedPreceding, 0), ("hold", "model")
+    rows = growth(df, s, cfg).withColumns({f"_c_{x}": F.product(F.col(f"{x}_growth")).over(upto) for x in sides})
+    rows = rows.withColumns({f"_p_{x}": F.max(f"_c_{x}").over(upto) for x in sides})
+    blocks = rows.groupBy(*s.block_keys).agg(
+        *[F.product(F.col(f"{x}_growth")).alias(f"_end_{x}") for x in sides], *[F.max(f"_c_{x}").alias(f"_top_{x}") for x in sides])
+    blocks = blocks.withColumns({f"_in_{x}": F.coalesce(F.product(F.col(f"_end_{x}")).over(s.before), F.lit(1.0)) for x in sides})
+    blocks = blocks.withColumns({
+        f"_peak_{x}": F.coalesce(F.max(F.col(f"_in_{x}") * F.col(f"_top_{x}")).over(s.before), F.lit(1.0)) for x in sides})
+    out = rows.join(blocks.select(*s.block_keys, *[f"_{k}_{x}" for x in sides for k in ("in", "peak")]), s.block_keys)
+    out = out.withColumns({f"{x}_equity": cfg.capital * (F.col(f"_in_{x}") * F.col(f"_c_{x}")) for x in sides} | {
+        f"{x}_peak": cfg.capital * F.greatest(F.lit(1.0), F.col(f"_peak_{x}"), F.col(f"_in_{x}") * F.col(f"_p_{x}")) for x in sides})
+    return plain(out).drop(*[f"_{k}_{x}" for x in sides for k in ("c", "p", "in", "peak")])
 
 
 def strategy_summary(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFrame:

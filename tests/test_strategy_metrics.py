@@ -28,21 +28,25 @@ def outcome_rows(seed, sizes=(("A", 300), ("FLAT", 40), ("ONE", 1), ("TWO", 2),
     return out
 
 
-def ledger(rows):
-    """Cash-and-shares bookkeeping of one code, trade by trade."""
-    price, final, signal = [r[2] for r in rows], rows[-1][3], [r[4] for r in rows]
-    cash, shares, trades, values = CAPITAL, 0.0, 0, [CAPITAL]
-    for p, wish in list(zip(price, signal))[:-1]:
-        if wish == 2 and shares == 0:
-            shares, cash, trades = cash * (1 - FEE) / p, 0.0, trades + 1
-        elif wish == 0 and shares > 0:
-            cash, shares, trades = shares * p * (1 - FEE), 0.0, trades + 1
-        values.append(cash + shares * p)
-    if shares:
-        cash, trades = shares * final * (1 - FEE), trades + 1
-    values.append(cash)
-    units = CAPITAL * (1 - FEE) / price[0]
-    return values, trades, [CAPITAL] + [units * p for p in price], units * final * (1 - FEE)
+# Worked by hand, in units of the capital and with the fee rate f = 0.001, k = 1 - f. Each case: prices, last
+# next price, signals; the strategy's value after each row, its end, its trades; buy and hold after each row.
+K = 1 - FEE
+HAND = {
+    "ROUND": ([100, 110, 99, 120], 132, [2, 1, 0, 1],
+              [K, 1.1 * K, 0.99 * K * K, 0.99 * K * K], 0.99 * K * K, 2, [K, 1.1 * K, 0.99 * K, 1.2 * K]),
+    "OPEN": ([50, 40, 80], 100, [1, 2, 2],  # bought at 40, carried past the last signal, closed at 100
+             [1, K, 2.5 * K * K], 2.5 * K * K, 2, [K, 0.8 * K, 1.6 * K]),
+    "NEVER": ([10, 20], 5, [0, 2], [1, 1], 1, 0, [K, 2 * K]),  # the last signal is not acted on
+    "TWICE": ([10, 20, 10, 30], 30, [2, 0, 2, 1],
+              [K, 2 * K * K, 2 * K**3, 6 * K**4], 6 * K**4, 4, [K, 2 * K, K, 3 * K]),
+}
+
+
+def hand_rows():
+    day = pd.Timestamp("2020-01-01")
+    return [(code, (day + pd.Timedelta(3 * i, "D")).date(), float(p), float(n), g)
+            for code, (prices, last, signals, *_) in HAND.items()
+            for i, (p, n, g) in enumerate(zip(prices, [*prices[1:], last], signals))]
 
 
 def drawdown(values):
@@ -56,27 +60,43 @@ def sharpe(values):
     return 0.0 if r.std() == 0 else r.mean() / r.std() * math.sqrt(252)
 
 
-@pytest.mark.parametrize("rows", [1, 7, 512])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_summary_equals_a_ledger(spark, rows, seed):
-    data = outcome_rows(seed)
-    df = spark.createDataFrame(data, "code string, date date, price double, next_price double, signal int").repartition(3)
+OUTCOME = "code string, date date, price double, next_price double, signal int"
+
+
+@pytest.mark.parametrize("rows", [1, 2, 512])
+def test_hand_worked_cases(spark, rows):
+    df = spark.createDataFrame(hand_rows(), OUTCOME).repartition(3)
     s = DAILY.with_block_rows(rows)
     got = {r.code: r for r in strategy_summary(df, s).collect()}
     curves = collected(equity_curves(df, s))
-    assert set(got) == {"A", "FLAT", "TWO", "UP"}  # one row cannot be traded
-    for code, r in got.items():
-        model, trades, hold, hold_final = ledger([x for x in data if x[0] == code])
-        near = lambda x: pytest.approx(x, rel=1e-9, abs=1e-7)
+    near = lambda x: pytest.approx(x, rel=1e-12, abs=1e-9)
+    for code, (prices, last, _, model, end, trades, hold) in HAND.items():
+        r, mine = got[code], curves[curves.code == code]
+        hold_end = K * last / prices[0] * K
         assert r.model_num_trades == trades
-        assert (r.model_final_value, r.hold_final_value) == (near(model[-1]), near(hold_final))
-        assert (r.model_return_pct, r.hold_return_pct) == (near((model[-1] / CAPITAL - 1) * 100), near((hold_final / CAPITAL - 1) * 100))
-        assert (r.model_max_drawdown, r.hold_max_drawdown) == (near(drawdown(model)), near(drawdown(hold)))
-        assert (r.model_sharpe_ratio, r.hold_sharpe_ratio) == (near(sharpe(model)), near(sharpe(hold)))
-        mine = curves[curves.code == code]
-        np.testing.assert_allclose(mine.model_equity, model[1:], rtol=1e-9)
-        np.testing.assert_allclose(mine.hold_equity, hold[1:], rtol=1e-9)
-        assert (mine.model_equity > 0).all() and (mine.model_peak >= mine.model_equity - 1e-6).all()
+        assert (r.model_final_value, r.hold_final_value) == (near(CAPITAL * end), near(CAPITAL * hold_end))
+        assert (r.model_return_pct, r.hold_return_pct) == (near((end - 1) * 100), near((hold_end - 1) * 100))
+        assert (r.model_max_drawdown, r.hold_max_drawdown) == (near(drawdown([1, *model])), near(drawdown([1, *hold])))
+        assert (r.model_sharpe_ratio, r.hold_sharpe_ratio) == (near(sharpe([1, *model])), near(sharpe([1, *hold])))
+        np.testing.assert_allclose(mine.model_equity, CAPITAL * np.array(model), rtol=1e-12)
+        np.testing.assert_allclose(mine.hold_equity, CAPITAL * np.array(hold), rtol=1e-12)
+        np.testing.assert_allclose(mine.model_peak, CAPITAL * np.maximum.accumulate([1, *model])[1:], rtol=1e-12)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blocks_of_any_size_give_the_same(spark, seed):
+    df = spark.createDataFrame(outcome_rows(seed), OUTCOME).repartition(3)
+    tables = []
+    for rows in (1, 7, 512):
+        s = DAILY.with_block_rows(rows)
+        curves = collected(equity_curves(df, s))
+        assert (curves.model_equity > 0).all() and (curves.model_peak >= curves.model_equity - 1e-6).all()
+        summary = strategy_summary(df, s).toPandas().sort_values("code").reset_index(drop=True)
+        assert set(summary.code) == {"A", "FLAT", "TWO", "UP"}  # one row cannot be traded
+        tables.append((curves[["model_equity", "hold_equity", "model_peak", "hold_peak"]], summary.drop(columns="code")))
+    for curves, summary in tables[1:]:
+        np.testing.assert_allclose(curves, tables[0][0], rtol=1e-9)
+        np.testing.assert_allclose(summary.astype(float), tables[0][1].astype(float), rtol=1e-9, atol=1e-7)
 
 
 def test_regression_and_classification(spark):
