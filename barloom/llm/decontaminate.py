@@ -2,9 +2,10 @@
 
 The test set is turned into distinct normalised word windows. They are broadcast in blocks of a fixed
 number of rows, so a broadcast never exceeds ``block_windows`` windows however large the test set is.
-Documents are split into words once per block, every window of a document is hashed, looked up in the
-broadcast hash table, and a hit is verified word by word. Only hits and one row per document are
-shuffled. Everything is SQL expressions.
+Documents are split into words once per block, every window of a document is hashed and looked up in the
+broadcast hash table. Hits are verified word by word in a second read of the documents that have any; the
+words of a document are never copied for each of its windows, so the work is linear in its length. Only
+hits and one row per document are shuffled. Everything is SQL expressions.
 
 Defined results: a null text has no words; an item or document without words never matches; repeated
 rows each get their own result; items that repeat an id count once; a null item id is written ``null``.
@@ -17,9 +18,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.session import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same words in a text whose capitals are still there
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where it is used for each element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def word_list(text: Column) -> Column:
@@ -68,66 +77,71 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
     windows = benchmark_windows(benchmark, n, item_col, item_text_col)
     total, lengths = windows.agg(F.count("*"), F.collect_set("length")).first()  # at most n lengths
     blocks = max(1, -(-total // block_windows))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"),
-                       word_list(F.col(text_col)).alias("words")).withColumn(
-        "hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    words = word_list(F.col(text_col))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
     for block in range(blocks):
         part = windows.where(F.pmod(F.col("hash"), F.lit(blocks)) == block) if blocks > 1 else windows
-        hits = _hits(base, part, sorted(lengths), last=block == 0)
+        hits = _hits(base, part, sorted(lengths), count=block == 0)
         found = hits if found is None else found.unionByName(hits)
-    keys = ("doc_id", "text_key")
-    merged = found.groupBy(*keys).agg(
-        F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
-        F.collect_set(F.when(F.col("length").isNotNull(), F.struct("pos", "length"))).alias("spans"),
-        F.flatten(F.collect_set("items")).alias("items"))
-    # a repeated row repeats its hits, so its copies were folded together and are unfolded here
-    return merged.select(
-        *keys, "n_words",
-        F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s.pos, s.pos + s.length - 1))))).alias("hits"),
-        F.array_sort(F.array_distinct("items")).alias("items"),
+    # a repeated row repeats its hits, so its copies are folded together here and unfolded at the end
+    merged = stage(found.groupBy("doc_id", "text_key").agg(
+        F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"), F.collect_set("hit").alias("found")), "found-windows")
+    suspects = merged.where(F.size("found") > 0).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "found")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    read = texts.join(suspects, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
+    real = let(word_list(F.col("text")), lambda w: F.filter("found", lambda h: F.slice(w, h.pos + 1, h.length) == h.gram))
+    verified = read.select("id", "key", real.alias("real"))
+    verified = stage(verified.dropDuplicates(["id", "key"]), "verified-windows")
+    joined = merged.drop("found").join(verified, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    spans = F.transform("real", lambda h: F.sequence(h.pos, h.pos + h.length - 1))
+    return joined.select(
+        "doc_id", "text_key", "n_words",
+        F.coalesce(F.array_sort(F.array_distinct(F.flatten(spans))), F.array().cast("array<int>")).alias("hits"),
+        F.coalesce(F.array_sort(F.array_distinct(F.flatten("real.items"))), F.array().cast("array<string>")).alias("items"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 
-def _hits(base: DataFrame, windows: DataFrame, lengths: list[int], last: bool) -> DataFrame:
-    """A row per hit, and with ``last`` one more row per document that counts it."""
+def _hits(base: DataFrame, windows: DataFrame, lengths: list[int], count: bool) -> DataFrame:
+    """A row per window whose hash occurs, and with ``count`` one more row per document that counts it."""
     hashes = [_window_hashes(F.col("hashes"), k) for k in lengths]
-    if last:
+    if count:
         hashes.append(F.array(F.lit(None).cast("long")))
     if not hashes:
         hashes = [F.array().cast("array<bigint>")]
-    at = base.select("doc_id", "text_key", "words", F.posexplode(F.concat(*hashes)).alias("at", "hash"))
-    joined = at.join(F.broadcast(windows), "hash", "left" if last else "inner")
+    at = base.select("doc_id", "text_key", F.size("hashes").alias("size"), F.posexplode(F.concat(*hashes)).alias("at", "hash"))
+    joined = at.join(F.broadcast(windows), "hash", "left" if count else "inner")
     # where in the joined list of windows a length begins
     begin, pos = F.lit(0), F.lit(None).cast("int")
     for k in lengths:
         pos = F.when(F.col("length") == k, F.col("at") - begin).otherwise(pos)
-        begin = begin + F.greatest(F.size("words") - k + 1, F.lit(0))
-    real = F.col("length").isNotNull() & (F.slice("words", F.coalesce(pos, F.lit(0)) + 1, F.coalesce("length", F.lit(1))) == F.col("gram"))
+        begin = begin + F.greatest(F.col("size") - k + 1, F.lit(0))
     sentinel = F.col("hash").isNull()
-    return joined.where(real | sentinel if last else real).select(
-        "doc_id", "text_key", F.when(sentinel, F.size("words")).alias("n_words"),
-        F.when(sentinel, F.lit(1)).otherwise(0).alias("copies"), F.when(real, pos).alias("pos"),
-        F.when(real, F.col("length")).alias("length"), F.when(real, F.col("items")).alias("items"))
+    hit = F.when(F.col("length").isNotNull(), F.struct(pos.alias("pos"), "length", "gram", "items"))
+    return joined.where(F.col("length").isNotNull() | sentinel).select(
+        "doc_id", "text_key", F.when(sentinel, F.col("size")).alias("n_words"),
+        F.when(sentinel, F.lit(1)).otherwise(0).alias("copies"), hit.alias("hit"))
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
                      **names) -> DataFrame:
     """The rows without any word inside an occurring window; all columns as they came."""
-    hit = scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    hit = stage(scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "hit-documents")  # its size is known before the join
     return docs.join(hit, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.xxhash64(text_col) == F.col("__key")), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
                  **names) -> DataFrame:
     """All rows, without the hit words and the break after each; texts without a hit stay as they are."""
-    hit = scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("hits").alias("__hits")).dropDuplicates(["__id", "__key"])
+    hit = stage(scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("hits").alias("__hits")).dropDuplicates(["__id", "__key"]),
+        "hit-documents")
     text = F.col(text_col)
     words, breaks = F.regexp_extract_all(text, F.lit(WORD), 0), F.split(text, WORD, -1)
-    kept = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.when(
-        ~F.array_contains(F.col("__hits"), i - 1), F.concat(F.element_at(words, i), F.element_at(breaks, i + 1))).otherwise("")))
+    pieces = F.zip_with(words, F.slice(breaks, 2, F.size(breaks) - 1), lambda w, b: F.concat(w, b))
+    kept = let(pieces, lambda p: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("__hits")), lambda i: F.get(p, i)), ""))
     cleaned = F.when(F.col("__hits").isNotNull(), F.concat(F.element_at(breaks, 1), kept)).otherwise(text)
     joined = docs.join(hit, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.xxhash64(text_col) == F.col("__key")), "left")
     return joined.withColumn(text_col, cleaned).select(*[f"`{c}`" for c in docs.columns])
