@@ -32,7 +32,7 @@ from barloom.session import stage
 
 LAST = 2**63 - 1
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that their powers can be undone
-BATCH_WORDS = 2_000_000
+BATCH_WORDS = 1_000_000
 # upto is 0 for an occurrence still to be judged, KNOWN for one that only shows its task judged the rest, else
 # the end of a span of words that is judged already
 FOUND = "hash long, check int, ord long, text_key long, pos int, upto int"
