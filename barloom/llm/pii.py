@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.decontaminate import let
 from barloom.session import stage
 
 #: titles before a name, by gender
@@ -110,13 +111,12 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
-def entities_of(match: Column) -> Column:
+def entities_of(match: Column, kind: Column) -> Column:
     """The entities inside a match, in the form that all spellings share."""
     digits, parts = _digits(match), F.split(match, " ")
     gender = F.when(_male(match), "m").otherwise("f")
     last = _entity(F.concat(F.lit("last_"), gender), F.lower(F.element_at(parts, -1)))
     first = _entity(F.concat(F.lit("first_"), gender), F.lower(F.get(parts, F.lit(1))))
-    kind = _kind(match)
     value = (F.when(kind == "email", F.lower(match)).when(kind.isin("card", "ssn"), digits)
              .when(kind == "phone", F.when(F.length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
              .when(kind == "secret", F.regexp_extract(match, SECRET_PARTS, 2)).otherwise(match))
@@ -126,28 +126,32 @@ def entities_of(match: Column) -> Column:
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """The stand-in of an entity at its nth attempt."""
-    seed = F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 256)
+    return let(F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 256),
+               lambda seed: _made(key, kind, value, attempt, seed))
+
+
+def _made(key: str, kind: Column, value: Column, attempt: Column, seed: Column) -> Column:
     digits = _shaped(value, seed)
     kept_zero = F.concat(F.when(_at(value, F.lit(1)) == "0", "0").otherwise(_pick("23456789", seed, F.lit(1))), F.substr(digits, F.lit(2)))
-    payload = F.concat(_at(value, F.lit(1)), F.substr(digits, F.lit(2), F.length(value) - 2))
-    card = F.concat(payload, F.pmod(-luhn_sum(F.concat(payload, F.lit("0"))), F.lit(10)).cast("string"))
+    card = let(F.concat(_at(value, F.lit(1)), F.substr(digits, F.lit(2), F.length(value) - 2)),
+               lambda p: F.concat(p, F.pmod(-luhn_sum(F.concat(p, F.lit("0"))), F.lit(10)).cast("string")))
     octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: F.when(F.length(o) == 1, 1 + _draw(seed, i, 9)).when(
         F.length(o) == 2, 10 + _draw(seed, i, 90)).otherwise(100 + _draw(seed, i, 155)).cast("string")), ".")
-    domain = F.regexp_extract(value, r"@(.*)\.[^.]*$", 1)
-    email = F.concat(_shaped(F.substring_index(value, "@", 1), seed), F.lit("@"),
-                     _shaped(domain, F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), 256)),
+    domain = let(F.regexp_extract(value, r"@(.*)\.[^.]*$", 1), lambda d: let(
+        F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), d), 256), lambda own: _shaped(d, own)))
+    email = F.concat(let(F.substring_index(value, "@", 1), lambda name: _shaped(name, seed)), F.lit("@"), domain,
                      F.lit("."), F.substring_index(value, ".", -1))
-    hexes = value.rlike("^[0-9a-f]+$")
-    secret = F.when(hexes, _shaped(value, seed, "abcdef")).otherwise(_shaped(value, seed))
+    secret = F.when(value.rlike("^[0-9a-f]+$"), _shaped(value, seed, "abcdef")).otherwise(_shaped(value, seed))
     russian = value.rlike(r"\p{IsCyrillic}")
-    middle = F.transform(F.sequence(F.lit(1), 3 + attempt), lambda i: F.get(F.when(
-        russian, F.array(*map(F.lit, CYRILLIC))).otherwise(F.array(*map(F.lit, LATIN))), _draw(seed, i, len(LATIN))))
+    syllables = F.when(russian, F.array(*map(F.lit, CYRILLIC))).otherwise(F.array(*map(F.lit, LATIN)))
+    middle = let(syllables, lambda all_: F.array_join(F.transform(
+        F.sequence(F.lit(1), 3 + attempt), lambda i: F.get(all_, _draw(seed, i, len(LATIN)))), ""))
     ending = F.lit("")
     for name, (latin, cyrillic) in ENDINGS.items():
         ending = F.when(kind == name, F.when(russian, cyrillic).otherwise(latin)).otherwise(ending)
+    access_key = F.concat(F.left(value, F.lit(4)), let(F.substr(value, F.lit(5)), lambda rest: _shaped(rest, seed)))
     return (F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card).when(kind.isin("phone", "ssn"), kept_zero)
-            .when(kind == "access_key", F.concat(F.left(value, F.lit(4)), _shaped(F.substr(value, F.lit(5)), seed))).when(kind == "secret", secret)
-            .otherwise(F.concat(F.array_join(middle, ""), ending)))
+            .when(kind == "access_key", access_key).when(kind == "secret", secret).otherwise(F.concat(middle, ending)))
 
 
 def _written_like(surface: Column, made: Column) -> Column:
@@ -164,24 +168,25 @@ def _fill_digits(match: Column, made: Column) -> Column:
     return _by_position(F.length(match), each)
 
 
-def render(key: str, match: Column, attempts: Column | None) -> Column:
-    """What stands in a text instead of a match. ``attempts`` maps ``kind:value`` to attempts that are not 0."""
-    found, kind, parts = entities_of(match), _kind(match), F.split(match, " ")
-
+def render(key: str, match: Column, kind: Column, found: Column, attempts: Column | None) -> Column:
+    """What stands in a text instead of a match, given its kind and entities. ``attempts`` maps
+    ``kind:value`` to attempts that are not 0."""
     def made(entity: Column) -> Column:
         attempt = F.lit(0)
         if attempts is not None:
             attempt = F.coalesce(F.try_element_at(attempts, F.concat_ws(":", entity.kind, entity.value)), attempt)
         return surrogate(key, entity.kind, entity.value, attempt)
 
-    stand_ins = F.transform(found, made)
-    only, last = F.get(stand_ins, F.lit(0)), F.element_at(stand_ins, -1)
-    email = _by_position(F.length(match), lambda i: F.when(_at(match, i).between("A", "Z"), F.upper(_at(only, i))).otherwise(_at(only, i)))
-    secret = F.concat(F.regexp_extract(match, SECRET_PARTS, 1), only, F.regexp_extract(match, SECRET_PARTS, 3))
-    name = F.concat_ws(" ", F.get(parts, F.lit(0)), F.when(F.size(parts) > 2, _written_like(F.get(parts, F.lit(1)), only)),
-                       _written_like(F.element_at(parts, -1), last))
-    return (F.when(F.size(found) == 0, match).when(kind == "email", email).when(kind.isin("phone", "card", "ssn"), _fill_digits(match, only))
-            .when(kind == "secret", secret).when(kind == "name", name).otherwise(only))
+    def written(stand_ins: Column) -> Column:
+        parts, only, last = F.split(match, " "), F.get(stand_ins, F.lit(0)), F.element_at(stand_ins, -1)
+        email = _by_position(F.length(match), lambda i: F.when(_at(match, i).between("A", "Z"), F.upper(_at(only, i))).otherwise(_at(only, i)))
+        secret = F.concat(F.regexp_extract(match, SECRET_PARTS, 1), only, F.regexp_extract(match, SECRET_PARTS, 3))
+        name = F.concat_ws(" ", F.get(parts, F.lit(0)), F.when(F.size(parts) > 2, _written_like(F.get(parts, F.lit(1)), only)),
+                           _written_like(F.element_at(parts, -1), last))
+        return (F.when(kind == "email", email).when(kind.isin("phone", "card", "ssn"), _fill_digits(match, only))
+                .when(kind == "secret", secret).when(kind == "name", name).otherwise(only))
+
+    return F.when(F.size(found) == 0, match).otherwise(let(F.transform(found, made), written))
 
 
 def matches(text: Column) -> Column:
@@ -208,20 +213,23 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     """``docs`` with personal data replaced in ``text_col``; ``count_col`` names a column for the number of replacements."""
     text = F.col(text_col)
     hits = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.explode(matches(text)).alias("match"))
-    entities = hits.select("match").distinct().select(F.inline(entities_of(F.col("match")))).distinct()
-    exceptions = assign(entities, key).where("attempt > 0")
+    typed = hits.distinct().withColumn("kind", _kind(F.col("match")))
+    inside = F.inline(entities_of(F.col("match"), F.col("kind")))
+    exceptions = assign(typed.select("match", "kind").distinct().select(inside).distinct(), key).where("attempt > 0")
     attempts, found = None, docs
     if not exceptions.isEmpty():
         attempts = F.col("__attempts")
-        of_doc = hits.distinct().select("id", "text_key", F.inline(entities_of(F.col("match")))).join(exceptions, ["kind", "value"])
+        of_doc = typed.select("id", "text_key", inside).join(exceptions, ["kind", "value"])
         of_doc = of_doc.groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__key")).agg(F.map_from_entries(F.collect_set(
             F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias("__attempts"))
         found = docs.join(of_doc, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key")), "left")
-    found = found.withColumn("__matches", matches(text))
-    parts = F.split(text, ENTITY, -1)
-    stand_ins = F.transform("__matches", lambda m: render(key, m, attempts))
-    new = F.when(F.size("__matches") > 0, F.concat(F.get(parts, F.lit(0)), F.array_join(F.zip_with(
-        stand_ins, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s, p: F.concat(s, p)), ""))).otherwise(text)
-    count = F.size(F.filter("__matches", lambda m: F.size(entities_of(m)) > 0))
+    kinds = F.transform(matches(text), lambda m: F.struct(m.alias("match"), _kind(m).alias("kind")))
+    found = found.withColumn("__matches", F.transform(kinds, lambda t: F.struct(
+        t.match.alias("match"), t.kind.alias("kind"), entities_of(t.match, t.kind).alias("found"))))
+    stand_ins = F.transform("__matches", lambda t: render(key, t.match, t.kind, t.found, attempts))
+    joined = let(F.split(text, ENTITY, -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.zip_with(
+        stand_ins, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s, p: F.concat(s, p)), "")))
+    new = F.when(F.size("__matches") > 0, joined).otherwise(text)
+    count = F.size(F.filter("__matches", lambda t: F.size(t.found) > 0))
     columns = [F.col(f"`{c}`") if c != text_col else new.alias(c) for c in docs.columns]
     return found.select(*columns, *([count.alias(count_col)] if count_col else []))
