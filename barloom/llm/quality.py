@@ -6,7 +6,7 @@ over one feature's bins to that feature's lookup table. The strongest pairs, by
 four-way cut of what is left to explain, get two-dimensional tables in the same way. A score is the sum of
 the looked-up values, put through the logistic function.
 
-The model is fitted on the driver to at most ``sample`` labelled rows (those with the smallest id hashes).
+The model is fitted on the driver to about ``sample`` labelled rows (by the hashes of their ids).
 Features are computed where the rows lie; only they are joined with the labels, never the texts.
 
 Defined results: a null text is empty and has a score; ids whose labels disagree count as their largest
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.sampling import hashed_sample
 from barloom.session import stage
 
 FEATURES = ["log_words", "word_length", "capitals", "digits", "symbols", "pipes", "accents", "distinct_words", "commonest_word",
@@ -190,9 +191,10 @@ def fit(table: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
     """A model of the labelled rows of a feature table that are not held out."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("doc_id")).agg(
         F.max(label_col).cast("double").alias("label")).where(~held_out())
-    rows = table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "features").limit(sample).select("features", "label").toPandas()
+    rows = hashed_sample(table.join(known, "doc_id"), ["doc_id"], sample).select("features", "label").toPandas()
     x = np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
-    return fit_model(x, rows["label"].to_numpy(float), **options)
+    order = np.lexsort(x.T)  # sums, and so the model, do not depend on the order of arrival
+    return fit_model(x[order], rows["label"].to_numpy(float)[order], **options)
 
 
 def score_column(model: Model, text: Column) -> Column:
