@@ -5,8 +5,8 @@ A fingerprint has 64 bits. Two fingerprints at most ``max_bits`` apart agree on
 inside the group, where linked fingerprints are equally far from every vantage point, so no link
 crosses a boundary there. Once a group no longer splits the sample, nodes measure the distance of whole
 fingerprints, and the triangle bound sends a fingerprint to both sides of a boundary that lies within
-``max_bits`` of it. The trees are fitted on the driver to ``sample`` distinct fingerprints (the ones with
-the smallest hashes), so they have a fixed largest size; every fingerprint is routed and every pair of
+``max_bits`` of it. The trees are fitted on the driver to about ``sample`` distinct fingerprints (chosen by
+their hashes), so their size does not grow with the data; every fingerprint is routed and every pair of
 each shard compared.
 
 A shard of more than ``block`` fingerprints is cut into blocks, and pairs of blocks are compared in
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.graph import components
+from barloom.llm.sampling import hashed_sample
 from barloom.session import stage
 
 BITS = 64
@@ -160,8 +161,8 @@ def links(reps: DataFrame, max_bits: int = 4, groups: int | None = None, sample:
     ``reps`` has distinct ``fp``. More ``groups`` than ``max_bits + 1`` make more and finer trees.
     """
     spark = reps.sparkSession
-    drawn = reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    forest = Forest(drawn, groups or max_bits + 1, max_bits, leaf)
+    drawn = hashed_sample(reps.select("fp"), ["fp"], sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    forest = Forest(np.sort(drawn), groups or max_bits + 1, max_bits, leaf)
     shared = spark.sparkContext.broadcast(forest)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +205,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, that with the smallest id (null last, then the smallest text hash); all columns as they came."""
-    classes = near_duplicates(docs, id_col, text_col, **options)
+    classes = stage(near_duplicates(docs, id_col, text_col, **options), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
-    kept = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"))
-    key = F.xxhash64(text_col)
-    joined = docs.withColumn("__text_key", key).join(
+    kept = stage(classes.groupBy("root").agg(F.min(order).alias("k")).select(
+        F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key")), "kept")
+    same = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key"))
+    repeated = classes.groupBy("doc_id", "text_key").count().where("count > 1").join(kept, same, "left_semi")
+    joined = docs.withColumn("__text_key", F.xxhash64(text_col)).join(
         kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")))
-    return joined.dropDuplicates(["__id", "__key"]).select(*[f"`{c}`" for c in docs.columns])
+    if not repeated.isEmpty():  # a kept row that the table holds more than once
+        joined = joined.dropDuplicates(["__id", "__key"])
+    return joined.select(*[f"`{c}`" for c in docs.columns])
