@@ -1,10 +1,10 @@
 """Toxicity severity by cumulative-link ordinal regression over sparse text features.
 
-Features are words and their runs of four and five letters, hashed into ``SPACE`` numbers; the ``keep``
-numbers that set toxic training texts apart best are used. One weight vector is shared by all severity
+Features are the runs of four and five bytes inside words, the break before a word counting as a byte
+(lower case where ASCII), hashed into ``SPACE`` numbers; the ``keep`` numbers that set toxic training texts apart best are used. One weight vector is shared by all severity
 thresholds: P(grade > k) = logistic(w.x - t_k) with rising t_k, and the expected severity is the sum of these.
 
-The model is fitted on the driver to at most ``sample`` labelled rows (those with the smallest id hashes);
+The model is fitted on the driver to about ``sample`` labelled rows (by the hashes of their ids);
 only hashed counts of the sample reach it, at most ``SPACE`` totals and ``keep`` numbers a row. The sampled
 labels are broadcast, so texts are never shuffled.
 
@@ -18,62 +18,62 @@ and ids are not learned from; without toxic labels every severity is 0; rows may
 
 from __future__ import annotations
 
-import functools
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.quality import held_out
+from barloom.llm.sampling import hashed_sample
 
 SPACE = 1 << 20
-CACHE_WORDS = 200_000
-WORD = re.compile(r"\w+")
-
-
-def word_features(word: str) -> set[int]:
-    """Hashed features of one word: itself and its runs of four and five letters."""
-    parts = {f"={word}"} | {word[i:i + n] for n in (4, 5) for i in range(len(word) - n + 1)}
-    return {xxhash.xxh32_intdigest(p) % SPACE for p in parts}
-
-
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+RUNS = (4, 5)
+LEAST = 3  # toxic texts that must hold a feature
+IN_WORD = np.zeros(256, bool)
+IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashed runs of a text, the word that each lies in, and the number of words."""
+    data = np.frombuffer(b" " + (text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    inside = IN_WORD[data]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    word = np.cumsum(starts)
+    wide = np.where(inside, data, 32).astype(np.uint64)
+    code, hashes, words = wide, [], []
+    for n in range(2, max(RUNS) + 1):
+        if len(data) < n:
+            break
+        code = code[:-1] | wide[n - 1:] << np.uint64(8 * (n - 1))
+        if n in RUNS:  # all bytes but perhaps the first, then a break, lie in one word
+            at = np.flatnonzero(inside[1:len(code) + 1] & inside[n - 1:] & (word[1:len(code) + 1] == word[n - 1:]))
+            hashes.append(((code[at] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64))
+            words.append(word[n - 1:][at])
+    if not hashes:
+        return np.empty(0, np.int64), np.empty(0, np.int64), int(starts.sum())
+    return np.concatenate(hashes), np.concatenate(words), int(starts.sum())
 
 
 class Lookup:
-    """Positions of the chosen features in a word, remembered for the last words seen."""
+    """Positions of the chosen features by hash."""
 
     def __init__(self, chosen: np.ndarray):
-        self.at = {int(f): i for i, f in enumerate(chosen)}
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, word: str) -> tuple[int, ...]:
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) >= CACHE_WORDS:
-                self.seen.clear()
-            found = self.seen[word] = tuple(sorted(self.at[f] for f in word_features(word) if f in self.at))
-        return found
-
-    def vector(self, text: str | None) -> tuple[list[int], list[float], int, int]:
+        self.at = np.full(SPACE, -1, np.int32)
+        self.at[chosen] = np.arange(len(chosen))
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int, int]:
         """Feature positions and values of a text, its words, and how many of them hold a feature."""
-        words = words_of(text)
-        counts: Counter = Counter()
-        marked = 0
-        for word, n in Counter(words).items():
-            if found := self(word):
-                marked += n
-                for f in found:
-                    counts[f] += n
-        return list(counts), [float(np.log1p(c)) for c in counts.values()], len(words), marked
+        hashes, words, total = runs_of(text)
+        found = self.at[hashes]
+        held = found >= 0
+        at, counts = np.unique(found[held], return_counts=True)
+        return at, np.log1p(counts), total, len(np.unique(words[held]))
 
 
 @dataclass
@@ -89,7 +89,7 @@ class Model:
         if not len(self.thresholds):
             return np.zeros(1)
         at, values, words, _ = lookup.vector(text)
-        total = float(np.dot(self.weights[at], values)) + self.weights[-1] * np.log1p(words) if at or words else 0.0
+        total = float(self.weights[at] @ values + self.weights[-1] * np.log1p(words))
         return 1 / (1 + np.exp(-np.clip(total - self.thresholds, -500, 500)))
 
 
@@ -141,7 +141,7 @@ def _choose(positive: np.ndarray, negative: np.ndarray, n_pos: int, n_neg: int,
     """Features with the largest log-odds, damped where few texts hold them; only those that speak for toxicity."""
     odds = np.log((positive + 0.5) / (n_pos - positive + 0.5)) - np.log((negative + 0.5) / (n_neg - negative + 0.5))
     error = np.sqrt(1 / (positive + 0.5) + 1 / (negative + 0.5))
-    z = np.where(positive >= 3, odds / error, 0.0)
+    z = np.where(positive >= LEAST, odds / error, 0.0)
     best = np.argsort(-z, kind="stable")[:keep]
     return np.sort(best[z[best] > 3])
 
@@ -149,25 +149,25 @@ def _choose(positive: np.ndarray, negative: np.ndarray, n_pos: int, n_neg: int,
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         label_id: str = "doc_id", sample: int = 16_000, keep: int = 3_000) -> Model:
     """A model of the labelled documents that are not held out."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("doc_id")).agg(
-        F.max(label_col).cast("int").alias("label")).where(~held_out()).orderBy(F.xxhash64("doc_id")).limit(sample)
+    known = hashed_sample(labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(
+        F.col(label_id).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label")).where(~held_out()), ["doc_id"], sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id").select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, known_words = np.zeros((2, SPACE + 1), np.int64), functools.lru_cache(CACHE_WORDS // 4)(word_features)
+        totals = np.zeros((2, SPACE + 1), np.int64)
         for batch in batches:
             for label, text in zip(batch.column(0), batch.column(1)):
                 group = int(label.as_py() > 0)
-                held = set().union(*map(known_words, set(words_of(text.as_py()))))
-                totals[group, list(held)] += 1
+                totals[group, np.unique(runs_of(text.as_py())[0])] += 1
                 totals[group, SPACE] += 1
         at = np.flatnonzero(totals.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals[1, at]), pa.array(totals[0, at])], ["feature", "positive", "negative"])
 
     counts = texts.mapInArrow(count, "feature long, positive long, negative long").groupBy("feature").agg(
-        F.sum("positive").alias("positive"), F.sum("negative").alias("negative")).toPandas()  # at most SPACE + 1 rows
+        F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
+    counts = counts.where((F.col("positive") >= LEAST) | (F.col("feature") == SPACE)).toArrow()  # at most SPACE + 1 rows
     totals = np.zeros((2, SPACE + 1), np.int64)
-    totals[:, counts["feature"].to_numpy(np.int64)] = counts[["positive", "negative"]].to_numpy(np.int64).T
+    totals[:, counts["feature"].to_numpy()] = [counts["positive"].to_numpy(), counts["negative"].to_numpy()]
     n_pos, n_neg = totals[:, SPACE]
     nothing = Model(np.empty(0, np.int64), np.zeros(1), np.empty(0))
     if not n_pos:
@@ -183,15 +183,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
                  pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
                 ["label", "at", "value", "words", "marked"])
 
-    data = texts.mapInArrow(vectors, "label int, at array<int>, value array<double>, words long, marked long").orderBy(
-        "label", "words", "marked", "value", "at").toPandas()
-    words = data["words"].to_numpy(float)
-    grades = _grades(data["label"].to_numpy(np.int64), data["marked"].to_numpy(float))
-    sizes = data["at"].map(len).to_numpy(np.int64)
-    n, width = len(data), len(chosen) + 1
+    data = texts.mapInArrow(vectors, "label int, at array<int>, value array<double>, words long, marked long").toArrow().combine_chunks()
+    words, n, width = data["words"].to_numpy().astype(float), data.num_rows, len(chosen) + 1
+    grades = _grades(data["label"].to_numpy().astype(np.int64), data["marked"].to_numpy().astype(float))
+    sizes = pc.list_value_length(data["at"]).to_numpy()
     rows = np.concatenate((np.repeat(np.arange(n), sizes), np.arange(n)))
-    columns = np.concatenate((np.concatenate(data["at"].tolist()), np.full(n, width - 1))).astype(np.int64)
-    values = np.concatenate((np.concatenate(data["value"].tolist()), np.log1p(words)))
+    columns = np.concatenate((pc.list_flatten(data["at"]).to_numpy(), np.full(n, width - 1))).astype(np.int64)
+    values = np.concatenate((pc.list_flatten(data["value"]).to_numpy(), np.log1p(words)))
     weights, thresholds = fit_ordinal(rows, columns, values, grades, width)
     return Model(chosen, weights, thresholds)
 
