@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 
 from barloom.session import stage
 
-BUCKET_PIECES = 200_000
+BUCKET_PIECES = 20_000
 
 
 class Encoder:
@@ -111,8 +111,11 @@ def pieces(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col:
     return given.mapInArrow(run, schema)
 
 
-def _fullest(lengths: list[int], counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """The combination of available lengths (ascending) that holds the longest and leaves the least slack."""
+def _fullest(lengths: list[int], counts: dict[int, int], capacity: int, slack: int = 0) -> dict[int, int]:
+    """The combination of available lengths (ascending) that holds the longest and leaves the least slack.
+
+    Of all combinations at most ``slack`` emptier than the fullest, the one with the longest pieces.
+    """
     longest = lengths[-1]
     room, fits = capacity - longest, (1 << (capacity - longest + 1)) - 1
     usable = [(n, counts[n] - (n == longest)) for n in lengths if n <= room]
@@ -124,22 +127,22 @@ def _fullest(lengths: list[int], counts: dict[int, int], capacity: int) -> dict[
             take = min(step, left)
             reach |= reach << (n * take) & fits
             left, step = left - take, step * 2
-    chosen, target = {longest: 1}, reach.bit_length() - 1
+    fullest = reach.bit_length() - 1
+    chosen, targets = {longest: 1}, reach >> max(0, fullest - slack) << max(0, fullest - slack)
     for (n, count), smaller in zip(reversed(usable), reversed(before)):  # the longest first, as many as the rest allows
-        for k in range(min(count, target // n), -1, -1):
-            if smaller >> (target - k * n) & 1:
+        for k in range(min(count, (targets.bit_length() - 1) // n), -1, -1):
+            if targets >> (k * n) & smaller:
                 break
         if k:
             chosen[n] = chosen.get(n, 0) + k
-            target -= k * n
+        targets = targets >> (k * n) & smaller
     return chosen
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Combinations of lengths and how many bins each fills, until no piece is left."""
+def _plan(histogram: dict[int, int], capacity: int, slack: int) -> list[tuple[dict[int, int], int]]:
     counts, made = {n: c for n, c in histogram.items() if c}, []
     while counts:
-        chosen = _fullest(sorted(counts), counts, capacity)
+        chosen = _fullest(sorted(counts), counts, capacity, slack)
         times = min(counts[n] // k for n, k in chosen.items())
         made.append((chosen, times))
         for n, k in chosen.items():
@@ -149,6 +152,24 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return made
 
 
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Combinations of lengths and how many bins each fills, until no piece is left.
+
+    Always taking the fullest combination uses up the short pieces early, which can cost a bin in
+    the end. So unless the plan already has as few bins as the tokens allow, plans that accept a
+    little slack for longer pieces are made too, and the one with the fewest bins is taken.
+    """
+    fewest = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    best: list[tuple[dict[int, int], int]] = []
+    for slack in (0, 1, 2, 4, 8, 16, 32, 64, capacity):
+        made = _plan(histogram, capacity, slack)
+        if not best or sum(t for _, t in made) < sum(t for _, t in best):
+            best = made
+        if sum(t for _, t in best) <= fewest:
+            break
+    return best
+
+
 def _slots(made: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
     """For each length, rows of: first rank, pieces in a bin, first bin, place in the bin."""
     slots: dict[int, list] = {}
