@@ -2,8 +2,8 @@
 
 The largest inner product becomes the smallest distance after one more coordinate lifts every vector to the
 length of the longest, so trees split space by the median projection on random directions. The trees are
-fitted on the driver to at most ``sample`` vectors (those with the smallest hashes, and at most 64 MB of
-them), which bounds the forest; every vector is then routed to its leaf in each tree. A query walks all trees
+fitted on the driver to about ``sample`` vectors (chosen by their hashes, and about 64 MB of them at most),
+which bounds the forest; every vector is then routed to its leaf in each tree. A query walks all trees
 through one priority queue ordered by how far it lies from the splits passed over, until it has ``probes``
 leaves. All vectors of those leaves are scored exactly in double precision.
 
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from barloom.llm.sampling import hashed_sample
 from barloom.session import stage
 
 ROUTED = "cell int, query boolean, k1 long, k2 long, rep long, vector binary"
@@ -144,8 +145,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     query_classes = reps.join(asked.select("k1", "k2").distinct(), ["k1", "k2"])
 
     limit = max(1, min(sample, (64 << 20) // (8 * size)))
-    drawn = reps.orderBy(F.xxhash64("k1", "k2"), "k1").limit(limit).select("vector").toPandas()["vector"]
-    forest = Forest(np.array(drawn.tolist(), float).reshape(-1, size), trees, leaf, float(common["longest"]))
+    drawn = hashed_sample(reps, ["k1", "k2"], limit).select("k1", "vector").toArrow().sort_by("k1")["vector"].combine_chunks()
+    forest = Forest(np.asarray(drawn.flatten(), np.float64).reshape(-1, size), trees, leaf, float(common["longest"]))
     shared = vectors.sparkSession.sparkContext.broadcast(forest)
 
     def route(querying: bool):
