@@ -89,7 +89,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
         F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"), F.collect_set("hit").alias("found")), "found-windows")
     suspects = merged.where(F.size("found") > 0).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "found")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    read = texts.join(suspects, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    # keys alone first: where they are few enough to be broadcast, only the texts in question are shuffled
+    read = texts.join(stage(suspects.select("id", "key"), "suspects"), same, "left_semi").join(suspects, same)
     real = let(word_list(F.col("text")), lambda w: F.filter("found", lambda h: F.slice(w, h.pos + 1, h.length) == h.gram))
     verified = read.select("id", "key", real.alias("real"))
     verified = stage(verified.dropDuplicates(["id", "key"]), "verified-windows")
