@@ -33,6 +33,7 @@ from barloom.llm.sampling import hashed_sample
 
 SPACE = 1 << 20
 RUNS = (4, 5)
+MOST = 30_000  # times a feature counts in one text
 LEAST = 3  # toxic texts that must hold a feature
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -68,12 +69,12 @@ class Lookup:
         self.at[chosen] = np.arange(len(chosen))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Feature positions and values of a text, its words, and how many of them hold a feature."""
+        """Feature positions and counts of a text, its words, and how many of them hold a feature."""
         hashes, words, total = runs_of(text)
         found = self.at[hashes]
         held = found >= 0
         at, counts = np.unique(found[held], return_counts=True)
-        return at, np.log1p(counts), total, len(np.unique(words[held]))
+        return at, np.minimum(counts, MOST), total, len(np.unique(words[held]))
 
 
 @dataclass
@@ -88,8 +89,8 @@ class Model:
         """P(grade > k) for every k."""
         if not len(self.thresholds):
             return np.zeros(1)
-        at, values, words, _ = lookup.vector(text)
-        total = float(self.weights[at] @ values + self.weights[-1] * np.log1p(words))
+        at, counts, words, _ = lookup.vector(text)
+        total = float(self.weights[at] @ np.log1p(counts) + self.weights[-1] * np.log1p(words))
         return 1 / (1 + np.exp(-np.clip(total - self.thresholds, -500, 500)))
 
 
@@ -179,17 +180,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         for batch in batches:
             rows = [lookup.vector(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64())),
+                [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int16())),
                  pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
-                ["label", "at", "value", "words", "marked"])
+                ["label", "at", "counts", "words", "marked"])
 
-    data = texts.mapInArrow(vectors, "label int, at array<int>, value array<double>, words long, marked long").toArrow().combine_chunks()
+    data = texts.mapInArrow(vectors, "label int, at array<int>, counts array<smallint>, words long, marked long").toArrow().combine_chunks()
     words, n, width = data["words"].to_numpy().astype(float), data.num_rows, len(chosen) + 1
     grades = _grades(data["label"].to_numpy().astype(np.int64), data["marked"].to_numpy().astype(float))
     sizes = pc.list_value_length(data["at"]).to_numpy()
     rows = np.concatenate((np.repeat(np.arange(n), sizes), np.arange(n)))
     columns = np.concatenate((pc.list_flatten(data["at"]).to_numpy(), np.full(n, width - 1))).astype(np.int64)
-    values = np.concatenate((pc.list_flatten(data["value"]).to_numpy(), np.log1p(words)))
+    values = np.concatenate((np.log1p(pc.list_flatten(data["counts"]).to_numpy().astype(float)), np.log1p(words)))
     weights, thresholds = fit_ordinal(rows, columns, values, grades, width)
     return Model(chosen, weights, thresholds)
 
