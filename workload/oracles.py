@@ -211,6 +211,7 @@ CTES = {
 
 
 SCALE = ["open", "close", "volume"]
+BARS = ["open", "high", "low", "close", "volume"]
 
 
 def _reg_sql(p: str) -> str:
@@ -234,12 +235,11 @@ CTES["labels_simple"] = """
 CTES["next_bars"] = f"SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY code) AS n FROM bars_day {W}"
 CTES["unit_params"] = "SELECT code, " + ", ".join(
     f"min({c}) AS min_{c}, CASE WHEN max({c}) = min({c}) THEN 1 ELSE max({c}) - min({c}) END AS range_{c}"
-    for c in SCALE) + " FROM next_bars WHERE pos <= ceil(n * 0.8::DOUBLE) GROUP BY code"
-CTES["base_rows"] = """
-    SELECT *, (close - min_close) / range_close AS z,
-      count(*) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS k,
-      first_value((close - min_close) / range_close) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS z0
-    FROM next_bars JOIN unit_params USING (code)"""
+    for c in BARS) + " FROM next_bars WHERE pos <= ceil(n * 0.8::DOUBLE) GROUP BY code"
+CTES["unit_rows"] = "SELECT *, " + ", ".join(f"({c} - min_{c}) / range_{c} AS u_{c}" for c in BARS) + " FROM next_bars JOIN unit_params USING (code)"
+CTES["base_rows"] = "SELECT *, count(*) OVER w AS k, " + ", ".join(
+    f"first_value(u_{c}) OVER w AS first_{c}, sum(u_{c}) OVER w AS sum_{c}" for c in BARS) + (
+    " FROM unit_rows WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)")
 CTES["ar1_score"] = _reg_sql("predicted_price")
 CTES["hold_score"] = _reg_sql("price")
 CTES["tallies"] = "SELECT code, count(*)::DOUBLE AS s, count(*) FILTER (WHERE actual = signal)::DOUBLE AS c, " + ", ".join(

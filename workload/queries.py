@@ -14,7 +14,7 @@ from barloom.operators.series import DAILY, INTRADAY, Series, attach, looking_ba
 from barloom.operators.quantiles import exact_quantiles
 from barloom.plans import medallion
 from barloom.session import stage
-from barloom.settings import FEATURES
+from barloom.settings import BASELINE_FEATURES, FEATURES
 from barloom.sources.readers import normalise_dates, union_reports
 from workload.oracles import KEYS, SCALE, W, full, rnd, sig, sql
 from workload.tables import (
@@ -560,12 +560,14 @@ def _(spark, d):
 
 
 @query("baseline_windows", f"""
-    SELECT {KEYS}, {rnd('z', 'target_scaled')}, {rnd('z0', 'first_close')},
+    SELECT {KEYS}, {rnd('u_close', 'target_scaled')}, {', '.join(f"{rnd(f'first_{c}')}, {rnd(f'sum_{c}')}" for c in BASELINE_FEATURES)},
       CASE WHEN pos <= ceil(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
     FROM base_rows WHERE k = 30""", 6)
 def _(spark, d):
     rows = features.baseline_windows(staged_day(spark, d))
-    return rows.select("code", "date", "target_scaled", F.col("window")[0]["close"].alias("first_close"), "split")
+    first = [F.col("window")[0][c].alias(f"first_{c}") for c in BASELINE_FEATURES]
+    totals = [F.aggregate("window", F.lit(0.0), lambda a, r: a + r[c]).alias(f"sum_{c}") for c in BASELINE_FEATURES]
+    return rows.select("code", "date", "target_scaled", *first, *totals, "split")
 
 
 @query("dates_utc", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_shipdate AS DATE) - 1 AS VARCHAR) AS date FROM lineitem")
