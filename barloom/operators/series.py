@@ -53,6 +53,17 @@ class Series:
         longest = spans.agg(F.max("_span")).first()[0] or 0
         return self.with_block_rows(max(self.block_rows, math.isqrt(longest) + 1))
 
+    def dense(self, df: DataFrame) -> Series:
+        """The series with a step fine enough for ``df``: bars denser than the grid, such as minute
+        bars in a 15-minute series, would overfill blocks. Small aggregates; only numbers come back."""
+        fitting = self
+        while True:
+            counts = plain(df).withColumn(BLOCK, fitting.block_id(df)).groupBy(*self.block_keys).count()
+            most = counts.agg(F.max("count")).first()[0] or 0
+            if most <= self.block_rows or fitting.step == 1:
+                return fitting
+            fitting = replace(fitting, step=max(1, fitting.step * self.block_rows // most))
+
     def block_id(self, df: DataFrame) -> Column:
         t = F.col(self.time)
         kind = df.schema[self.time].dataType

@@ -1,8 +1,10 @@
+import numpy as np
 import pandas as pd
 import pytest
 
 from barloom.operators.indicators import INDICATORS, add_indicators
-from barloom.operators.series import DAILY
+from barloom.operators.series import DAILY, INTRADAY
+from barloom.session import stage
 from tests.series_data import bars, collected, frame, ordered, same
 
 
@@ -37,3 +39,16 @@ def test_indicators_equal_formulas(spark, rows, holes):
         same(out[name], want[name], 1e-8)
     bounded = out[["RSI_14", "STOCHk_14_3_3"]].dropna()
     assert ((bounded > -1e-6) & (bounded < 100 + 1e-6)).all().all()
+
+
+def test_minute_bars_fit_a_denser_series(spark):
+    rng = np.random.default_rng(3)
+    close = 100 + np.cumsum(rng.normal(0, 0.1, 4000))
+    start = pd.Timestamp("2024-01-01")
+    rows = [("A", (start + pd.Timedelta(i, "min")).to_pydatetime(), float(x), float(x) + 1, float(x) - 1, float(x), 1.0) for i, x in enumerate(close)]
+    df = stage(spark.createDataFrame(rows, "code string, timestamp timestamp, open double, high double, low double, close double, volume double"), "minutes")
+    s = INTRADAY.dense(df)
+    assert s.step < INTRADAY.step and s.dense(df) == s and INTRADAY.dense(df.limit(5)) == INTRADAY
+    got = add_indicators(df, s).orderBy("timestamp").toPandas()
+    np.testing.assert_allclose(got.EMA_10, pd.Series(close).ewm(span=10, adjust=False).mean(), rtol=1e-10)
+    np.testing.assert_allclose(got.SMA_10[9:], pd.Series(close).rolling(10).mean()[9:], rtol=1e-10)
