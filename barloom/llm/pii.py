@@ -1,7 +1,8 @@
 """Replacement of personal data by keyed surrogates of the same kind and shape.
 
 Detected are e-mail addresses, telephone numbers, payment cards (with a valid check digit), IPv4 addresses,
-social security numbers, access keys, assigned secrets, and names after a title. A surrogate is a function of
+social security numbers, access keys, assigned secrets (under names of any letter case and prefix), and names
+after a title. A surrogate is a function of
 a secret key and the entity alone, so an entity gets the same surrogate in every document, whatever form it
 is written in (letter case, spaces and dashes, country code), and needs no table of replacements: digits
 become digits, letters letters of the same case, cards keep a valid check digit, addresses keep the length
@@ -37,14 +38,16 @@ SSN = r"\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = (r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4})"
          r"(?![\w-]|\.\d)|\+\d{8,15}(?!\w)")
 ACCESS_KEY = r"(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)"
-SECRET = r"(?:token|password|passwd|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}\"?[^\s\"]{8,}\"?"
+#: names that a secret is assigned to, in any letter case; what stands in front of them (db_, access_) stays
+ASSIGNED = r"(?i:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]"
+SECRET = rf"(?=[tpsaTPSA]){ASSIGNED}\s{{0,3}}\"?[^\s\"]{{8,}}\"?"
 NAME = rf"(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"
-#: one entity; starts where no word, number or address is being read
-ENTITY = (r"(?<![\p{L}\p{N}_@.%+-])(?:" + "|".join([EMAIL, IP, PHONE, CARD, SSN, ACCESS_KEY, SECRET, NAME]) + r")"
+#: one entity; starts where no word, number or address is being read, and a secret also inside a longer name
+ENTITY = (r"(?<![\p{L}\p{N}_@.%+-])(?:" + "|".join([EMAIL, IP, PHONE, CARD, SSN, ACCESS_KEY, NAME]) + rf")|{SECRET}"
           r"|(?<=\s)\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)")
 #: a text without these holds no entity; much cheaper than the whole pattern
-HINT = rf"[0-9@]|(?:password|passwd|token|secret|api_?key)\s{{0,3}}[=:]|(?:{TITLES})\.? \p{{Lu}}"
-SECRET_PARTS = r"^(\w+\s*[=:]\s*\"?)([^\"]+)(\"?)$"
+HINT = rf"[0-9@]|{ASSIGNED}|(?:{TITLES})\.? \p{{Lu}}"
+SECRET_PARTS = rf"^({ASSIGNED}\s*\"?)([^\"]+)(\"?)$"
 
 #: syllables and endings of made-up names, by script
 LATIN = ["ba", "de", "fi", "go", "ka", "le", "mi", "no", "pa", "re", "si", "to", "va", "we", "lo", "ma", "ni", "ru", "da", "be"]
@@ -98,7 +101,7 @@ def _kind(match: Column) -> Column:
     digits = F.length(_digits(match))
     card = match.rlike(r"^\d[\d -]*$") & (digits >= 13)
     return (F.when(match.contains("@") & match.rlike(rf"^{EMAIL}$"), "email").when(match.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$"), "access_key")
-            .when(match.rlike(SECRET_PARTS) & match.rlike("^[a-z]"), "secret").when(match.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
+            .when(match.rlike(SECRET_PARTS), "secret").when(match.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
             .when(card, F.when(luhn_sum(_digits(match)) % 10 == 0, "card")).when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
             .when(match.rlike(r"^[+(\d]"), "phone").otherwise("name"))
 
@@ -141,7 +144,7 @@ def _made(key: str, kind: Column, value: Column, attempt: Column, seed: Column)
         F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), d), 256), lambda own: _shaped(d, own)))
     email = F.concat(let(F.substring_index(value, "@", 1), lambda name: _shaped(name, seed)), F.lit("@"), domain,
                      F.lit("."), F.substring_index(value, ".", -1))
-    secret = F.when(value.rlike("^[0-9a-f]+$"), _shaped(value, seed, "abcdef")).otherwise(_shaped(value, seed))
+    secret = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _shaped(value, seed, "abcdef")).otherwise(_shaped(value, seed))
     russian = value.rlike(r"\p{IsCyrillic}")
     syllables = F.when(russian, F.array(*map(F.lit, CYRILLIC))).otherwise(F.array(*map(F.lit, LATIN)))
     middle = let(syllables, lambda all_: F.array_join(F.transform(

@@ -47,6 +47,25 @@ def test_shapes_are_kept_and_originals_go(spark):
     assert all(0 <= int(o) <= 255 for o in re.findall(r"\d+", got[3].text))
 
 
+def test_secrets_under_any_name(spark):
+    cases = [
+        ('TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC4" x', r'TOKEN = "[0-9A-F]{32}" x', "9233A8ECF7C5B09FE5949719B6B82BC4"),
+        ("Password: Hunter2hunter2", r"Password: [A-Z][a-z]{5}\d[a-z]{6}\d", "Hunter2hunter2"),
+        ("db_password=abcdefgh12", r"db_password=[a-z]{8}\d\d", "abcdefgh12"),
+        ('x DB_PASSWORD="abcdefgh12" y', r'x DB_PASSWORD="[a-z]{8}\d\d" y', "abcdefgh12"),
+        ("access_token: abcdefgh12", r"access_token: [a-z]{8}\d\d", "abcdefgh12"),
+        ("client_secret=abcdefgh12", r"client_secret=[a-z]{8}\d\d", "abcdefgh12"),
+        ("accessToken = abcdefgh12", r"accessToken = [a-z]{8}\d\d", "abcdefgh12"),
+        ("X-Api-Key: abcdefgh12", r"X-Api-Key: [a-z]{8}\d\d", "abcdefgh12"),
+        ("Secret:abcdefghij", r"Secret:[a-z]{10}", "abcdefghij"),
+    ]
+    got = {r.doc_id: r for r in run(spark, [(i, t) for i, (t, _, _) in enumerate(cases)])}
+    for i, (text, shape, value) in enumerate(cases):
+        assert re.fullmatch(shape, got[i].text), (text, got[i].text)
+        assert value not in got[i].text and got[i].n == 1
+    assert len({got[i].text[-10:] for i in (2, 4, 5, 6, 7)}) == 1
+
+
 def test_other_texts_stay(spark):
     texts = [None, "", "plain words only", "version 4.0. and 1.2.3", "1234567890123456", "year 2020-01-02 12:30", "a@b", "Mr. x",
              "word " * 30_000, "@ 1 ++ (", "12 345 678 9"]

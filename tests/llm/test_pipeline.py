@@ -94,6 +94,18 @@ def test_personal_data_is_replaced_in_place(kept):
     assert changed
 
 
+def test_no_assigned_secret_is_left(spark, kept):
+    spot = re.compile(r"(?i)(?:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}\"?([^\s\"]{8,})")
+    texts = ['TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC4"', "Password: hunter2hunter2", "db_password=abcdefgh12 and access_token=abcdefgh34",
+             "CLIENT_SECRET: abcdefgh56"]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = kept[3].select("doc_id", "text").unionByName(more)
+    before, after = rows(docs), rows(dict(corpus_pipeline.STAGES)["personal_data"](spark, docs, DATA))
+    found = {i: spot.findall(r.text or "") for i, r in before.items()}
+    assert sum(bool(f) for f in found.values()) > len(texts)
+    assert not any(f in after[i].text for i, all_ in found.items() for f in all_)
+
+
 def test_all_tokens_are_packed(spark, kept):
     docs, parts = rows(kept[4]), kept[5].collect()
     encoder = packing.Encoder.of(**packing.public_vocabulary())
