@@ -6,7 +6,9 @@ after a title. A surrogate is a function of
 a secret key and the entity alone, so an entity gets the same surrogate in every document, whatever form it
 is written in (letter case, spaces and dashes, country code), and needs no table of replacements: digits
 become digits, letters letters of the same case, cards keep a valid check digit, addresses keep the length
-of each part, names keep gender (by the title), script and letter case.
+of each part, names keep gender (by the title), script and letter case. After a title the last capitalised word is the
+surname and those before it are given names; initials between them become other letters, not checked for
+distinctness.
 
 Distinctness is checked over the whole corpus: the distinct entities, their number alone, are grouped by
 surrogate, and joined with the real entities. Where two share one, or a surrogate is itself a real entity,
@@ -35,13 +37,19 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IP = rf"(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 CARD = r"(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])"
 SSN = r"\d{3}-\d{2}-\d{4}(?![\w-])"
-PHONE = (r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4})"
+#: in groups of three and four digits, with + and without, then in groups that may have two
+PHONE = (r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|(?:[1-9][ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}"
+         r"|(?:[1-9][ .-]?)?\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4}"
+         r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]\d{2,4}){3,5}|0[1-9](?:[ .-]\d\d){4})"
          r"(?![\w-]|\.\d)|\+\d{8,15}(?!\w)")
+COUNTRY = r"^\+\d{1,3}(?=[ .(-])"
 ACCESS_KEY = r"(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)"
 #: names that a secret is assigned to, in any letter case; what stands in front of them (db_, access_) stays
 ASSIGNED = r"(?i:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]"
 SECRET = rf"(?=[tpsaTPSA]){ASSIGNED}\s{{0,3}}\"?[^\s\"]{{8,}}\"?"
-NAME = rf"(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"
+WORD = r"\p{Lu}[\p{L}'-]+"
+INITIALS = r"(?:\p{Lu}\.)+|\p{Lu}"
+NAME = rf"(?:{TITLES})\.? (?:(?:{INITIALS}) )*{WORD}(?: (?:(?:{INITIALS}) )*{WORD})*"
 #: one entity; starts where no word, number or address is being read, and a secret also inside a longer name
 ENTITY = (r"(?<![\p{L}\p{N}_@.%+-])(?:" + "|".join([EMAIL, IP, PHONE, CARD, SSN, ACCESS_KEY, NAME]) + rf")|{SECRET}"
           r"|(?<=\s)\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)")
@@ -52,6 +60,7 @@ SECRET_PARTS = rf"^({ASSIGNED}\s*\"?)([^\"]+)(\"?)$"
 #: syllables and endings of made-up names, by script
 LATIN = ["ba", "de", "fi", "go", "ka", "le", "mi", "no", "pa", "re", "si", "to", "va", "we", "lo", "ma", "ni", "ru", "da", "be"]
 CYRILLIC = ["ба", "де", "ви", "го", "ка", "ле", "ми", "но", "па", "ре", "си", "то", "ва", "зе", "ло", "ма", "ни", "ру", "да", "бе"]
+ALPHABETS = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"]
 ENDINGS = {"first_m": ("n", "н"), "first_f": ("na", "на"), "last_m": ("ler", "нов"), "last_f": ("ler", "нова")}
 
 
@@ -114,17 +123,27 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
+def _parts(match: Column) -> Column:
+    """What follows the title of a name: words and initials."""
+    return let(F.split(match, " "), lambda parts: F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
+
+
+def _words(parts: Column) -> Column:
+    return F.filter(parts, lambda p: p.rlike(rf"^{WORD}$"))
+
+
 def entities_of(match: Column, kind: Column) -> Column:
     """The entities inside a match, in the form that all spellings share."""
-    digits, parts = _digits(match), F.split(match, " ")
+    digits = _digits(match)
     gender = F.when(_male(match), "m").otherwise("f")
-    last = _entity(F.concat(F.lit("last_"), gender), F.lower(F.element_at(parts, -1)))
-    first = _entity(F.concat(F.lit("first_"), gender), F.lower(F.get(parts, F.lit(1))))
-    value = (F.when(kind == "email", F.lower(match)).when(kind.isin("card", "ssn"), digits)
-             .when(kind == "phone", F.when(F.length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
+    names = let(_words(_parts(match)), lambda words: F.transform(words, lambda w, i: _entity(
+        F.concat(F.when(i == F.size(words) - 1, "last_").otherwise("first_"), gender), F.lower(w))))
+    phone = let(F.regexp_replace(_digits(F.regexp_replace(match, COUNTRY, "")), "^0", ""),
+                lambda d: F.when(F.length(d) > 10, F.right(d, F.lit(10))).otherwise(d))
+    value = (F.when(kind == "email", F.lower(match)).when(kind.isin("card", "ssn"), digits).when(kind == "phone", phone)
              .when(kind == "secret", F.regexp_extract(match, SECRET_PARTS, 2)).otherwise(match))
     return F.when(kind.isNull(), F.array().cast("array<struct<kind:string,value:string>>")).when(
-        kind == "name", F.when(F.size(parts) > 2, F.array(first, last)).otherwise(F.array(last))).otherwise(F.array(_entity(kind, value)))
+        kind == "name", names).otherwise(F.array(_entity(kind, value)))
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -162,6 +181,16 @@ def _written_like(surface: Column, made: Column) -> Column:
     return F.when(F.upper(surface) == surface, F.upper(made)).otherwise(F.initcap(made))
 
 
+def _initials(key: str, part: Column, of: Column) -> Column:
+    """Other initials, the same ones wherever ``of`` has these."""
+    def other(letter: Column, seed: Column, i: Column, letters: str) -> Column:
+        return F.substr(F.lit(letters), F.pmod(F.instr(F.lit(letters), letter) + _draw(seed, i, len(letters) - 1), F.lit(len(letters))) + 1, F.lit(1))
+
+    latin, cyrillic = ALPHABETS
+    return let(F.sha2(F.concat_ws("|", F.lit(key), F.lit("initial"), of, part), 256), lambda seed: _by_position(F.length(part), lambda i: let(
+        _at(part, i), lambda c: F.when(c == ".", c).when(c.rlike(r"\p{IsCyrillic}"), other(c, seed, i, cyrillic)).otherwise(other(c, seed, i, latin)))))
+
+
 def _fill_digits(match: Column, made: Column) -> Column:
     """The match with its last digits replaced; what is in front, such as a country code, stays."""
     def each(i):
@@ -181,11 +210,12 @@ def render(key: str, match: Column, kind: Column, found: Column, attempts: Colum
         return surrogate(key, entity.kind, entity.value, attempt)
 
     def written(stand_ins: Column) -> Column:
-        parts, only, last = F.split(match, " "), F.get(stand_ins, F.lit(0)), F.element_at(stand_ins, -1)
+        only = F.get(stand_ins, F.lit(0))
         email = _by_position(F.length(match), lambda i: F.when(_at(match, i).between("A", "Z"), F.upper(_at(only, i))).otherwise(_at(only, i)))
         secret = F.concat(F.regexp_extract(match, SECRET_PARTS, 1), only, F.regexp_extract(match, SECRET_PARTS, 3))
-        name = F.concat_ws(" ", F.get(parts, F.lit(0)), F.when(F.size(parts) > 2, _written_like(F.get(parts, F.lit(1)), only)),
-                           _written_like(F.element_at(parts, -1), last))
+        name = F.concat_ws(" ", F.substring_index(match, " ", 1), let(_parts(match), lambda parts: F.transform(parts, lambda p, i: F.when(
+            p.rlike(rf"^{WORD}$"), _written_like(p, F.get(stand_ins, F.size(_words(F.slice(parts, 1, i + 1))) - 1))).otherwise(
+            _initials(key, p, F.element_at(found, -1).value)))))
         return (F.when(kind == "email", email).when(kind.isin("phone", "card", "ssn"), _fill_digits(match, only))
                 .when(kind == "secret", secret).when(kind == "name", name).otherwise(only))
 

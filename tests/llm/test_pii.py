@@ -66,6 +66,32 @@ def test_secrets_under_any_name(spark):
     assert len({got[i].text[-10:] for i in (2, 4, 5, 6, 7)}) == 1
 
 
+def test_long_names_and_other_phone_shapes(spark):
+    up, latin = "[A-Z]", "[A-Z][a-z]+"
+    cases = [
+        ("Mr. John Q. Smith left", rf"Mr\. {latin}n {up}\. {latin}ler left", "John|Q|Smith", 1),
+        ("Mr. J. R. Smith left", rf"Mr\. {up}\. {up}\. {latin}ler left", "J|R|Smith", 1),
+        ("Mr. J.R. Smith I saw", rf"Mr\. {up}\.{up}\. {latin}ler I saw", "J|R|Smith", 1),
+        ("Señor Juan Carlos García.", rf"Señor {latin}n {latin}n {latin}ler\.", "Juan|Carlos|García", 1),
+        ("Frau Anna Maria Luise MEIER", rf"Frau {latin}na {latin}na {latin}na [A-Z]+LER", "Anna|Maria|Luise|MEIER", 1),
+        ("Господин Иван П. Петров", r"Господин [А-Я][а-я]+н [А-Я]\. [А-Я][а-я]+нов", "Иван|П\\.|Петров", 1),
+        ("Mr. Smith. He", rf"Mr\. {latin}ler\. He", "Smith", 1),
+        ("on 1-800-555-1234.", r"on 1-[2-9]\d\d-\d{3}-\d{4}\.", "800-555-1234", 1),
+        ("on 1 (800) 555-1234.", r"on 1 \([2-9]\d\d\) \d{3}-\d{4}\.", "555-1234", 1),
+        ("on +33 1 23 45 67 89, 01 23 45 67 89", r"on \+33 \d(?: \d\d){4}, 0\d(?: \d\d){4}", "23 45 67 89", 2),
+        ("on +7 (495) 123-45-67", r"on \+7 \([2-9]\d\d\) \d{3}-\d\d-\d\d", "495|123-45-67", 1),
+        ("+1 (800) 555-1234 or 800-555-1234", r"\+1 \([2-9]\d\d\) \d{3}-\d{4} or [2-9]\d\d-\d{3}-\d{4}", "555-1234", 2),
+    ]
+    got = {r.doc_id: r for r in run(spark, [(i, t) for i, (t, _, _, _) in enumerate(cases)])}
+    for i, (text, shape, gone, n) in enumerate(cases):
+        assert re.fullmatch(shape, got[i].text), (text, got[i].text)
+        assert not re.search(rf"\b(?:{gone})\b", got[i].text) and got[i].n == n, (text, got[i].text, got[i].n)
+    digits = [re.sub(r"\D", "", got[i].text)[-10:] for i in (7, 8, 11)]
+    assert len(set(digits)) == 1
+    french = re.sub(r"\D", "", got[9].text)
+    assert french[2:11] == french[12:]
+
+
 def test_other_texts_stay(spark):
     texts = [None, "", "plain words only", "version 4.0. and 1.2.3", "1234567890123456", "year 2020-01-02 12:30", "a@b", "Mr. x",
              "word " * 30_000, "@ 1 ++ (", "12 345 678 9"]
