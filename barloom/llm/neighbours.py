@@ -3,8 +3,8 @@
 The largest inner product becomes the smallest distance after one more coordinate lifts every vector to the
 length of the longest, so trees split space by the median projection on random directions. The trees are
 fitted on the driver to about ``sample`` vectors (chosen by their hashes, and about 64 MB of them at most),
-which bounds the forest; every vector is then routed to its leaf in each tree. A query walks all trees
-through one priority queue ordered by how far it lies from the splits passed over, until it has ``probes``
+which bounds the forest; every vector is then routed to its leaf in each tree. A query, scaled to the longest
+length (which leaves the order of inner products as it is), walks all trees through one priority queue ordered by how far it lies from the splits passed over, until it has ``probes``
 leaves. All vectors of those leaves are scored exactly in double precision.
 
 Equal vectors are one class: a class keeps its ``k + 1`` smallest ids (limited before the shuffle), which is
@@ -92,6 +92,8 @@ class Forest:
 
     def search(self, query: np.ndarray, probes: int) -> list[int]:
         """The first leaves that a queue shared by all trees gives for a query."""
+        query = query / np.abs(query).max()
+        query = query * (self.longest / np.linalg.norm(query))  # the limits are those of vectors as long as the longest
         margin = self.directions[:, :-1] @ query - self.limits if len(self.limits) else np.empty(0)
         queue, found = [(0.0, root) for root in self.roots], []
         while queue and len(found) < probes:

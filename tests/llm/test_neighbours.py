@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,20 @@ def test_recall_of_fewer_leaves(spark):
     assert all(abs(-s - np.dot(np.float32(base[q]).astype(float), np.float32(base[i]).astype(float))) < 1e-12 for q in got for s, i in got[q])
 
 
+def test_recall_with_strongly_uneven_lengths(spark):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(1000, 64)), 20, axis=0) + rng.normal(size=(20_000, 64)) * 0.5
+    x *= rng.lognormal(0, 1, (20_000, 1)) / np.linalg.norm(x, axis=1)[:, None]
+    given = spark.createDataFrame(pa.table({"vec_id": np.arange(20_000), "embedding": list(x)}))
+    got = answers(neighbours.search(given, F.pmod("vec_id", F.lit(100)) == 0, k=20))
+    found = []
+    for q in range(0, 20_000, 100):
+        score = x @ x[q]
+        score[q] = -np.inf
+        found.append(len({i for _, i in got[q]} & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(found) >= 0.9
+
+
 def test_few_or_no_candidates(spark):
     two = table(spark, [(0, [1.0, 0.0]), (3, [0.5, 0.5])])
     assert answers(neighbours.search(two, F.pmod("vec_id", F.lit(20)) == 0)) == {0: [(-0.5, 3)]}
