@@ -102,10 +102,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN n >= 1000 AND page_id < m THEN m END AS refers_to
     FROM q""")
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as an archive and read back."""
+    """All pages written as an archive and read back; a gap in it is an error."""
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    found = warc.read_archive(spark, path, with_payload=False).where(F.col("kind") == "record")
+    found = warc.read_archive(spark, path, with_payload=False, max_member=None).where(F.when(F.col("kind") == "record", True).otherwise(
+        F.raise_error(F.concat_ws(" ", F.lit("gap in"), "path", F.lit("at"), "offset", "reason")).cast("boolean")))
     return found.select(warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         warc.page_id(F.col("refers_to")).alias("refers_to"))
 

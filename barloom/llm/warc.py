@@ -12,7 +12,8 @@ and its digests match. After a failure the reader searches for the next member o
 valid record starts, goes on from there, and reports the bytes in between as a gap.
 
 Bounds: a task holds the files of one input partition (the writer's files hold at most ``file_records``
-records); a member that inflates beyond ``MAX_MEMBER`` is a gap.
+records); a member that inflates beyond ``max_member`` is a gap. An archive that is known to be one's own can be
+read without that bound.
 
 Defined results: a null page is empty; a null id is written ``null`` and read as null, sorts below all ids,
 and only refers to others; rows that repeat an id stay separate records and those with the largest id are
@@ -140,28 +141,28 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
             "url": head.get("warc-target-uri"), "payload_bytes": length, "payload_digest": hexed, "payload": payload}, stop + 4
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
+def inflate(data: memoryview, at: int, max_member: int | None = MAX_MEMBER) -> tuple[bytes, int]:
     """The content of the gzip member at ``at`` and where it ends."""
     unpack, out, size, fed = zlib.decompressobj(31), [], 0, at
     try:
         while not unpack.eof:
             if fed >= len(data):
                 raise Damaged("member does not end")
-            part = unpack.decompress(data[fed:fed + STEP], MAX_MEMBER - size + 1)
+            part = unpack.decompress(data[fed:fed + STEP], 0 if max_member is None else max_member - size + 1)
             fed = min(fed + STEP, len(data))
             out.append(part)
             size += len(part)
-            if size > MAX_MEMBER:
+            if max_member is not None and size > max_member:
                 raise Damaged("member too large")
     except zlib.error:
         raise Damaged("member does not inflate") from None
     return b"".join(out), fed - len(unpack.unused_data)
 
 
-def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
+def _unit(data: bytes, view: memoryview, at: int, max_member: int | None) -> tuple[list[dict], int]:
     """The records of the member or the plain record at ``at``, and where they end."""
     if data.startswith(b"\x1f\x8b", at):
-        content, end = inflate(view, at)
+        content, end = inflate(view, at, max_member)
         found, inner = [], 0
         while inner < len(content):
             one, inner = parse_record(content, inner)
@@ -177,12 +178,12 @@ def _next_start(data: bytes, at: int) -> int:
     return min(found, default=len(data))
 
 
-def salvage(data: bytes) -> Iterator[dict]:
+def salvage(data: bytes, max_member: int | None = MAX_MEMBER) -> Iterator[dict]:
     """Records and gaps of one file, in order; every byte belongs to one of them."""
     view, at, gap, reason = memoryview(data), 0, None, ""
     while at < len(data):
         try:
-            found, end = _unit(data, view, at)
+            found, end = _unit(data, view, at, max_member)
         except Damaged as why:
             if gap is None:
                 gap, reason = at, str(why)
@@ -198,7 +199,7 @@ def salvage(data: bytes) -> Iterator[dict]:
         yield {"kind": "gap", "offset": gap, "length": len(data) - gap, "reason": reason}
 
 
-def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, with_payload: bool = True, max_member: int | None = MAX_MEMBER) -> DataFrame:
     """Records (``kind`` record) and quarantined bytes (``kind`` gap) of all files below ``path``."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -206,7 +207,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
         for batch in batches:
             for i in range(batch.num_rows):
                 held: list[dict] = []
-                for row in salvage(batch.column(1)[i].as_py()):
+                for row in salvage(batch.column(1)[i].as_py(), max_member):
                     if not with_payload:
                         row["payload"] = None
                     held.append(row)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from barloom.llm import warc
+from barloom.llm import registry, warc
 
 
 def made(n):
@@ -80,6 +80,24 @@ def test_pages_come_back(spark, tmp_path):
     assert all(r.payload is None for r in out if r.record_type == "revisit")
 
 
+def test_large_members_of_the_own_archive(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "u", "x" * 300_000), (2, "u", "y")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    whole = warc.read_archive
+    bounds = []
+
+    def read(*args, max_member=1000, **more):
+        bounds.append(max_member)
+        return whole(*args, max_member=max_member, **more)
+
+    monkeypatch.setattr(warc, "read_archive", read)
+    got = registry.QUERIES["op2_warc"](spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == [(1, 300_000), (2, 1)]
+    assert bounds == [None]
+    monkeypatch.setattr(warc, "read_archive", lambda *args, **more: whole(*args, **more | {"max_member": 1000}))
+    with pytest.raises(Exception, match="gap in .* member too large"):
+        registry.QUERIES["op2_warc"](spark, str(tmp_path)).collect()
+
+
 def test_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archive(pages, str(tmp_path / "none"))
