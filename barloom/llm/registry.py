@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, simhash, substrings, toxicity, warc
+from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, simhash, substrings, toxicity, variants, warc
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,33 @@ def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced."""
     found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY, count_col="n_replaced")
     return found.select("doc_id", "text", "n_replaced")
+
+
+@query("op11_variants", r"""
+    WITH RECURSIVE t AS (
+      SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+                  ORDER BY i) AS tab FROM range(256) r(i)),
+    r AS (SELECT doc_id, run, count(*) AS c
+          FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+    b AS (SELECT run, c, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                 lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS bytes FROM r),
+    h AS (SELECT run, c, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST(bytes AS BIGINT[])),
+                 lambda s, x: xor(s >> 8, tab[(xor(s, x) & 255) + 1])), 4294967295) AS h FROM b, t),
+    v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n
+          FROM (SELECT CASE WHEN h % 199 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, c FROM h)
+          WHERE len(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+    g AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM v)),
+    p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM g a JOIN g b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT g.word, v.word, v.n FROM g JOIN v ON g.rest = v.word
+          UNION SELECT v.word, g.word, g.n FROM g JOIN v ON g.rest = v.word),
+    k AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+    f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+                 CASE WHEN near_n >= 5 * n THEN near_n END AS form_n FROM v LEFT JOIN k USING (word)),
+    chain AS (SELECT word, word AS at FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.at WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n
+    FROM f JOIN chain ON chain.word = f.word JOIN f e ON e.word = chain.at AND e.form IS NULL""")
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every common word with the more common spelling it is one edit from, and the end of that chain."""
+    vocabulary = variants.word_counts(table(spark, sf_dir, "documents"), shortest=6, least=5, every=199)
+    return variants.variants(vocabulary, factor=5)
