@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, simhash, substrings, toxicity, variants, warc
+from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, setjoin, simhash, substrings, toxicity, variants, warc
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,20 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every common word with the more common spelling it is one edit from, and the end of that chain."""
     vocabulary = variants.word_counts(table(spark, sf_dir, "documents"), shortest=6, least=5, every=199)
     return variants.variants(vocabulary, factor=5)
+
+
+@query("op13_setjoin", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+    z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.b) AS component_id
+    FROM d JOIN r ON r.a = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id GROUP BY d.doc_id""")
+def op13_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of five words are alike by 0.8."""
+    found = setjoin.similar_sets(table(spark, sf_dir, "documents"), size=5, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id")

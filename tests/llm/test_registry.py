@@ -27,6 +27,7 @@ COLUMNS = {
     "op8_html": [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")],
     "op9_simhash": [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")],
     "op11_variants": [("word", "string"), ("form", "string"), ("root", "string"), ("n", "bigint"), ("n_near", "bigint"), ("form_n", "bigint")],
+    "op13_setjoin": [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint")],
     "op10_quality": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
 }
 
