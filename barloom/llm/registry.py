@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, html_text, neighbours, packing, pii, quality, setjoin, simhash, substrings, toxicity, variants, warc
+from barloom.llm import (
+    collocations, decontaminate, html_text, neighbours, packing, pii, quality, setjoin, simhash, substrings, toxicity, variants, warc,
+)
 from barloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,3 +181,29 @@ def op13_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of five words are alike by 0.8."""
     found = setjoin.similar_sets(table(spark, sf_dir, "documents"), size=5, percent=80)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op12_collocations", r"""
+    WITH w AS (SELECT coalesce(lang, 'und') AS lang, p, regexp_extract_all(p, '[^\x20\x09]+') AS w
+               FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+    t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(w) >= k)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS x FROM f WHERE k > 1),
+    cut AS (SELECT lang, k, phrase, a, j, array_to_string(x[1:j], ' ') AS first, array_to_string(x[j + 1:k], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+    s AS (SELECT c.lang, c.k, c.phrase, c.a, p.f AS l, q.f AS r, t.n, j,
+                 CAST((1000 * CAST(c.a AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+          FROM cut c JOIN f p ON p.lang = c.lang AND p.phrase = c.first AND p.k = c.j
+          JOIN f q ON q.lang = c.lang AND q.phrase = c.rest AND q.k = c.k - c.j JOIN t ON t.lang = c.lang),
+    best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inside AS (SELECT lang, array_to_string(x[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+               FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+    QUALIFY rank <= 2000""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words occur together most above chance."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, scale=1000, inside=100, top=2000)

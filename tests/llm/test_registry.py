@@ -28,6 +28,7 @@ COLUMNS = {
     "op9_simhash": [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")],
     "op11_variants": [("word", "string"), ("form", "string"), ("root", "string"), ("n", "bigint"), ("n_near", "bigint"), ("form_n", "bigint")],
     "op13_setjoin": [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint")],
+    "op12_collocations": [("lang", "string"), ("rank", "bigint"), ("phrase", "string"), ("a", "bigint"), ("l", "bigint"), ("r", "bigint"), ("n", "bigint"), ("score", "bigint")],
     "op10_quality": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
 }
 
