@@ -71,10 +71,10 @@ def set_class(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """Parity bits: every token flips one."""
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits in whole numbers of 64: every token flips one."""
     at = (_mixed(tokens, MIX[1]) >> np.uint64(64 - 9)).astype(np.int64)
-    return np.packbits(np.bincount(at, minlength=SKETCH_BITS) & 1).tobytes()
+    return np.packbits(np.bincount(at, minlength=SKETCH_BITS) & 1).view(np.int64)
 
 
 def differing(total: int, percent: int) -> int:
@@ -126,22 +126,23 @@ def _marked(size: int) -> Callable:
             sets = [shingles(t.as_py(), size) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_class(s) for s in sets], pa.binary()),
-                 pa.array([sketch(s) for s in sets], pa.binary())], ["doc_id", "text_key", "n_shingles", "class", "sketch"])
+                 pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "text_key", "n_shingles", "class", "sketch"])
     return run
 
 
-def _folded(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Class and tokens of the sets that the task has not had among its last ``FOLD`` classes."""
+def _folded(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[bytes, np.ndarray, str]]:
+    """Class, tokens and text of the sets that the task has not had among its last ``FOLD`` classes."""
     had: set[bytes] = set()
     for batch in batches:
         for text in batch.column(0):
-            tokens = shingles(text.as_py(), size)
+            text = text.as_py()
+            tokens = shingles(text, size)
             name = set_class(tokens)
             if len(tokens) and name not in had:
                 if len(had) >= FOLD:
                     had.clear()
                 had.add(name)
-                yield name, tokens
+                yield name, tokens, text
 
 
 def _sent(size: int, percent: int) -> Callable:
@@ -153,7 +154,7 @@ def _sent(size: int, percent: int) -> Callable:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                               ["part", "c1", "c2"])
 
-        for name, tokens in _folded(batches, size):
+        for name, tokens, _ in _folded(batches, size):
             keys.append(part_keys(tokens, percent))
             names.append(name)
             held += len(keys[-1])
@@ -207,11 +208,10 @@ def _row_hash(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col), F.xxhash64(text_col))
 
 
-def _token_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """``class, tokens`` of the classes in ``wanted(class, hash)``, where ``hash`` is that of a row that has the set."""
+def _texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``class, text`` of at least the classes in ``wanted(hash)``, where ``hash`` is that of a row that has the set."""
     buckets = {r.bucket: bytes(r.bits) for r in _row_filter(wanted).collect()}  # FILTER_BITS at most
-    width = max(map(len, buckets.values()), default=0)
-    bits = np.zeros((FILTER_BITS // (8 * width) + 1 if width else 1, max(width, 1)), np.uint8)
+    bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
     for number, chunk in buckets.items():
         bits[number - 1] = np.frombuffer(chunk, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits.ravel())
@@ -223,44 +223,54 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text
                 hit = (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
                 yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(hit.astype(bool)))], ["text"])
 
-        names, sets, held = [], [], 0
-        for name, tokens in _folded(some(), size):
+        names, texts, held = [], [], 0
+        for name, tokens, text in _folded(some(), size):
             names.append(name)
-            sets.append(tokens.tobytes())
+            texts.append(text)
             held += len(tokens)
             if held >= FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["class", "tokens"])
-                names, sets, held = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(texts, pa.string())], ["class", "text"])
+                names, texts, held = [], [], 0
         if names:
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["class", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(texts, pa.string())], ["class", "text"])
 
     given = docs.select(_row_hash(id_col, text_col).alias("hash"), F.col(text_col).alias("text"))
-    found = given.mapInArrow(pick, "class binary, tokens binary").join(wanted.select("class"), "class", "left_semi")
-    return stage(found.dropDuplicates(["class"]), "token-sets")
+    return given.mapInArrow(pick, "class binary, text string")
+
+
+def _plausible(edges: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` of ``edges(a, b)`` that sizes and dense sketches allow."""
+    def end(name: str) -> DataFrame:
+        return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+
+    apart = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    most = F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent) + 1e-9)
+    return edges.join(end("a"), "a").join(end("b"), "b").where((F.abs(F.col("n_a") - F.col("n_b")) <= most) & (apart <= most)).select("a", "b")
 
 
 def _verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, block: int, id_col: str, text_col: str) -> DataFrame:
     """The ``a, b`` of distinct ``edges(a, b)`` whose token sets are similar enough.
 
-    The tokens of ``a`` go out once for every ``block`` of its edges, those of ``b`` once for each edge.
+    Texts travel, not tokens, which take more room: that of ``a`` once for every ``block`` of its edges, that of ``b`` once for
+    each edge.
     """
     edges = stage(edges, "edges-to-verify")
     if edges.isEmpty():
         return edges
-    ends = edges.select(F.col("a").alias("class")).unionByName(edges.select(F.col("b").alias("class"))).distinct()
-    sets = _token_sets(docs, stage(ends.join(classes, "class").select("class", "hash"), "ends"), size, id_col, text_col)
     counts = edges.groupBy("a").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    placed = edges.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), "blocks").alias("salt"), "b")
-    firsts = counts.join(sets, counts.a == sets["class"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"),
-                                                                 F.lit(None).cast("binary").alias("b"), "tokens")
-    rows = firsts.unionByName(placed.join(sets, placed.b == sets["class"]).select("a", "salt", "b", "tokens"))
+    firsts = counts.select(F.col("a").alias("class"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"),
+                           F.lit(None).cast("binary").alias("b"))
+    seconds = edges.join(counts, "a").select(F.col("b").alias("class"), "a", F.pmod(F.xxhash64("b"), "blocks").alias("salt"), "b")
+    needs = stage(firsts.unionByName(seconds), "texts-needed")
+    wanted = needs.select("class").distinct().join(classes, "class").select("hash")
+    rows = _texts_of(docs, wanted, size, id_col, text_col).join(needs, "class").select("a", "salt", "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.empty(0, np.uint64)
         for batch in batches:
             kept = []
-            for i, (other, tokens) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                tokens = np.frombuffer(tokens, np.uint64)
+            for i, (other, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
+                tokens = shingles(text.as_py(), size)
                 if other is None:  # sorted first
                     own = tokens
                     continue
@@ -280,7 +290,7 @@ def _pairs_within(percent: int) -> Callable:
         own, names, roots, sizes, marks = zip(*rows)
         own, sizes = np.array(own), np.array(sizes, np.int64)
         roots = np.unique(np.array(roots, object), return_inverse=True)[1]
-        marks = np.frombuffer(b"".join(marks), np.uint64).reshape(len(rows), -1)
+        marks = np.array(marks, np.int64).view(np.uint64)  # numpy counts the bits of absolute values
         left = np.flatnonzero(own == i)
         right = left if i == j else np.flatnonzero(own == j)
         step = max(1, FLUSH // max(1, len(right)))
@@ -334,13 +344,13 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, text_key, n_shingles, component_id`` for each row; rows link at a Jaccard similarity of ``percent`` in a hundred."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
-    marked = stage(given.mapInArrow(_marked(size), f"doc_id {kind}, text_key long, n_shingles long, class binary, sketch binary"), "marked")
+    marked = stage(given.mapInArrow(_marked(size), f"doc_id {kind}, text_key long, n_shingles long, class binary, sketch array<long>"), "marked")
     classes = stage(marked.where("n_shingles > 0").groupBy("class", "n_shingles", "sketch").agg(
         F.min("doc_id").alias("first_id"), F.min(F.xxhash64("doc_id", "text_key")).alias("hash")), "set-classes")
     sent = docs.select(F.col(text_col).alias("text")).mapInArrow(_sent(size, percent), "part long, c1 long, c2 long")
     members = stage(sent.repartition("part").sortWithinPartitions("part", "c1", "c2").mapInArrow(_shared, MEMBER), "members")
     tested = members.where(F.col("class") != F.col("hub")).select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    links = _verified(tested, classes, docs, size, percent, block, id_col, text_col)
+    links = _verified(_plausible(tested, classes, percent), classes, docs, size, percent, block, id_col, text_col)
     roots = components(links)
     more = _verified(_open_pairs(members, roots, classes, percent, block), classes, docs, size, percent, block, id_col, text_col)
     if not more.isEmpty():
