@@ -41,9 +41,9 @@ from barloom.session import stage
 TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 TOKEN = re.compile(rb"[^ \n]+|\n")
 BREAK = b"\n"
-SLOTS = 1 << 27  # as bits 16 MB
-BLOCK = 1 << 18
-FLUSH = 1 << 18
+SLOTS = 1 << 25  # as bits 4 MB
+BLOCK = 1 << 16
+FLUSH = 1 << 17
 MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -184,7 +184,7 @@ def _filled_slots(texts: DataFrame, k: int, common, least: int) -> DataFrame:
             at = _safe(x, k, common and common.value)
             held.append(slots([x[at + j] for j in range(k)]))
             size += len(at)
-            if size >= 16 * FLUSH:
+            if size >= 4 * FLUSH:
                 yield flushed()
                 held, size = [], 0
         if size:
