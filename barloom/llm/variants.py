@@ -228,6 +228,8 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_pairs(vocabulary: DataFrame, block: int = 1 << 17) -> DataFrame:
     """``u, n_u, v, n_v``: all pairs of the distinct words of ``vocabulary(word, n)`` one edit apart, once each."""
     words = stage(vocabulary.select("word", "n"), "vocabulary")
+    letters = words.agg(F.sum(F.length("word"))).first()[0] or 0
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // block))  # small in bytes, long in work
     live, level = words.withColumn("state", F.lit("")), 0
     units, opened = [], []
     while True:
@@ -245,13 +247,13 @@ def near_pairs(vocabulary: DataFrame, block: int = 1 << 17) -> DataFrame:
     found = units[0]
     for unit in units[1:]:
         found = found.unionByName(unit)
-    pairs = found.repartition("state").sortWithinPartitions("state", "word").mapInArrow(_composed, "u string, n_u long, v string, n_v long")
+    pairs = found.repartition(tasks, "state").sortWithinPartitions("state", "word").mapInArrow(_composed, "u string, n_u long, v string, n_v long")
     if not opened:
         return pairs
     rows = opened[0]
     for row in opened[1:]:
         rows = rows.unionByName(row)
-    rows = stage(rows.mapInArrow(_opened, "hash long, place int, word string, n long, step int"), "opened")
+    rows = stage(rows.repartition(tasks, "word").mapInArrow(_opened, "hash long, place int, word string, n long, step int"), "opened")
     gaps = rows.where("place >= 0").select("hash", "place", "step", F.col("word").alias("u"), F.col("n").alias("n_u"))
     others = gaps.select("hash", "place", "step", F.col("u").alias("v"), F.col("n_u").alias("n_v"))
     wholes = rows.where("place < 0").select("hash", "step", F.col("word").alias("v"), F.col("n").alias("n_v"))
