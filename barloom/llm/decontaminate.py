@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.columns import free_names
 from barloom.session import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,22 +129,24 @@ def _hits(base: DataFrame, windows: DataFrame, lengths: list[int], count: bool)
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
                      **names) -> DataFrame:
     """The rows without any word inside an occurring window; all columns as they came."""
+    of_id, of_key = free_names(docs, "id", "key")
     hit = stage(scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "hit-documents")  # its size is known before the join
-    return docs.join(hit, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.xxhash64(text_col) == F.col("__key")), "left_anti")
+        F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key)).distinct(), "hit-documents")  # its size is known before the join
+    return docs.join(hit, (F.col(id_col).eqNullSafe(F.col(of_id))) & (F.xxhash64(text_col) == F.col(of_key)), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
                  **names) -> DataFrame:
     """All rows, without the hit words and the break after each; texts without a hit stay as they are."""
+    of_id, of_key, places = free_names(docs, "id", "key", "hits")
     hit = stage(scan(docs, benchmark, n, id_col, text_col, **names).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("hits").alias("__hits")).dropDuplicates(["__id", "__key"]),
+        F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key), F.col("hits").alias(places)).dropDuplicates([of_id, of_key]),
         "hit-documents")
     text = F.col(text_col)
     words, breaks = F.regexp_extract_all(text, F.lit(WORD), 0), F.split(text, WORD, -1)
     pieces = F.zip_with(words, F.slice(breaks, 2, F.size(breaks) - 1), lambda w, b: F.concat(w, b))
     kept = let(pieces, lambda p: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("__hits")), lambda i: F.get(p, i)), ""))
-    cleaned = F.when(F.col("__hits").isNotNull(), F.concat(F.element_at(breaks, 1), kept)).otherwise(text)
-    joined = docs.join(hit, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.xxhash64(text_col) == F.col("__key")), "left")
+        F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col(places)), lambda i: F.get(p, i)), ""))
+    cleaned = F.when(F.col(places).isNotNull(), F.concat(F.element_at(breaks, 1), kept)).otherwise(text)
+    joined = docs.join(hit, (F.col(id_col).eqNullSafe(F.col(of_id))) & (F.xxhash64(text_col) == F.col(of_key)), "left")
     return joined.withColumn(text_col, cleaned).select(*[f"`{c}`" for c in docs.columns])

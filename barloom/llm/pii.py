@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.columns import free_names
 from barloom.llm.decontaminate import let
 from barloom.session import stage
 
@@ -32,7 +33,9 @@ MALE = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "господин", "Го
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "госпожа", "Госпожа"]
 TITLES = "|".join(MALE + FEMALE)
 
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: Repeated groups are possessive throughout: Java's matcher recurses for each repeat of any other group, and a long
+#: run of them in a text would overflow its stack. After the @ labels of any kind, one of them beginning like a domain.
+EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+(?=\.[A-Za-z]{2})(?:\.[A-Za-z0-9-]++)++"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IP = rf"(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 CARD = r"(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])"
@@ -47,9 +50,9 @@ ACCESS_KEY = r"(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)"
 #: names that a secret is assigned to, in any letter case; what stands in front of them (db_, access_) stays
 ASSIGNED = r"(?i:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]"
 SECRET = rf"(?=[tpsaTPSA]){ASSIGNED}\s{{0,3}}\"?[^\s\"]{{8,}}\"?"
-WORD = r"\p{Lu}[\p{L}'-]+"
-INITIALS = r"(?:\p{Lu}\.)+|\p{Lu}"
-NAME = rf"(?:{TITLES})\.? (?:(?:{INITIALS}) )*{WORD}(?: (?:(?:{INITIALS}) )*{WORD})*"
+WORD = r"\p{Lu}[\p{L}'-]++"
+INITIALS = r"(?:(?:(?:\p{Lu}\.)++|\p{Lu}) )*+"
+NAME = rf"(?:{TITLES})\.? {INITIALS}{WORD}(?: {INITIALS}{WORD})*+"
 #: one entity; starts where no word, number or address is being read, and a secret also inside a longer name
 ENTITY = (r"(?<![\p{L}\p{N}_@.%+-])(?:" + "|".join([EMAIL, IP, PHONE, CARD, SSN, ACCESS_KEY, NAME]) + rf")|{SECRET}"
           r"|(?<=\s)\(\d{2,4}\)[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)")
@@ -68,9 +71,10 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
-def _by_position(length: Column, each) -> Column:
-    """A string of ``each(i)`` for i from 1 to ``length``."""
-    return F.when(length > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(length, F.lit(1))), each), "")).otherwise("")
+def _by_letter(text: Column, each) -> Column:
+    """A string of ``each(letter, i)`` for the letters of ``text``, i from 1. The text is split once: taking letters
+    out of it by position would read it from the start for each of them."""
+    return F.array_join(F.transform(F.split(text, ""), lambda c, i: each(c, i + 1)), "")
 
 
 def _at(text: Column, i: Column) -> Column:
@@ -92,7 +96,7 @@ def _alike(char: Column, seed: Column, i: Column, letters: str = "abcdefghijklmn
 
 
 def _shaped(text: Column, seed: Column, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
-    return _by_position(F.length(text), lambda i: _alike(_at(text, i), seed, i, letters))
+    return _by_letter(text, lambda c, i: _alike(c, seed, i, letters))
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -123,21 +127,21 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
-def _parts(match: Column) -> Column:
-    """What follows the title of a name: words and initials."""
-    return let(F.split(match, " "), lambda parts: F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
+def _units(match: Column) -> Column:
+    """The words of a name, each with the initials in front of it; the title is left out."""
+    return F.regexp_extract_all(F.substr(match, F.instr(match, " ")), F.lit(rf" {INITIALS}{WORD}"), 0)
 
 
-def _words(parts: Column) -> Column:
-    return F.filter(parts, lambda p: p.rlike(rf"^{WORD}$"))
+def _word(unit: Column) -> Column:
+    return F.substring_index(unit, " ", -1)
 
 
 def entities_of(match: Column, kind: Column) -> Column:
     """The entities inside a match, in the form that all spellings share."""
     digits = _digits(match)
     gender = F.when(_male(match), "m").otherwise("f")
-    names = let(_words(_parts(match)), lambda words: F.transform(words, lambda w, i: _entity(
-        F.concat(F.when(i == F.size(words) - 1, "last_").otherwise("first_"), gender), F.lower(w))))
+    names = let(_units(match), lambda units: F.transform(units, lambda u, i: _entity(
+        F.concat(F.when(i == F.size(units) - 1, "last_").otherwise("first_"), gender), F.lower(_word(u)))))
     phone = let(F.regexp_replace(_digits(F.regexp_replace(match, COUNTRY, "")), "^0", ""),
                 lambda d: F.when(F.length(d) > 10, F.right(d, F.lit(10))).otherwise(d))
     value = (F.when(kind == "email", F.lower(match)).when(kind.isin("card", "ssn"), digits).when(kind == "phone", phone)
@@ -187,17 +191,16 @@ def _initials(key: str, part: Column, of: Column) -> Column:
         return F.substr(F.lit(letters), F.pmod(F.instr(F.lit(letters), letter) + _draw(seed, i, len(letters) - 1), F.lit(len(letters))) + 1, F.lit(1))
 
     latin, cyrillic = ALPHABETS
-    return let(F.sha2(F.concat_ws("|", F.lit(key), F.lit("initial"), of, part), 256), lambda seed: _by_position(F.length(part), lambda i: let(
-        _at(part, i), lambda c: F.when(c == ".", c).when(c.rlike(r"\p{IsCyrillic}"), other(c, seed, i, cyrillic)).otherwise(other(c, seed, i, latin)))))
+    return let(F.sha2(F.concat_ws("|", F.lit(key), F.lit("initial"), of, part), 256), lambda seed: _by_letter(part, lambda c, i: F.when(
+        c.isin(".", ""), c).when(c.rlike(r"\p{IsCyrillic}"), other(c, seed, i, cyrillic)).otherwise(other(c, seed, i, latin))))
 
 
 def _fill_digits(match: Column, made: Column) -> Column:
-    """The match with its last digits replaced; what is in front, such as a country code, stays."""
-    def each(i):
+    """The match with its last digits replaced; what is in front, such as a country code, stays. Numbers are short."""
+    def each(char, i):
         after = F.length(_digits(F.substr(match, i + 1)))
-        char = _at(match, i)
         return F.when(char.between("0", "9") & (after < F.length(made)), _at(made, F.length(made) - after)).otherwise(char)
-    return _by_position(F.length(match), each)
+    return _by_letter(match, each)
 
 
 def render(key: str, match: Column, kind: Column, found: Column, attempts: Column | None) -> Column:
@@ -209,13 +212,17 @@ def render(key: str, match: Column, kind: Column, found: Column, attempts: Colum
             attempt = F.coalesce(F.try_element_at(attempts, F.concat_ws(":", entity.kind, entity.value)), attempt)
         return surrogate(key, entity.kind, entity.value, attempt)
 
+    def named(unit: Column, stand_in: Column) -> Column:
+        word = _word(unit)
+        front = F.split(F.left(unit, F.length(unit) - F.length(word)), " ")
+        initials = F.transform(front, lambda p: F.when(p == "", p).otherwise(_initials(key, p, F.element_at(found, -1).value)))
+        return F.concat(F.array_join(initials, " "), _written_like(word, stand_in))
+
     def written(stand_ins: Column) -> Column:
         only = F.get(stand_ins, F.lit(0))
-        email = _by_position(F.length(match), lambda i: F.when(_at(match, i).between("A", "Z"), F.upper(_at(only, i))).otherwise(_at(only, i)))
+        email = F.array_join(F.zip_with(F.split(match, ""), F.split(only, ""), lambda c, o: F.when(c.between("A", "Z"), F.upper(o)).otherwise(o)), "")
         secret = F.concat(F.regexp_extract(match, SECRET_PARTS, 1), only, F.regexp_extract(match, SECRET_PARTS, 3))
-        name = F.concat_ws(" ", F.substring_index(match, " ", 1), let(_parts(match), lambda parts: F.transform(parts, lambda p, i: F.when(
-            p.rlike(rf"^{WORD}$"), _written_like(p, F.get(stand_ins, F.size(_words(F.slice(parts, 1, i + 1))) - 1))).otherwise(
-            _initials(key, p, F.element_at(found, -1).value)))))
+        name = F.concat(F.substring_index(match, " ", 1), F.array_join(F.zip_with(_units(match), stand_ins, named), ""))
         return (F.when(kind == "email", email).when(kind.isin("phone", "card", "ssn"), _fill_digits(match, only))
                 .when(kind == "secret", secret).when(kind == "name", name).otherwise(only))
 
@@ -245,24 +252,25 @@ def assign(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
 def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data replaced in ``text_col``; ``count_col`` names a column for the number of replacements."""
     text = F.col(text_col)
+    of_id, of_key, tries, kinds, matched = free_names(docs, "id", "key", "attempts", "kinds", "matches")
     hits = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.explode(matches(text)).alias("match"))
     typed = hits.distinct().withColumn("kind", _kind(F.col("match")))
     inside = F.inline(entities_of(F.col("match"), F.col("kind")))
     exceptions = assign(typed.select("match", "kind").distinct().select(inside).distinct(), key).where("attempt > 0")
     attempts, found = None, docs
     if not exceptions.isEmpty():
-        attempts = F.col("__attempts")
+        attempts = F.col(tries)
         of_doc = typed.select("id", "text_key", inside).join(exceptions, ["kind", "value"])
-        of_doc = of_doc.groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__key")).agg(F.map_from_entries(F.collect_set(
-            F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias("__attempts"))
-        found = docs.join(of_doc, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key")), "left")
-    kinds = F.transform(matches(text), lambda m: F.struct(m.alias("match"), _kind(m).alias("kind")))
-    found = found.withColumn("__matches", F.transform(kinds, lambda t: F.struct(
+        of_doc = of_doc.groupBy(F.col("id").alias(of_id), F.col("text_key").alias(of_key)).agg(F.map_from_entries(F.collect_set(
+            F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias(tries))
+        found = docs.join(of_doc, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_key)), "left")
+    found = found.withColumn(kinds, F.transform(matches(text), lambda m: F.struct(m.alias("match"), _kind(m).alias("kind"))))
+    found = found.withColumn(matched, F.transform(kinds, lambda t: F.struct(
         t.match.alias("match"), t.kind.alias("kind"), entities_of(t.match, t.kind).alias("found"))))
-    stand_ins = F.transform("__matches", lambda t: render(key, t.match, t.kind, t.found, attempts))
+    stand_ins = F.transform(matched, lambda t: render(key, t.match, t.kind, t.found, attempts))
     joined = let(F.split(text, ENTITY, -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.zip_with(
         stand_ins, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s, p: F.concat(s, p)), "")))
-    new = F.when(F.size("__matches") > 0, joined).otherwise(text)
-    count = F.size(F.filter("__matches", lambda t: F.size(t.found) > 0))
+    new = F.when(F.size(matched) > 0, joined).otherwise(text)
+    count = F.size(F.filter(matched, lambda t: F.size(t.found) > 0))
     columns = [F.col(f"`{c}`") if c != text_col else new.alias(c) for c in docs.columns]
     return found.select(*columns, *([count.alias(count_col)] if count_col else []))

@@ -1,8 +1,9 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from barloom.llm import pii
+from barloom.llm import decontaminate, pii, simhash
 
 LUHN = "4041894974608795"
 
@@ -138,3 +139,59 @@ def test_exceptions_reach_the_documents(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+LONG = {
+    "words after a title": ("Mr. " + "Anna " * 100_000, 1),
+    "initials after a title": ("Mr. " + "A. " * 100_000 + "Smith", 1),
+    "joined initials": ("Mr. " + "A." * 100_000 + " Smith", 1),
+    "initials without a name": ("Mr. " + "A. " * 100_000, 0),
+    "labels of an address": ("a@" + "a." * 100_000 + "com", 1),
+    "labels without a domain": ("a@" + "a." * 100_000, 0),
+    "a long address": ("b" * 500_000 + "@" + "c" * 500_000 + ".org", 1),
+    "a long secret": ('token = "' + "x" * 1_000_000 + '"', 1),
+    "dots and signs": ("a.@" * 100_000, 0),
+    "digits and dashes": ("12-34 " * 100_000, 0),
+}
+
+
+def test_entities_of_any_length(spark):
+    """No recursion for each repeat, and time in proportion to the length."""
+    run(spark, [(0, "Mr. Smith a@b.org")])
+    for name, (text, n) in LONG.items():
+        start = time.perf_counter()
+        out = run(spark, [(0, f"x {text} y")])[0]
+        assert time.perf_counter() - start < 15, name  # about 5 s of them are the jobs of any run
+        assert out.n == n and (out.text != f"x {text} y") == (n > 0), name
+        assert out.text.startswith("x ") and out.text.endswith(" y")
+        if "name" not in name:
+            assert len(out.text.split(" ")) == len(f"x {text} y".split(" ")), name
+
+
+def test_addresses_with_labels_of_all_kinds(spark):
+    cases = {"a@b.1x.com": "a@b.1x", "a@b.com.1": "b.com.", "a@b.com. Next": ". Next", "a@b-c.d.org,": ","}
+    for (text, part), row in zip(cases.items(), run(spark, [(i, t) for i, t in enumerate(cases)])):
+        assert row.n == 1 and "a@b" not in row.text and (part in row.text) == part.startswith((".", ",")), (text, row.text)
+
+
+INTERNAL = ["__id", "__key", "__matches", "__attempts", "__hits", "__text_key", "id", "key", "_id", "KEY", "kinds", "matches", "_matches", "attempts",
+            "hits", "text_key", "fp", "kind", "value", "attempt", "match", "root", "component_id", "n_words", "found", "hash", "items", "copies"]
+
+
+def test_columns_of_any_name_come_through(spark):
+    rows = [(i, t, *(f"{c}{i}" for c in INTERNAL)) for i, t in enumerate(["mail 10.20.30.40", "x 10.20.30.41", None, "mail 10.20.30.40"])]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in INTERNAL)]))
+    benchmark = spark.createDataFrame([(1, "x 10 20")], "item_id long, text string")
+    for out, kept in ((pii.replace(docs, "k"), {0, 1, 2, 3}), (decontaminate.remove_documents(docs, benchmark, n=3), {0, 2, 3}),
+                      (decontaminate.remove_spans(docs, benchmark, n=3), {0, 1, 2, 3}), (simhash.keep_first(docs), {0, 1, 2})):
+        assert out.columns == docs.columns
+        got = {r[0]: list(r[2:]) for r in out.collect()}
+        assert got == {i: [f"{c}{i}" for c in INTERNAL] for i in kept}
+
+
+def test_clashing_names_where_attempts_are_joined(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, value, attempt: F.when(attempt == 0, F.lit("1.1.1.1")).otherwise(real(key, kind, value, attempt)))
+    docs = spark.createDataFrame([(i, f"10.20.30.{100 + i}", "a", "b", "c") for i in range(5)], "doc_id long, text string, attempts string, __id string, id string")
+    out = pii.replace(docs, "k").collect()
+    assert {tuple(r[2:]) for r in out} == {("a", "b", "c")} and len({r.text for r in out}) == 5
