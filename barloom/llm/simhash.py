@@ -6,8 +6,13 @@ inside the group, where linked fingerprints are equally far from every vantage p
 crosses a boundary there. Once a group no longer splits the sample, nodes measure the distance of whole
 fingerprints, and the triangle bound sends a fingerprint to both sides of a boundary that lies within
 ``max_bits`` of it. The trees are fitted on the driver to about ``sample`` distinct fingerprints (chosen by
-their hashes), so their size does not grow with the data; every fingerprint is routed and every pair of
-each shard compared.
+their hashes), so their size does not grow with the data. Shards do: a leaf that the whole table would fill with
+more than ``SHARD`` fingerprints is dealt into several shards by a hash of the bits of its tree's group, on which
+linked fingerprints agree, and larger tables take more and wider groups (:func:`groups_for`). Every fingerprint is
+routed and every pair of each shard compared.
+
+Whole-fingerprint nodes need fingerprints that stand in clusters: the distances of unrelated ones are 32 give or take 4,
+so a boundary with a margin of 4 on both sides would copy nearly all of them (figures in the README).
 
 A shard of more than ``block`` fingerprints is cut into blocks, and pairs of blocks are compared in
 separate tasks. A task returns a spanning forest of the links it found, never all pairs.
@@ -28,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.columns import free_names
 from barloom.llm.graph import components
 from barloom.llm.sampling import hashed_sample
 from barloom.session import stage
 
 BITS = 64
 CHUNK = 1 << 16
+SHARD = 512
 FULL = np.uint64(2**64 - 1)
 
 
@@ -75,25 +82,41 @@ def masks(groups: int, max_bits: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, groups - max_bits)]
 
 
+def groups_for(total: int, max_bits: int) -> int:
+    """How many groups of bits, so that the bits of ``groups - max_bits`` of them tell ``total`` fingerprints apart well:
+    at most about 500 random ones share them."""
+    groups = max_bits + 1
+    while groups < 2 * max_bits and total >> (BITS * (groups - max_bits) // groups) > 500:
+        groups += 1
+    return groups
+
+
 class Forest:
-    """Vantage-point trees, one for each mask, as flat nodes; a shard is a leaf's number."""
+    """Vantage-point trees, one for each mask, as flat nodes.
+
+    A leaf has shards for its part of ``total`` fingerprints; they are numbered through.
+    """
 
-    def __init__(self, sample: np.ndarray, groups: int, max_bits: int, leaf: int):
-        self.nodes: list[tuple] = []  # mask, vantage point, threshold, margin, left, right; a child < 0 is shard -1 - child
+    def __init__(self, sample: np.ndarray, groups: int, max_bits: int, leaf: int, total: int = 0):
+        self.nodes: list[tuple] = []  # mask, vantage point, threshold, margin, left, right; a child < 0 is leaf -1 - child
+        self.leaves: list[tuple] = []  # mask, first shard, number of shards
         self.shards, self.max_bits, self.leaf = 0, max_bits, leaf
+        self.share = max(1.0, total / max(1, len(sample)))
         self.random = np.random.default_rng(7)
         self.roots = [self._grow(sample, np.uint64(m)) for m in masks(groups, max_bits)]
 
-    def _shard(self) -> int:
-        self.shards += 1
-        return -self.shards
+    def _leaf(self, sample: np.ndarray, mask: np.uint64) -> int:
+        shards = max(1, int(len(sample) * self.share / SHARD))
+        self.leaves.append((mask, self.shards, shards))
+        self.shards += shards
+        return -len(self.leaves)
 
     def _grow(self, sample: np.ndarray, mask: np.uint64) -> int:
         if len(sample) <= self.leaf:
-            return self._shard()
+            return self._leaf(sample, mask)
         found = self._split(sample, mask, 0) or self._split(sample, FULL, self.max_bits)
         if not found:
-            return self._shard()
+            return self._leaf(sample, mask)
         at, distance = len(self.nodes), found[-1]
         mask_used, vantage, limit, margin = found[:4]
         self.nodes.append(())
@@ -122,8 +145,10 @@ class Forest:
             if not len(at):
                 continue
             if node < 0:
+                mask, first, number = self.leaves[-1 - node]
+                mixed = (fps[at] & mask) * np.uint64(0x9E3779B97F4A7C15)
                 rows.append(at)
-                shards.append(np.full(len(at), -1 - node, np.int64))
+                shards.append(first + ((mixed ^ mixed >> np.uint64(32)) % np.uint64(number)).astype(np.int64))
                 continue
             mask, vantage, limit, margin, left, right = self.nodes[node]
             distance = np.bitwise_count((fps[at] ^ vantage) & mask).astype(np.int64)
@@ -160,9 +185,9 @@ def links(reps: DataFrame, max_bits: int = 4, groups: int | None = None, sample:
 
     ``reps`` has distinct ``fp``. More ``groups`` than ``max_bits + 1`` make more and finer trees.
     """
-    spark = reps.sparkSession
+    spark, total = reps.sparkSession, reps.count()
     drawn = hashed_sample(reps.select("fp"), ["fp"], sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    forest = Forest(np.sort(drawn), groups or max_bits + 1, max_bits, leaf)
+    forest = Forest(np.sort(drawn), groups or groups_for(total, max_bits), max_bits, leaf, total)
     shared = spark.sparkContext.broadcast(forest)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +197,9 @@ def links(reps: DataFrame, max_bits: int = 4, groups: int | None = None, sample:
             yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(fps[rows])], ["shard", "fp"])
 
     routed = reps.select("fp").mapInArrow(route, "shard long, fp long")
-    sizes = routed.groupBy("shard").agg(F.ceil(F.count("*") / block).alias("blocks"))  # a row for each shard of the fitted trees
+    sizes = routed.groupBy("shard").agg(F.ceil(F.count("*") / block).alias("blocks"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    spread = routed.join(F.broadcast(sizes), "shard").select("shard", "fp", own.alias("own"), F.explode(
+    spread = routed.join(sizes, "shard").select("shard", "fp", own.alias("own"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
     keyed = spread.select("shard", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "fp")
 
@@ -205,14 +230,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, that with the smallest id (null last, then the smallest text hash); all columns as they came."""
+    of_id, of_key, text_key = free_names(docs, "id", "key", "text_key")
     classes = stage(near_duplicates(docs, id_col, text_col, **options), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
     kept = stage(classes.groupBy("root").agg(F.min(order).alias("k")).select(
-        F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key")), "kept")
-    same = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key"))
-    repeated = classes.groupBy("doc_id", "text_key").count().where("count > 1").join(kept, same, "left_semi")
-    joined = docs.withColumn("__text_key", F.xxhash64(text_col)).join(
-        kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")))
+        F.col("k.doc_id").alias(of_id), F.col("k.text_key").alias(of_key)), "kept")
+    mine = kept.toDF("kept_id", "kept_key")
+    repeated = classes.groupBy("doc_id", "text_key").count().where("count > 1").join(
+        mine, F.col("kept_id").eqNullSafe(F.col("doc_id")) & (F.col("kept_key") == F.col("text_key")), "left_semi")
+    joined = docs.withColumn(text_key, F.xxhash64(text_col)).join(
+        kept, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(text_key) == F.col(of_key)))
     if not repeated.isEmpty():  # a kept row that the table holds more than once
-        joined = joined.dropDuplicates(["__id", "__key"])
+        joined = joined.dropDuplicates([of_id, of_key])
     return joined.select(*[f"`{c}`" for c in docs.columns])

@@ -36,12 +36,13 @@ def test_fingerprint_equals_the_definition(text):
     assert simhash.fingerprint(text) == brute_fingerprint(text)
 
 
+@pytest.mark.parametrize("total", [0, 100_000])
 @pytest.mark.parametrize("leaf", [1, 4, 1000])
-def test_forest_puts_every_linked_pair_into_one_shard(leaf):
+def test_forest_puts_every_linked_pair_into_one_shard(leaf, total):
     rng = np.random.default_rng(leaf)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     fps = np.concatenate([base] + [base ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, 4, replace=False))) for _ in range(8)])
-    forest = simhash.Forest(fps[::2], 5, 4, leaf)
+    forest = simhash.Forest(fps[::2], 5, 4, leaf, total)
     rows, shards = forest.route(fps)
     homes = [set(shards[rows == i].tolist()) for i in range(len(fps))]
     for x in range(len(fps)):
@@ -84,3 +85,32 @@ def test_long_chains_settle(spark):
     chain = spark.range(300).selectExpr("id as a", "id + 1 as b")
     assert {r.root for r in graph.components(chain).collect()} == {0}
     assert graph.components(chain.limit(0)).count() == 0
+
+
+def test_clustered_fingerprints_make_nodes_with_a_margin():
+    """Fingerprints that agree on a group of bits and stand in clusters: their tree goes on with whole distances."""
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 2**63, 12, dtype=np.uint64) & ~np.uint64(2**13 - 1)
+    near = [c ^ np.uint64(sum(1 << int(b) for b in 13 + rng.choice(51, 3, replace=False))) for c in centres for _ in range(40)]
+    fps = np.unique(np.concatenate([centres, np.array(near, np.uint64), rng.integers(0, 2**63, 200, dtype=np.uint64)]))
+    forest = simhash.Forest(fps, 5, 4, 16)
+    margins = [node[3] for node in forest.nodes]
+    assert margins.count(4) > 5
+    rows, shards = forest.route(fps)
+    homes = [set(shards[rows == i].tolist()) for i in range(len(fps))]
+    for x in range(len(fps)):
+        for y in np.flatnonzero(np.bitwise_count(fps ^ fps[x]) <= 4):
+            assert homes[x] & homes[int(y)]
+
+
+def test_shards_grow_with_the_table():
+    rng = np.random.default_rng(4)
+    sample = rng.integers(0, 2**63, 4096, dtype=np.uint64)
+    work = []
+    for total in (20_000, 80_000, 320_000):
+        forest = simhash.Forest(sample, 5, 4, 64, total)
+        _, shards = forest.route(rng.integers(0, 2**63, total, dtype=np.uint64))
+        sizes = np.bincount(shards)
+        work.append(int((sizes * (sizes - 1) // 2).sum()) / total)
+    assert work[-1] < 3 * work[0]  # comparisons for each fingerprint
+    assert [simhash.groups_for(n, 4) for n in (1, 10**6, 10**8, 10**10)] == [5, 5, 6, 7]
