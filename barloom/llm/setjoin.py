@@ -12,8 +12,9 @@ s and t. Two sketches are used that way:
   one of its non-empty parts is untouched by the difference, and the other set has sent that part too. So
   empty parts, which all sets share, are never sent. A set whose parts do not suffice sends all of them and,
   for pairs of two such sets, its first tokens in hash order (the prefix filter).
-* A dense sketch of 512 parity bits, whose Hamming distance is compared with what the pair may differ in
-  before any tokens are.
+* A dense sketch of two to four parity bits for each token (a power of two, 512 at least and ``WIDEST`` at most), whose Hamming
+  distance is compared with what the pair may differ in before any tokens are. Sketches of two widths are compared after the wider
+  one is folded, half onto half.
 
 Whatever passes is verified on the whole token sets. Copies are folded first: a class is a distinct set (by a
 128-bit hash), and a task sends the parts of a class once. Of the classes that share a part, first all are
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from barloom.llm.graph import components
 from barloom.session import stage
 
-SKETCH_BITS = 512
+NARROWEST, WIDEST = 1 << 9, 1 << 17
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 FILTER_BITS = 1 << 26  # 8 MB at most, whatever the number of rows
 FOLD = 1 << 17
@@ -71,10 +72,22 @@ def set_class(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
+def width(size: int) -> int:
+    """Bits of the dense sketch of a set; those of sets that may link are equal or one is twice the other."""
+    return min(WIDEST, max(NARROWEST, 1 << (2 * size - 1).bit_length()))
+
+
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """Parity bits in whole numbers of 64: every token flips one."""
-    at = (_mixed(tokens, MIX[1]) >> np.uint64(64 - 9)).astype(np.int64)
-    return np.packbits(np.bincount(at, minlength=SKETCH_BITS) & 1).view(np.int64)
+    bits = width(len(tokens))
+    at = (_mixed(tokens, MIX[1]) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1).view(np.int64)
+
+
+def folded(marks: np.ndarray) -> np.ndarray:
+    """Sketches of half the width."""
+    half = marks.shape[-1] // 2
+    return marks[..., :half] ^ marks[..., half:]
 
 
 def differing(total: int, percent: int) -> int:
@@ -243,7 +256,12 @@ def _plausible(edges: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def end(name: str) -> DataFrame:
         return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
 
-    apart = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    def as_wide_as(mine: str, other: str):
+        half = F.size(other)
+        return F.when(F.size(mine) > half, F.zip_with(F.slice(mine, F.lit(1), half), F.slice(mine, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(mine))
+
+    bits = F.zip_with(as_wide_as("s_a", "s_b"), as_wide_as("s_b", "s_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)  # null where the widths differ more, and so the sizes
     most = F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent) + 1e-9)
     return edges.join(end("a"), "a").join(end("b"), "b").where((F.abs(F.col("n_a") - F.col("n_b")) <= most) & (apart <= most)).select("a", "b")
 
@@ -288,23 +306,31 @@ def _pairs_within(percent: int) -> Callable:
     """Pairs of classes of one part (or two of its blocks), of different components, that sizes and dense sketches allow."""
     def compare(rows: list[tuple], i: int, j: int) -> Iterator[pa.RecordBatch]:
         own, names, roots, sizes, marks = zip(*rows)
-        own, sizes = np.array(own), np.array(sizes, np.int64)
+        own, sizes, words = np.array(own), np.array(sizes, np.int64), np.array([len(m) for m in marks])
         roots = np.unique(np.array(roots, object), return_inverse=True)[1]
-        marks = np.array(marks, np.int64).view(np.uint64)  # numpy counts the bits of absolute values
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
+        for count in np.unique(words):  # sketches of one width, and of twice the width against them
+            narrow, wide = np.flatnonzero(words == count), np.flatnonzero(words == 2 * count)
+            table = np.array([marks[k] for k in narrow], np.int64).view(np.uint64)  # numpy counts the bits of absolute values
+            yield from matched(names, sizes, roots, narrow[own[narrow] == i], narrow[own[narrow] == j], table[own[narrow] == i], table[own[narrow] == j], i == j)
+            if len(wide):
+                half = folded(np.array([marks[k] for k in wide], np.int64).view(np.uint64))
+                yield from matched(names, sizes, roots, narrow[own[narrow] == i], wide[own[wide] == j], table[own[narrow] == i], half[own[wide] == j], False)
+                if i != j:
+                    yield from matched(names, sizes, roots, narrow[own[narrow] == j], wide[own[wide] == i], table[own[narrow] == j], half[own[wide] == i], False)
+
+    def matched(names, sizes, roots, left, right, of_left, of_right, same) -> Iterator[pa.RecordBatch]:
         step = max(1, FLUSH // max(1, len(right)))
         for begin in range(0, len(left), step):
             some = left[begin:begin + step]
-            total = sizes[some, None] + sizes[right]
-            apart = np.zeros(total.shape, np.int64)
-            for word in range(marks.shape[1]):
-                apart += np.bitwise_count(marks[some, word][:, None] ^ marks[right, word])
-            most = total * (100 - percent) // (100 + percent)
-            x, y = np.nonzero((apart <= most) & (np.abs(sizes[some, None] - sizes[right]) <= most) & (roots[some, None] != roots[right]))
-            x, y = some[x], right[y]
-            if i == j:
-                x, y = x[x < y], y[x < y]
+            most = (sizes[some, None] + sizes[right]) * (100 - percent) // (100 + percent)
+            x, y = np.nonzero((np.abs(sizes[some, None] - sizes[right]) <= most) & (roots[some, None] != roots[right]))
+            if same:
+                x, y = x[some[x] < right[y]], y[some[x] < right[y]]
+            part = max(1, (1 << 20) // max(1, of_right.shape[-1]))
+            near = [x[:0].astype(bool)] + [np.bitwise_count(of_left[begin + x[k:k + part]] ^ of_right[y[k:k + part]]).sum(axis=1, dtype=np.int64)
+                                           <= most[x[k:k + part], y[k:k + part]] for k in range(0, len(x), part)]
+            near = np.concatenate(near)
+            x, y = some[x[near]], right[y[near]]
             if len(x):
                 a, b = ([names[k] for k in side] for side in (x.tolist(), y.tolist()))
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(min, a, b)), pa.binary()), pa.array(list(map(max, a, b)), pa.binary())], ["a", "b"])
@@ -341,7 +367,9 @@ def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percen
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
                  block: int = 4096) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id`` for each row; rows link at a Jaccard similarity of ``percent`` in a hundred."""
+    """``doc_id, text_key, n_shingles, component_id`` for each row; rows link at a Jaccard similarity of ``percent`` in a hundred, 50 at least."""
+    if not 50 <= percent <= 100:  # dense sketches of linked sets are compared at widths that differ by a factor of 2 at most
+        raise ValueError("percent must be between 50 and 100")
     given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
     marked = stage(given.mapInArrow(_marked(size), f"doc_id {kind}, text_key long, n_shingles long, class binary, sketch array<long>"), "marked")
