@@ -243,15 +243,18 @@ def candidates(texts: DataFrame, k: int, common: DataFrame, common_bits, least:
 class Trie:
     """A double-array trie of sorted distinct phrases of one length.
 
-    From state s the word c leads to ``base[s] + c`` if ``check`` there is s. States of the last level accept; ``phrase``
-    is the number of the accepted phrase. The root is state 0.
+    A word number is read as its bytes, the highest first, so that the children of a state lie within 256 cells and the
+    arrays stay dense. From state s the byte c leads to ``base[s] + c`` if ``check`` there is s. States of the last level
+    accept; ``phrase`` is the number of the accepted phrase. The root is state 0.
     """
 
     def __init__(self, rows: np.ndarray):
-        n, k = rows.shape
-        top = int(rows.max(initial=0))
-        self.depth, self.size = k, n
-        self.used = np.zeros(2 * (top + n * k) + 64, bool)
+        n, self.words = rows.shape
+        self.shifts = range(8 * (max(1, (int(rows.max(initial=0)).bit_length() + 7) // 8) - 1), -1, -8)
+        rows = np.column_stack([rows[:, j] >> shift & 255 for j in range(self.words) for shift in self.shifts])
+        k = rows.shape[1]
+        self.size = n
+        self.used = np.zeros(2 * n * k + 1024, bool)
         self.used[0] = True
         self.base = np.zeros(len(self.used), np.int32)
         self.check = np.full(len(self.used), -1, np.int32)
@@ -322,12 +325,13 @@ class Trie:
     def advance(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The accepting states that places ``at`` of the text reach, all places moved together level by level."""
         state = np.zeros(len(at), np.int64)
-        for level in range(self.depth):
-            to = self.base[state] + x[at].astype(np.int64)
-            to[(to < 0) | (to >= len(self.check))] = 0
-            alive = self.check[to] == state
-            alive &= to != 0
-            state, at = to[alive], at[alive] + 1
+        for word in range(self.words):
+            for shift in self.shifts:
+                to = self.base[state] + (x[at + word] >> shift & 255)
+                to[(to < 0) | (to >= len(self.check))] = 0
+                alive = self.check[to] == state
+                alive &= to != 0
+                state, at = to[alive].astype(np.int64), at[alive]
         return state
 
 
@@ -385,7 +389,7 @@ def _exact(*factors: Column) -> Column:
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100, longest: int = 5, scale: int = 1000,
-                 inside: int = 100, top: int | None = 2000, dictionary: int = 500_000, shard: int = 1_000_000) -> DataFrame:
+                 inside: int = 100, top: int | None = 2000, dictionary: int = 500_000, shard: int = 250_000) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of 2 to ``longest`` words of each language (all, if None).
 
     A phrase that occurs ``a`` times among the language's ``n`` words, cut into parts that occur ``l`` and ``r`` times, has the
