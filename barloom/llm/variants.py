@@ -216,13 +216,19 @@ def gap_hashes(word: str, begin: int, end: int) -> tuple[int, np.ndarray]:
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of words in opened states: the hash of each word, and of it without one letter of the step."""
     names = ["hash", "place", "word", "n", "step"]
-    for batch in batches:
-        for word, n, begin, end in zip(*(c.to_pylist() for c in batch.columns)):
-            whole, gaps = gap_hashes(word, begin, end)
-            size = len(gaps) + 1
+    for whole_batch in batches:
+        for first in range(0, whole_batch.num_rows, 1024):
+            batch = whole_batch.slice(first, 1024)
+            hashes, places, sizes = [], [], []
+            for word, begin, end in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
+                whole, gaps = gap_hashes(word, begin, end)
+                hashes += [gaps, [whole]]
+                places += [np.arange(begin, begin + len(gaps)), [-1]]
+                sizes.append(len(gaps) + 1)
+            at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(gaps, whole)), pa.array(np.append(np.arange(begin, begin + len(gaps)), -1).astype(np.int32)),
-                 pa.array([word] * size), pa.array(np.full(size, n, np.int64)), pa.array(np.full(size, end, np.int32))], names)
+                [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(np.concatenate(places).astype(np.int32)),
+                 batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at)], names)
 
 
 def near_pairs(vocabulary: DataFrame, block: int = 1 << 17) -> DataFrame:
