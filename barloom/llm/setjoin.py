@@ -19,8 +19,9 @@ s and t. Two sketches are used that way:
 Whatever passes is verified on the whole token sets. Copies are folded first: a class is a distinct set (by a
 128-bit hash), and a task sends the parts of a class once. Of the classes that share a part, first all are
 verified against the smallest alone. Only groups whose other members still fall into several components are
-compared among themselves, cut into blocks of ``block`` classes whose pairs are separate tasks, and only pairs of
-different components that pass the dense sketch leave such a task. Tokens are 64-bit hashes.
+compared among themselves, cut into blocks of ``block`` classes whose pairs are separate tasks. Such a task first proposes
+no more pairs than would join its components, of those that pass the dense sketch; after these are verified and the components
+joined anew, pairs of different components that pass it and were not verified yet are all proposed. Tokens are 64-bit hashes.
 
 Defined results: a null text or one without words has the empty set and is linked with nothing; repeated rows
 and rows that repeat an id get a row each; a null id never becomes a component id while the component has
@@ -302,8 +303,24 @@ def _verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return stage(sorted_rows.mapInArrow(run, "a binary, b binary"), "links")
 
 
-def _pairs_within(percent: int) -> Callable:
-    """Pairs of classes of one part (or two of its blocks), of different components, that sizes and dense sketches allow."""
+def _spanning(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Indices of pairs that join all sets that the pairs (x, y) join; ``labels`` are brought up to date."""
+    chosen = []
+    while len(at := np.flatnonzero(labels[x] != labels[y])):
+        low, high = np.minimum(labels[x[at]], labels[y[at]]), np.maximum(labels[x[at]], labels[y[at]])
+        _, first = np.unique(high, return_index=True)  # every set to one that is smaller: no circle comes about
+        chosen.append(at[first])
+        lead = np.arange(labels.max() + 1)
+        lead[high[first]] = low[first]
+        while not np.array_equal(up := lead[lead], lead):
+            lead = up
+        labels[:] = lead[labels]
+    return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+
+
+def _pairs_within(percent: int, spanning: bool) -> Callable:
+    """Pairs of classes of one part (or two of its blocks), of different components, that sizes and dense sketches allow;
+    with ``spanning`` only as many as it takes to join those components."""
     def compare(rows: list[tuple], i: int, j: int) -> Iterator[pa.RecordBatch]:
         own, names, roots, sizes, marks = zip(*rows)
         own, sizes, words = np.array(own), np.array(sizes, np.int64), np.array([len(m) for m in marks])
@@ -331,6 +348,9 @@ def _pairs_within(percent: int) -> Callable:
                                            <= most[x[k:k + part], y[k:k + part]] for k in range(0, len(x), part)]
             near = np.concatenate(near)
             x, y = some[x[near]], right[y[near]]
+            if spanning:
+                kept = _spanning(roots, x, y)
+                x, y = x[kept], y[kept]
             if len(x):
                 a, b = ([names[k] for k in side] for side in (x.tolist(), y.tolist()))
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(min, a, b)), pa.binary()), pa.array(list(map(max, a, b)), pa.binary())], ["a", "b"])
@@ -349,7 +369,7 @@ def _pairs_within(percent: int) -> Callable:
     return run
 
 
-def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
+def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
     """Pairs still to be verified: both members of one part, neither its hub, in different components."""
     others = members.where(F.col("class") != F.col("hub")).select("part", "class")
     placed = others.join(roots, others["class"] == roots.node, "left").select("part", "class", F.coalesce("root", "class").alias("root"))
@@ -362,7 +382,7 @@ def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percen
                        "n_shingles", "sketch")
     rows = rows.select("part", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "class", "root", "n_shingles", "sketch")
     sorted_rows = rows.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
-    return sorted_rows.mapInArrow(_pairs_within(percent), "a binary, b binary").distinct()
+    return sorted_rows.mapInArrow(_pairs_within(percent, spanning), "a binary, b binary").distinct()
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
@@ -378,11 +398,18 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = docs.select(F.col(text_col).alias("text")).mapInArrow(_sent(size, percent), "part long, c1 long, c2 long")
     members = stage(sent.repartition("part").sortWithinPartitions("part", "c1", "c2").mapInArrow(_shared, MEMBER), "members")
     tested = members.where(F.col("class") != F.col("hub")).select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    links = _verified(_plausible(tested, classes, percent), classes, docs, size, percent, block, id_col, text_col)
-    roots = components(links)
-    more = _verified(_open_pairs(members, roots, classes, percent, block), classes, docs, size, percent, block, id_col, text_col)
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    args = (classes, docs, size, percent, block, id_col, text_col)
+    links = _verified(_plausible(tested, classes, percent), *args)
+    roots, proposed = components(links), None
+    for spanning in (True, False):
+        pairs = _open_pairs(members, roots, classes, percent, block, spanning)
+        if proposed is not None:
+            pairs = pairs.join(proposed, ["a", "b"], "left_anti")
+        proposed = stage(pairs, "proposed")
+        more = _verified(proposed, *args)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links)
     rooted = classes.join(roots, classes["class"] == roots.node, "left").select("class", "first_id", F.coalesce("root", "class").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = rooted.join(smallest, "root").select("class", "component_id")

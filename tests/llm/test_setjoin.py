@@ -114,6 +114,20 @@ def test_nulls_empty_texts_copies_and_repeated_ids(spark):
                             (9, 19_996, 9), (9, 19_996, 9), (10, 19_997, 9), (0, 1, 0), (11, 1, 11), (12, 2, 12)])
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.tuples(st.integers(0, 14), st.integers(0, 14)), max_size=40))
+def test_spanning_pairs_join_what_all_pairs_join(pairs):
+    x, y = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
+    labels = np.arange(15)
+    kept = setjoin._spanning(labels, x, y)
+    full = list(range(15))
+    for a, b in pairs:
+        old, new = max(full[a], full[b]), min(full[a], full[b])
+        full = [new if f == old else f for f in full]
+    assert len({tuple(labels == v) for v in labels}) == len(set(full)) and all(labels[a] == labels[b] for a, b in pairs)
+    assert len(kept) == 15 - len(set(full))
+
+
 def test_parts_that_go_on_over_batches():
     import pyarrow as pa
 
