@@ -197,9 +197,10 @@ def links(reps: DataFrame, max_bits: int = 4, groups: int | None = None, sample:
             yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(fps[rows])], ["shard", "fp"])
 
     routed = reps.select("fp").mapInArrow(route, "shard long, fp long")
-    sizes = routed.groupBy("shard").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    large = stage(routed.groupBy("shard").agg(F.ceil(F.count("*") / block).alias("blocks")).where("blocks > 1"), "large-shards")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    spread = routed.join(sizes, "shard").select("shard", "fp", own.alias("own"), F.explode(
+    placed = routed.join(large, "shard", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+    spread = placed.select("shard", "fp", own.alias("own"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
     keyed = spread.select("shard", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "fp")
 
