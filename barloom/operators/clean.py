@@ -30,14 +30,32 @@ def duplicate_count(df: DataFrame, name: str = "duplicates") -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(name))
 
 
-def dedupe(df: DataFrame, key: Sequence[str] = ("code", "date")) -> DataFrame:
-    """One row per key (A6). The survivor is the largest by the other columns in order,
-    NULLs lowest, so reruns agree. A group of copies shrinks to one row per input task."""
+def dedupe(df: DataFrame, key: Sequence[str] = ("code", "date"), revision: str | None = None) -> DataFrame:
+    """One row per key (A6); a group of copies shrinks to one row per input task.
+
+    With ``revision`` (a number or a time, such as when a row arrived) the row of the latest one survives, whole, also
+    where it holds NULLs; rows without one count as the oldest. Without it the survivor is the largest by the other columns
+    in order, NULLs lowest, so reruns agree.
+    """
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.dropDuplicates()
-    kept = df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row"))
-    return kept.select(*key, "_row.*").select(*df.columns)
+    if revision is None:
+        kept = df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row"))
+        return kept.select(*key, "_row.*").select(*df.columns)
+    ranked = df.withColumn("_rank", _revision_rank(df, revision, rest))
+    return ranked.groupBy(*key).agg(*[F.max_by(c, "_rank").alias(c) for c in rest]).select(*df.columns)
+
+
+def _revision_rank(df: DataFrame, revision: str, rest: Sequence[str]) -> Column:
+    """Revision and row hash in one number of fixed width, which keeps the aggregation hashed, and in which rows of one
+    revision differ, so that all columns of a key come from the same row."""
+    column = F.col(revision)
+    if df.schema[revision].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        column = F.unix_micros(column.cast("timestamp"))
+    half = F.lit(1 << 62).cast("decimal(20,0)")
+    number = F.coalesce(column.cast("long"), F.lit(-(1 << 62))).cast("decimal(20,0)")
+    return number * half + F.shiftrightunsigned(F.xxhash64(*rest), 2).cast("decimal(20,0)")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ so a refresh reads and rewrites only what a batch touches.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 
 from barloom.operators import clean
 from barloom.operators.series import DAILY, Series, attach, last_value, plain
-from barloom.operators.windows import forward_fill, lag_fill
+from barloom.operators.windows import forward_fill, lag_fill, latest
+from barloom.plans.changes import ChangeLog
 from barloom.schemas import FILLED_DAY, FILLED_INTRADAY, REPORT
 from barloom.session import stage
 from barloom.sources import writers
@@ -86,19 +88,26 @@ def filled_bars(bars: DataFrame, s: Series = DAILY, fill: str = "forward") -> Da
 
 def clean_bars(
     bars: DataFrame, codes: DataFrame | None = None, s: Series = DAILY, fill: str = "forward", mark: bool = False,
+    revision: str | None = None,
 ) -> DataFrame:
     """Dedupe on key, fill prices, add the type (the silver transform).
 
     ``fill='lag'`` bridges single gaps only, ``'forward'`` all of them. ``mark`` adds ``FILLED``.
-    Rows without code or time are left out; :func:`rejected_rows` are those.
+    Rows without code or time are left out; :func:`rejected_rows` are those. ``revision`` names a column that
+    says which row of a key is the latest; it is not kept.
     """
-    bars = bars.dropna(subset=[s.key, s.time])
-    once = stage(clean.dedupe(bars, [s.key, s.time]), "deduped")  # the fill reads it twice
+    once = _once(bars, s, revision)  # the fill reads it twice
     out = filled_bars(once, s, fill)
     out = clean.enrich(out, codes, s) if codes is not None else out
     return out if mark else out.drop(FILLED)
 
 
+def _once(bars: DataFrame, s: Series, revision: str | None) -> DataFrame:
+    """One row per key and time, stored, without the revision."""
+    kept = clean.dedupe(bars.dropna(subset=[s.key, s.time]), [s.key, s.time], revision)
+    return stage(kept.drop(revision) if revision else kept, "deduped")
+
+
 def last_rows(bars: DataFrame, s: Series = DAILY) -> DataFrame:
     """Newest time and last known prices of each code: one partial + final aggregate."""
     cols = [c for c in price_columns(s) if c in bars.columns]
@@ -106,19 +115,29 @@ def last_rows(bars: DataFrame, s: Series = DAILY) -> DataFrame:
         F.max(s.time).alias(s.time), *[last_value(c, s.time).alias(c) for c in cols])
 
 
+def rows_before(bars: DataFrame, s: Series = DAILY, fill: str = "forward") -> DataFrame:
+    """What a fill goes on from after these bars: the last known prices, or for ``'lag'`` the last row as it was observed."""
+    if fill != "lag":
+        return last_rows(bars, s)
+    return latest(observed(bars, s), [c for c in price_columns(s) if c in bars.columns], s)
+
+
 def clean_batch(
     batch: DataFrame, silver: DataFrame, codes: DataFrame | None = None, s: Series = DAILY,
-    tail: DataFrame | None = None, mark: bool = False,
+    tail: DataFrame | None = None, mark: bool = False, revision: str | None = None, fill: str = "forward",
 ) -> DataFrame:
-    """Clean one batch so that silver plus the result equals a full load (ST5).
+    """Clean one batch so that silver plus the result equals a full load (ST5) with the same ``fill``.
 
     A code whose batch starts after its last row is filled from that row, which ``tail`` (the small
     table of last rows) holds. Of a code whose batch reaches back, later silver rows may have been
     filled from prices that the batch corrects: they are taken back to what was observed and filled
     again with the batch, and those that come out different are part of the result. Only such codes
-    are looked up in ``silver``, joined per block.
+    are looked up in ``silver``, joined per block. ``fill='lag'`` takes what was observed in the row before, so its
+    seeds are those rows (read from ``silver``, ``tail`` is not used).
     """
-    batch = stage(clean.dedupe(batch.dropna(subset=[s.key, s.time]), [s.key, s.time]), "deduped")
+    batch = _once(batch, s, revision)
+    if fill == "lag":
+        tail = rows_before(silver, s, fill)
     tail = last_rows(silver, s) if tail is None else tail
     starts = batch.groupBy(s.key).agg(F.min(s.time).alias("_start"))
     known = tail.join(starts, s.key)
@@ -127,13 +146,13 @@ def clean_batch(
     rows, again = batch.withColumns({"_seed": F.lit(False), "_new": F.lit(True)}), None
     if not late.isEmpty():  # spares the usual refresh a scan of history
         history = plain(attach(silver, s, late))
-        before = last_rows(history.filter(F.col(s.time) < F.col("_start")), s)
+        before = rows_before(history.filter(F.col(s.time) < F.col("_start")).drop("_start"), s, fill)
         seed = seed.unionByName(before.select(*seed.columns))
         again = stage(history.filter(F.col(s.time) >= F.col("_start")).drop("_start"), "reopened")
         older = observed(again, s).select(*batch.columns).join(batch.select(s.key, s.time), [s.key, s.time], "left_anti")
         rows = rows.unionByName(older.withColumns({"_seed": F.lit(False), "_new": F.lit(False)}))
     rows = rows.unionByName(seed.withColumns({"_seed": F.lit(True), "_new": F.lit(False)}), allowMissingColumns=True)
-    out = filled_bars(rows, s).filter(~F.col("_seed")).drop("_seed")
+    out = filled_bars(rows, s, fill).filter(~F.col("_seed")).drop("_seed")
     if again is not None:  # rows that were only reopened and came out as they were stay where they are
         marks = again if FILLED in again.columns else again.withColumn(FILLED, F.lit(0))
         same = [c for c in [*price_columns(s), FILLED] if c in marks.columns]
@@ -191,26 +210,31 @@ def _set_aside(bars: DataFrame, report: DataFrame, layout: Layout, s: Series) ->
     writers.overwrite_partitions(rejected_rows(bars, s).withColumn("batch", when), layout.rejected, "batch")
 
 
-def _note_changes(rows: DataFrame, report: DataFrame, layout: Layout) -> None:
-    """Which partitions a batch touched, for the gold tables: a row for each calendar partition."""
-    when = report.agg(F.max("updated")).scalar()
-    touched = stage(rows.select("part").distinct().withColumn("updated", when), "touched")
-    writers.write_parquet(touched.withColumn("batch", F.coalesce(F.col("updated").cast("string"), F.lit("none"))),
-                          layout.changes, ["batch"], mode="append")
+def change_log(spark: SparkSession, layout: Layout) -> ChangeLog:
+    """Which partitions of the bars each batch touched, for recovery and for the gold tables."""
+    kind = T.IntegerType() if layout.kind == "day" else T.DateType()
+    return ChangeLog(spark, layout.changes, T.StructField("part", kind))
 
 
 def initial_load(
-    bars: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY,
+    bars: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY, revision: str | None = None,
+    fill: str = "forward",
 ) -> None:
-    """Clean everything and overwrite the tables, control table last (ST1)."""
-    silver = clean_bars(bars, codes, s, mark=True).withColumn("part", partition_of(s))
+    """Clean everything and overwrite the tables, control table last (ST1). After a crash it has to be repeated."""
+    silver = clean_bars(bars, codes, s, fill, mark=True, revision=revision).withColumn("part", partition_of(s))
     writers.write_parquet(silver, layout.bars, ["part"])
     spark = bars.sparkSession
     stored_bars = spark.read.parquet(layout.bars)
+    log = change_log(spark, layout)
+    number = log.begin(stored_bars, newest_time(report))
     _set_aside(bars, report, layout, s)
     writers.write_parquet(last_rows(stored_bars, s), layout.tail)
-    _note_changes(stored_bars, report, layout)
     writers.write_parquet(report, layout.report)
+    log.close(number)
+
+
+def newest_time(report: DataFrame) -> datetime | None:
+    return newest(report).first()["updated"]
 
 
 def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -221,27 +245,37 @@ def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def refresh(
-    batch: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY,
+    batch: DataFrame, codes: DataFrame, report: DataFrame, layout: Layout, s: Series = DAILY, revision: str | None = None,
+    fill: str = "forward",
 ) -> bool:
     """Apply one batch if its report is newer than the published one (ST2-ST5).
 
-    Data first, control table second: a crash in between repeats the batch, and the upsert
-    makes the repeat harmless. Returns whether anything was written.
+    A write-ahead log makes a crash at any point harmless (:mod:`barloom.plans.changes`). The new content of the
+    partitions that the batch touches and the list of them are on disk before the first of them is replaced;
+    the batch is closed after its last write. The next refresh or publication first finishes what an open batch
+    began. A batch at least as new as an open one passes the gate, so that a crash between the
+    control table and the closing cannot shut it, and its partitions include those of the open one: a
+    repeat that finds its rows in place already still tells the gold tables of them. The table of last rows is
+    only trusted while no batch is open. Returns whether anything was written.
     """
     spark = batch.sparkSession
+    log, when = change_log(spark, layout), newest_time(report)
+    open_ = log.recover(layout.bars)
     published = stored(spark, layout.report, REPORT)
-    if not is_open(gate(report, published)):
+    if not is_open(gate(report, published)) and not (open_ and when and when >= (log.pending_since() or when)):
         return False
     silver = spark.read.parquet(layout.bars)
     known = last_rows(silver, s)
     tail = stored(spark, layout.tail, known.schema)
-    tail = known if tail.isEmpty() else tail
-    rows = stage(clean_batch(batch, silver, codes, s, tail, mark=True).withColumn("part", partition_of(s)), "batch")
-    writers.upsert(rows, layout.bars, [s.key, s.time])
+    tail = known if open_ or tail.isEmpty() else tail
+    rows = stage(clean_batch(batch, silver, codes, s, tail, mark=True, revision=revision, fill=fill).withColumn("part", partition_of(s)), "batch")
+    tail = stage(later_rows(tail, rows, s), "tail")  # before the bars change, of which it may be made
+    number = log.begin(rows, when, writers.merged_partitions(rows, layout.bars, [s.key, s.time]))
+    log.apply(number, layout.bars)
     _set_aside(batch, report, layout, s)
-    writers.write_parquet(stage(later_rows(tail, rows, s), "tail"), layout.tail)
-    _note_changes(rows, report, layout)
+    writers.write_parquet(tail, layout.tail)
     writers.write_parquet(stage(report, "report"), layout.report)
+    log.close(number)
     return True
 
 
@@ -250,9 +284,11 @@ def publish(spark: SparkSession, layout: Layout, database: str, path: str, codes
 
     The first call writes everything. Later ones are gated by the newest refresh time in the gold
     control table and write only the partitions that batches since then touched, taken from the
-    small table of changes; other files stay as they are. Bars go first and the control table last,
-    so a crash in between repeats harmless work.
+    log of changes; other files stay as they are. Bars go first and the control table last,
+    so a crash in between repeats harmless work. What a crashed refresh left half done is finished first.
     """
+    log = change_log(spark, layout)
+    log.recover(layout.bars)
     writers.create_database(spark, database)
     bars, report, listed = f"{database}.{layout.kind}", f"{database}.report_{layout.kind}", f"{database}.codes"
     silver = spark.read.parquet(layout.bars).drop(FILLED)
@@ -266,7 +302,7 @@ def publish(spark: SparkSession, layout: Layout, database: str, path: str, codes
     published = spark.read.table(report)
     if keep_newer(control, published).isEmpty():
         return False
-    newer = keep_newer(spark.read.parquet(layout.changes).drop("batch"), published)
+    newer = keep_newer(log.entries(), published)
     touched = [r[0] for r in newer.select("part").distinct().collect()]  # calendar years or days
     writers.overwrite_partitions(silver.filter(F.col("part").isin(touched)), f"{path}/{layout.kind}")
     spark.catalog.recoverPartitions(bars)

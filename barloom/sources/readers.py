@@ -81,3 +81,9 @@ def input_listing(df: DataFrame) -> list[str]:
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count of each input file."""
     return df.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def with_arrival(df: DataFrame, name: str = "arrived") -> DataFrame:
+    """Rows with the time their file was written, a revision for :func:`barloom.operators.clean.dedupe`. For tables
+    read from files, before anything else is done to them."""
+    return df.withColumn(name, F.col("_metadata.file_modification_time"))

@@ -75,6 +75,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark; one that is there already stays."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(target)
+
+
 def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New rows plus the old rows whose key is not among them (ST4)."""
     return new.unionByName(old.join(new.select(*keys), list(keys), "left_anti"))
@@ -92,6 +105,14 @@ def touched_partitions(spark: SparkSession, path: str, rows: DataFrame, partitio
     return spark.read.parquet(path).filter(F.col(partition).isin(values))
 
 
+def merged_partitions(
+    new: DataFrame, path: str, keys: Sequence[str] = ("code", "date"), partition: str = "part",
+) -> DataFrame:
+    """What the partitions that ``new`` falls into hold after an upsert of it."""
+    old = touched_partitions(new.sparkSession, path, new, partition)
+    return merge_rows(old.select(*new.columns), new, keys)
+
+
 def upsert(
     new: DataFrame, path: str, keys: Sequence[str] = ("code", "date"), partition: str = "part",
 ) -> None:
@@ -105,8 +126,7 @@ def upsert(
     if not path_exists(spark, path):
         write_parquet(new, path, [partition])
         return
-    old = touched_partitions(spark, path, new, partition)
-    overwrite_partitions(stage(merge_rows(old.select(*new.columns), new, keys), "merged"), path, partition)
+    overwrite_partitions(stage(merged_partitions(new, path, keys, partition), "merged"), path, partition)
 
 
 def write_report(df: DataFrame, path: str, digits: int = 4) -> None:

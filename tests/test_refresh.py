@@ -56,6 +56,38 @@ def test_profile_and_dedupe(spark):
     assert len(kept) == 2 and kept["A"].open == 1.0
 
 
+def test_dedupe_keeps_the_latest_revision_whole(spark):
+    day, at = dt.date(2020, 1, 1), dt.datetime(2024, 1, 1)
+    rows = [("A", day, 9.0, 1.0, 1, at), ("A", day, 5.0, None, 2, at + dt.timedelta(microseconds=1)), ("B", day, 1.0, 2.0, None, None),
+            ("B", day, 7.0, None, -5, at - dt.timedelta(days=30_000)), ("C", day, 1.0, None, 3, at), ("C", day, None, 2.0, 3, at),
+            ("C", day, 1.0, None, 3, at)]
+    df = spark.createDataFrame(rows * 50, "code string, date date, open double, close double, revision int, loaded timestamp").repartition(7)
+    for revision in ("revision", "loaded"):
+        out = clean.dedupe(df, revision=revision)
+        got = {r.code: (r.open, r.close) for r in out.collect()}
+        assert got["A"] == (5.0, None) and got["B"] == (7.0, None)  # a row without a revision is older than any other
+        assert got["C"] in ((1.0, None), (None, 2.0)) and out.count() == 3  # of one revision, but from one row
+        plan = out._jdf.queryExecution().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_refresh_takes_the_later_file(spark, tmp_path):
+    layout, day = Layout(f"{tmp_path}/t", "day"), dt.date(2020, 1, 1)
+    row = lambda c, n: spark.createDataFrame([("A", day, c, c, c, c, 1.0, n)], f"{SCHEMA}, revision int")
+    medallion.initial_load(row(9.0, 1).unionByName(row(5.0, 2)), None, report(spark, T0), layout, revision="revision")
+    assert spark.read.parquet(layout.bars).first().close == 5.0
+    medallion.refresh(row(3.0, 4).unionByName(row(8.0, 3)), None, report(spark, T1), layout, revision="revision")
+    stored = spark.read.parquet(layout.bars)
+    assert stored.first().close == 3.0 and "revision" not in stored.columns
+    files = f"{tmp_path}/files"
+    for n, c in enumerate((9.0, 5.0)):
+        row(c, n).drop("revision").coalesce(1).write.parquet(f"{files}/{n}")
+        for f in os.listdir(f"{files}/{n}"):
+            os.utime(f"{files}/{n}/{f}", (1_700_000_000 + n, 1_700_000_000 + n))
+    arrived = readers.with_arrival(spark.read.option("recursiveFileLookup", True).parquet(files))
+    assert medallion.clean_bars(arrived, revision="arrived").first().close == 5.0
+
+
 def test_enrich_keeps_unlisted_and_does_not_multiply(spark):
     df = frame(spark, bars())
     codes = spark.createDataFrame([("HOT", "x"), ("HOT", "a"), ("MID", "m")], "code string, type string")
@@ -125,22 +157,22 @@ def test_correction_is_filled_forward(spark, tmp_path):
     assert spark.read.parquet(layout.tail).first().close == 9.0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_any_order_of_batches_gives_the_full_load(spark, tmp_path, seed):
+@pytest.mark.parametrize("seed, fill", [(0, "forward"), (1, "forward"), (2, "forward"), (3, "lag"), (4, "lag")])
+def test_any_order_of_batches_gives_the_full_load(spark, tmp_path, seed, fill):
     rng = np.random.default_rng(seed)
     pdf = bars(seed, sizes=(("HOT", 60), ("MID", 25), ("ONE", 1)))
     pdf.loc[rng.random(len(pdf)) < 0.3, ["open", "high", "low", "close"]] = np.nan
     whole, parts = Layout(f"{tmp_path}/whole", "day"), Layout(f"{tmp_path}/parts", "day")
     codes = spark.createDataFrame([("HOT", "h")], "code string, type string")
-    medallion.initial_load(frame(spark, pdf), codes, report(spark, T0), whole)
+    medallion.initial_load(frame(spark, pdf), codes, report(spark, T0), whole, fill=fill)
     groups = rng.integers(0, 3, len(pdf))
     for n in range(3):
         part = frame(spark, pdf[groups == n])
         when = report(spark, T0 + dt.timedelta(days=n))
         if n:
-            assert medallion.refresh(part, codes, when, parts)
+            assert medallion.refresh(part, codes, when, parts, fill=fill)
         else:
-            medallion.initial_load(part, codes, when, parts)
+            medallion.initial_load(part, codes, when, parts, fill=fill)
     assert rows_of(spark, parts) == rows_of(spark, whole)
     assert sorted(map(tuple, spark.read.parquet(parts.tail).collect()), key=str) == sorted(
         map(tuple, spark.read.parquet(whole.tail).select(*spark.read.parquet(parts.tail).columns).collect()), key=str)
