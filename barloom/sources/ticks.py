@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 def bars_from_ticks(
     ticks: DataFrame, code: str, time: str, price: Column | str, volume: Column,
-    every: str = "15 minutes", rank: Column | None = None,
+    every: str = "15 minutes", rank: Column | None = None, count: str | None = None,
 ) -> DataFrame:
     """Open/high/low/close/volume bars.
 
     ``rank`` orders ticks within a bucket (default: ``time``) and must decide the price for open
     and close to be deterministic. A numeric or time rank keeps the aggregation hashed; a struct
     works too but makes Spark sort every input partition. ``every='1 day'`` yields a ``date``
-    column, anything else a ``timestamp`` column. Works on streams as well.
+    column, anything else a ``timestamp`` column. ``count`` names a column for the number of ticks. Works on
+    streams as well.
     """
     rank = F.col(time) if rank is None else rank
     daily = every == "1 day"
@@ -30,6 +31,7 @@ def bars_from_ticks(
         F.min("_price").alias("low"),
         F.max_by("_price", "_rank").alias("close"),
         F.sum("_volume").alias("volume"),
+        *([F.count(F.lit(1)).alias(count)] if count else []),
     )
     when = F.col("date") if daily else F.col("_w.start").alias("timestamp")
-    return bars.select("code", when, "open", "high", "low", "close", "volume")
+    return bars.select("code", when, "open", "high", "low", "close", "volume", *([count] if count else []))

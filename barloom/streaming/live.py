@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Iterator
 from typing import Any
 
@@ -9,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -39,13 +42,20 @@ def _event_time(df: DataFrame, column: str, lateness: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, lateness)
 
 
+#: name of a bar's number of ticks, and of the observation that counts arriving ones
+TICKS, ARRIVED = "ticks", "arrived"
+
+
 def live_bars(
-    ticks: DataFrame, code: str, time: str, price: str, lateness: str = "1 hour", every: str = "15 minutes",
+    ticks: DataFrame, code: str, time: str, price: str, lateness: str = "1 hour", every: str = "15 minutes", count: bool = False,
 ) -> DataFrame:
     """Bars from a tick stream; a bar is final once the watermark passes it (ST8). Ticks that come later
-    than that are left out; :func:`dropped_as_late` counts them."""
+    than that are left out. With ``count`` a bar says how many ticks it has, and the stream reports how many have
+    arrived (``ARRIVED``, see :class:`StreamWatch`), from which :func:`late_ticks` follows."""
+    if count:
+        ticks = ticks.observe(ARRIVED, F.count(F.lit(1)).alias("ticks"))
     return bars_from_ticks(
-        _event_time(ticks, time, lateness), code, time, price, F.lit(1).cast("double"), every)
+        _event_time(ticks, time, lateness), code, time, price, F.lit(1).cast("double"), every, count=TICKS if count else None)
 
 
 def live_dedupe(
@@ -64,6 +74,21 @@ FILL_OUTPUT = T.StructType([
     T.StructField("late", T.BooleanType())])
 
 
+def carried_on(rows: pd.DataFrame, close: float | None, mean: float | None, alpha: float) -> tuple[pd.Series, pd.Series]:
+    """Filled closes and their exponential means for rows in time order that follow a state."""
+    filled = pd.concat([pd.Series([close], dtype=float), rows["close"].astype(float)]).ffill().iloc[1:]
+    # the old mean stands in front; where there is none the first known close is the first mean
+    means = pd.concat([pd.Series([mean], dtype=float), filled]).ewm(alpha=alpha, adjust=False).mean().iloc[1:]
+    return filled, means.where(filled.notna())
+
+
+def filled_rows(code: str, rows: pd.DataFrame, state: tuple | None, alpha: float) -> tuple[pd.DataFrame, tuple]:
+    """Output rows for ``rows`` in time order, none of them late, and last close and mean after them."""
+    closes, means = carried_on(rows, *(state or (None, None)), alpha)
+    out = pd.DataFrame({"code": code, rows.columns[0]: rows.iloc[:, 0].to_numpy(), "close": closes.to_numpy(), "ema": means.to_numpy(), "late": False})
+    return out, tuple(None if pd.isna(x) else float(x) for x in (closes.iloc[-1], means.iloc[-1]))
+
+
 def mean_of_filled(span: float):
     """State per code: last time, last close, current mean. Rows are filled, then averaged.
 
@@ -76,20 +101,18 @@ def mean_of_filled(span: float):
             self.state = handle.getValueState("last", FILL_STATE)
 
         def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows)).sort_values("timestamp", kind="stable")
-            last_time, close, mean = self.state.get() if self.state.exists() else (None, None, None)
-            out = []
-            for t, x in zip(batch["timestamp"], batch["close"]):
-                if last_time is not None and t <= pd.Timestamp(last_time):
-                    out.append((key[0], t, None if pd.isna(x) else x, None, True))
-                    continue
-                close = close if pd.isna(x) else float(x)
-                if close is not None:
-                    mean = close if mean is None else alpha * close + (1 - alpha) * mean
-                last_time = t.to_pydatetime()
-                out.append((key[0], t, close, mean, False))
-            self.state.update((last_time, close, mean))
-            yield pd.DataFrame(out, columns=FILL_OUTPUT.names)
+            batch = pd.concat(list(rows))[["timestamp", "close"]].sort_values("timestamp", kind="stable")
+            last, *state = self.state.get() if self.state.exists() else (None, None, None)
+            late = batch["timestamp"].duplicated()
+            if last is not None:
+                late |= batch["timestamp"] <= pd.Timestamp(last)
+            if late.any():
+                yield batch[late].assign(code=key[0], ema=None, late=True)[FILL_OUTPUT.names]
+            fresh = batch[~late]
+            if len(fresh):
+                out, state = filled_rows(key[0], fresh, state, alpha)
+                self.state.update((fresh["timestamp"].iloc[-1].to_pydatetime(), *state))
+                yield out
 
         def close(self) -> None:
             pass
@@ -101,7 +124,8 @@ def live_fill_and_mean(bars: DataFrame, span: float = 10) -> DataFrame:
     """Forward fill and exponential mean across micro-batches (ST9). Needs the RocksDB state store.
 
     For short triggers: a code's rows of one micro-batch are handled together in one task. For
-    backfills, or where one code dominates, use :func:`publish_filled`, which splits codes.
+    backfills, or where one code dominates, use :func:`publish_filled`, which splits codes. Rows have to arrive in
+    time order per code; :func:`live_fill_and_mean_in_order` puts them into order.
     """
     slim = bars.select("code", F.col("timestamp").cast("timestamp").alias("timestamp"), "close")
     return slim.groupBy("code").transformWithStateInPandas(
@@ -109,6 +133,94 @@ def live_fill_and_mean(bars: DataFrame, span: float = 10) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+WAITING = T.StructType([T.StructField("micros", T.LongType()), T.StructField("close", T.DoubleType())])
+MEAN_STATE = T.StructType([T.StructField("close", T.DoubleType()), T.StructField("mean", T.DoubleType())])
+TIMER = T.StructType([T.StructField("millis", T.LongType())])
+ORDERED_OUTPUT = T.StructType([T.StructField("micros", T.LongType()) if f.name == "timestamp" else f for f in FILL_OUTPUT])
+
+
+def mean_in_event_order(span: float):
+    """Rows wait in a list until the watermark has passed them, then go through fill and mean in time order.
+
+    State per code: the waiting rows, the time of the one timer that is set (that of the earliest waiting row),
+    last close and mean. Whatever Spark lets through is later than the watermark of the batch before, and so later
+    than every row that has been released. Times are microseconds, which no session zone can shift.
+    """
+    alpha = 2.0 / (span + 1.0)
+
+    class OrderedMean(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState("last", MEAN_STATE)
+            self.waiting = handle.getListState("waiting", WAITING)
+            self.timer = handle.getValueState("timer", TIMER)
+
+        def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows))
+            self.waiting.appendList(_listed(batch))
+            self._wake(batch)
+            return iter(())
+
+        def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+            held = pd.DataFrame(list(self.waiting.get()), columns=WAITING.names)
+            ready = _millis(held["micros"]) <= timerValues.getCurrentWatermarkInMs()
+            self.timer.clear()
+            rest = held[~ready]
+            if len(rest):
+                self.waiting.put(_listed(rest))
+                self._wake(rest)
+            else:
+                self.waiting.clear()
+            # of the copies of a time the largest close counts, so the order of arrival does not matter
+            rows = held[ready].sort_values(["micros", "close"], na_position="first").drop_duplicates("micros", keep="last")
+            if not len(rows):
+                return iter(())
+            out, state = filled_rows(key[0], rows, self.state.get() if self.state.exists() else None, alpha)
+            self.state.update(state)
+            return iter((out,))
+
+        def _wake(self, rows: pd.DataFrame) -> None:
+            """Have the timer set to the earliest of ``rows``, unless it is set earlier."""
+            millis = int(_millis(rows["micros"]).min())
+            now = self.timer.get()[0] if self.timer.exists() else None
+            if now is not None and now <= millis:
+                return
+            if now is not None:
+                self.handle.deleteTimer(now)
+            self.handle.registerTimer(millis)
+            self.timer.update((millis,))
+
+        def close(self) -> None:
+            pass
+
+    return OrderedMean()
+
+
+def _listed(rows: pd.DataFrame) -> list[tuple]:
+    return [(int(t), None if pd.isna(c) else float(c)) for t, c in zip(rows["micros"], rows["close"])]
+
+
+def _millis(micros: pd.Series) -> pd.Series:
+    """The first whole millisecond that is not before the time: watermarks and timers are whole milliseconds."""
+    return -(-micros // 1000)
+
+
+def live_fill_and_mean_in_order(bars: DataFrame, lateness: str = "1 hour", span: float = 10) -> DataFrame:
+    """Forward fill and exponential mean of bars that arrive in any order within ``lateness`` (ST9).
+
+    A row waits until the watermark, the newest time seen less ``lateness``, has passed it. The result is that of the rows in time
+    order, whatever their order of arrival. Rows behind the watermark are left out by Spark and counted
+    (:class:`StreamWatch`). A code's waiting rows are those of one ``lateness``, its other state is three numbers.
+    What still waits when a stream stops stays in the checkpoint and comes out when newer rows arrive. Needs
+    the RocksDB state store.
+    """
+    slim = _event_time(bars.select("code", "timestamp", "close"), "timestamp", lateness)
+    rows = slim.withColumn("micros", F.unix_micros("timestamp")).groupBy("code").transformWithStateInPandas(
+        statefulProcessor=mean_in_event_order(span), outputStructType=ORDERED_OUTPUT,
+        outputMode="Append", timeMode="EventTime")
+    return rows.select("code", F.timestamp_micros("micros").alias("timestamp"), "close", "ema", "late")
+
+
 def split_late(batch: DataFrame, last: DataFrame, s: Series = INTRADAY) -> tuple[DataFrame, DataFrame]:
     """Rows newer than the code's row in ``last`` (or of a code without one), and the others."""
     known = last.select(s.key, F.col(s.time).alias("_known"))
@@ -180,9 +292,66 @@ def late_rows(spark: SparkSession, path: str, s: Series = INTRADAY) -> DataFrame
     return rows.withColumn("batch", F.regexp_extract(F.input_file_name(), r"_late/(\d+)/", 1))
 
 
-def dropped_as_late(query: StreamingQuery) -> int:
-    """Rows that a finished query left out because they were behind the watermark."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+class StreamWatch(StreamingQueryListener):
+    """Adds up what the micro-batches of streams report, however many there are (a query itself remembers only its
+    last few). Register it with ``spark.streams.addListener`` before the streams start."""
+
+    def __init__(self) -> None:
+        self._lock = threading.Condition()
+        self._batches: dict[str, int] = {}
+        self._newest: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._sums: dict[str, Counter[str]] = {}
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        progress = event.progress
+        run = str(progress.runId)
+        with self._lock:
+            sums = self._sums.setdefault(run, Counter())
+            sums["input"] += progress.numInputRows
+            sums["dropped"] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+            for name, row in (progress.observedMetrics or {}).items():
+                for metric, value in row.asDict().items():
+                    sums[f"{name}.{metric}"] += value or 0
+            self._batches[run] = self._batches.get(run, 0) + 1
+            self._newest[run] = max(progress.batchId, self._newest.get(run, -1))
+            self._lock.notify_all()
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        with self._lock:
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def settle(self, query: StreamingQuery, timeout: float = 60.0) -> StreamWatch:
+        """Wait until all that the query has done is added up: events arrive a little after the fact."""
+        run, last = str(query.runId), query.lastProgress
+        with self._lock:
+            arrived = lambda: run in self._ended if not query.isActive else last is None or self._newest.get(run, -1) >= last.batchId
+            if not self._lock.wait_for(arrived, timeout):
+                raise TimeoutError(f"no events of the stream {run} within {timeout} s")
+        return self
+
+    def total(self, query: StreamingQuery, name: str = "dropped") -> int:
+        """``input`` rows, rows ``dropped`` behind a watermark (groups of them, if an aggregate comes first), or an observed metric."""
+        with self._lock:
+            return self._sums.get(str(query.runId), Counter())[name]
+
+    def batches(self, query: StreamingQuery) -> int:
+        with self._lock:
+            return self._batches.get(str(query.runId), 0)
+
+
+def late_ticks(spark: SparkSession, layout: Layout, arrived: int) -> int:
+    """How many of the ``arrived`` ticks are in no bar, because they came behind the watermark: a count of ticks, not of
+    the groups that a state operator drops. For bars that :func:`live_bars` made with ``ticks`` and that were published in mode
+    ``update``."""
+    return arrived - (spark.read.parquet(layout.bars).agg(F.sum(TICKS)).first()[0] or 0)
 
 
 def run_available(query, checkpoint: str, **options: str) -> StreamingQuery:
@@ -194,13 +363,28 @@ def run_available(query, checkpoint: str, **options: str) -> StreamingQuery:
     return started
 
 
+def run_every(query, checkpoint: str, every: str = "15 minutes", **options: str) -> StreamingQuery:
+    """Start a writer that looks for new rows ``every`` so often, and return it running (ST6)."""
+    for name, value in options.items():
+        query = query.option(name, value)
+    return query.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a running stream finish what has arrived, then stop it."""
+    query.processAllAvailable()
+    query.stop()
+    return query
+
+
 def publish_stream(
-    bars: DataFrame, layout: Layout, checkpoint: str, s: Series = INTRADAY, mode: str = "append",
+    bars: DataFrame, layout: Layout, checkpoint: str, s: Series = INTRADAY, mode: str = "append", every: str | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch into the table, then refresh the control table (ST10).
 
     The upsert is by key, so a batch that is replayed after a crash changes nothing, and
-    ``mode='update'`` publishes bars early and corrects them as late ticks arrive.
+    ``mode='update'`` publishes bars early and corrects them as late ticks arrive. Everything that is there now is
+    published, or, with ``every``, what is there at each tick of that clock, until the returned stream is stopped.
     """
 
     def apply(batch: DataFrame, _id: int) -> None:
@@ -211,7 +395,8 @@ def publish_stream(
             writers.upsert(rows, layout.bars, [s.key, s.time])
             refresh_counts(rows, layout, s)
 
-    return run_available(bars.writeStream.outputMode(mode).foreachBatch(apply), checkpoint)
+    writer = bars.writeStream.outputMode(mode).foreachBatch(apply)
+    return run_every(writer, checkpoint, every) if every else run_available(writer, checkpoint)
 
 
 def refresh_counts(rows: DataFrame, layout: Layout, s: Series = INTRADAY) -> None:
