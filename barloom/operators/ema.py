@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BLOCK, DAILY, Series, plain
+from barloom.operators.series import BLOCK, DAILY, Fold, Series, plain, scanned
 
 # exp() leaves the double range beyond this exponent.
 EXPONENT_RANGE = 700.0
@@ -44,10 +44,10 @@ def _gaps(df: DataFrame, s: Series, cols: list[str]) -> DataFrame:
     valid = {c: F.when(F.col(c).isNotNull(), F.col("_rn")) for c in cols}
     summary = b.groupBy(*s.block_keys).agg(
         F.count(F.lit(1)).alias("_cnt"), *[F.max(valid[c]).alias(f"_lv_{c}") for c in cols])
-    offset = summary.withColumn("_off", F.coalesce(F.sum("_cnt").over(s.before), F.lit(0)))
-    states = offset.select(
-        *s.block_keys, "_off",
-        *[F.max(F.col("_off") + F.col(f"_lv_{c}")).over(s.before).alias(f"_lv_{c}") for c in cols])
+    offset = scanned(summary, s, {"_off": Fold("sum", "_cnt")}).withColumn("_off", F.coalesce("_off", F.lit(0)))
+    offset = offset.withColumns({f"_lv_{c}": F.col("_off") + F.col(f"_lv_{c}") for c in cols})
+    states = scanned(offset, s, {f"_last_{c}": Fold("max", f"_lv_{c}") for c in cols}).select(
+        *s.block_keys, "_off", *[F.col(f"_last_{c}").alias(f"_lv_{c}") for c in cols])
     b = b.withColumns({
         f"_pv_{c}": F.max(valid[c]).over(s.local.rowsBetween(Window.unboundedPreceding, -1))
         for c in cols})

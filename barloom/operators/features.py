@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.indicators import add_indicators
 from barloom.operators.quantiles import exact_quantiles
-from barloom.operators.series import BLOCK, DAILY, Series, attach, halo, plain, without_halo
+from barloom.operators.series import BLOCK, DAILY, Fold, Series, attach, halo, plain, scanned, without_halo
 from barloom.operators.windows import change, enough_history, position, sequences
 from barloom.session import stage
 from barloom.settings import (
@@ -81,12 +81,13 @@ def feature_frame(bars: DataFrame, s: Series = DAILY) -> DataFrame:
 
 def block_positions(frame: DataFrame, s: Series = DAILY) -> DataFrame:
     """Per block: rows before it and in its key, for rows with a target and complete rows."""
-    whole = Window.partitionBy(s.key)
     ends = frame.groupBy(*s.block_keys).agg(*[F.max(c).alias(c) for c in ("_bar", "_raw", "_ok")])
-    return ends.select(
-        *s.block_keys, F.sum("_bar").over(whole).alias("n_bars"),
-        F.coalesce(F.sum("_raw").over(s.before), F.lit(0)).alias("raw_before"), F.sum("_raw").over(whole).alias("n_raw"),
-        F.coalesce(F.sum("_ok").over(s.before), F.lit(0)).alias("ok_before"), F.sum("_ok").over(whole).alias("n_rows"))
+    found = scanned(ends, s, {
+        "n_bars": Fold("sum", "_bar", whole=True), "raw_before": Fold("sum", "_raw"), "n_raw": Fold("sum", "_raw", whole=True),
+        "ok_before": Fold("sum", "_ok"), "n_rows": Fold("sum", "_ok", whole=True)})
+    return found.select(
+        *s.block_keys, "n_bars", F.coalesce("raw_before", F.lit(0)).alias("raw_before"), "n_raw",
+        F.coalesce("ok_before", F.lit(0)).alias("ok_before"), "n_rows")
 
 
 def standard_scaler(

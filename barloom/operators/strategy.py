@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import DAILY, Series, carry, last_value, plain
+from barloom.operators.series import DAILY, Fold, Series, carry, last_value, plain, scanned
 from barloom.settings import DEFAULT, DOWN, UP, Settings
 
 
@@ -28,22 +28,21 @@ def growth(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFra
     b = b.withColumns({
         "_lw": F.last("_wish", ignorenulls=True).over(earlier),
         "_lp": F.lag("price").over(s.local),
-        "_more": F.lead(F.lit(1)).over(s.local),
     })
-    whole = Window.partitionBy(s.key)
     b = carry(
         b, s,
-        {"_bw": last_value("_wish", s.time), "_bp": F.max_by("price", s.time), "_bn": F.count(F.lit(1))},
+        {"_bw": last_value("_wish", s.time), "_bp": F.max_by(F.struct("price"), s.time), "_bn": F.count(F.lit(1)),
+         "_at": F.max(s.time)},
         {
-            "_iw": F.last("_bw", ignorenulls=True).over(s.before),
-            "_ip": F.lag("_bp").over(s.across),
-            "_next_block": F.lead("_bn").over(s.across),
-            "_n": F.sum("_bn").over(whole),
+            "_iw": Fold("last", "_bw"),
+            "_ip": Fold("last", "_bp"),  # a struct, so that a missing price is not skipped
+            "_end": Fold("max", "_at", whole=True),
+            "_n": Fold("sum", "_bn", whole=True),
         }).filter(F.col("_n") >= 2)
     b = b.withColumns({
         "held": F.coalesce("_lw", "_iw", F.lit(0)) == 1,
-        "prev_price": F.coalesce("_lp", "_ip"),
-        "is_last": F.col("_more").isNull() & F.col("_next_block").isNull(),
+        "prev_price": F.coalesce("_lp", "_ip.price"),
+        "is_last": F.col(s.time) == F.col("_end"),
     })
     state = F.when(F.coalesce(F.col("_wish"), F.col("held").cast("int")) == 1, True).otherwise(False)
     b = b.withColumn("trade", F.when(F.col("is_last"), F.col("held")).otherwise(state != F.col("held")))
@@ -54,7 +53,16 @@ def growth(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFra
     cost = F.when(F.col("trade"), 1.0 - keep).otherwise(1.0)
     hold = F.when(F.col("prev_price").isNull(), 1.0 - keep).otherwise(F.col("price") / F.col("prev_price"))
     out = b.withColumns({"model_growth": move * cost, "hold_growth": hold})
-    return out.drop("_wish", "_lw", "_lp", "_more", "_iw", "_ip", "_next_block", "_n")
+    return out.drop("_wish", "_lw", "_lp", "_iw", "_ip", "_end", "_n")
+
+
+def _levels(blocks: DataFrame, s: Series, top: str, sides: tuple[str, ...] = ("hold", "model")) -> DataFrame:
+    """Equity before each block (``_in_``, 1 at the start) and its peak up to there (``_peak_``), where ``top`` names the
+    highest equity within a block relative to its start."""
+    blocks = blocks.withColumns({f"_in_{x}": F.coalesce(f"_in_{x}", F.lit(1.0)) for x in sides})
+    blocks = blocks.withColumns({f"_high_{x}": F.col(f"_in_{x}") * F.col(f"{top}_{x}") for x in sides})
+    blocks = scanned(blocks, s, {f"_peak_{x}": Fold("max", f"_high_{x}") for x in sides})
+    return blocks.withColumns({f"_peak_{x}": F.greatest(F.lit(1.0), f"_peak_{x}") for x in sides})
 
 
 def equity_curves(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> DataFrame:
@@ -67,9 +75,7 @@ def equity_curves(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) ->
     rows = rows.withColumns({f"_p_{x}": F.max(f"_c_{x}").over(upto) for x in sides})
     blocks = rows.groupBy(*s.block_keys).agg(
         *[F.product(F.col(f"{x}_growth")).alias(f"_end_{x}") for x in sides], *[F.max(f"_c_{x}").alias(f"_top_{x}") for x in sides])
-    blocks = blocks.withColumns({f"_in_{x}": F.coalesce(F.product(F.col(f"_end_{x}")).over(s.before), F.lit(1.0)) for x in sides})
-    blocks = blocks.withColumns({
-        f"_peak_{x}": F.coalesce(F.max(F.col(f"_in_{x}") * F.col(f"_top_{x}")).over(s.before), F.lit(1.0)) for x in sides})
+    blocks = _levels(scanned(blocks, s, {f"_in_{x}": Fold("product", f"_end_{x}") for x in sides}), s, "_top")
     out = rows.join(blocks.select(*s.block_keys, *[f"_{k}_{x}" for x in sides for k in ("in", "peak")]), s.block_keys)
     out = out.withColumns({f"{x}_equity": cfg.capital * (F.col(f"_in_{x}") * F.col(f"_c_{x}")) for x in sides} | {
         f"{x}_peak": cfg.capital * F.greatest(F.lit(1.0), F.col(f"_peak_{x}"), F.col(f"_in_{x}") * F.col(f"_p_{x}")) for x in sides})
@@ -95,16 +101,11 @@ def strategy_summary(df: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT)
             f"_dd_{x}": F.max((p - c) / p), f"_mean_{x}": F.avg(g - 1), f"_var_{x}": F.var_pop(g - 1),
         }
     blocks = rows.groupBy(*s.block_keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    whole = Window.partitionBy(s.key)
-    blocks = blocks.withColumns({
-        **{f"_in_{x}": F.coalesce(F.product(F.col(f"_prod_{x}")).over(s.before), F.lit(1.0)) for x in sides},
-        **{f"_avg_{x}": F.sum(F.col(f"_mean_{x}") * F.col("_n")).over(whole) / F.sum("_n").over(whole)
-           for x in sides},
-    })
-    blocks = blocks.withColumns({
-        f"_peak_{x}": F.greatest(
-            F.coalesce(F.max(F.col(f"_in_{x}") * F.col(f"_max_{x}")).over(s.before), F.lit(1.0)), F.lit(1.0))
-        for x in sides})
+    blocks = blocks.withColumns({f"_sum_{x}": F.col(f"_mean_{x}") * F.col("_n") for x in sides})
+    blocks = scanned(blocks, s, {
+        **{f"_in_{x}": Fold("product", f"_prod_{x}") for x in sides},
+        **{f"_all_{x}": Fold("sum", f"_sum_{x}", whole=True) for x in sides}, "_rows": Fold("sum", "_n", whole=True)})
+    blocks = _levels(blocks, s, "_max").withColumns({f"_avg_{x}": F.col(f"_all_{x}") / F.col("_rows") for x in sides})
     final = {"_n": F.sum("_n"), "model_num_trades": F.sum("_trades"), "_exit": F.max("_exit")}
     for x in sides:
         trough = F.col(f"_in_{x}") * F.col(f"_min_{x}")

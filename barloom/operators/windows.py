@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.operators.series import (
-    DAILY, Series, attach, carry, halo, last_value, looking_back, plain, without_halo,
+    DAILY, Fold, Series, attach, carry, halo, last_value, looking_back, plain, without_halo,
 )
 from barloom.session import stage
 
@@ -86,7 +86,7 @@ def forward_fill(
     out = carry(
         b, s,
         {f"_end_{c}": last_value(c, s.time) for c in cols},
-        {f"_in_{c}": F.last(f"_end_{c}", ignorenulls=True).over(s.before) for c in cols},
+        {f"_in_{c}": Fold("last", f"_end_{c}") for c in cols},
     ).withColumns({names[c]: F.coalesce(f"_loc_{c}", f"_in_{c}") for c in cols})
     keep = df.columns + [n for n in names.values() if n not in df.columns]
     return out.select(*keep)
@@ -95,12 +95,8 @@ def forward_fill(
 def position(df: DataFrame, s: Series = DAILY, pos: str = "pos", total: str = "n_rows") -> DataFrame:
     """1-based row position within the key and the key's row count; keeps the block column."""
     b = s.blocked(df).withColumn("_rn", F.row_number().over(s.local))
-    whole = Window.partitionBy(s.key)
-    out = carry(
-        b, s, {"_cnt": F.count(F.lit(1))},
-        {"_off": F.coalesce(F.sum("_cnt").over(s.before), F.lit(0)), total: F.sum("_cnt").over(whole)},
-    )
-    return out.withColumn(pos, F.col("_rn") + F.col("_off")).drop("_rn", "_off")
+    out = carry(b, s, {"_cnt": F.count(F.lit(1))}, {"_off": Fold("sum", "_cnt"), total: Fold("sum", "_cnt", whole=True)})
+    return out.withColumn(pos, F.col("_rn") + F.coalesce("_off", F.lit(0))).drop("_rn", "_off")
 
 
 def split_by_position(
@@ -121,10 +117,10 @@ def split_by_position(
 
 # Running aggregates: the same aggregate works on rows, on blocks and across blocks.
 _RUNNING = {
-    "max": (F.max, F.max, lambda a, b: F.greatest(a, b)),
-    "min": (F.min, F.min, lambda a, b: F.least(a, b)),
-    "sum": (F.sum, F.sum, lambda a, b: F.coalesce(a + b, a, b)),
-    "product": (F.product, F.product, lambda a, b: F.coalesce(a * b, a, b)),
+    "max": (F.max, F.greatest),
+    "min": (F.min, F.least),
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+    "product": (F.product, lambda a, b: F.coalesce(a * b, a, b)),
 }
 
 
@@ -138,13 +134,13 @@ def running(df: DataFrame, specs: Mapping[str, tuple[str, str]], s: Series = DAI
         if kind == "last":
             local[loc] = F.last(c, ignorenulls=True).over(upto)
             block[end] = last_value(c, s.time)
-            state[inn] = F.last(end, ignorenulls=True).over(s.before)
+            state[inn] = Fold("last", end)
             final[name] = F.coalesce(loc, inn)
         else:
-            row_agg, block_agg, merge = _RUNNING[kind]
-            local[loc] = row_agg(F.col(c)).over(upto)
-            block[end] = row_agg(F.col(c))
-            state[inn] = block_agg(F.col(end)).over(s.before)
+            agg, merge = _RUNNING[kind]
+            local[loc] = agg(F.col(c)).over(upto)
+            block[end] = agg(F.col(c))
+            state[inn] = Fold(kind, end)
             final[name] = merge(F.col(inn), F.col(loc))
     out = carry(b.withColumns(local), s, block, state).withColumns(final)
     return out.drop(*local, *state)

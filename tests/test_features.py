@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import features
-from barloom.operators.quantiles import exact_quantiles
+from barloom.operators.quantiles import exact_quantiles, located
 from barloom.operators.series import DAILY
 from barloom.settings import CHANGE_FEATURES, FEATURES, LEVEL_FEATURES, Settings
 from tests.series_data import bars, collected, frame, ordered, same
@@ -114,6 +114,21 @@ def test_exact_quantiles(spark, probs):
             assert got[k][name] == pytest.approx(np.quantile(xs, q), rel=1e-9, abs=1e-12)
 
 
+def test_bins_with_many_values_are_split_until_few_are_ranked(spark):
+    rng = np.random.default_rng(6)
+    groups = {
+        "dense": 1 + np.arange(3000) * 1e-9, "ties": np.repeat(1 + np.arange(200) * 1e-9, 9), "one": np.full(500, 1.5),
+        "lopsided": 1 + 1e-5 * 0.5 ** rng.uniform(0, 30, 1500), "negative": -1 - rng.random(800) * 1e-6, "wide": rng.normal(0, 1, 300)}
+    df = spark.createDataFrame([(k, float(v)) for k, xs in groups.items() for v in xs], "code string, x double").repartition(5)
+    probs = {"lo": 0.0, "a": 0.33, "mid": 0.5, "hi": 1.0}
+    held = located(df, "code", "x", probs, ranked=40)
+    assert held.groupBy("code", "_bin").count().agg({"count": "max"}).first()[0] <= 40
+    got = {r.code: r for r in exact_quantiles(df, "code", "x", probs, ranked=40).collect()}
+    for k, xs in groups.items():
+        for name, q in probs.items():
+            assert got[k][name] == pytest.approx(np.quantile(xs, q), rel=1e-15, abs=1e-15), (k, name)
+
+
 def test_scalers_guard_constant_columns(spark):
     df = spark.createDataFrame([("A", 1.0, 5.0), ("A", 3.0, 5.0)], "code string, x double, y double")
     s = features.standard_scaler(df, ["x", "y"]).first()
