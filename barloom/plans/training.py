@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators import forecast, metrics
+from barloom.operators import forecast, joint, metrics
 from barloom.operators.features import windows_and_scaler
 from barloom.operators.series import DAILY, Series
 from barloom.operators.strategy import strategy_summary
@@ -29,6 +29,7 @@ class Run:
     baseline: DataFrame
     comparison: DataFrame
     scaler: DataFrame
+    joint: joint.Fit | None = None
 
 
 def evaluate(scored: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> dict[str, DataFrame]:
@@ -52,11 +53,19 @@ def evaluate(scored: DataFrame, s: Series = DAILY, cfg: Settings = DEFAULT) -> d
 
 def train(
     bars: DataFrame, grid: Iterable[forecast.Candidate] = (forecast.Candidate(),), s: Series = DAILY,
-    cfg: Settings = DEFAULT,
+    cfg: Settings = DEFAULT, rank: int = 0, steps: int = 60, patience: int = 8,
 ) -> Run:
-    """Fit, tune and evaluate over every code at once; nothing is collected but the losses."""
+    """Fit, tune and evaluate over every code at once; nothing is collected but losses and weights.
+
+    With ``rank`` the best pair of separate models (linear ones) is the start of one joint model with that many shared factors,
+    fitted until its validation loss has not improved for ``patience`` steps; the evaluation is then that of the joint model.
+    """
     windows, scaler = windows_and_scaler(bars, s, cfg)
     rows = forecast.weighted_rows(stage(forecast.model_rows(windows), "model-rows"), s)
     _, regressor, classifier, losses = forecast.tune(rows, grid, cfg)
-    scored = stage(forecast.score(rows, regressor, classifier).drop("flat"), "scored")
-    return Run(regressor, classifier, losses, **evaluate(scored, s, cfg), scaler=scaler)
+    fit = None
+    if rank:
+        fit = joint.fit_joint(joint.joint_rows(rows), joint.from_separate(regressor, classifier, rank), cfg, steps, patience)
+    found = joint.score_joint(rows, fit.weights) if fit else forecast.score(rows, regressor, classifier)
+    scored = stage(found.drop("flat"), "scored")
+    return Run(regressor, classifier, losses, **evaluate(scored, s, cfg), scaler=scaler, joint=fit)
