@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.operators.ema import ema_local, ema_resolve, fitting
 from barloom.operators.series import BLOCK, DAILY, Series, halo, plain, without_halo
 from barloom.operators.windows import full_frame
-from barloom.session import stage
+from barloom.session import stage_bucketed
 
 # Smoothing guard, and the indicator columns in output order.
 GUARD = 1e-9
@@ -96,8 +96,8 @@ def add_indicators(
 
     ``gaps=False`` expects filled bars (see ``windows.forward_fill``); pass ``gaps=True`` for
     bars with NULL prices inside a series. Rolling parts and the in-block pieces of the first
-    means are computed in one shuffle on (code, block) and written once; the ADX mean is
-    resolved from that table. ``neighbours=True`` (filled bars only) adds ``prev_*`` of the price
+    means are computed in one shuffle on (code, block) and written once, bucketed by (code, block); the ADX mean is
+    resolved from that table, whose rows are not shuffled again. ``neighbours=True`` (filled bars only) adds ``prev_*`` of the price
     and trend columns and ``next_close`` in the same pass.
     """
     if gaps and neighbours:
@@ -108,7 +108,7 @@ def add_indicators(
     }
     s, bars = fitting(s, means), plain(bars)
     before = {"EMA_10": "prev_EMA_10", "_e12": "_pe12", "_e26": "_pe26", "ATR_14": "prev_ATR_14"}
-    pieces = stage(ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps), "indicators")
+    pieces = stage_bucketed(ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps), s.block_keys, [s.time], "indicators")
     known = ema_resolve(pieces, means, s, before if neighbours else None)
     plus = 100 * (F.col("_ep") / (F.col("ATR_14") + GUARD))
     minus = 100 * (F.abs("_em") / (F.col("ATR_14") + GUARD))

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _open = threading.local()
+#: folders of sessions on one machine that name none, by application (the setting itself cannot be changed later)
+_own_dirs: dict[str, str] = {}
+#: names of bucketed tables, by application
+_tables: dict[str, list[str]] = {}
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -41,8 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-        path = tempfile.mkdtemp(prefix="barloom-")
-        spark.conf.set(CHECKPOINT_DIR, path)
+        application = spark.sparkContext.applicationId
+        path = _own_dirs.get(application) or _own_dirs.setdefault(application, tempfile.mkdtemp(prefix="barloom-"))
     return path.rstrip("/")
 
 
@@ -75,6 +79,23 @@ def stage_measured(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]
     return table, files.getContentSummary(target).getLength()
 
 
+def stage_bucketed(df: DataFrame, keys: list[str], order: list[str], label: str = "stage") -> DataFrame:
+    """:func:`stage`, with rows of equal ``keys`` in one bucket, sorted by ``keys`` and ``order``.
+
+    Later windows, aggregates and joins on the keys find the rows where they need them and do not shuffle them again. There
+    are as many buckets as shuffle partitions; a table that comes out of a shuffle on the keys is written as one
+    file a bucket. Bucketing is kept in the catalog, under a name that :func:`clear_stages` drops.
+    """
+    spark = df.sparkSession
+    path, name = scratch_path(spark, label), f"barloom_{uuid.uuid4().hex}"
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, *keys).sortBy(*keys, *order).option("path", path).saveAsTable(name)
+    return spark.read.table(name)
+
+
 def _staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -104,4 +125,6 @@ def discarding_stages(spark: SparkSession) -> Iterator[None]:
 
 def clear_stages(spark: SparkSession) -> None:
     """Delete what this application staged, once its results are written elsewhere."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     delete_path(spark, stage_root(spark))

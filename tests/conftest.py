@@ -7,13 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from barloom.session import CHECKPOINT_DIR, clear_stages, local_session
+def spark():
+    from barloom.session import clear_stages, local_session
 
     session = local_session(shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_DIR, None):
-        session.conf.set(CHECKPOINT_DIR, str(tmp_path_factory.mktemp("shared")))
     yield session
     clear_stages(session)
     session.stop()

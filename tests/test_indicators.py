@@ -52,3 +52,22 @@ def test_minute_bars_fit_a_denser_series(spark):
     got = add_indicators(df, s).orderBy("timestamp").toPandas()
     np.testing.assert_allclose(got.EMA_10, pd.Series(close).ewm(span=10, adjust=False).mean(), rtol=1e-10)
     np.testing.assert_allclose(got.SMA_10[9:], pd.Series(close).rolling(10).mean()[9:], rtol=1e-10)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(code")
+
+
+def test_second_pass_does_not_shuffle_the_pieces_again(spark):
+    """The stored pieces are bucketed by (code, block); without that Spark would have to move them for the second mean."""
+    df = stage(frame(spark, bars(3, holes=False)), "bars")
+    bucketed = add_indicators(df)
+    plan = bucketed._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+    try:
+        plain = add_indicators(df)
+        shuffled = exchanges(plain)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.enabled")
+    assert exchanges(bucketed) < shuffled
