@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schemas
 from barloom.functions.scalar import iso_date, safe_key
-from barloom.operators import clean, features, forecast
+from barloom.operators import clean, features, forecast, joint
 from barloom.operators.series import INTRADAY
 from barloom.plans import inference, medallion, reports, training
 from barloom.session import scratch_path, stage
@@ -287,6 +289,47 @@ def _(spark, d):
     return readers.read_table(spark, f"{database}.day").drop("part")
 
 
+class Crash(Exception):
+    """Stands for a lost driver."""
+
+
+@contextmanager
+def crash_instead_of(module, name: str) -> Iterator[None]:
+    """Stop at the first call of a function, as if the driver were lost there."""
+    original = getattr(module, name)
+
+    def lost(*_args, **_named):
+        raise Crash(name)
+
+    setattr(module, name, lost)
+    try:
+        yield
+    except Crash:
+        pass
+    finally:
+        setattr(module, name, original)
+
+
+@query("gold_after_crash", SILVER_DAY)
+def _(spark, d):
+    """A correction that refills later years is lost between the bars and the control table, then repeated."""
+    rows = stage(clean.dedupe(dirty_day(spark, d)), "clean")
+    codes = stage(code_list(spark, d), "codes")
+    missing = F.unix_date("date") % 5 == 0
+    first = rows.withColumns({c: F.when(~missing, F.col(c)) for c in PRICES})
+    layout, database, path = medallion.Layout(scratch_path(spark, "silver"), "day"), _database(spark), scratch_path(spark, "gold")
+    medallion.initial_load(first, codes, _report(first), layout)
+    medallion.publish(spark, layout, database, path, codes)
+    batch, report = rows.filter(missing), stage(_report(rows, 1), "report")
+    with crash_instead_of(medallion, "_set_aside"):
+        medallion.refresh(batch, codes, report, layout)
+    medallion.refresh(batch, codes, report, layout)
+    with crash_instead_of(writers, "save_table"):
+        medallion.publish(spark, layout, database, path, codes)
+    medallion.publish(spark, layout, database, path, codes)
+    return readers.read_table(spark, f"{database}.day").drop("part")
+
+
 CTES["dirty_intraday"] = """
     SELECT code, timestamp, CASE WHEN minute(timestamp) <> 30 THEN open END AS open,
       CASE WHEN minute(timestamp) <> 30 THEN high END AS high, CASE WHEN minute(timestamp) <> 30 THEN low END AS low,
@@ -421,6 +464,28 @@ def _(spark, d):
     return spark.read.parquet(f"{out}/bars").drop("part")
 
 
+@query("streaming_out_of_order", f"""
+    SELECT code, CAST(timestamp AS VARCHAR) AS timestamp, close, {sig('y', 'ema')}, false AS late
+    FROM closed_bars JOIN live_mean USING (code, rn)""", sigs=("ema",))
+def _(spark, d):
+    """Every bar arrives up to two days late, in four arrivals; the result is that of the bars in order of time. A last row of
+    another code moves the watermark past them all."""
+    source, out, bars = scratch_path(spark, "bars"), scratch_path(spark, "ordered"), _holed(spark, d)
+    arrival = F.dayofyear("timestamp") + F.pmod(F.xxhash64("code", "timestamp"), F.lit(3))
+    first, last = stage(bars.agg(F.min(F.dayofyear("timestamp")), F.max(F.dayofyear("timestamp"))), "days").first()
+    edges = [first + (last + 3 - first) * i // 4 for i in range(5)]
+    end = bars.agg(F.max("timestamp").alias("timestamp")).select(*[
+        F.lit("end").alias(c) if c == "code" else (F.col(c) + F.expr("INTERVAL 10 DAYS")).alias(c) if c == "timestamp"
+        else F.lit(None).cast(bars.schema[c].dataType).alias(c) for c in bars.columns])
+    parts = [bars.filter((arrival >= lo) & (arrival < hi)).orderBy(F.rand(5)) for lo, hi in zip(edges, edges[1:])]
+    parts[0].write.mode("append").parquet(source)  # the stream needs its folder to start
+    stream = live.live_fill_and_mean_in_order(live.file_stream(spark, source, bars.schema), "3 days", 10)
+    run = lambda: _with_rocksdb(spark, lambda: live.run_available(stream.writeStream.format("parquet"), f"{out}-checkpoint", path=out))
+    run()
+    _arrive((*parts[1:], end), source, run)
+    return spark.read.parquet(out)
+
+
 CTES["timely_bars"] = """
     SELECT code, timestamp, raw, row_number() OVER (PARTITION BY code ORDER BY timestamp) AS rn FROM holed_bars
     WHERE NOT (day(timestamp) < 16 AND minute(timestamp) = 45)"""
@@ -484,6 +549,22 @@ def _(spark, d):
         "code", "n_test", "mean_actual", F.col("r.rmse_base").alias("rmse_base"), "in_band", sound.alias("scores_valid"))
 
 
+@query("joint_training", """
+    SELECT code, count(*) AS n_test, true AS falls, true AS not_above_separate, true AS best_kept, true AS scores_valid
+    FROM windows WHERE split = 'test' GROUP BY code""")
+def _(spark, d):
+    """One model of change and trend: its train loss falls at every step, the step of the lowest validation loss is kept, and
+    that loss is not above the separate models' it started from."""
+    run = training.train(staged_day(spark, d), (forecast.Candidate(0.01), forecast.Candidate(1.0)), rank=3, steps=12, patience=4)
+    curve = joint.learning_curve(spark, run.joint).toPandas()
+    falls = bool((curve.train_loss.diff().dropna() <= 1e-3).all()) and len(curve) > 2
+    kept = curve.loc[curve.kept, "validation_loss"].item()
+    sound = run.classification.select("code", (F.col("accuracy").between(0, 1) & F.col("mcc").between(-1, 1)).alias("scores_valid"))
+    return run.predictions.groupBy("code").agg(F.count(F.lit(1)).alias("n_test")).join(sound, "code").select(
+        "code", "n_test", F.lit(falls).alias("falls"), F.lit(bool(kept <= min(run.losses) + 1e-9)).alias("not_above_separate"),
+        F.lit(bool(kept <= curve.validation_loss.min() + 1e-4)).alias("best_kept"), "scores_valid")
+
+
 @query("boosted_regressor", f"""
     SELECT {KEYS}, {rnd('z_target_pct_change', 'target_scaled')}, true AS predicted FROM windows WHERE split = 'test'""", 6)
 def _(spark, d):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import clean, features, forecast, metrics, strategy, windows
+from barloom.operators import clean, features, forecast, metrics, pooled, strategy, windows
 from barloom.operators.ema import ema
 from barloom.operators.indicators import INDICATORS, add_indicators, rolling_indicators, true_range
 from barloom.operators.series import DAILY, INTRADAY, Series, attach, looking_back, plain
@@ -16,7 +16,7 @@ from barloom.plans import medallion
 from barloom.session import stage
 from barloom.settings import BASELINE_FEATURES, FEATURES
 from barloom.sources.readers import normalise_dates, union_reports
-from workload.oracles import KEYS, SCALE, W, full, rnd, sig, sql
+from workload.oracles import CTES, KEYS, SCALE, W, full, rnd, sig, sql
 from workload.tables import (
     PRICES, bars_by_supplier, bars_day, bars_intraday, code_list, dirty_day, outcomes, shaped, staged_day, staged_intraday,
     table, with_copies, with_nulls,
@@ -162,6 +162,22 @@ def _(spark, d):
     return clean.dedupe(dirty_day(spark, d))
 
 
+@query("dedupe_by_revision", """
+    SELECT n.code, CAST(n.date AS VARCHAR) AS date, CASE WHEN n.day % 33 = 0 THEN n.open - 2 WHEN n.day % 11 = 0 THEN d.open ELSE n.open + 1 END AS open,
+      CASE WHEN n.day % 33 = 0 THEN n.close - 2 WHEN n.day % 11 = 0 THEN d.close ELSE n.close + 1 END AS close, n.volume
+    FROM numbered_day n JOIN null_day d USING (code, date)""")
+def _(spark, d):
+    """Later revisions lower prices or take them back; the last of each bar counts, however large it is."""
+    day = staged_day(spark, d).select("code", "date", "open", "close", "volume")
+    number = F.unix_date("date")
+    moved = lambda by: day.withColumns({c: F.col(c) + by for c in ("open", "close")})
+    first = moved(1).withColumn("revision", F.lit(1))
+    holes = with_nulls(staged_day(spark, d)).select(day.columns).filter(number % 11 == 0).withColumn("revision", F.lit(2))
+    last = moved(-2).filter(number % 33 == 0).withColumn("revision", F.lit(3))
+    rows = last.unionByName(first).unionByName(holes).unionByName(holes).unionByName(last)
+    return clean.dedupe(rows, revision="revision").drop("revision")
+
+
 @query("distinct_rows", f"SELECT DISTINCT {KEYS}, {OHLCV} FROM dirty_day")
 def _(spark, d):
     return clean.distinct_rows(dirty_day(spark, d))
@@ -605,6 +621,27 @@ def _(spark, d):
     return forecast.ar1_parameters(_split_outcomes(spark, d).filter(F.col("split") == "train"))
 
 
+CTES["sums_of_products"] = """
+    SELECT code, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy
+    FROM (SELECT code, close_pct_change AS x, target_pct_change AS y FROM out_rows WHERE split = 'train')
+    WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY code"""
+CTES["common_line"] = """
+    SELECT (sy * (sxx + 0.5) - sx * sxy) / ((n + 0.5) * (sxx + 0.5) - sx * sx) AS b0,
+      ((n + 0.5) * sxy - sx * sy) / ((n + 0.5) * (sxx + 0.5) - sx * sx) AS b1
+    FROM (SELECT sum(n) AS n, sum(sx) AS sx, sum(sxx) AS sxx, sum(sy) AS sy, sum(sxy) AS sxy FROM sums_of_products)"""
+
+
+@query("pooled_regression", f"""
+    SELECT code, n, {sig('(ry * (sxx + 20.5) - sx * rx) / det', 'intercept')}, {sig('((n + 20.5) * rx - sx * ry) / det', 'slope')}
+    FROM (SELECT *, sy + 20 * b0 AS ry, sxy + 20 * b1 AS rx, (n + 20.5) * (sxx + 20.5) - sx * sx AS det FROM sums_of_products, common_line)""",
+       sigs=("intercept", "slope"))
+def _(spark, d):
+    """A ridge line per code, pooled towards the line of all codes."""
+    rows = _split_outcomes(spark, d).filter(F.col("split") == "train")
+    found = pooled.fit_pooled(rows, ["close_pct_change"], "target_pct_change", ridge=0.5, pooling=20.0)
+    return found.select("code", "n", F.get("coefficients", F.lit(0)).alias("intercept"), F.get("coefficients", F.lit(1)).alias("slope"))
+
+
 @query("ar1_forecast", f"SELECT {KEYS}, {rnd('predicted_change')}, {sig('predicted_price')} FROM forecasts",
        6, sigs=("predicted_price",))
 def _(spark, d):
