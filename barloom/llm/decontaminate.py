@@ -1,9 +1,10 @@
 """Benchmark decontamination: find test n-grams in training text and remove spans or documents.
 
-The test set is turned into distinct normalised word windows. They are broadcast in blocks of a fixed
-number of rows, so a broadcast never exceeds ``block_windows`` windows however large the test set is.
-Documents are split into words once per block, every window of a document is hashed and looked up in the
-broadcast hash table. Hits are verified word by word in a second read of the documents that have any; the
+The test set is turned into distinct normalised word windows. Their hashes and lengths alone are broadcast, in
+blocks of a fixed number of rows, so a broadcast never exceeds ``block_windows`` such pairs however large the test set is
+and however many items share a window. Documents are split into words once per block, every window of a document is
+hashed and looked up in the broadcast hash table. Hits are verified in a second read of the documents that have any: their
+words at the hit are joined with the words of the window, and only then with the items that hold it. The
 words of a document are never copied for each of its windows, so the work is linear in its length. Only
 hits and one row per document are shuffled. Everything is SQL expressions.
 
@@ -53,7 +54,7 @@ def _window_hashes(hashes: Column, length: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Distinct windows of the items: gram (words), length, hash and the ids of the items that hold it.
+    """``item, gram, length, hash``: each window (its words) of each item once.
 
     An item of fewer than ``n`` words, but not none, is one window.
     """
@@ -65,7 +66,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, item_col: str = "item_i
     hashes, joint = F.transform("gram", lambda w: F.xxhash64(w)), F.lit(None).cast("long")
     for k in range(1, n + 1):
         joint = F.when(F.col("length") == k, _joint_hash(hashes, F.lit(0), k)).otherwise(joint)
-    return grams.groupBy("gram", "length").agg(F.collect_set("item").alias("items")).withColumn("hash", joint)
+    return grams.distinct().withColumn("hash", joint)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -75,7 +76,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
     ``hits`` are the sorted positions of words inside occurring windows, ``items`` the sorted ids of the
     items with occurring windows, ``text_key`` tells rows of one id with different texts apart.
     """
-    windows = benchmark_windows(benchmark, n, item_col, item_text_col)
+    grams = stage(benchmark_windows(benchmark, n, item_col, item_text_col), "benchmark-windows")
+    windows = grams.select("hash", "length").distinct()
     total, lengths = windows.agg(F.count("*"), F.collect_set("length")).first()  # at most n lengths
     blocks = max(1, -(-total // block_windows))
     words = word_list(F.col(text_col))
@@ -93,15 +95,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
     # keys alone first: where they are few enough to be broadcast, only the texts in question are shuffled
     read = texts.join(stage(suspects.select("id", "key"), "suspects"), same, "left_semi").join(suspects, same)
-    real = let(word_list(F.col("text")), lambda w: F.filter("found", lambda h: F.slice(w, h.pos + 1, h.length) == h.gram))
-    verified = read.select("id", "key", real.alias("real"))
-    verified = stage(verified.dropDuplicates(["id", "key"]), "verified-windows")
+    there = let(word_list(F.col("text")), lambda w: F.transform("found", lambda h: F.struct(
+        h.pos.alias("pos"), h.hash.alias("hash"), F.slice(w, h.pos + 1, h.length).alias("gram"))))
+    claimed = read.select("id", "key", there.alias("there")).dropDuplicates(["id", "key"]).select("id", "key", F.inline("there"))
+    real = stage(claimed.join(grams.select("hash", "gram").distinct(), ["hash", "gram"], "left_semi"), "verified-windows")
+    spans = real.groupBy("id", "key").agg(F.collect_set(F.struct("pos", F.size("gram").alias("length"))).alias("spans"))
+    holders = real.select("id", "key", "hash", "gram").distinct().join(grams, ["hash", "gram"])
+    holders = holders.groupBy(F.col("id").alias("of_id"), F.col("key").alias("of_key")).agg(F.collect_set("item").alias("items"))
+    verified = stage(spans.join(holders, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))), "verified-documents")
     joined = merged.drop("found").join(verified, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
-    spans = F.transform("real", lambda h: F.sequence(h.pos, h.pos + h.length - 1))
+    places = F.transform("spans", lambda h: F.sequence(h.pos, h.pos + h.length - 1))
     return joined.select(
         "doc_id", "text_key", "n_words",
-        F.coalesce(F.array_sort(F.array_distinct(F.flatten(spans))), F.array().cast("array<int>")).alias("hits"),
-        F.coalesce(F.array_sort(F.array_distinct(F.flatten("real.items"))), F.array().cast("array<string>")).alias("items"),
+        F.coalesce(F.array_sort(F.array_distinct(F.flatten(places))), F.array().cast("array<int>")).alias("hits"),
+        F.coalesce(F.array_sort("items"), F.array().cast("array<string>")).alias("items"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 
@@ -120,7 +127,7 @@ def _hits(base: DataFrame, windows: DataFrame, lengths: list[int], count: bool)
         pos = F.when(F.col("length") == k, F.col("at") - begin).otherwise(pos)
         begin = begin + F.greatest(F.col("size") - k + 1, F.lit(0))
     sentinel = F.col("hash").isNull()
-    hit = F.when(F.col("length").isNotNull(), F.struct(pos.alias("pos"), "length", "gram", "items"))
+    hit = F.when(F.col("length").isNotNull(), F.struct(pos.alias("pos"), "length", "hash"))
     return joined.where(F.col("length").isNotNull() | sentinel).select(
         "doc_id", "text_key", F.when(sentinel, F.col("size")).alias("n_words"),
         F.when(sentinel, F.lit(1)).otherwise(0).alias("copies"), hit.alias("hit"))
