@@ -1,18 +1,22 @@
 """WARC archives: a writer with payload deduplication and a reader that salvages damaged files.
 
-Writing. Every page becomes a record in a gzip member of its own; Spark's text sink writes the members, with
-an empty member as the separator, so files go to any store Spark can write and through its commit protocol.
+Writing. Every page becomes a record in a gzip member of its own; Spark's text sink writes the members, about a
+``CHUNK`` of bytes to a line and with an empty member as the line separator, so files go to any store Spark can write and
+through its commit protocol. This relies on the sink writing a string's characters as single bytes in ISO-8859-1, with nothing
+added; a test holds it to that for all 256 byte values. A file gets ``file_bytes // CHUNK`` lines, and a longer member is followed by as many
+empty lines as it has chunks, so that a file has at most ``file_bytes`` and one member.
 Of records with equal payloads of at least ``min_bytes`` the one with the largest id is a response and the
-others revisit it, without the payload. Equal payloads are found by a grouped maximum on the digest; the
-join back can be split where one payload is common.
+others revisit it, without the payload. Equal payloads are found by a grouped maximum on the digest, of those that
+occur twice alone; where these are few enough to be broadcast, payloads are not shuffled, else the join can be split where
+one payload is common.
 
 Reading. A file is read member by member, or version line by version line where it is not compressed. A
 record counts only if its member inflates to the end and passes its checksum, its length and end marks fit
 and its digests match. After a failure the reader searches for the next member or version line at which a
 valid record starts, goes on from there, and reports the bytes in between as a gap.
 
-Bounds: a task holds the files of one input partition (the writer's files hold at most ``file_records``
-records); a member that inflates beyond ``max_member`` is a gap. An archive that is known to be one's own can be
+Bounds: a task holds one file at a time, in the JVM, in Arrow and in Python (files of other writers are taken as they
+are, up to the 2 GiB that Spark reads of a file); a member that inflates beyond ``max_member`` is a gap. An archive that is known to be one's own can be
 read without that bound.
 
 Defined results: a null page is empty; a null id is written ``null`` and read as null, sorts below all ids,
@@ -33,7 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.session import stage
+
 MAX_MEMBER = 1 << 30
+CHUNK = 1 << 20
 STEP = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -67,27 +74,43 @@ def page_urn(page_id: int | None) -> str:
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  min_bytes: int = 1000, level: int = 4, file_records: int = 20_000) -> None:
-    """Write a record for every row below ``path``."""
+                  min_bytes: int = 1000, level: int = 4, file_bytes: int = 64 << 20) -> None:
+    """Write a record for every row below ``path``, in files of at most ``file_bytes`` and one member."""
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                          F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
     given = given.withColumn("digest", F.sha1("payload"))
-    common = given.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
-        F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    common = stage(given.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
+        F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"), "common-payloads")
     later = F.col("first_id").isNotNull() & F.coalesce(F.col("page_id") < F.col("first_id"), F.lit(True))
     judged = given.join(common, "digest", "left").select("page_id", "url", "payload", F.when(later, F.col("first_id")).alias("refers_to"))
 
+    chunk, lines = min(CHUNK, file_bytes), max(1, file_bytes // CHUNK)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def line(members: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], ["line"])
+
+        held, size = [], 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):  # a few members at a time
-                rows = batch.slice(begin, 256).to_pylist()
-                made = [record(page_urn(r["page_id"]), r["url"], r["payload"], None if r["refers_to"] is None else page_urn(r["refers_to"]))
-                        for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([gzip.compress(m, level, mtime=0) for m in made], pa.binary())], ["member"])
-
-    members = judged.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
-    (members.write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", file_records).text(path))
+            for r in (r for begin in range(0, batch.num_rows, 64) for r in batch.slice(begin, 64).to_pylist()):
+                made = gzip.compress(record(page_urn(r["page_id"]), r["url"], r["payload"], None if r["refers_to"] is None else page_urn(r["refers_to"])),
+                                     level, mtime=0)
+                if held and size + len(made) > chunk:
+                    yield line(held)
+                    held, size = [], 0
+                held.append(made)
+                size += len(made)
+                if size > chunk:
+                    yield line(held)
+                    for _ in range(min(-(-size // chunk), lines) - 1):
+                        yield line([])
+                    held, size = [], 0
+        if held:
+            yield line(held)
+
+    written = judged.mapInArrow(run, "line binary").select(F.col("line").cast("string").alias("value"))
+    (written.write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
+     .option("maxRecordsPerFile", lines).text(path))
 
 
 class Damaged(ValueError):

@@ -65,7 +65,7 @@ def test_pages_come_back(spark, tmp_path):
             (None, "u", long), (9, "again", long), (6, "", "x" * 300_000), (7, "u", "\r\n\r\nWARC/1.1\r\n")]
     pages = spark.createDataFrame([(i, u, h, "d") for i, u, h in rows], "page_id long, url string, html string, digest string")
     path = str(tmp_path / "archive")
-    warc.write_archive(pages, path, file_records=2)
+    warc.write_archive(pages, path, file_bytes=700)
     out = warc.read_archive(spark, path).withColumn("page_id", warc.page_id(warc.F.col("record_id"))).withColumn(
         "target", warc.page_id(warc.F.col("refers_to"))).collect()
     assert {r.kind for r in out} == {"record"}
@@ -80,6 +80,22 @@ def test_pages_come_back(spark, tmp_path):
     assert all(r.payload is None for r in out if r.record_type == "revisit")
 
 
+def test_files_are_bounded_by_bytes_and_hold_every_byte_value(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 2000)
+    rng = random.Random(5)
+    pages = [(i, rng.randbytes(rng.choice([10, 500, 1500, 9000]))) for i in range(60)]
+    path = tmp_path / "archive"
+    df = spark.createDataFrame(pages, "page_id long, html binary").withColumn("url", warc.F.lit("u")).coalesce(1)
+    warc.write_archive(df, str(path), file_bytes=20_000)
+    files = [f.read_bytes() for f in path.glob("part-*")]
+    largest = max(len(gzip.compress(warc.record("<urn:x-page:10>", "u", p), 4)) for _, p in pages)
+    lines = 20_000 // 2000
+    assert len(files) > 5 and max(map(len, files)) <= 20_000 + largest + lines * len(warc.EMPTY_MEMBER)
+    assert {b for f in files for b in f} == set(range(256))
+    got = {warc.re.search(r"\d+", r.record_id)[0]: r.payload for r in warc.read_archive(spark, str(path)).collect() if r.kind == "record"}
+    assert got == {str(i): p for i, p in pages}
+
+
 def test_large_members_of_the_own_archive(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(1, "u", "x" * 300_000), (2, "u", "y")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     whole = warc.read_archive
