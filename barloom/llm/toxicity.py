@@ -33,7 +33,6 @@ from barloom.llm.sampling import hashed_sample
 
 SPACE = 1 << 20
 RUNS = (4, 5)
-MOST = 30_000  # times a feature counts in one text
 LEAST = 3  # toxic texts that must hold a feature
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -74,7 +73,7 @@ class Lookup:
         found = self.at[hashes]
         held = found >= 0
         at, counts = np.unique(found[held], return_counts=True)
-        return at, np.minimum(counts, MOST), total, len(np.unique(words[held]))
+        return at, counts, total, len(np.unique(words[held]))
 
 
 @dataclass
@@ -180,11 +179,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         for batch in batches:
             rows = [lookup.vector(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int16())),
+                [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
                  pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
                 ["label", "at", "counts", "words", "marked"])
 
-    data = texts.mapInArrow(vectors, "label int, at array<int>, counts array<smallint>, words long, marked long").toArrow().combine_chunks()
+    data = texts.mapInArrow(vectors, "label int, at array<int>, counts array<int>, words long, marked long").toArrow().combine_chunks()
     words, n, width = data["words"].to_numpy().astype(float), data.num_rows, len(chosen) + 1
     grades = _grades(data["label"].to_numpy().astype(np.int64), data["marked"].to_numpy().astype(float))
     sizes = pc.list_value_length(data["at"]).to_numpy()

@@ -69,3 +69,9 @@ def test_odd_rows_and_labels(spark):
     graded = spark.createDataFrame([(i, 0, 0 if i < 8 else 2 + i % 2) for i in range(14)], "doc_id long, quality int, toxic int")
     assert len(toxicity.fit(docs, graded).thresholds) == 2
     assert toxicity.fit(docs, graded.withColumn("toxic", F.lit(0))).thresholds.size == 0
+
+
+def test_counts_have_no_upper_bound():
+    lookup = toxicity.Lookup(np.unique(toxicity.runs_of("zzzzz")[0]))
+    at, counts, total, marked = lookup.vector("zzzzz " * 70_000)
+    assert counts.max() == 70_000 and total == 70_000 == marked
