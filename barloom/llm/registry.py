@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,13 +127,22 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-KEY = "surrogates of this run"
+KEY_SETTING = "spark.barloom.surrogateKey"
+_own_keys: dict[str, str] = {}
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret that surrogates are made with, from the session's ``KEY_SETTING``. Where it is not set, a random one
+    for the application, so that surrogates can be redone by nobody, and not by a later run either."""
+    given = spark.conf.get(KEY_SETTING, None)
+    application = spark.sparkContext.applicationId
+    return given or _own_keys.setdefault(application, secrets.token_hex(16))
 
 
 @query("op7_surrogates")
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced."""
-    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY, count_col="n_replaced")
+    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), surrogate_key(spark), count_col="n_replaced")
     return found.select("doc_id", "text", "n_replaced")
 
 

@@ -4,7 +4,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from barloom.llm import packing, pii, quality, simhash
+from barloom.llm import packing, pii, quality, registry, simhash
 
 DATA = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not present")
@@ -122,5 +122,11 @@ def test_all_tokens_are_packed(spark, kept):
     assert corpus_pipeline.run(spark, DATA).count() == len(parts)
 
 
-def test_key_is_shared_with_the_query():
-    assert corpus_pipeline.KEY and callable(pii.replace)
+def test_key_comes_from_the_session_or_is_random(spark):
+    own = registry.surrogate_key(spark)
+    assert own == registry.surrogate_key(spark) and len(own) == 32
+    spark.conf.set(registry.KEY_SETTING, "k")
+    try:
+        assert registry.surrogate_key(spark) == "k"
+    finally:
+        spark.conf.unset(registry.KEY_SETTING)
