@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import decontaminate, packing, pii, quality, simhash
-from barloom.llm.registry import KEY, table
+from barloom.llm.registry import surrogate_key, table
 from barloom.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,7 +35,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data, and their new lengths."""
-    replaced = pii.replace(docs, KEY)
+    replaced = pii.replace(docs, surrogate_key(spark))
     return replaced.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else replaced
 
 
