@@ -44,6 +44,7 @@ BREAK = b"\n"
 SLOTS = 1 << 25  # as bits 4 MB
 BLOCK = 1 << 16
 FLUSH = 1 << 17
+CHUNK = 1 << 12
 MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -345,17 +346,36 @@ def counted(texts: DataFrame, found: DataFrame, k: int, least: int, shard: int)
 
         def run(batches: Iterator[pa.RecordBatch], trie=trie, begin=begin) -> Iterator[pa.RecordBatch]:
             machine = trie.value
-            counts = np.zeros(machine.size, np.int64)
+            counts = np.zeros(-(-machine.size // CHUNK) * CHUNK, np.int64)
             for x in _blocks(batches):
-                counts += np.bincount(machine.phrase[machine.advance(x, _places(x, k))], minlength=machine.size)
-            hit = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(hit + begin + 1), pa.array(counts[hit])], ["id", "n"])
+                counts += np.bincount(machine.phrase[machine.advance(x, _places(x, k))], minlength=len(counts))
+            chunks = counts.reshape(-1, CHUNK)
+            hit = np.flatnonzero(chunks.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(hit * CHUNK + begin + 1), pa.array([chunks[i].tobytes() for i in hit], pa.binary())], ["first", "counts"])
 
-        some = texts.mapInArrow(run, "id long, n long")
+        some = texts.mapInArrow(run, "first long, counts binary")
         sums = some if sums is None else sums.unionByName(some)
     if sums is None:
         return found.select(*names(k), F.lit(0).cast("long").alias("f")).limit(0)
-    common = sums.groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(CHUNK, np.int64)
+
+        def common() -> pa.RecordBatch:
+            hit = np.flatnonzero(total >= least)
+            return pa.RecordBatch.from_arrays([pa.array(hit + now), pa.array(total[hit])], ["id", "f"])
+
+        for batch in batches:
+            for first, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if first != now:
+                    if now is not None:
+                        yield common()
+                    now, total = first, np.zeros(CHUNK, np.int64)
+                total += np.frombuffer(counts, np.int64)
+        if now is not None:
+            yield common()
+
+    common = sums.repartition("first").sortWithinPartitions("first").mapInArrow(add, "id long, f long")
     return stage(found.join(common, "id").select(*names(k), "f"), "common-phrases")
 
 
