@@ -52,6 +52,7 @@ class Forest:
         self.roots = [self._grow(lifted) for _ in range(trees)]
         self.directions = np.array(self.directions).reshape(len(self.limits), sample.shape[1] + 1)
         self.limits = np.array(self.limits)
+        self.children = np.array(self.children, np.int64).reshape(-1, 2)
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         """Vectors with the coordinate that makes them as long as the longest."""
@@ -76,19 +77,15 @@ class Forest:
         return -self.leaves
 
     def route(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of every vector in each tree."""
-        along = self.lift(x) @ self.directions.T if len(self.limits) else np.empty((len(x), 0))
-        out = np.empty((len(x), len(self.roots)), np.int32)
-        for tree, root in enumerate(self.roots):
-            todo = [(root, np.arange(len(x)))]
-            while todo:
-                node, at = todo.pop()
-                if node < 0:
-                    out[at, tree] = -1 - node
-                    continue
-                low = along[at, node] < self.limits[node]
-                todo += [(child, at[side]) for child, side in zip(self.children[node], (low, ~low)) if side.any()]
-        return out
+        """The leaf of every vector in each tree; a vector is compared with the nodes on its way alone."""
+        lifted = self.lift(x)
+        node = np.tile(np.array(self.roots, np.int64), (len(x), 1))
+        while (inner := node >= 0).any():
+            row, tree = np.nonzero(inner)
+            at = node[row, tree]
+            low = np.einsum("ij,ij->i", lifted[row], self.directions[at]) < self.limits[at]
+            node[row, tree] = self.children[at, np.where(low, 0, 1)]
+        return (-1 - node).astype(np.int32)
 
     def search(self, query: np.ndarray, probes: int) -> list[int]:
         """The first leaves that a queue shared by all trees gives for a query."""
@@ -100,8 +97,8 @@ class Forest:
             passed, node = heapq.heappop(queue)
             while node >= 0:
                 near, far = (0, 1) if margin[node] < 0 else (1, 0)
-                heapq.heappush(queue, (max(passed, abs(margin[node])), self.children[node][far]))
-                node = self.children[node][near]
+                heapq.heappush(queue, (max(passed, abs(margin[node])), int(self.children[node, far])))
+                node = int(self.children[node, near])
             found.append(-1 - node)
         return found
 
