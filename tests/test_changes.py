@@ -39,8 +39,9 @@ class Faults:
                 self.seen.append(name)
                 self.left -= 1
                 if self.left == 0:
-                    for old in [p for p in sorted(os.listdir(path)) if "=" in p][:self.half]:
-                        shutil.rmtree(f"{path}/{old}")  # an old partition is gone, its new files are not there yet
+                    if self.half:  # a partition that is being replaced is gone, its new files are not there yet
+                        parts = {f"part={r.part}" for r in args[0].select("part").distinct().collect()}
+                        shutil.rmtree(f"{path}/{min(parts & set(os.listdir(path)))}")
                     raise Crash(name)
             return write(*args, **named)
         return run
