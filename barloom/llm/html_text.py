@@ -2,18 +2,20 @@
 
 A page is read as lines, one for each block of text, each marked as page furniture (menus, headers, footers,
 sidebars, notices, adverts, forms, comments), as part of an element that the page itself marks as its
-article, or as open. Pages that mark their article give its lines; one that stands in furniture, other than
-comments and hidden elements, counts if no other does and it is longer than the open lines. For all others the open lines are
-differenced: within a host, distinct pages are ordered by path, each page is paired with the neighbour whose
-path begins most like its own, the lines of both are aligned by a longest common subsequence, and open lines
-that the neighbour has too are deleted.
+article, or as open. An article that stands in furniture, other than comments and hidden elements, counts if
+no other does and it is longer than the open lines.
 
-Differencing does not judge lines of a marked article: pages of one host repeat passages and whole articles,
-and their menus and adverts may differ from page to page, so shared lines are neither all furniture nor is
-all furniture shared.
+Every page is differenced: within a host, distinct pages are ordered by path, each page is paired with the
+neighbour whose path begins most like its own, and the lines of both are aligned by a longest common
+subsequence. What the neighbour has too is deleted, and the page's marks check the outcome, since pages of one
+host repeat passages and whole articles, and their menus and adverts may differ from page to page: furniture is
+deleted even if it is the page's own, and an article that holds a line of the page's own, or the only ones
+there are, stays whole. So differencing deletes shared open lines, and of several articles those (teasers, say)
+that the neighbour has line for line.
 
 Order within a host comes from a range-partitioned sort of small key rows, so a host with a third of all
-pages is spread over tasks; copies of a page on a host count once there. Neighbours are joined by rank.
+pages is spread over tasks; copies of a page on a host count once there. Neighbours are joined by rank. Lines
+travel as hashes of 64 bits, and only deletions are joined back to the pages.
 
 Defined results: a null page is empty and gives an empty text; a null or odd address has the empty host and
 path; rows may repeat; an only page of its host keeps all open lines; other columns are ignored.
@@ -23,8 +25,9 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator, Sequence
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -173,16 +176,21 @@ class RawElements:
         return len(page) if first is None else first
 
 
-def read_lines(page: str | None) -> list[tuple[int, str]]:
-    """The lines of a page in order, with their kind."""
+def read_page(page: str | None) -> tuple[list[tuple[int, str]], list[int]]:
+    """The lines of a page in order, with their kind, and the number of the article that each stands in.
+
+    Articles are told apart by outermost <article> elements; 0 stands for all other places.
+    """
     page = page or ""
     lines: list[tuple[int, str]] = []
+    articles: list[int] = []
     parts: list[str] = []
     levels: list[int] = []  # of each line of an article: the furniture around that
     stack: list[tuple[str, bool, int, bool]] = []  # open element, whether it is furniture, its rank as an article, whether it is hidden or comments
     at, furniture, lost, in_head = 0, 0, 0, False
     raw, open_names = RawElements(page), Counter()
     ranks: list[tuple[int, int]] = []  # of the enclosing marked elements: 2 article, 1 main; and the furniture around it
+    begun = 0  # outermost articles so far
 
     def end_line() -> None:
         if parts:
@@ -191,6 +199,7 @@ def read_lines(page: str | None) -> list[tuple[int, str]]:
                 level = ranks[-1][1] if ranks and not lost else 0
                 lines.append((FURNITURE if furniture > level else ARTICLE + max(ranks)[0] if ranks else OPEN, text))
                 levels.append(level)
+                articles.append(begun if open_names["article"] else 0)
             parts.clear()
 
     size = len(page)
@@ -227,6 +236,7 @@ def read_lines(page: str | None) -> list[tuple[int, str]]:
                     continue
                 gone = hidden or bool(words & COMMENTS) and (plain or name == "article")
                 stack.append((name, bad, rank, gone))
+                begun += name == "article" and not open_names[name]
                 open_names[name] += 1
                 if rank:
                     ranks.append((rank, furniture))
@@ -252,20 +262,33 @@ def read_lines(page: str | None) -> list[tuple[int, str]]:
         best = min(marked)
         inside = [(level, -kind) == best for (kind, _), level in zip(lines, levels)]
         if not best[0] or sum(len(t) for (_, t), i in zip(lines, inside) if i) > sum(len(t) for kind, t in lines if kind == OPEN):
-            return [(ARTICLE if i else FURNITURE, text) for (_, text), i in zip(lines, inside)]
-        return [(kind if kind == OPEN else FURNITURE, text) for kind, text in lines]
-    return lines
+            lines = [(ARTICLE if i else FURNITURE, text) for (_, text), i in zip(lines, inside)]
+        else:
+            lines = [(kind if kind == OPEN else FURNITURE, text) for kind, text in lines]
+    return lines, articles
+
+
+def read_lines(page: str | None) -> list[tuple[int, str]]:
+    """The lines of a page in order, with their kind."""
+    return read_page(page)[0]
+
 
+def deleted_lines(kinds: list[int], articles: list[int], shared: set[int]) -> list[int]:
+    """Of the lines that are not furniture, those that differencing deletes, given those that the neighbour has too."""
+    own = {a for i, (kind, a) in enumerate(zip(kinds, articles)) if kind >= ARTICLE and i not in shared}
+    return [i for i, (kind, a) in enumerate(zip(kinds, articles)) if i in shared and (kind == OPEN or kind >= ARTICLE and own and a not in own)]
 
-def main_text(lines: list[tuple[int, str]], neighbour: list[str] | None = None) -> str:
-    """The text of a page's lines, given the lines of its neighbour."""
+
+def main_text(lines: list[tuple[int, str]], neighbour: list[str] | None = None, articles: list[int] | None = None) -> str:
+    """The text of a page's lines, given the lines of its neighbour; without ``articles`` all marked lines are of one."""
     shared = shared_lines([t for _, t in lines], neighbour) if neighbour else set()
-    return "\n".join(t for i, (kind, t) in enumerate(lines) if kind >= ARTICLE or kind == OPEN and i not in shared)
+    deleted = set(deleted_lines([kind for kind, _ in lines], articles or [0] * len(lines), shared))
+    return "\n".join(t for i, (kind, t) in enumerate(lines) if kind > FURNITURE and i not in deleted)
 
 
-def shared_lines(a: list[str], b: list[str]) -> set[int]:
+def shared_lines(a: Sequence[Hashable], b: Sequence[Hashable]) -> set[int]:
     """Indices of the lines of ``a`` in a longest common subsequence with ``b``, by bit vectors over ``b``."""
-    places: dict[str, int] = {}
+    places: dict[Hashable, int] = {}
     for j, line in enumerate(b):
         places[line] = places.get(line, 0) | 1 << j
     full, rows = (1 << len(b)) - 1, []
@@ -300,23 +323,38 @@ def _content(lines: list[tuple[int, str]]) -> bytes:
     return xxhash.xxh3_128_digest("\n".join(t for _, t in lines).encode("utf-8", "surrogatepass"))
 
 
+def _line_hashes(lines: list[tuple[int, str]]) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for _, t in lines]
+
+
+def _marks_of(lines: list[tuple[int, str]], articles: list[int]) -> bytes:
+    """The kinds and articles of a page's lines."""
+    return array("i", [x for (kind, _), a in zip(lines, articles) for x in (kind, a)]).tobytes()
+
+
+def _page_key(content: bytes, marks: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(content + marks)
+
+
 def _keys(pages: DataFrame) -> DataFrame:
-    """``host, path, content, open`` for each page."""
+    """``host, path, content, marks, lines`` for each page, lines as hashes."""
+    columns = "host string, path string, content binary, marks binary, lines array<long>"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for url, page in zip(batch.column(0), batch.column(1)):
-                lines = read_lines(page.as_py())
-                rows.append((*host_and_path(url.as_py()), _content(lines), any(kind == OPEN for kind, _ in lines)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, (
-                pa.string(), pa.string(), pa.binary(), pa.bool_()))], ["host", "path", "content", "open"])
+                lines, articles = read_page(page.as_py())
+                rows.append((*host_and_path(url.as_py()), _content(lines), _marks_of(lines, articles), _line_hashes(lines)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (
+                pa.string(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64())))], ["host", "path", "content", "marks", "lines"])
 
-    return pages.select("url", "html").mapInArrow(run, "host string, path string, content binary, open boolean")
+    return pages.select("url", "html").mapInArrow(run, columns)
 
 
 def _ranked(keys: DataFrame) -> DataFrame:
-    """Distinct pages with ``pos``, their place in the order of host and path."""
-    distinct = keys.groupBy("host", "content").agg(F.min("path").alias("path"), F.max("open").alias("open"))
+    """Distinct pages with ``pos``, their place in the order of host and path; ``marks`` are all that a page's lines have on the host."""
+    distinct = keys.groupBy("host", "content").agg(F.min("path").alias("path"), F.collect_set("marks").alias("marks"), F.first("lines").alias("lines"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), 0
@@ -326,15 +364,15 @@ def _ranked(keys: DataFrame) -> DataFrame:
                                              [*batch.schema.names, "part", "seq"])
             seen += n
 
-    columns = "host string, content binary, path string, open boolean, part long, seq long"
-    placed = stage(distinct.select("host", "content", "path", "open").repartitionByRange("host", "path", "content").sortWithinPartitions(
+    columns = "host string, content binary, path string, marks array<binary>, lines array<long>, part long, seq long"
+    placed = stage(distinct.select("host", "content", "path", "marks", "lines").repartitionByRange("host", "path", "content").sortWithinPartitions(
         "host", "path", "content").mapInArrow(number, columns), "page-order")
     begin, rows = 0, []
     for r in placed.groupBy("part").count().orderBy("part").collect():  # a row for each task
         rows.append((r["part"], begin))
         begin += r["count"]
     offsets = placed.sparkSession.createDataFrame(rows, "part long, begin long")
-    return placed.join(F.broadcast(offsets), "part").select("host", "path", "content", "open", (F.col("begin") + F.col("seq")).alias("pos"))
+    return placed.join(F.broadcast(offsets), "part").select("host", "path", "content", "marks", "lines", (F.col("begin") + F.col("seq")).alias("pos"))
 
 
 def _alike(a, b):
@@ -342,56 +380,53 @@ def _alike(a, b):
     return F.size(F.filter(F.sequence(F.lit(0), F.least(F.length(a), F.length(b))), lambda i: F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i)))
 
 
-def nearest(pages: DataFrame) -> DataFrame:
-    """``host, content, neighbour`` (both as content) for distinct pages with open lines that have a neighbour."""
-    ranked = _ranked(_keys(pages))
-    asked = ranked.where("open").select("host", "path", "content", F.explode(F.array(F.col("pos") - 1, F.col("pos") + 1)).alias("pos"))
-    other = ranked.select("pos", F.col("host").alias("h"), F.col("path").alias("p"), F.col("content").alias("neighbour"))
+def nearest(ranked: DataFrame) -> DataFrame:
+    """``pos, neighbour`` (both as places) for distinct pages that have a neighbour."""
+    asked = ranked.select("host", "path", F.col("pos").alias("own"), F.explode(F.array(F.col("pos") - 1, F.col("pos") + 1)).alias("pos"))
+    other = ranked.select("pos", F.col("host").alias("h"), F.col("path").alias("p"))
     pairs = asked.join(other, "pos").where(F.col("host") == F.col("h"))
     order = F.struct(-_alike(F.col("path"), F.col("p")), "pos")
-    return pairs.groupBy("host", "content").agg(F.min_by("neighbour", order).alias("neighbour"))
+    return pairs.groupBy("own").agg(F.min_by("pos", order).alias("neighbour")).select(F.col("own").alias("pos"), "neighbour")
+
+
+def deletions(pages: DataFrame) -> DataFrame:
+    """``host, key, deleted``: the numbers of the lines that differencing deletes, of every page that loses any."""
+    def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, content, marked, lines, others in zip(*(c.to_pylist() for c in batch.columns)):
+                shared = shared_lines(lines, others)
+                for marks in marked if shared else ():
+                    of_line = array("i", marks)
+                    if deleted := deleted_lines(of_line[::2], of_line[1::2], shared):
+                        rows.append((host, _page_key(content, marks), deleted))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 3, (
+                pa.string(), pa.binary(), pa.list_(pa.int32())))], ["host", "key", "deleted"])
+
+    ranked = _ranked(_keys(pages))
+    others = ranked.select(F.col("pos").alias("neighbour"), F.col("lines").alias("others"))
+    paired = ranked.join(nearest(ranked), "pos").join(others, "neighbour")
+    return paired.select("host", "content", "marks", "lines", "others").mapInArrow(difference, "host string, key binary, deleted array<int>")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text`` for each row."""
     given = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    pairs = stage(nearest(given), "nearest-pages")
-    schema = T.StructType([given.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()),
-                           T.StructField("host", T.StringType()), T.StructField("content", T.BinaryType()), T.StructField("page", T.StringType())])
+    gone = stage(deletions(given), "deleted-lines")
+    schema = T.StructType([given.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("host", T.StringType()),
+                           T.StructField("key", T.BinaryType()), T.StructField("lines", T.ArrayType(T.StringType()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, hosts, contents, kept = [], [], [], []
+            hosts, keys, kept = [], [], []
             for url, page in zip(batch.column(1), batch.column(2)):
-                lines = read_lines(page.as_py())
-                waits = any(kind == OPEN for kind, _ in lines)
-                texts.append(main_text(lines))
-                hosts.append(host_and_path(url.as_py())[0] if waits else None)
-                contents.append(_content(lines) if waits else None)
-                kept.append(page.as_py() if waits else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(hosts, pa.string()),
-                                              pa.array(contents, pa.binary()), pa.array(kept, pa.string())], schema.fieldNames())
-
-    done = given.mapInArrow(read, schema)
-    if pairs.isEmpty():  # every page marks its article or is alone on its host
-        return done.select("page_id", "url", "text")
-
-    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(host_and_path(u.as_py())[0], lines) for u, p in zip(batch.column(0), batch.column(1)) for lines in [read_lines(p.as_py())]]
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.string()), pa.array([_content(x) for _, x in rows], pa.binary()),
-                                              pa.array([[t for _, t in x] for _, x in rows], pa.list_(pa.string()))], ["host", "neighbour", "lines"])
-
-    wanted = pairs.select("host", "neighbour").distinct()
-    lines = given.select("url", "html").mapInArrow(lines_of, "host string, neighbour binary, lines array<string>").join(
-        wanted, ["host", "neighbour"], "left_semi").dropDuplicates(["host", "neighbour"])
-    found = pairs.join(lines, ["host", "neighbour"]).select("host", "content", "lines")
-
-    def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [main_text(read_lines(p.as_py()), n.as_py()) if p.is_valid and n.is_valid else t.as_py()
-                     for t, p, n in zip(batch.column(2), batch.column(3), batch.column(4))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-    joined = done.join(found, ["host", "content"], "left").select("page_id", "url", "text", "page", "lines")
-    return joined.mapInArrow(difference, T.StructType(schema.fields[:3]))
+                lines, articles = read_page(page.as_py())
+                hosts.append(host_and_path(url.as_py())[0])
+                keys.append(_page_key(_content(lines), _marks_of(lines, articles)))
+                kept.append([t if kind > FURNITURE else None for kind, t in lines])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(keys, pa.binary()),
+                                              pa.array(kept, pa.list_(pa.string()))], schema.fieldNames())
+
+    joined = given.mapInArrow(read, schema).join(gone, ["host", "key"], "left")
+    left = F.filter("lines", lambda line, i: line.isNotNull() & (F.col("deleted").isNull() | ~F.array_contains("deleted", i)))
+    return joined.select("page_id", "url", F.array_join(left, "\n").alias("text"))

@@ -155,3 +155,23 @@ def test_raw_elements_end_where_a_plain_search_says(parts):
             end = shared.end(at, name, names)
             assert end == html_text.RawElements(page).end(at, name, names)
             at = max(end, at)
+
+
+def test_pages_that_mark_articles_are_differenced_too(spark):
+    """Of several articles the one that the neighbour has line for line goes; an article with a line of its own stays whole."""
+    teaser = "<article><h2>Teaser</h2><p>Read on</p></article>"
+    rows = [(i, f"http://a.org/{i}", f"<nav>menu {i}</nav><main><article><h1>Title</h1><p>own {i}</p><section><article>part</article></section></article>{teaser}</main>")
+            for i in range(6)]
+    rows += [(10, "http://b.org/1", "<article><p>same</p></article>"), (11, "http://b.org/2", "<p>top</p><article><p>same</p></article>"),
+             (12, "http://c.org/1", teaser * 2), (13, "http://c.org/2", f"{teaser * 2}<footer>x</footer>"), (14, "http://alone.org/", f"<article>a</article>{teaser}")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got == {i: f"Title\nown {i}\npart" for i in range(6)} | {
+        10: "same", 11: "same", 12: "Teaser\nRead on\nTeaser\nRead on", 13: "Teaser\nRead on\nTeaser\nRead on", 14: "a\nTeaser\nRead on"}
+
+
+def test_marks_of_equal_lines_are_judged_apart(spark):
+    """Pages of one host with the same lines are one place in its order, but each is checked by its own marks."""
+    rows = [(1, "http://a.org/1", "<p>top</p><p>x</p>"), (2, "http://a.org/1", "<p>top</p><article><p>x</p></article>"), (3, "http://a.org/2", "<p>top</p><p>y</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == {1: "x", 2: "x", 3: "y"}
