@@ -6,10 +6,12 @@ common phrases of the length before:
 
 1. Texts become runs of word numbers once, with a 0 for a rare word or a break; words are numbered per language, so
    a number stands for a word of a language and all languages are counted at once.
-2. Every place whose two shorter phrases are common (in a bitmap of fixed size; a wrong bit only lets a candidate
-   more through) adds to the count of its phrase's slot. Phrases that share a slot are counted together, so
+2. Every place whose two shorter phrases are common (in a bitmap of fixed size; a wrong bit only lets a place
+   more through) adds to the count of its phrase's mark, a hash of 40 bits. Phrases that share a mark are counted together, so
    a phrase is never counted too low and no common one is lost.
-3. The distinct phrases of well-filled slots whose shorter phrases are really common are the candidates.
+3. The distinct phrases of well-filled marks whose shorter phrases are really common are the candidates. Tasks look for them
+   through a bitmap of those marks and send what they find packed, a row for a bucket of marks; buckets are merged and their phrases
+   looked up among the marks themselves, so that no more candidates come out than there are such marks, or hardly.
 4. Candidates make double-array tries of at most ``shard`` phrases, which are broadcast one after the other. In a
    scan numpy moves the states of all places of a text block through the trie together, level by level,
    drops those without a transition and adds up the accepting states. Spark sums the counts of all tasks.
@@ -45,6 +47,7 @@ SLOTS = 1 << 25  # as bits 4 MB
 BLOCK = 1 << 16
 FLUSH = 1 << 17
 CHUNK = 1 << 12
+MARKS = 1 << 40  # so many that phrases hardly share one
 MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -141,16 +144,17 @@ def _places(x: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(whole)
 
 
-def slots(columns: list[np.ndarray]) -> np.ndarray:
-    """The slot of each phrase, given its first words, second words and so on."""
+def marks(columns: list[np.ndarray]) -> np.ndarray:
+    """The mark of each phrase, given its first words, second words and so on."""
     mark = np.full(len(columns[0]), len(columns), np.uint64)
     for c in columns:
         mark = (mark * np.uint64(MIX[0]) + c.astype(np.uint64)) * np.uint64(MIX[1])
         mark ^= mark >> np.uint64(31)
-    return (mark % np.uint64(SLOTS)).astype(np.int64)
+    return (mark % np.uint64(MARKS)).astype(np.int64)
 
 
-def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _has(bits: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    at = mark % SLOTS
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -159,13 +163,13 @@ def _safe(x: np.ndarray, k: int, common: np.ndarray | None) -> np.ndarray:
     at = _places(x, k)
     if common is not None:
         for shift in (0, 1):
-            at = at[_has(common, slots([x[at + shift + j] for j in range(k - 1)]))]
+            at = at[_has(common, marks([x[at + shift + j] for j in range(k - 1)]))]
     return at
 
 
 def _bitmap(found: DataFrame) -> np.ndarray:
-    """The ``slot`` values of ``found`` as ``SLOTS`` bits."""
-    place = F.col("slot") + 1  # buckets of 32,768 bits are numbered from 1, their bits from 0
+    """The ``mark`` values of ``found`` as ``SLOTS`` bits."""
+    place = F.pmod("mark", F.lit(SLOTS)) + 1  # buckets of 32,768 bits are numbered from 1, their bits from 0
     rows = found.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     bits = np.zeros((SLOTS // 32768, 4096), np.uint8)
     for row in rows.toLocalIterator():  # SLOTS / 32768 at most
@@ -173,17 +177,17 @@ def _bitmap(found: DataFrame) -> np.ndarray:
     return bits.ravel()
 
 
-def _filled_slots(texts: DataFrame, k: int, common, least: int) -> DataFrame:
+def _filled_marks(texts: DataFrame, k: int, common, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flushed() -> pa.RecordBatch:
             at, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64))], ["slot", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64))], ["mark", "n"])
 
         for x in _blocks(batches):
             at = _safe(x, k, common and common.value)
-            held.append(slots([x[at + j] for j in range(k)]))
+            held.append(marks([x[at + j] for j in range(k)]))
             size += len(at)
             if size >= 4 * FLUSH:
                 yield flushed()
@@ -191,7 +195,7 @@ def _filled_slots(texts: DataFrame, k: int, common, least: int) -> DataFrame:
         if size:
             yield flushed()
 
-    return texts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("slot")
+    return texts.mapInArrow(run, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("mark")
 
 
 def names(k: int, start: int = 1) -> list[str]:
@@ -214,26 +218,49 @@ def _distinct(rows: np.ndarray) -> np.ndarray:
 def candidates(texts: DataFrame, k: int, common: DataFrame, common_bits, least: int) -> DataFrame:
     """Numbered phrases of ``k`` words that may be common: ``id`` from 1 in word order, ``w1`` to ``wk``.
 
-    ``common`` are the common phrases of a word less, ``common_bits`` their slots (not needed for single words, which
+    ``common`` are the common phrases of a word less, ``common_bits`` their marks (not needed for single words, which
     have no number unless they are common).
     """
     spark = texts.sparkSession
-    filled = spark.sparkContext.broadcast(_bitmap(_filled_slots(texts, k, common_bits, least)))
+    filled = stage(_filled_marks(texts, k, common_bits, least), "filled-marks")
+    bits = spark.sparkContext.broadcast(_bitmap(filled))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, k), np.int32)
+
+        def packed() -> pa.RecordBatch:
+            bucket = marks(list(held.T)) % buckets
+            rows = held[order := np.argsort(bucket, kind="stable")]
+            hit, begin = np.unique(bucket[order], return_index=True)
+            return pa.RecordBatch.from_arrays([pa.array(hit), pa.array([part.tobytes() for part in np.split(rows, begin[1:])][:len(hit)], pa.binary())],
+                                              ["bucket", "phrases"])
+
         for x in _blocks(batches):
             at = _safe(x, k, common_bits and common_bits.value)
             rows = np.column_stack([x[at + j] for j in range(k)])
-            held = np.concatenate([held, _distinct(rows[_has(filled.value, slots(list(rows.T)))])])
-            if len(held) >= FLUSH:
+            held = np.concatenate([held, _distinct(rows[_has(bits.value, marks(list(rows.T)))])])
+            if len(held) >= 4 * FLUSH:
                 held = _distinct(held)
-                if len(held) >= FLUSH // 2:
-                    yield pa.RecordBatch.from_arrays(_columns(held), names(k))
+                if len(held) >= 2 * FLUSH:
+                    yield packed()
                     held = held[:0]
-        yield pa.RecordBatch.from_arrays(_columns(_distinct(held)), names(k))
+        held = _distinct(held)
+        yield packed()
 
-    found = texts.mapInArrow(run, ", ".join(f"{w} int" for w in names(k))).distinct()
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, more, size = np.empty((0, k), np.int32), [], 0
+        for batch in batches:
+            for phrases in batch.column(1).to_pylist():
+                more.append(np.frombuffer(phrases, np.int32).reshape(-1, k))
+                size += len(more[-1])
+                if size >= max(4 * FLUSH, len(held)):
+                    held, more, size = _distinct(np.concatenate([held, *more])), [], 0
+        held = _distinct(np.concatenate([held, *more]))
+        yield pa.RecordBatch.from_arrays([*_columns(held), pa.array(marks(list(held.T)))], [*names(k), "mark"])
+
+    found = texts.mapInArrow(run, "bucket long, phrases binary").repartition("bucket").mapInArrow(merge, ", ".join(f"{w} int" for w in names(k)) + ", mark long")
+    found = found.join(filled, "mark", "left_semi").select(names(k))
     if k > 2:
         shorter = common.select(names(k - 1))
         found = found.join(shorter, names(k - 1), "left_semi").join(
@@ -379,12 +406,12 @@ def counted(texts: DataFrame, found: DataFrame, k: int, least: int, shard: int)
     return stage(found.join(common, "id").select(*names(k), "f"), "common-phrases")
 
 
-def _slots_of(phrases: DataFrame, k: int) -> DataFrame:
+def _marks_of(phrases: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(slots([c.to_numpy() for c in batch.columns]))], ["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(marks([c.to_numpy() for c in batch.columns]))], ["mark"])
 
-    return phrases.select(names(k)).mapInArrow(run, "slot long")
+    return phrases.select(names(k)).mapInArrow(run, "mark long")
 
 
 def common_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int, shard: int) -> DataFrame:
@@ -397,7 +424,7 @@ def common_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int,
             break
         found = found.unionByName(level.select(F.array(*names(k)).alias("ids"), "f"))
         if k < longest:
-            bits = texts.sparkSession.sparkContext.broadcast(_bitmap(_slots_of(level, k)))
+            bits = texts.sparkSession.sparkContext.broadcast(_bitmap(_marks_of(level, k)))
     return stage(found, "phrases")
 
 

@@ -120,3 +120,15 @@ def test_empty_table_and_no_common_word(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(empty).collect() == []
     assert collocations.collocations(spark.createDataFrame([("en", "a b c")], "lang string, text string")).collect() == []
+
+
+def test_candidates_are_the_common_phrases_alone(spark):
+    """Of 300,000 rare phrases some share a bit of the bitmap with a common one; they are no candidates."""
+    rng = np.random.default_rng(5)
+    common = rng.permutation(4000).astype(np.int32).reshape(-1, 2) + 1
+    rare = rng.integers(5001, 60000, (300_000, 2)).astype(np.int32)
+    blocks = [np.column_stack([rows, np.zeros(len(rows), np.int32)]).ravel().tobytes() for rows in [*[common] * 4, *np.split(rare, 10)]]
+    texts = spark.createDataFrame([(bytearray(b),) for b in blocks], "ids binary").repartition(4)
+    found = collocations.candidates(texts, 2, None, None, 4)
+    assert sorted((r.w1, r.w2) for r in found.collect()) == sorted(map(tuple, common.tolist()))
+    assert [r.id for r in found.orderBy("w1", "w2").collect()] == list(range(1, len(common) + 1))
