@@ -17,7 +17,7 @@ s and t. Two sketches are used that way:
   one is folded, half onto half.
 
 Whatever passes is verified on the whole token sets. Copies are folded first: a class is a distinct set (by a
-128-bit hash), and a task sends the parts of a class once. Of the classes that share a part, first all are
+128-bit hash), and a task sends the parts of a class once, packed. Of the classes that share a part, first all are
 verified against the smallest alone. Only groups whose other members still fall into several components are
 compared among themselves, cut into blocks of ``block`` classes whose pairs are separate tasks. Such a task first proposes
 no more pairs than would join its components, of those that pass the dense sketch; after these are verified and the components
@@ -46,7 +46,9 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 FILTER_BITS = 1 << 26  # 8 MB at most, whatever the number of rows
 FOLD = 1 << 17
 FLUSH = 1 << 16
+KEY_BYTES = 6  # of a part's key; parts that share one by chance cost a comparison, no more
 MEMBER = "part long, hub binary, class binary"
+PACKED = "bucket int, classes binary, counts binary, parts binary"
 
 
 def _mixed(x: np.ndarray, by: int = MIX[2]) -> np.ndarray:
@@ -109,7 +111,7 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
 
 
 def part_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """What a set sends: hashes of (band, part, sketch of the part)."""
+    """What a set sends: hashes of (band, part, sketch of the part), ``KEY_BYTES`` of each."""
     out, size, short = [], len(tokens), False
     for band, parts, most in bands(size, percent) if size else []:
         place = (_mixed(tokens + np.uint64(band + 1)) % np.uint64(parts)).astype(np.int64)
@@ -120,7 +122,7 @@ def part_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
         out.append(_mixed(sums[sent] + sent.astype(np.uint64) * np.uint64(MIX[1]) + np.uint64(band + 1 << 32)))
     if short:
         out.append(_mixed(tokens[:size - -(-percent * size // 100) + 1] + np.uint64(MIX[1])))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+    return np.unique(np.concatenate(out) & np.uint64((1 << 8 * KEY_BYTES) - 1)) if out else np.empty(0, np.uint64)
 
 
 def _longs(names: list[bytes]) -> np.ndarray:
@@ -159,20 +161,33 @@ def _folded(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[byte
                 yield name, tokens, text
 
 
-def _sent(size: int, percent: int) -> Callable:
+def _sent(size: int, percent: int, buckets: int) -> Callable:
+    """The parts of sets, packed: for each bucket of keys the classes that have any, how many each has (in planes of bytes, as most
+    are zero), and the keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, names, held = [], [], 0
 
         def flushed() -> pa.RecordBatch:
-            pairs = np.repeat(_longs(names), [len(k) for k in keys], axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
-                                              ["part", "c1", "c2"])
+            parts, of = np.concatenate(keys), np.repeat(np.arange(len(names)), [len(k) for k in keys])
+            bucket = (parts % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            parts, of, bucket = parts[order], of[order], bucket[order]
+            new = np.ones(len(parts), bool)
+            new[1:] = (of[1:] != of[:-1]) | (bucket[1:] != bucket[:-1])
+            starts = np.flatnonzero(new)
+            counts, owners = np.diff(np.append(starts, len(parts))).astype("<u4"), _longs(names)[of[starts]]
+            hit, first = np.unique(bucket, return_index=True)
+            raw, first_run = parts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], np.searchsorted(starts, first)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(hit), *(pa.array([x.tobytes() for x in some], pa.binary()) for some in (
+                    np.split(owners, first_run[1:]), (c.view(np.uint8).reshape(-1, 4).T for c in np.split(counts, first_run[1:])), np.split(raw, first[1:])))],
+                ["bucket", "classes", "counts", "parts"])
 
         for name, tokens, _ in _folded(batches, size):
             keys.append(part_keys(tokens, percent))
             names.append(name)
             held += len(keys[-1])
-            if held >= FLUSH:
+            if held >= 4 * FLUSH:
                 yield flushed()
                 keys, names, held = [], [], 0
         if keys:
@@ -180,6 +195,17 @@ def _sent(size: int, percent: int) -> Callable:
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each part and class of packed rows."""
+    for batch in batches:
+        for _, classes, counts, parts in zip(*(c.to_pylist() for c in batch.columns)):
+            counts = np.ascontiguousarray(np.frombuffer(counts, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+            pairs = np.repeat(np.frombuffer(classes, np.int64).reshape(-1, 2), counts, axis=0)
+            whole = np.zeros((len(pairs), 8), np.uint8)
+            whole[:, :KEY_BYTES] = np.frombuffer(parts, np.uint8).reshape(-1, KEY_BYTES)
+            yield pa.RecordBatch.from_arrays([pa.array(whole.view("<i8").ravel()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["part", "c1", "c2"])
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by part and class: the classes of every part that has several, with the smallest as hub."""
     last = np.empty((0, 3), np.int64)  # the hub of the part that a batch ends in, and its last row; that part goes on
@@ -370,12 +396,17 @@ def _pairs_within(percent: int, spanning: bool) -> Callable:
 
 
 def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
-    """Pairs still to be verified: both members of one part, neither its hub, in different components."""
+    """Pairs still to be verified: both members of one part, neither its hub, in different components.
+
+    Sketches travel once for each distinct group of members (told apart by 128 bits), not for each of the parts that have the same.
+    """
     others = members.where(F.col("class") != F.col("hub")).select("part", "class")
     placed = others.join(roots, others["class"] == roots.node, "left").select("part", "class", F.coalesce("root", "class").alias("root"))
     placed = stage(placed, "placed-members")
-    groups = placed.groupBy("part").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.count("*") / block).alias("blocks"))
-    unsettled = stage(groups.where(F.col("least") != F.col("most")).select("part", "blocks"), "open-parts")
+    groups = placed.groupBy("part").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.count("*") / block).alias("blocks"),
+                                        F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"))
+    unsettled = groups.where(F.col("least") != F.col("most")).groupBy("blocks", "x", "y").agg(F.min("part").alias("part"))
+    unsettled = stage(unsettled.select("part", "blocks"), "open-parts")
     rows = placed.join(unsettled, "part").join(classes.select("class", "n_shingles", "sketch"), "class")
     own = F.pmod(F.xxhash64("class"), F.col("blocks"))
     rows = rows.select("part", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"), "class", "root",
@@ -395,8 +426,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = stage(given.mapInArrow(_marked(size), f"doc_id {kind}, text_key long, n_shingles long, class binary, sketch array<long>"), "marked")
     classes = stage(marked.where("n_shingles > 0").groupBy("class", "n_shingles", "sketch").agg(
         F.min("doc_id").alias("first_id"), F.min(F.xxhash64("doc_id", "text_key")).alias("hash")), "set-classes")
-    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(_sent(size, percent), "part long, c1 long, c2 long")
-    members = stage(sent.repartition("part").sortWithinPartitions("part", "c1", "c2").mapInArrow(_shared, MEMBER), "members")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(_sent(size, percent, buckets), PACKED)
+    rows = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_unpacked, "part long, c1 long, c2 long")
+    members = stage(rows.sortWithinPartitions("part", "c1", "c2").mapInArrow(_shared, MEMBER), "members")
     tested = members.where(F.col("class") != F.col("hub")).select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     args = (classes, docs, size, percent, block, id_col, text_col)
     links = _verified(_plausible(tested, classes, percent), *args)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -147,3 +148,18 @@ def test_parts_that_go_on_over_batches():
 
 def test_empty_table(spark):
     assert setjoin.similar_sets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_sent_parts_take_little_room_and_come_back_whole():
+    """A part of a set of 700 words took 24 bytes, class and all; packed for 50 buckets it takes less than 14."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(700)) for _ in range(200)] + ["", None, "one two", "one two three four five six"] + [
+        " ".join(f"v{i}" for i in range(20_000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    packed = list(setjoin._sent(5, 80, 50)(iter([batch])))
+    rows = [row for b in setjoin._unpacked(iter(packed)) for row in zip(*(c.to_pylist() for c in b.columns))]
+    want = [(int(k), *np.frombuffer(setjoin.set_class(s), np.int64).tolist()) for t in texts for s in [setjoin.shingles(t)] for k in setjoin.part_keys(s, 80)]
+    assert sorted(rows) == sorted(want)
+    assert all(row[0] % 50 == b for p in packed for k in range(p.num_rows) for b in [p.column(0)[k].as_py()]
+               for u in setjoin._unpacked(iter([p.slice(k, 1)])) for row in zip(u.column(0).to_pylist()))
+    assert sum(len(x) for p in packed for c in p.columns[1:] for x in c.to_pylist()) < 14 * len(rows)
