@@ -187,7 +187,7 @@ def _sent(size: int, percent: int, buckets: int) -> Callable:
             keys.append(part_keys(tokens, percent))
             names.append(name)
             held += len(keys[-1])
-            if held >= 4 * FLUSH:
+            if held >= FLUSH:
                 yield flushed()
                 keys, names, held = [], [], 0
         if keys:
