@@ -20,8 +20,9 @@ Whatever passes is verified on the whole token sets. Copies are folded first: a
 128-bit hash), and a task sends the parts of a class once, packed. Of the classes that share a part, first all are
 verified against the smallest alone. Only groups whose other members still fall into several components are
 compared among themselves, cut into blocks of ``block`` classes whose pairs are separate tasks. Such a task first proposes
-no more pairs than would join its components, of those that pass the dense sketch; after these are verified and the components
-joined anew, pairs of different components that pass it and were not verified yet are all proposed. Tokens are 64-bit hashes.
+no more pairs than would join its components, of those that pass the dense sketch. Where all of these are links, no pair of the
+task is left that could join components; where one is not, the task is repeated after the components are joined anew, and proposes
+all pairs of different components that pass the sketch and were not verified yet. Tokens are 64-bit hashes.
 
 Defined results: a null text or one without words has the empty set and is linked with nothing; repeated rows
 and rows that repeat an id get a row each; a null id never becomes a component id while the component has
@@ -39,14 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.graph import components
-from barloom.session import stage
+from barloom.session import stage, stage_bucketed
 
 NARROWEST, WIDEST = 1 << 9, 1 << 17
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 FILTER_BITS = 1 << 26  # 8 MB at most, whatever the number of rows
 FOLD = 1 << 17
 FLUSH = 1 << 16
-KEY_BYTES = 6  # of a part's key; parts that share one by chance cost a comparison, no more
+KEY_BYTES = 5  # of a part's key; parts that share one by chance cost a comparison, no more
 MEMBER = "part long, hub binary, class binary"
 PACKED = "bucket int, classes binary, counts binary, parts binary"
 
@@ -381,39 +382,49 @@ def _pairs_within(percent: int, spanning: bool) -> Callable:
                 a, b = ([names[k] for k in side] for side in (x.tolist(), y.tolist()))
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(min, a, b)), pa.binary()), pa.array(list(map(max, a, b)), pa.binary())], ["a", "b"])
 
+    def of_task(rows: list[tuple], task: tuple | None) -> Iterator[pa.RecordBatch]:
+        for found in compare(rows, *task[1:]) if len(rows) > 1 else ():
+            yield pa.RecordBatch.from_arrays([*(pa.array([x] * found.num_rows, pa.int64()) for x in task), *found.columns], ["part", "i", "j", "a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
             for part, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (part, i, j) != now:
-                    if len(held) > 1:
-                        yield from compare(held, *now[1:])
+                    yield from of_task(held, now)
                     now, held = (part, i, j), []
                 held.append(row)
-        if len(held) > 1:
-            yield from compare(held, *now[1:])
+        yield from of_task(held, now)
     return run
 
 
-def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
-    """Pairs still to be verified: both members of one part, neither its hub, in different components.
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, members["class"] == roots.node, "left").withColumn("root", F.coalesce("root", "class")).drop("node")
 
-    Sketches travel once for each distinct group of members (told apart by 128 bits), not for each of the parts that have the same.
-    """
+
+def _open_groups(members: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """``part, class, blocks`` of the parts whose members, without the hub, are in different components; of parts with the same
+    members (told apart by 128 bits) one alone."""
     others = members.where(F.col("class") != F.col("hub")).select("part", "class")
-    placed = others.join(roots, others["class"] == roots.node, "left").select("part", "class", F.coalesce("root", "class").alias("root"))
-    placed = stage(placed, "placed-members")
+    placed = stage(_rooted(others, roots), "placed-members")
     groups = placed.groupBy("part").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.count("*") / block).alias("blocks"),
                                         F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"))
     unsettled = groups.where(F.col("least") != F.col("most")).groupBy("blocks", "x", "y").agg(F.min("part").alias("part"))
-    unsettled = stage(unsettled.select("part", "blocks"), "open-parts")
-    rows = placed.join(unsettled, "part").join(classes.select("class", "n_shingles", "sketch"), "class")
+    return stage(placed.select("part", "class").join(unsettled.select("part", "blocks"), "part"), "open-groups")
+
+
+def _open_pairs(groups: DataFrame, tasks: DataFrame | None, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``part, i, j, a, b``: pairs still to be verified, of blocks i and j of a group's members and in different components.
+    Without ``tasks(part, i, j)`` as many as would join the components of any two blocks, else all of those tasks."""
     own = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    rows = rows.select("part", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"), "class", "root",
-                       "n_shingles", "sketch")
-    rows = rows.select("part", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "class", "root", "n_shingles", "sketch")
+    rows = groups.select("part", "class", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
+    rows = rows.select("part", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "class")
+    if tasks is not None:
+        rows = rows.join(tasks, ["part", "i", "j"], "left_semi")
+    rows = _rooted(rows, roots).join(classes.select("class", "n_shingles", "sketch"), "class")
+    rows = rows.select("part", "i", "j", "own", "class", "root", "n_shingles", "sketch")
     sorted_rows = rows.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
-    return sorted_rows.mapInArrow(_pairs_within(percent, spanning), "a binary, b binary").distinct()
+    return sorted_rows.mapInArrow(_pairs_within(percent, tasks is None), "part long, i long, j long, a binary, b binary")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
@@ -424,8 +435,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
     marked = stage(given.mapInArrow(_marked(size), f"doc_id {kind}, text_key long, n_shingles long, class binary, sketch array<long>"), "marked")
-    classes = stage(marked.where("n_shingles > 0").groupBy("class", "n_shingles", "sketch").agg(
-        F.min("doc_id").alias("first_id"), F.min(F.xxhash64("doc_id", "text_key")).alias("hash")), "set-classes")
+    classes = stage_bucketed(marked.where("n_shingles > 0").groupBy("class").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("first_id"),
+        F.min(F.xxhash64("doc_id", "text_key")).alias("hash")), ["class"], [], "set-classes")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.select(F.col(text_col).alias("text")).mapInArrow(_sent(size, percent, buckets), PACKED)
     rows = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_unpacked, "part long, c1 long, c2 long")
@@ -433,15 +445,19 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tested = members.where(F.col("class") != F.col("hub")).select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     args = (classes, docs, size, percent, block, id_col, text_col)
     links = _verified(_plausible(tested, classes, percent), *args)
-    roots, proposed = components(links), None
-    for spanning in (True, False):
-        pairs = _open_pairs(members, roots, classes, percent, block, spanning)
-        if proposed is not None:
-            pairs = pairs.join(proposed, ["a", "b"], "left_anti")
-        proposed = stage(pairs, "proposed")
-        more = _verified(proposed, *args)
-        if not more.isEmpty():
-            links = links.unionByName(more)
+    roots = components(links)
+    groups = _open_groups(members, roots, block)
+    spanning = stage(_open_pairs(groups, None, roots, classes, percent), "spanning-pairs")
+    more = _verified(spanning.select("a", "b").distinct(), *args)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = components(links)
+    tasks = stage(spanning.join(more, ["a", "b"], "left_anti").select("part", "i", "j").distinct(), "open-tasks")
+    if not tasks.isEmpty():
+        rest = _open_pairs(groups, tasks, roots, classes, percent).select("a", "b").distinct().join(spanning, ["a", "b"], "left_anti")
+        last = _verified(rest, *args)
+        if not last.isEmpty():
+            links = links.unionByName(last)
             roots = components(links)
     rooted = classes.join(roots, classes["class"] == roots.node, "left").select("class", "first_id", F.coalesce("root", "class").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

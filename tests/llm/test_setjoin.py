@@ -103,6 +103,21 @@ def test_group_that_shares_a_part_but_no_hub(spark):
     assert got == brute(docs, 1) and {r[2] for r in got} == {0, 1, 2}
 
 
+def test_open_groups_are_not_compared_again_where_all_proposed_pairs_are_links(spark, monkeypatch):
+    rng = random.Random(4)
+    hub = [f"h{i}" for i in range(300)]
+    families = [[f"f{k}_{i}" for i in range(180)] for k in range(2)]
+    docs = [(0, " ".join(hub))]
+    for i in range(1, 41):
+        text = hub[:200] + families[i % 2]
+        text[rng.randrange(200, 380)] = f"x{i}"
+        docs.append((i, " ".join(text)))
+    seen, made = [], setjoin._pairs_within
+    monkeypatch.setattr(setjoin, "_pairs_within", lambda percent, spanning: seen.append(spanning) or made(percent, spanning))
+    assert answers(setjoin.similar_sets(spark.createDataFrame(docs, "doc_id long, text string"), size=1, block=8)) == brute(docs, 1)
+    assert seen == [True]
+
+
 def test_nulls_empty_texts_copies_and_repeated_ids(spark):
     long = " ".join(str(i) for i in range(20_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A b"), (6, "a  b"), (7, "b a"), (4, "c d"), (None, "a b"), (None, "c d"), (9, long),
