@@ -13,7 +13,7 @@ distinctness.
 Distinctness is checked over the whole corpus: the distinct entities, their number alone, are grouped by
 surrogate, and joined with the real entities. Where two share one, or a surrogate is itself a real entity,
 all but one of them take another attempt, until none is left. Only those exceptions are joined back to the
-documents that hold them; the texts are otherwise not shuffled. All steps are SQL expressions.
+documents; texts without a match take no part in that join and are not shuffled. All steps are SQL expressions.
 
 Defined results: a null text stays null; empty texts and texts without entities stay as they are; repeated
 rows are replaced alike; a null id is an id; other columns come through.
@@ -254,23 +254,28 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     text = F.col(text_col)
     of_id, of_key, tries, kinds, matched = free_names(docs, "id", "key", "attempts", "kinds", "matches")
     hits = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.explode(matches(text)).alias("match"))
-    typed = hits.distinct().withColumn("kind", _kind(F.col("match")))
+    typed = stage(hits.distinct().withColumn("kind", _kind(F.col("match"))), "matches")
     inside = F.inline(entities_of(F.col("match"), F.col("kind")))
     exceptions = assign(typed.select("match", "kind").distinct().select(inside).distinct(), key).where("attempt > 0")
-    attempts, found = None, docs
-    if not exceptions.isEmpty():
-        attempts = F.col(tries)
-        of_doc = typed.select("id", "text_key", inside).join(exceptions, ["kind", "value"])
-        of_doc = of_doc.groupBy(F.col("id").alias(of_id), F.col("text_key").alias(of_key)).agg(F.map_from_entries(F.collect_set(
-            F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias(tries))
-        found = docs.join(of_doc, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_key)), "left")
-    found = found.withColumn(kinds, F.transform(matches(text), lambda m: F.struct(m.alias("match"), _kind(m).alias("kind"))))
-    found = found.withColumn(matched, F.transform(kinds, lambda t: F.struct(
-        t.match.alias("match"), t.kind.alias("kind"), entities_of(t.match, t.kind).alias("found"))))
-    stand_ins = F.transform(matched, lambda t: render(key, t.match, t.kind, t.found, attempts))
-    joined = let(F.split(text, ENTITY, -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.zip_with(
-        stand_ins, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s, p: F.concat(s, p)), "")))
-    new = F.when(F.size(matched) > 0, joined).otherwise(text)
-    count = F.size(F.filter(matched, lambda t: F.size(t.found) > 0))
-    columns = [F.col(f"`{c}`") if c != text_col else new.alias(c) for c in docs.columns]
-    return found.select(*columns, *([count.alias(count_col)] if count_col else []))
+
+    def replaced(found: DataFrame, attempts: Column | None) -> DataFrame:
+        found = found.withColumn(kinds, F.transform(matches(text), lambda m: F.struct(m.alias("match"), _kind(m).alias("kind"))))
+        found = found.withColumn(matched, F.transform(kinds, lambda t: F.struct(
+            t.match.alias("match"), t.kind.alias("kind"), entities_of(t.match, t.kind).alias("found"))))
+        stand_ins = F.transform(matched, lambda t: render(key, t.match, t.kind, t.found, attempts))
+        joined = let(F.split(text, ENTITY, -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.zip_with(
+            stand_ins, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s, p: F.concat(s, p)), "")))
+        new = F.when(F.size(matched) > 0, joined).otherwise(text)
+        count = F.size(F.filter(matched, lambda t: F.size(t.found) > 0))
+        columns = [F.col(f"`{c}`") if c != text_col else new.alias(c) for c in docs.columns]
+        return found.select(*columns, *([count.alias(count_col)] if count_col else []))
+
+    if exceptions.isEmpty():
+        return replaced(docs, None)
+    of_doc = typed.select("id", "text_key", inside).join(exceptions, ["kind", "value"])
+    of_doc = of_doc.groupBy(F.col("id").alias(of_id), F.col("text_key").alias(of_key)).agg(F.map_from_entries(F.collect_set(
+        F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias(tries))
+    some = F.size(matches(text)) > 0  # the texts that travel to the join; all others stay where they are
+    found = docs.where(some).join(of_doc, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_key)), "left")
+    rest = docs.where(~some)
+    return replaced(found, F.col(tries)).unionByName(rest.withColumn(count_col, F.lit(0)) if count_col else rest)

@@ -137,6 +137,28 @@ def test_exceptions_reach_the_documents(spark, monkeypatch):
     assert got[None][1] == got[5][1]
 
 
+def test_texts_without_a_match_are_not_shuffled(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, value, attempt: F.when(attempt == 0, F.lit("1.1.1.1")).otherwise(real(key, kind, value, attempt)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = ["x 10.20.30.100", "x 10.20.30.101", "at 7 o'clock", "no match", "", None, None, "x 10.20.30.100", "no match"]
+        rows = [(None if i == 8 else i // 2, t, "x") for i, t in enumerate(texts)]
+        out = pii.replace(spark.createDataFrame(rows, "doc_id long, text string, kind string"), "k", count_col="n")
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        moved = [i for i, line in enumerate(plan) if re.search(r"Exchange hashpartitioning\(.*xxhash64\(text", line)]
+        assert moved and all("Filter" in plan[i + 1] and "size(" in plan[i + 1] for i in moved)
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r.n for r in got) == [0] * 6 + [1] * 3 and {r.kind for r in got} == {"x"}
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in got if not r.n), key=key) == sorted(((i, t) for i, t, _ in rows if "10.20" not in (t or "")), key=key)
+    made = [r.text for r in got if r.n]
+    assert len(set(made)) == 2 and not set(made) & set(texts)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
