@@ -147,6 +147,7 @@ class Forest:
             if node < 0:
                 mask, first, number = self.leaves[-1 - node]
                 mixed = (fps[at] & mask) * np.uint64(0x9E3779B97F4A7C15)
+                mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)  # high groups have only high bits so far
                 rows.append(at)
                 shards.append(first + ((mixed ^ mixed >> np.uint64(32)) % np.uint64(number)).astype(np.int64))
                 continue

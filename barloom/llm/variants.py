@@ -193,6 +193,10 @@ def _pairs(u: list[str], v: list[str], n: dict[str, int]) -> pa.RecordBatch:
                                        pa.array([n[w] for w in v], pa.int64())], ["u", "n_u", "v", "n_v"])
 
 
+#: letters of the words in a batch of opened rows
+OPENED_LETTERS = 1 << 24
+
+
 def gap_hashes(word: str, begin: int, end: int) -> tuple[int, np.ndarray]:
     """A hash of the word, and of the word without its letter at each place from ``begin`` to ``end``."""
     letters = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64) + 1
@@ -214,21 +218,33 @@ def gap_hashes(word: str, begin: int, end: int) -> tuple[int, np.ndarray]:
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of words in opened states: the hash of each word, and of it without one letter of the step."""
+    """Rows of words in opened states: the hash of each word, and of it without one letter of the step. A word comes once for
+    each hash, so batches end by their letters: many long words together pass the 2 GB of an Arrow string column."""
     names = ["hash", "place", "word", "n", "step"]
-    for whole_batch in batches:
-        for first in range(0, whole_batch.num_rows, 1024):
-            batch = whole_batch.slice(first, 1024)
-            hashes, places, sizes = [], [], []
-            for word, begin, end in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
-                whole, gaps = gap_hashes(word, begin, end)
-                hashes += [gaps, [whole]]
-                places += [np.arange(begin, begin + len(gaps)), [-1]]
-                sizes.append(len(gaps) + 1)
-            at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(np.concatenate(places).astype(np.int32)),
-                 batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at)], names)
+
+    def rows(batch: pa.RecordBatch, hashes: list, places: list, at: list) -> pa.RecordBatch:
+        taken = pa.array(np.concatenate(at))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(hashes).astype(np.int64)), pa.array(np.concatenate(places).astype(np.int32)),
+             batch.column(0).take(taken), batch.column(1).take(taken), batch.column(3).take(taken)], names)
+
+    for batch in batches:
+        hashes, places, at, letters = [], [], [], 0
+        for i, (word, begin, end) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
+            whole, gaps = gap_hashes(word, begin, end)
+            mine, where = np.append(gaps, whole), np.append(np.arange(begin, begin + len(gaps)), -1)
+            most = max(1, OPENED_LETTERS // max(1, len(word)))
+            for first in range(0, len(mine), most):
+                part = mine[first:first + most]
+                hashes.append(part)
+                places.append(where[first:first + most])
+                at.append(np.full(len(part), i))
+                letters += len(part) * (len(word) + 1)
+                if letters >= OPENED_LETTERS:
+                    yield rows(batch, hashes, places, at)
+                    hashes, places, at, letters = [], [], [], 0
+        if hashes:
+            yield rows(batch, hashes, places, at)
 
 
 def near_pairs(vocabulary: DataFrame, block: int = 1 << 17) -> DataFrame:
