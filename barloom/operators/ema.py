@@ -71,9 +71,10 @@ def ema_local(df: DataFrame, specs: Specs, s: Series = DAILY, gaps: bool = True)
     cols = sorted({c for c, _ in specs.values()})
     upto = s.local.rowsBetween(Window.unboundedPreceding, 0)
     helpers: list[str] = []
+    end = F.lead(F.lit(1)).over(s.local).isNull()
     marks = {
-        "_end": F.lead(F.lit(1)).over(s.local).isNull(),
-        **{f"_first_{c}": F.first(c, ignorenulls=True).over(upto) for c in cols},
+        "_end": end,
+        **{f"_first_{c}": F.when(end, F.first(c, ignorenulls=True).over(upto)) for c in cols},
     }
     if gaps:
         b = _gaps(b, s, cols)

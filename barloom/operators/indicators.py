@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.operators.ema import ema_local, ema_resolve, fitting
 from barloom.operators.series import BLOCK, DAILY, Series, halo, plain, without_halo
 from barloom.operators.windows import full_frame
-from barloom.session import stage_bucketed
+from barloom.session import buckets, stage_bucketed
 
 # Smoothing guard, and the indicator columns in output order.
 GUARD = 1e-9
@@ -46,39 +46,35 @@ def _rolling_level(s: Series) -> list[dict[str, Column]]:
         "_dh": high_step,
         "_dl": low_step,
     }
+    k = 100 * ((F.col("close") - F.col("_low14")) / (F.col("_high14") - F.col("_low14") + GUARD))
     second = {
         "BB_upper": F.col("_sma20") + F.col("_std20") * 2,
         "BB_lower": F.col("_sma20") - F.col("_std20") * 2,
-        "_gain14": full_frame("mean", "_gain", 14, w),
-        "_loss14": full_frame("mean", "_loss", 14, w),
-        "_k": 100 * ((F.col("close") - F.col("_low14")) / (F.col("_high14") - F.col("_low14") + GUARD)),
+        "RSI_14": 100 - 100 / (1 + full_frame("mean", "_gain", 14, w) / (full_frame("mean", "_loss", 14, w) + GUARD)),
+        "STOCHk_14_3_3": full_frame("mean", k, 3, w),
         # A NULL step must stay NULL: a zero would start the mean one row early.
         "_pdm": F.when(F.col("_dh") < 0, 0.0).otherwise(F.col("_dh")),
         "_mdm": F.when(F.col("_dl") > 0, 0.0).otherwise(F.col("_dl")),
     }
-    third = {
-        "RSI_14": 100 - 100 / (1 + F.col("_gain14") / (F.col("_loss14") + GUARD)),
-        "STOCHk_14_3_3": full_frame("mean", "_k", 3, w),
-    }
-    return [first, second, third]
+    return [first, second]
 
 
-PARTS = ["_sma20", "_std20", "_gain", "_loss", "_low14", "_high14", "_dh", "_dl", "_gain14", "_loss14", "_k"]
+PARTS = ["_sma20", "_std20", "_gain", "_loss", "_low14", "_high14", "_dh", "_dl"]
 # Columns whose previous value the rolling pass can look up itself.
 NEIGHBOURS = ["open", "high", "low", "close", "volume", "SMA_10", "BB_upper", "BB_lower"]
 
 
 def _rolled(df: DataFrame, s: Series, neighbours: bool = False) -> DataFrame:
     """Rolling part of the indicators with the inputs of ATR and ADX, in one shuffle."""
-    prices = ["open", "high", "low", "close"]
     if neighbours:
-        wide = halo(df, s, [*prices, "volume"], before=ROLLING_REACH + 1, after=1)
+        wide = halo(df, s, ["open", "high", "low", "close", "volume"], before=ROLLING_REACH + 1, after=1)
     else:
-        wide = halo(df, s, prices, before=ROLLING_REACH)
+        wide = halo(df, s, ["high", "low", "close"], before=ROLLING_REACH)
+    # As many tasks as buckets: rows get several times as wide below, so few large partitions would sort for long.
+    wide = wide.repartition(buckets(df.sparkSession), *s.block_keys)
     levels = _rolling_level(s)
     if neighbours:
-        levels[-1] |= {f"prev_{c}": F.lag(c).over(s.local) for c in NEIGHBOURS}
-        levels[-1]["next_close"] = F.lead("close").over(s.local)
+        levels.append({f"prev_{c}": F.lag(c).over(s.local) for c in NEIGHBOURS} | {"next_close": F.lead("close").over(s.local)})
     for level in levels:
         wide = wide.withColumns(level)
     return without_halo(wide).drop(*PARTS)
@@ -108,7 +104,8 @@ def add_indicators(
     }
     s, bars = fitting(s, means), plain(bars)
     before = {"EMA_10": "prev_EMA_10", "_e12": "_pe12", "_e26": "_pe26", "ATR_14": "prev_ATR_14"}
-    pieces = stage_bucketed(ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps), s.block_keys, [s.time], "indicators")
+    pieces = ema_local(_rolled(s.blocked(bars), s, neighbours), means, s, gaps).drop("_pdm", "_mdm", *([] if neighbours else ["_tr"]))
+    pieces = stage_bucketed(pieces, s.block_keys, [s.time], "indicators")
     known = ema_resolve(pieces, means, s, before if neighbours else None)
     plus = 100 * (F.col("_ep") / (F.col("ATR_14") + GUARD))
     minus = 100 * (F.abs("_em") / (F.col("ATR_14") + GUARD))

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _open = threading.local()
@@ -79,6 +80,11 @@ def stage_measured(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]
     return table, files.getContentSummary(target).getLength()
 
 
+def buckets(spark: SparkSession) -> int:
+    """Buckets of a table that is staged now, or partitions of rows dealt out for one."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stage_bucketed(df: DataFrame, keys: list[str], order: list[str], label: str = "stage") -> DataFrame:
     """:func:`stage`, with rows of equal ``keys`` in one bucket, sorted by ``keys`` and ``order``.
 
@@ -91,8 +97,9 @@ def stage_bucketed(df: DataFrame, keys: list[str], order: list[str], label: str
     if getattr(_open, "paths", None) is not None:
         _open.paths.append(path)
     _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, *keys).sortBy(*keys, *order).option("path", path).saveAsTable(name)
+    # Measurements hardly repeat: looking each up in a dictionary that is dropped when full costs more than it saves.
+    plain = {f"parquet.enable.dictionary#{f.name}": "false" for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    df.write.options(**plain).bucketBy(buckets(spark), *keys).sortBy(*keys, *order).option("path", path).saveAsTable(name)
     return spark.read.table(name)
 
 

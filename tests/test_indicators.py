@@ -71,3 +71,20 @@ def test_second_pass_does_not_shuffle_the_pieces_again(spark):
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.enabled")
     assert exchanges(bucketed) < shuffled
+
+
+def test_stored_pieces_are_no_wider_than_needed(spark):
+    """One file a bucket at most, first values only where a block ends, no dictionaries for measurements."""
+    from pyspark.sql import functions as F
+
+    df = stage(frame(spark, bars(3, holes=False)), "bars")
+    add_indicators(df)
+    name = [t.name for t in spark.catalog.listTables() if t.name.startswith("barloom_")]
+    stored = [t for t in map(spark.read.table, name) if "_first_close" in t.columns and "_S_EMA_10" in t.columns]
+    assert stored
+    fresh = [t for t in stored if not {"_tr", "_pdm", "_mdm"} & set(t.columns)]
+    assert fresh
+    for t in fresh:
+        assert t.filter(~F.col("_end") & F.col("_first_close").isNotNull()).isEmpty()
+        assert t.filter(F.col("_end") & F.col("_first_close").isNull() & (F.col("_count_close") > 0)).isEmpty() if "_count_close" in t.columns else True
+        assert len(t.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))

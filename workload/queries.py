@@ -459,7 +459,7 @@ def _(spark, d):
 @by_supplier("indicator_set_by_supplier", "SELECT " + KEYS + ", " + ", ".join(
     rnd(c, digits=4) if c in ("MACD", "BB_lower") else sig(c) for c in INDICATORS) + " FROM indicators", 4, tuple(c for c in INDICATORS if c not in ("MACD", "BB_lower")))
 def _(spark, d):
-    return add_indicators(bars_by_supplier(spark, d)).select("code", "date", *INDICATORS)
+    return add_indicators(bars_by_supplier(spark, d, "high", "low", "close")).select("code", "date", *INDICATORS)
 
 
 # --- training sets ----------------------------------------------------------------------------

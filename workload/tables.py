@@ -39,10 +39,11 @@ def bars_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         "1 day", line_rank())
 
 
-def bars_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of unit prices per supplier: many codes with short, gappy histories. Stored."""
+def bars_by_supplier(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Daily bars of unit prices per supplier: many codes with short, gappy histories. Stored, in full or with ``columns``."""
     lines = table(spark, sf_dir, "lineitem").withColumn("supplier", F.col("l_suppkey").cast("string"))
-    return stage(bars_from_ticks(lines, "supplier", "l_shipdate", unit_price(), F.col("l_quantity"), "1 day", line_rank()), "suppliers")
+    bars = bars_from_ticks(lines, "supplier", "l_shipdate", unit_price(), F.col("l_quantity"), "1 day", line_rank())
+    return stage(bars.select("code", "date", *columns) if columns else bars, "suppliers")
 
 
 def bars_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +117,40 @@ def sig(x: Column) -> Column:
     return F.format_string("%.6e", x * OFF_TIES).cast("double")
 
 
+# Powers of ten that a double holds exactly.
+TENS = [10.0 ** k for k in range(23)]
+# More columns than this make a method too long to be compiled.
+MOST = 9
+
+
+def sig_all(df: DataFrame, names: list[str], digits: int | None = None, rounded: list[str] | None = None) -> DataFrame:
+    """:func:`sig` of columns ``names``, and those ``rounded`` to ``digits`` places, with the same doubles as by text.
+
+    A whole number of few digits over a power of ten that a double holds exactly is the double nearest to that decimal,
+    so the digits need no text. Text decides what lies close to a tie or out of that range. Each step is a projection of
+    its own: in one expression Spark would repeat the inner ones, and Java does not compile long methods.
+    """
+    rounded = rounded or []
+    x, power, scaled, whole = ({n: f"_{k}_{n}" for n in [*names, *rounded]} for k in ("x", "power", "scaled", "whole"))
+    tens = F.array(*map(F.lit, TENS))
+    steps = df.withColumns({x[n]: F.col(f"`{n}`") * OFF_TIES for n in x})
+    steps = steps.withColumns({power[n]: F.get(tens, (6 - F.floor(F.log10(F.abs(x[n])))).try_cast("int")) for n in names})
+    steps = steps.withColumns({scaled[n]: F.col(x[n]) * (F.lit(10.0 ** digits) if n in rounded else F.col(power[n])) for n in x})
+    steps = steps.withColumns({whole[n]: F.rint(scaled[n]) for n in x})
+    off_tie = {n: F.abs(F.col(scaled[n]) - F.col(whole[n])) < 0.499999 for n in x}
+    done = {n: F.when(off_tie[n], F.try_divide(whole[n], power[n])).otherwise(F.format_string("%.6e", x[n]).try_cast("double")) for n in names}
+    for n in rounded:
+        # a sum with zero has no negative zero
+        done[n] = F.when(off_tie[n] & (F.abs(scaled[n]) < 1e9), F.col(whole[n]) / F.lit(10.0 ** digits) + 0.0).otherwise(F.round(x[n], digits))
+    return steps.withColumns(done).select(*[f"`{c}`" for c in df.columns])
+
+
 def shaped(df: DataFrame, digits: int | None = None, sigs: tuple[str, ...] = ()) -> DataFrame:
     """Plain comparable types: dates and times as text, integers as bigint, doubles rounded."""
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    exact = [n for n in doubles if n in sigs or "*" in sigs]
+    rounded = [n for n in doubles if n not in exact and digits is not None]
+    few = 0 < len(exact) and len(exact) + len(rounded) <= MOST
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -127,10 +160,10 @@ def shaped(df: DataFrame, digits: int | None = None, sigs: tuple[str, ...] = ())
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.IntegerType):
             c = c.cast("long")
-        elif isinstance(f.dataType, T.DoubleType):
-            if f.name in sigs or "*" in sigs:
+        elif f.name in doubles and not few:
+            if f.name in exact:
                 c = F.when(c.isNotNull(), sig(c))
-            elif digits is not None:
+            elif f.name in rounded:
                 c = F.round(c * OFF_TIES, digits)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return (sig_all(df, exact, digits, rounded) if few else df).select(*cols)
